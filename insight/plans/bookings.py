@@ -25,6 +25,7 @@ Fixed mapping of the driver tables onto the bookings schema:
     stays_in_weekend_nights  <- floor(l_discount * 100 / 4)
     arrival_date_year        <- year(o_orderdate)
     arrival_date_month       <- English month name of o_orderdate
+    lead_time                <- days from o_orderdate to l_shipdate
     country                  <- c_nationkey as text
     meal                     <- c_mktsegment
     reserved_room_type       <- p_type
@@ -77,6 +78,7 @@ def bookings_view(spark: SparkSession, sf_dir: str, calendar: bool = False,
         F.floor(F.col("l_quantity") / 25.0).cast("double").alias("babies"),
         F.col("l_linenumber").cast("double").alias("stays_in_week_nights"),
         F.floor(F.col("l_discount") * 100.0 / 4.0).cast("double").alias("stays_in_weekend_nights"),
+        *([F.col("l_shipdate")] if (calendar or guest) else []),
     )
     if calendar or guest:
         o = read_table(spark, sf_dir, "orders").select(
@@ -84,8 +86,12 @@ def bookings_view(spark: SparkSession, sf_dir: str, calendar: bool = False,
             F.col("o_custkey").alias("customer_key"),
             F.year("o_orderdate").cast("double").alias("arrival_date_year"),
             month_name("o_orderdate").alias("arrival_date_month"),
+            F.col("o_orderdate"),
         )
-        df = df.join(o, "order_key")
+        df = (df.join(o, "order_key")
+              .withColumn("lead_time", F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))
+                          .cast("double"))
+              .drop("o_orderdate", "l_shipdate"))
     if guest:
         c = read_table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("customer_key"),

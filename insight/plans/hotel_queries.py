@@ -26,7 +26,8 @@ def bk_sql(calendar: bool = False, guest: bool = False, room: bool = False) -> s
     if calendar or guest:
         cols += ["o.o_custkey AS customer_key",
                  "CAST(year(o.o_orderdate) AS DOUBLE) AS arrival_date_year",
-                 "monthname(o.o_orderdate) AS arrival_date_month"]
+                 "monthname(o.o_orderdate) AS arrival_date_month",
+                 "CAST(CAST(l.l_shipdate AS DATE) - CAST(o.o_orderdate AS DATE) AS DOUBLE) AS lead_time"]
         src += " JOIN orders o ON l.l_orderkey = o.o_orderkey"
     if guest:
         cols += ["CAST(c.c_nationkey AS VARCHAR) AS country", "c.c_mktsegment AS meal"]
