@@ -14,7 +14,7 @@ from insight.plans.registry import register
 def bk_sql(calendar: bool = False, guest: bool = False, room: bool = False) -> str:
     cols = [
         "l.l_orderkey AS order_key", "l.l_partkey AS part_key", "l.l_linestatus AS hotel",
-        "CASE WHEN l.l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS is_canceled",
+        "CASE WHEN l.l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_canceled",
         "l.l_extendedprice AS adr",
         "CAST(l.l_linenumber - 1 AS DOUBLE) AS adults",
         "nullif(round(l.l_tax * 100.0), 0.0) AS children",

@@ -146,7 +146,7 @@ def column_uniques(spark, d):
 
 
 @register("lang_levels_first_seen", """
-SELECT value, first_key, row_number() OVER (ORDER BY first_key) AS level
+SELECT value, first_key, CAST(row_number() OVER (ORDER BY first_key) AS INTEGER) AS level
 FROM (SELECT lang AS value, min(doc_id) AS first_key FROM documents GROUP BY lang)""")
 def lang_levels_first_seen(spark, d):
     return P.first_seen_levels(read_table(spark, d, "documents"), "lang", "doc_id")
@@ -172,14 +172,14 @@ def na_positions(spark, d):
 @register("nonzero_columns", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {i + 1} AS position, "
     f"CASE WHEN count({c}) = count(*) THEN sum(CAST({c} AS DOUBLE)) END AS col_sum, "
-    f"CASE WHEN count({c}) = count(*) THEN count_if({c} <> 0) END AS n_nonzero "
+    f"CASE WHEN count({c}) = count(*) THEN CAST(count_if({c} <> 0) AS BIGINT) END AS n_nonzero "
     f"FROM ({LINE_NUMBERS_SQL})" for i, c in enumerate(SUMMARY_COLS)), rounded=["col_sum"])
 def nonzero_columns(spark, d):
     return C.column_totals(_line_numbers(spark, d))
 
 
 @register("count_country_7", f"""
-SELECT count_if(country = '7') AS n FROM ({clean_sql(bk_sql(guest=True))})""")
+SELECT CAST(count_if(country = '7') AS BIGINT) AS n FROM ({clean_sql(bk_sql(guest=True))})""")
 def count_country_7(spark, d):
     clean = B.clean_bookings(B.bookings_view(spark, d, guest=True),
                              country_recode=B.VIEW_COUNTRY_RECODE, meal_recode=B.VIEW_MEAL_RECODE)

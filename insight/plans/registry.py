@@ -50,5 +50,5 @@ def register(name: str, sql: str | None, rounded: Sequence[str] = (), digits: in
 
 def load_all() -> tuple[dict[str, Plan], dict[str, str]]:
     """Import the modules that register queries; return both maps."""
-    from insight.plans import hotel_queries, profile_queries  # noqa: F401
+    from insight.plans import hotel_queries, profile_queries, text_queries  # noqa: F401
     return QUERIES, ORACLE

@@ -50,6 +50,22 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+                 "array<string>": "VARCHAR[]", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def type_mismatches(sdf, description) -> list[str]:
+    duck_types = {d[0]: str(d[1]) for d in description}
+    out = []
+    for f in sdf.schema.fields:
+        st = f.dataType.simpleString()
+        dt = duck_types.get(f.name)
+        if SPARK_TO_DUCK.get(st, st.upper()) != dt:
+            out.append(f"{f.name}: spark {st} vs duck {dt}")
+    return out
+
+
 def compare(spark, name: str, plan, sql: str, sf_dir: str, con=None) -> dict:
     con = con or duck(sf_dir)
     t0 = time.time()
@@ -62,7 +78,8 @@ def compare(spark, name: str, plan, sql: str, sf_dir: str, con=None) -> dict:
     d_rows = cur.fetchall()
     t2 = time.time()
     res = {"name": name, "spark_sec": round(t1 - t0, 2), "duck_sec": round(t2 - t1, 2),
-           "rows": (len(s_rows), len(d_rows))}
+           "rows": (len(s_rows), len(d_rows)),
+           "types": type_mismatches(sdf, cur.description)}
     if sorted(s_cols) != sorted(d_cols):
         res["ok"] = False
         res["why"] = f"columns differ: spark={s_cols} duck={d_cols}"
@@ -100,7 +117,8 @@ def main(argv):
             r = {"name": name, "ok": False, "why": f"{type(e).__name__}: {str(e)[:400]}"}
         bad += not r["ok"]
         print(f"{name:40s} {'OK ' if r['ok'] else 'BAD'} rows={r.get('rows')} "
-              f"spark={r.get('spark_sec')}s duck={r.get('duck_sec')}s {r.get('why', '')}")
+              f"spark={r.get('spark_sec')}s duck={r.get('duck_sec')}s {r.get('why', '')}"
+              + (f" TYPES {r['types']}" if r.get("types") else ""))
     print(f"{bad} failing")
     return bad
 
