@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from insight.functions.text import STOP_WORDS, bag_of_words_terms, clean_tokens
 from insight.operators.aggregate import with_scalar
 from insight.operators.contingency import confusion
+from insight.operators.partitioning import spread
 
 LENGTH_TERM = "\u0001length"  # reserved: real terms are lower-case letters only
 
@@ -52,19 +53,36 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 # bag of words (SC12, AG14, ML1)
 
 def term_frequencies(docs: DataFrame, key: str | Sequence[str], text: str = "text",
-                     stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+                     stop_words: Sequence[str] = STOP_WORDS, min_len: int = 2) -> DataFrame:
     """AG14: ``(key..., term, tf)`` -- the sparse document-term matrix, long form.
 
-    Tokenising is JVM-side; ``explode`` feeds a partial aggregate, so the
-    shuffle carries distinct (document, term) pairs only.
+    Same tokens as :func:`insight.functions.text.bag_of_words_terms`, computed
+    row-wise so the whole chain stays in generated code: split on runs of
+    non-letters (= the letter runs), explode, drop empty strings and stop
+    words (case-sensitive, before lower-casing), lower-case, keep terms of
+    ``min_len`` or more characters.  ``explode`` feeds a partial aggregate, so
+    the shuffle carries distinct (document, term) pairs only.
     """
     keys = _keys(key)
-    terms = bag_of_words_terms(clean_tokens(F.col(text), stop_words))
-    return (docs.select(*keys, F.explode(terms).alias("term"))
+    docs = spread(docs.select(*keys, text))
+    tok = F.col("__tok")
+    cond = tok != ""
+    if stop_words:
+        cond = cond & ~tok.isin(list(stop_words))
+    return (docs.select(*keys, F.explode(F.split(F.col(text), "[^A-Za-z]+")).alias("__tok"))
+            .filter(cond)
+            .select(*keys, F.lower(tok).alias("term"))
+            .filter(F.length("term") >= min_len)
             .groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def vocabulary(tf: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def vocabulary_terms(tf: DataFrame) -> DataFrame:
+    """The vocabulary as ``(term, doc_freq)`` -- what fitting and scoring need."""
+    # tf has one row per (document, term): the row count is the document frequency
+    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+
+
+def vocabulary(tf: DataFrame, key: str | Sequence[str] | None = None) -> DataFrame:
     """Vocabulary ``(term, doc_freq, term_index)``; ``term_index`` is the
     0-based position in alphabetical order (the reference's feature index).
 
@@ -74,9 +92,7 @@ def vocabulary(tf: DataFrame, key: str | Sequence[str]) -> DataFrame:
     sizes are turned into offsets on that small table, and terms are
     numbered within their bucket.
     """
-    keys = _keys(key)
-    terms = tf.groupBy("term").agg(F.countDistinct(*keys).alias("doc_freq"))
-    terms = terms.withColumn("bucket", F.substring("term", 1, 2))
+    terms = vocabulary_terms(tf).withColumn("bucket", F.substring("term", 1, 2))
     sizes = terms.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     offsets = sizes.select(
         "bucket",
@@ -122,7 +138,7 @@ def random_split(df: DataFrame, test_fraction: float = 0.25, seed: int = 42) ->
 class NaiveBayesModel:
     classes: DataFrame      # label, n_docs, total_count, log_prior, log_unseen
     weights: DataFrame      # label, term, count, log_prob, weight
-    vocab: DataFrame        # term, doc_freq, term_index
+    vocab: DataFrame        # term, doc_freq
     label: str = "label"
 
 
@@ -137,7 +153,7 @@ def fit_naive_bayes(tf: DataFrame, labels: DataFrame, key: str | Sequence[str],
     on all rows before the split).
     """
     keys = _keys(key)
-    vocab = vocab if vocab is not None else vocabulary(tf, keys)
+    vocab = vocab if vocab is not None else vocabulary_terms(tf)
     v_size = vocab.agg(F.count(F.lit(1)).cast("double").alias("__v"))
     train = labels.select(*keys, F.col(label).alias("label"))
     counts = train.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
@@ -207,13 +223,23 @@ def confusion_matrix(pred: DataFrame, levels: DataFrame, truth: str = "truth",
 def classification_metrics(conf: DataFrame, truth: str = "truth",
                            predicted: str = "predicted") -> DataFrame:
     """ML7/ML8: per label ``tp, n_true, n_pred, precision, recall, f1``;
-    an undefined ratio is 0.  The binary F1 is the row of the positive label."""
+    an undefined ratio is 0.  The binary F1 is the row of the positive label.
+
+    One pass over the confusion table: each cell contributes to the true
+    count of its truth label, the predicted count of its predicted label and,
+    on the diagonal, the true positives.
+    """
     n = F.col("n")
-    tp = (conf.filter(F.col(truth) == F.col(predicted))
-          .select(F.col(truth).alias("label"), F.col("truth_level").alias("level"), n.alias("tp")))
-    n_true = conf.groupBy(F.col(truth).alias("label")).agg(F.sum(n).alias("n_true"))
-    n_pred = conf.groupBy(F.col(predicted).alias("label")).agg(F.sum(n).alias("n_pred"))
-    m = tp.join(n_true, "label").join(n_pred, "label")
+    contrib = F.array(
+        F.struct(F.col(truth).alias("label"), F.col("truth_level").alias("level"),
+                 F.when(F.col(truth) == F.col(predicted), n).otherwise(F.lit(0)).alias("tp"),
+                 n.alias("n_true"), F.lit(0).cast("long").alias("n_pred")),
+        F.struct(F.col(predicted).alias("label"), F.col("predicted_level").alias("level"),
+                 F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("n_true"),
+                 n.alias("n_pred")))
+    m = (conf.select(F.inline(contrib))
+         .groupBy("label", "level")
+         .agg(F.sum("tp").alias("tp"), F.sum("n_true").alias("n_true"), F.sum("n_pred").alias("n_pred")))
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_pred").cast("double")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_true").cast("double")), F.lit(0.0))
     m = m.withColumn("precision", p).withColumn("recall", r)

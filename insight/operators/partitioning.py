@@ -1,0 +1,19 @@
+"""Parallelism for CPU-heavy row work (tokenising, HTML parsing).
+
+A scan yields one task per file split / row group.  A large table has
+plenty; a small or single-row-group file yields very few, and then regex
+work on long texts runs on one core.  ``spread`` round-robin repartitions
+only in that case -- when the frame has fewer partitions than the cluster's
+default parallelism -- so on large inputs it adds no shuffle at all.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from insight.functions.html import body_text, inner_html, link_targets, resolve_url, url_host
 from insight.functions.text import contains_word, flatten_whitespace
+from insight.operators.partitioning import spread
 
 REPOST_PREFIX = "RT @"
 
@@ -58,6 +59,7 @@ def search_pages(pages: DataFrame, terms: Sequence[str], exclude_sites: Sequence
 
     Output ``(page_id, url, host)``.
     """
+    pages = spread(pages.select(key, url, html))
     u = F.col(url)
     text = body_text(F.col(html))
     cond = all_words(text, terms)
@@ -82,4 +84,4 @@ def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
 
 def page_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """SC15 + UF3: ``(page_id, url, content)``; parallelism is the partitioning."""
-    return pages.select(F.col(key), F.col(url), body_text(F.col(html)).alias("content"))
+    return spread(pages.select(key, url, html)).select(F.col(key), F.col(url), body_text(F.col(html)).alias("content"))

@@ -29,22 +29,57 @@ def correlation_long(df: DataFrame, columns: Sequence[str], digits: int | None =
                      na_propagate: bool = True) -> DataFrame:
     """AG12: Pearson correlation of every ordered column pair, long form.
 
-    One aggregation job computes ``p(p+1)/2`` covariance terms.  A constant
-    column gives null (``try_divide``; bare ``corr`` raises under ANSI).  As
-    R's ``cor`` default, a null anywhere in either column makes the cell
-    null (``na_propagate``); otherwise rows with a null are skipped pairwise.
-    Output: ``var_x, var_y, ord_x, ord_y, r``.
+    Output ``var_x, var_y, ord_x, ord_y, r``.  As R's ``cor`` default, a null
+    anywhere in either column makes the cell null (``na_propagate``); a
+    constant column gives null.
+
+    Plan: two aggregation passes of plain sums -- column means, then the
+    centred cross-products ``sum((x - mx) * (y - my))`` of the p(p+1)/2
+    pairs.  Centring keeps the sums numerically stable, and plain sums keep
+    the aggregation buffer at ~p^2/2 fields so the stage stays inside
+    whole-stage code generation (one ``covar_samp`` + two ``stddev_samp``
+    per pair would need ~5x more buffer fields and fall back to the
+    interpreted path).  With ``na_propagate=False`` rows are used pairwise
+    (a null skips the row for that pair only), via ``covar_samp``.
     """
     cols = list(columns)
-    n_all = F.count(F.lit(1))
+    if not na_propagate:
+        return _correlation_pairwise(df, cols, digits)
+    p = len(cols)
+    first = df.agg(F.count(F.lit(1)).alias("__n"),
+                   *[F.count(_q(c).cast("double")).alias(f"__k{i}") for i, c in enumerate(cols)],
+                   *[F.avg(_q(c).cast("double")).alias(f"__m{i}") for i, c in enumerate(cols)])
+    centred = with_scalar(df.select(*[_q(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)]),
+                          first)
+    # wide expression lists are written as SQL text: one parse each instead
+    # of dozens of Column calls
+    sums = [F.expr(f"sum((__x{i} - __m{i}) * (__x{j} - __m{j}))").alias(f"s_{i}_{j}")
+            for i in range(p) for j in range(i, p)]
+    keep = [F.expr("first(__n)").alias("__n")] + [F.expr(f"first(__k{i})").alias(f"__k{i}") for i in range(p)]
+    wide = centred.agg(*keep, *sums)
+    cells = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            lo, hi = min(i, j), max(i, j)
+            r = (f"CASE WHEN __k{lo} = __n AND __k{hi} = __n AND __n > 1 THEN "
+                 f"try_divide(s_{lo}_{hi}, sqrt(s_{lo}_{lo} * s_{hi}_{hi})) END")
+            if digits is not None:
+                r = f"round({r}, {digits})"
+            cells.append(f"named_struct('var_x', {_sql_str(a)}, 'var_y', {_sql_str(b)}, "
+                         f"'ord_x', {i}, 'ord_y', {j}, 'r', {r})")
+    return wide.selectExpr(f"inline(array({', '.join(cells)}))")
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _correlation_pairwise(df: DataFrame, cols: list[str], digits: int | None) -> DataFrame:
     aggs = []
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
-            b = cols[j]
-            x, y = _q(a).cast("double"), _q(b).cast("double")
-            r = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-            if na_propagate:
-                r = F.when((F.count(x) == n_all) & (F.count(y) == n_all), r)
+            xa, xb = _q(a).cast("double"), _q(cols[j]).cast("double")
+            r = F.try_divide(F.covar_samp(xa, xb), F.stddev_samp(xa) * F.stddev_samp(xb))
             if digits is not None:
                 r = F.round(r, digits)
             aggs.append(r.alias(f"c_{i}_{j}"))

@@ -20,9 +20,13 @@ from insight.sources.tables import read_table
 # frames shared by several queries
 
 
-def _clean_cancel(spark, d):
-    """``hb_clean_cancel``: cleaned bookings including cancelled ones."""
-    return B.clean_bookings(B.bookings_view(spark, d, calendar=True, guest=True),
+def _clean_cancel(spark, d, guest=True):
+    """``hb_clean_cancel``: cleaned bookings including cancelled ones.
+
+    ``guest=False`` leaves out the customer columns (country, meal) and so
+    the customer join, for analyses of the numeric columns only.
+    """
+    return B.clean_bookings(B.bookings_view(spark, d, calendar=True, guest=guest),
                             keep_cancelled=True, country_recode=B.VIEW_COUNTRY_RECODE,
                             meal_recode=B.VIEW_MEAL_RECODE)
 
@@ -33,6 +37,8 @@ SELECT * REPLACE (
   CASE WHEN meal = 'HOUSEHOLD' THEN 'FURNITURE' ELSE meal END AS meal)
 FROM ({clean_sql(bk_sql(calendar=True, guest=True), keep_cancelled=True)})"""
 
+NUMERIC_CANCEL_SQL = clean_sql(bk_sql(calendar=True), keep_cancelled=True)
+
 
 def _labelled_docs(spark, d):
     """documents left-joined to labels: unlabelled documents carry NAs."""
@@ -251,11 +257,11 @@ def _corr_sql(upper: bool) -> str:
                 f"SELECT '{a}' AS var_x, '{b}' AS var_y, {i} AS ord_x, {j} AS ord_y, "
                 f"round(CASE WHEN count({a}) = count(*) AND count({b}) = count(*) THEN "
                 f"covar_samp({a}, {b}) / nullif(stddev_samp({a}) * stddev_samp({b}), 0) END, 6) AS r FROM cc")
-    return f"WITH cc AS ({CLEAN_CANCEL_SQL}) " + " UNION ALL ".join(parts)
+    return f"WITH cc AS ({NUMERIC_CANCEL_SQL}) " + " UNION ALL ".join(parts)
 
 
 def _corr(spark, d):
-    num = C.drop_columns(C.select_numeric(_clean_cancel(spark, d)),
+    num = C.drop_columns(C.select_numeric(_clean_cancel(spark, d, guest=False)),
                          ["is_canceled", "arrival_date_year", "order_key", "part_key", "customer_key"])
     return S.correlation_long(num, CORR_COLS)
 
@@ -281,7 +287,7 @@ def _bin_sql(c: str) -> str:
 
 def _ranges_sql() -> str:
     rng = ", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in PAIR_COLS)
-    return f"WITH cc AS ({CLEAN_CANCEL_SQL}), r AS (SELECT {rng} FROM cc), b AS (SELECT * FROM cc, r) "
+    return f"WITH cc AS ({NUMERIC_CANCEL_SQL}), r AS (SELECT {rng} FROM cc), b AS (SELECT * FROM cc, r) "
 
 
 @register("pair_bins", _ranges_sql() + " UNION ALL ".join(
@@ -290,7 +296,7 @@ def _ranges_sql() -> str:
     f"GROUP BY b_x, b_y"
     for i, a in enumerate(PAIR_COLS) for b in PAIR_COLS[i + 1:]))
 def pair_bins(spark, d):
-    return S.pair_bins(_clean_cancel(spark, d), PAIR_COLS, BINS)
+    return S.pair_bins(_clean_cancel(spark, d, guest=False), PAIR_COLS, BINS)
 
 
 @register("pair_histograms", _ranges_sql() + " UNION ALL ".join(
@@ -298,7 +304,7 @@ def pair_bins(spark, d):
     f"(SELECT {_bin_sql(c)} AS bx, min_{c}, max_{c} FROM b) WHERE bx IS NOT NULL GROUP BY bx"
     for c in PAIR_COLS))
 def pair_histograms(spark, d):
-    return S.histogram_long(_clean_cancel(spark, d), PAIR_COLS, BINS)
+    return S.histogram_long(_clean_cancel(spark, d, guest=False), PAIR_COLS, BINS)
 
 
 def _status(df):
@@ -315,7 +321,7 @@ STATUS_SQL = ("CASE WHEN is_canceled = 0.0 THEN 'Not Cancelled' WHEN is_canceled
 
 def _box_sql(value: str) -> str:
     return f"""
-WITH cc AS (SELECT * FROM (SELECT *, {STATUS_SQL} FROM ({CLEAN_CANCEL_SQL})) WHERE {value} IS NOT NULL),
+WITH cc AS (SELECT * FROM (SELECT *, {STATUS_SQL} FROM ({NUMERIC_CANCEL_SQL})) WHERE {value} IS NOT NULL),
 h AS (SELECT hotel, status, count(*) AS n, quantile_cont({value}, 0.25) AS q1,
              quantile_cont({value}, 0.5) AS median, quantile_cont({value}, 0.75) AS q3
       FROM cc GROUP BY hotel, status),
@@ -330,17 +336,18 @@ GROUP BY f.hotel, f.status, f.n, f.q1, f.median, f.q3"""
 
 @register("boxplot_stats", _box_sql("lead_time"), rounded=["q1", "median", "q3"])
 def boxplot_stats(spark, d):
-    return S.boxplot_stats(_status(_clean_cancel(spark, d)), ["hotel", "status"], "lead_time")
+    return S.boxplot_stats(_status(_clean_cancel(spark, d, guest=False)), ["hotel", "status"], "lead_time")
 
 
 @register("boxplot_stats_price_per_night", _box_sql("price_per_night"),
           rounded=["q1", "median", "q3", "lower_whisker", "upper_whisker"])
 def boxplot_stats_price_per_night(spark, d):
-    return S.boxplot_stats(_status(_clean_cancel(spark, d)), ["hotel", "status"], "price_per_night")
+    return S.boxplot_stats(_status(_clean_cancel(spark, d, guest=False)), ["hotel", "status"],
+                           "price_per_night")
 
 
 @register("boxplot_outliers", f"""
-WITH cc AS (SELECT * FROM (SELECT *, {STATUS_SQL} FROM ({CLEAN_CANCEL_SQL})) WHERE price_per_night IS NOT NULL),
+WITH cc AS (SELECT * FROM (SELECT *, {STATUS_SQL} FROM ({NUMERIC_CANCEL_SQL})) WHERE price_per_night IS NOT NULL),
 f AS (SELECT hotel, status, quantile_cont(price_per_night, 0.25) AS q1,
              quantile_cont(price_per_night, 0.75) AS q3
       FROM cc GROUP BY hotel, status)
@@ -349,7 +356,7 @@ JOIN f ON cc.hotel = f.hotel AND cc.status = f.status
 WHERE NOT (cc.price_per_night BETWEEN f.q1 - 1.5 * (f.q3 - f.q1) AND f.q3 + 1.5 * (f.q3 - f.q1))""",
           rounded=["price_per_night"])
 def boxplot_outliers(spark, d):
-    return S.boxplot_outliers(_status(_clean_cancel(spark, d)), ["hotel", "status"], "price_per_night",
+    return S.boxplot_outliers(_status(_clean_cancel(spark, d, guest=False)), ["hotel", "status"], "price_per_night",
                               key=["order_key"])
 
 

@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from insight.functions.text import STOP_WORDS, clean_text
 from insight.operators import bayes as NB
 from insight.operators.search import page_text
+from insight.sources.checkpoint import materialize
 from insight.sources.tables import read_table
 
 
 @dataclass
 class TrainedModel:
-    docs: DataFrame          # key, text, label  (all labelled documents)
+    docs: DataFrame          # key, label (all labelled documents)
     tf: DataFrame            # key, term, tf     (all labelled documents)
     split: DataFrame         # key, label, is_test
     model: NB.NaiveBayesModel
@@ -37,18 +38,36 @@ def labelled_documents(spark: SparkSession, sf_dir: str, label: str = "quality")
 
 
 def train_model(docs: DataFrame, key: str = "doc_id", test_fraction: float = 0.25,
-                stop_words: Sequence[str] = STOP_WORDS) -> TrainedModel:
-    tf = NB.term_frequencies(docs, key, "text", stop_words)
-    vocab = NB.vocabulary(tf, key)                       # ML1: all rows, before the split
+                stop_words: Sequence[str] = STOP_WORDS, persist_model: bool = False) -> TrainedModel:
+    """Fit the classifier.
+
+    The term table of the labelled documents feeds the vocabulary, the fit
+    and the held-out scoring.  Each consumer gets different inferred filters
+    pushed into its copy, so Spark could not reuse one shuffle for all of
+    them; the table is therefore written once to the checkpoint folder and
+    scanned by every consumer.  ``persist_model`` also writes the fitted
+    model tables -- worth it when one model serves many later queries.
+    """
+    tf = materialize(NB.term_frequencies(docs, key, "text", stop_words), "tf")
+    vocab = NB.vocabulary_terms(tf)                      # ML1: all rows, before the split
     split = NB.key_split(docs.select(key, "label"), key, test_fraction)
+    if persist_model:
+        split = materialize(split, "split")
     train = split.filter(~F.col("is_test"))
-    model = NB.fit_naive_bayes(tf, train, key, "label", vocab)
-    return TrainedModel(docs=docs, tf=tf, split=split, model=model, key=key)
+    fitted = NB.fit_naive_bayes(tf, train, key, "label", vocab)
+    if persist_model:
+        fitted = NB.NaiveBayesModel(classes=materialize(fitted.classes, "classes"),
+                                    weights=materialize(fitted.weights, "weights"),
+                                    vocab=materialize(vocab, "vocab"))
+    return TrainedModel(docs=split, tf=tf, split=split, model=fitted, key=key)
+
+
+PERSIST_MODEL = False
 
 
 def quality_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
     """The classifier of ``labels.quality`` on ``documents``."""
-    return train_model(labelled_documents(spark, sf_dir, "quality"))
+    return train_model(labelled_documents(spark, sf_dir, "quality"), persist_model=PERSIST_MODEL)
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
