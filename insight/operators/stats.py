@@ -163,35 +163,46 @@ def _ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def histogram_long(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """PD7 diagonal: equal-width histogram of each column, ``(var, bin, lo, hi, n)``."""
+    """PD7 diagonal: equal-width histogram of each column, ``(var, bin, var_min, var_max, n)``.
+
+    One pass for the ranges, one for the counts; rows are exploded into
+    ``(column index, bin)`` pairs and counted on integer keys (the names
+    are attached to the small result).
+    """
     cols = list(columns)
     withr = with_scalar(df.select(*[_q(c) for c in cols]), _ranges(df, cols))
-    items = []
-    for i, c in enumerate(cols):
-        lo, hi = F.col(f"__min{i}"), F.col(f"__max{i}")
-        items.append(F.struct(F.lit(c).alias("var"),
-                              _bin(_q(c).cast("double"), lo, hi, bins).alias("bin"),
-                              lo.alias("lo"), hi.alias("hi")))
-    long = withr.select(F.explode(F.array(*items)).alias("h")).select("h.*")
-    return (long.filter(F.col("bin").isNotNull())
-            .groupBy("var", "bin").agg(F.first("lo").alias("var_min"),
-                                       F.first("hi").alias("var_max"),
-                                       F.count(F.lit(1)).alias("n")))
+    items = [F.struct(F.lit(i).alias("v"),
+                      _bin(_q(c).cast("double"), F.col(f"__min{i}"), F.col(f"__max{i}"), bins).alias("bin"))
+             for i, c in enumerate(cols)]
+    counts = (withr.select(F.inline(F.array(*items)))
+              .filter(F.col("bin").isNotNull())
+              .groupBy("v", "bin").agg(F.count(F.lit(1)).alias("n")))
+    names = F.array(*[F.lit(c) for c in cols])
+    ranges = _ranges(df, cols)
+    mins = F.array(*[F.col(f"__min{i}") for i in range(len(cols))])
+    maxs = F.array(*[F.col(f"__max{i}") for i in range(len(cols))])
+    return (with_scalar(counts, ranges.select(mins.alias("__mins"), maxs.alias("__maxs")))
+            .select(F.element_at(names, F.col("v") + 1).alias("var"), "bin",
+                    F.element_at("__mins", F.col("v") + 1).alias("var_min"),
+                    F.element_at("__maxs", F.col("v") + 1).alias("var_max"), "n"))
 
 
 def pair_bins(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """PD7 off-diagonal: 2-D bin counts for every column pair (instead of all
     points), ``(var_x, var_y, bin_x, bin_y, n)``.  Rows with a null in
-    either column of a pair are left out of that pair."""
+    either column of a pair are left out of that pair.  Counted on integer
+    keys ``(pair, bin_x, bin_y)``; names are attached to the small result."""
     cols = list(columns)
     withr = with_scalar(df.select(*[_q(c) for c in cols]), _ranges(df, cols))
-    binned = [_bin(_q(c).cast("double"), F.col(f"__min{i}"), F.col(f"__max{i}"), bins)
-              for i, c in enumerate(cols)]
-    items = []
-    for i in range(len(cols)):
-        for j in range(i + 1, len(cols)):
-            items.append(F.struct(F.lit(cols[i]).alias("var_x"), F.lit(cols[j]).alias("var_y"),
-                                  binned[i].alias("bin_x"), binned[j].alias("bin_y")))
-    long = withr.select(F.explode(F.array(*items)).alias("p")).select("p.*")
-    return (long.filter(F.col("bin_x").isNotNull() & F.col("bin_y").isNotNull())
-            .groupBy("var_x", "var_y", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n")))
+    binned = withr.select(*[_bin(_q(c).cast("double"), F.col(f"__min{i}"), F.col(f"__max{i}"), bins)
+                            .alias(f"__b{i}") for i, c in enumerate(cols)])
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    items = [F.struct(F.lit(k).alias("pair"), F.col(f"__b{i}").alias("bin_x"), F.col(f"__b{j}").alias("bin_y"))
+             for k, (i, j) in enumerate(pairs)]
+    counts = (binned.select(F.inline(F.array(*items)))
+              .filter(F.col("bin_x").isNotNull() & F.col("bin_y").isNotNull())
+              .groupBy("pair", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n")))
+    xs = F.array(*[F.lit(cols[i]) for i, _ in pairs])
+    ys = F.array(*[F.lit(cols[j]) for _, j in pairs])
+    return counts.select(F.element_at(xs, F.col("pair") + 1).alias("var_x"),
+                         F.element_at(ys, F.col("pair") + 1).alias("var_y"), "bin_x", "bin_y", "n")

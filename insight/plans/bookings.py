@@ -44,6 +44,7 @@ from insight.functions.calendar import month_name, month_ordinal
 from insight.functions.format import fixed2, round_half_up
 from insight.functions.nulls import fill_na, r_divide, r_mean, r_sd, r_sum, recode
 from insight.operators.aggregate import share_of_total, share_within
+from insight.operators.partitioning import spread
 from insight.operators.ranking import top_n
 from insight.operators.stats import censor
 from insight.sources.tables import read_table
@@ -80,6 +81,7 @@ def bookings_view(spark: SparkSession, sf_dir: str, calendar: bool = False,
         F.floor(F.col("l_discount") * 100.0 / 4.0).cast("double").alias("stays_in_weekend_nights"),
         *([F.col("l_shipdate")] if (calendar or guest) else []),
     )
+    df = spread(df)
     if calendar or guest:
         o = read_table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("order_key"),
@@ -180,7 +182,7 @@ def guests_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, customers per code.  Only the first step touches line-level
     rows.
     """
-    lines = clean_bookings(bookings_view(spark, sf_dir))
+    lines = clean_bookings(bookings_view(spark, sf_dir))  # spread inside the view
     per_order = lines.groupBy("order_key").agg(F.sum("guests").alias("guests"))
     o = read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_key"))
