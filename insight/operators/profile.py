@@ -87,26 +87,34 @@ def na_positions(df: DataFrame, key: str, columns: Sequence[str] | None = None)
 
 
 def column_summary(df: DataFrame, columns: Sequence[str] | None = None,
-                   approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                   method: str = "auto", accuracy: int = 10000) -> DataFrame:
     """EX6: ``summary()`` of numeric columns: min, quartiles, mean, max and NA count.
 
-    Quantiles are type-7 (exact ``percentile``; ``approx=True`` uses a
-    fixed-size sketch).  NAs are left out of the statistics and counted, as
-    R's summary does.
+    Quartiles are type-7 and exact.  ``method="auto"`` (default) uses Spark's
+    exact aggregate when every column has a bounded number of distinct
+    values and otherwise distributed range refinement over the unpivoted
+    columns (a whole column is never merged in one task); ``"refine"`` and
+    ``"percentile"`` force one of them, ``"approx"`` uses a fixed-size sketch.  NAs (and NaN) are left
+    out of the statistics and counted, as R's summary does.
     """
+    from insight.operators.stats import _hinges
+
     cols = [c for c in (columns or df.columns) if is_numeric(df, c)]
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs, rows = [], []
     for i, c in enumerate(cols):
         x = F.when(~_na(df, c), _q(c).cast("double"))
-        q = F.percentile_approx(x, probs, accuracy) if approx else F.percentile(x, probs)
-        aggs += [F.min(x).alias(f"min{i}"), q.alias(f"q{i}"), F.avg(x).alias(f"mean{i}"),
+        aggs += [F.min(x).alias(f"min{i}"), F.avg(x).alias(f"mean{i}"),
                  F.max(x).alias(f"max{i}"), F.count_if(_na(df, c)).alias(f"na{i}")]
         rows.append(F.struct(F.lit(c).alias("column"), F.col(f"min{i}").alias("min"),
-                             F.col(f"q{i}")[0].alias("q1"), F.col(f"q{i}")[1].alias("median"),
-                             F.col(f"mean{i}").alias("mean"), F.col(f"q{i}")[2].alias("q3"),
-                             F.col(f"max{i}").alias("max"), F.col(f"na{i}").alias("n_na")))
-    return _explode_rows(df.agg(*aggs), rows)
+                             F.col(f"mean{i}").alias("mean"), F.col(f"max{i}").alias("max"),
+                             F.col(f"na{i}").alias("n_na")))
+    simple = _explode_rows(df.agg(*aggs), rows)
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.when(~_na(df, c), _q(c).cast("double")).alias("value"))
+        for c in cols])).alias("__c")).select("__c.*")
+    quart = _hinges(long, ["column"], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"], method, accuracy)
+    return (simple.join(quart.drop("n"), "column", "left")
+            .select("column", "min", "q1", "median", "mean", "q3", "max", "n_na"))
 
 
 def column_mean_sd(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

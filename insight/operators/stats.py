@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from insight.functions.nulls import ColumnLike, col_of
 from insight.operators.aggregate import with_scalar
+from insight.operators.quantiles import choose_method, nsjoin, quantile_columns
 
 
 def censor(c: ColumnLike, lo: float, hi: float) -> Column:
@@ -100,29 +101,43 @@ def upper_triangle(corr: DataFrame, include_diagonal: bool = True) -> DataFrame:
     return corr.filter(cond)
 
 
-def boxplot_stats(df: DataFrame, by: Sequence[str], value: str, approx: bool = False,
+def _hinges(df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str],
+            method: str, accuracy: int) -> DataFrame:
+    """Per-group quantiles as columns ``names`` plus ``n``.
+
+    ``method``: ``"refine"`` (exact, distributed range refinement -- no group
+    is gathered into one task), ``"percentile"`` (Spark's exact aggregate: a
+    value->count map per group, bounded by the group's distinct values),
+    ``"auto"`` (measure the largest per-group distinct count first and take
+    ``percentile`` below :data:`DISTINCT_LIMIT`, else ``refine``) or
+    ``"approx"`` (fixed-size sketch).
+    """
+    if method == "auto":
+        method = choose_method(df, keys, value)
+    if method == "refine":
+        return quantile_columns(df, keys, value, probs, names)
+    v = F.col(value).cast("double")
+    arr = F.array(*[F.lit(p) for p in probs])
+    q = F.percentile_approx(v, arr, accuracy) if method == "approx" else F.percentile(v, arr)
+    g = df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys).agg(q.alias("__q"), F.count(v).alias("n"))
+    return g.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)], "n")
+
+
+def boxplot_stats(df: DataFrame, by: Sequence[str], value: str, method: str = "auto",
                   accuracy: int = 10000, coef: float = 1.5) -> DataFrame:
     """PD6: hinges, whiskers and outlier counts per group (ggplot's box plot).
 
-    Hinges are type-7 quartiles (exact ``percentile`` by default; it keeps a
-    value->count map per group, bounded by the group's distinct values --
-    ``approx=True`` switches to a fixed-size sketch for continuous values).
+    Hinges are type-7 quartiles (see :func:`_hinges` for the methods).
     Whiskers are the furthest points within ``coef * IQR`` of the hinges.
-    Two passes: quartiles, then a join of the per-group stats (one row per
-    group) and the whisker / outlier aggregate.
+    The per-group statistics (one row per group) are joined back null-safely
+    and a second partial aggregate finds whiskers and outlier counts.
     """
     keys = list(by)
     v = F.col(value).cast("double")
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = (F.percentile_approx(v, probs, accuracy) if approx else F.percentile(v, probs))
-    hinges = (df.filter(v.isNotNull()).groupBy(*keys)
-              .agg(q.alias("__q"), F.count(v).alias("n"))
-              .select(*keys, "n",
-                      F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                      F.col("__q")[2].alias("q3")))
+    hinges = _hinges(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], method, accuracy)
     hinges = (hinges.withColumn("__lo", F.col("q1") - coef * (F.col("q3") - F.col("q1")))
                     .withColumn("__hi", F.col("q3") + coef * (F.col("q3") - F.col("q1"))))
-    pts = df.filter(v.isNotNull()).select(*keys, v.alias("__v")).join(hinges, keys)
+    pts = nsjoin(df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("__v")), hinges, keys)
     inside = F.col("__v").between(F.col("__lo"), F.col("__hi"))
     return (pts.groupBy(*keys, "n", "q1", "median", "q3")
             .agg(F.min(F.when(inside, F.col("__v"))).alias("lower_whisker"),
@@ -131,17 +146,14 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str, approx: bool = F
 
 
 def boxplot_outliers(df: DataFrame, by: Sequence[str], value: str, key: Sequence[str] = (),
-                     approx: bool = False, accuracy: int = 10000, coef: float = 1.5) -> DataFrame:
+                     method: str = "auto", accuracy: int = 10000, coef: float = 1.5) -> DataFrame:
     """PD6: the points beyond the whiskers, one row each (``by``, ``key``, value)."""
     keys = list(by)
     v = F.col(value).cast("double")
-    probs = F.array(F.lit(0.25), F.lit(0.75))
-    q = (F.percentile_approx(v, probs, accuracy) if approx else F.percentile(v, probs))
-    fences = (df.filter(v.isNotNull()).groupBy(*keys).agg(q.alias("__q"))
-              .select(*keys,
-                      (F.col("__q")[0] - coef * (F.col("__q")[1] - F.col("__q")[0])).alias("__lo"),
-                      (F.col("__q")[1] + coef * (F.col("__q")[1] - F.col("__q")[0])).alias("__hi")))
-    pts = df.filter(v.isNotNull()).select(*keys, *key, v.alias(value)).join(fences, keys)
+    h = _hinges(df, keys, value, [0.25, 0.75], ["q1", "q3"], method, accuracy)
+    fences = h.select(*keys, (F.col("q1") - coef * (F.col("q3") - F.col("q1"))).alias("__lo"),
+                      (F.col("q3") + coef * (F.col("q3") - F.col("q1"))).alias("__hi"))
+    pts = nsjoin(df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, *key, v.alias(value)), fences, keys)
     return (pts.filter(~F.col(value).between(F.col("__lo"), F.col("__hi")))
             .drop("__lo", "__hi"))
 

@@ -1,0 +1,47 @@
+import random
+
+import numpy as np
+import pytest
+
+from insight.operators.quantiles import choose_method, exact_quantiles, quantile_columns
+from insight.operators.stats import boxplot_stats
+
+PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+
+
+@pytest.fixture(scope="module")
+def data():
+    rnd = random.Random(7)
+    rows = [("a" if i % 3 else None, rnd.gauss(0, 1) if i % 7 else 5.0) for i in range(3000)]
+    rows += [("b", 1.0)] * 10 + [("c", None), ("d", float("nan")), ("d", 2.0)]
+    return rows
+
+
+@pytest.mark.parametrize("max_exact,bins", [(200_000, 1024), (40, 8)])
+def test_exact_quantiles_match_type7(spark, data, max_exact, bins):
+    df = spark.createDataFrame(data, "g string, v double")
+    out = {(r["g"], r["p"]): r["q"] for r in
+           exact_quantiles(df, "g", "v", PROBS, bins=bins, max_exact=max_exact).collect()}
+    for g in ["a", None, "b", "d"]:
+        vals = np.array([v for gg, v in data if gg == g and v is not None and v == v])
+        for p in PROBS:
+            assert abs(out[(g, p)] - float(np.quantile(vals, p))) < 1e-12
+    assert not any(k[0] == "c" for k in out)                 # no values: no rows
+
+
+def test_global_and_wide(spark, data):
+    df = spark.createDataFrame(data, "g string, v double")
+    vals = np.array([v for _, v in data if v is not None and v == v])
+    glob = {r["p"]: r["q"] for r in exact_quantiles(df, None, "v", [0.5], max_exact=50, bins=4).collect()}
+    assert abs(glob[0.5] - float(np.median(vals))) < 1e-12
+    wide = {r["g"]: r for r in quantile_columns(df, "g", "v", [0.25, 0.75], ["q1", "q3"]).collect()}
+    assert wide["b"]["q1"] == 1.0 and wide["b"]["n"] == 10
+
+
+def test_boxplot_methods_agree(spark, data):
+    df = spark.createDataFrame(data, "g string, v double")
+    ref = {r["g"]: tuple(r) for r in boxplot_stats(df, ["g"], "v", method="percentile").collect()}
+    got = {r["g"]: tuple(r) for r in boxplot_stats(df, ["g"], "v", method="refine").collect()}
+    assert ref == got
+    assert choose_method(df, "g", "v") == "percentile"
+    assert choose_method(df, "g", "v", distinct_limit=10) == "refine"
