@@ -177,25 +177,40 @@ def fit_naive_bayes(tf: DataFrame, labels: DataFrame, key: str | Sequence[str],
 # --------------------------------------------------------------------------
 # predict (JN2, JN4, ML3, WN5)
 
+LENGTH_SALTS = 64
+
+
 def predict_naive_bayes(model: NaiveBayesModel, tf: DataFrame, docs: DataFrame,
-                        key: str | Sequence[str], restrict_to_vocab: bool = True) -> DataFrame:
+                        key: str | Sequence[str], restrict_to_vocab: bool = True,
+                        salts: int = LENGTH_SALTS) -> DataFrame:
     """ML3: ``(key..., predicted, score)`` for every row of ``docs``.
 
     ``tf`` holds the documents' term frequencies; terms outside the model
     vocabulary are dropped first (left-semi join), as the fitted vectoriser
     ignores unseen words.  Documents without a known term get the prior-only
     prediction.
+
+    Skew: every document contributes one length row, so that pseudo-term
+    would be the hottest join key by construction.  It is salted -- the
+    document's hash picks one of ``salts`` sub-keys and the K per-class
+    length rows of the model are replicated ``salts`` times -- so those rows
+    spread over ``salts`` join partitions.  Naturally frequent real terms
+    are left to adaptive skew-join splitting (the model side holds at most K
+    rows per term, so splitting the document side is cheap).
     """
     keys = _keys(key)
     known = tf.join(model.vocab.select("term"), "term", "left_semi") if restrict_to_vocab else tf
     lengths = known.groupBy(*keys).agg(F.sum("tf").alias("__len"))
+    salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(salts))
     doc_len = (docs.select(*keys).join(lengths, keys, "left")
-               .select(*keys, F.lit(LENGTH_TERM).alias("term"),
+               .select(*keys, F.concat(F.lit(LENGTH_TERM), salt.cast("string")).alias("term"),
                        F.coalesce(F.col("__len"), F.lit(0)).alias("tf")))
     rows = known.select(*keys, "term", "tf").unionByName(doc_len)
-    model_rows = (model.weights.select("term", "label", "weight")
-                  .unionByName(model.classes.select(F.lit(LENGTH_TERM).alias("term"), "label",
-                                                    F.col("log_unseen").alias("weight"))))
+    length_rows = (model.classes.select("label", F.col("log_unseen").alias("weight"),
+                                        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__s"))
+                   .select(F.concat(F.lit(LENGTH_TERM), F.col("__s").cast("string")).alias("term"),
+                           "label", "weight"))
+    model_rows = model.weights.select("term", "label", "weight").unionByName(length_rows)
     partial = (rows.join(model_rows, "term")
                .groupBy(*keys, "label").agg(F.sum(F.col("tf") * F.col("weight")).alias("__s")))
     scores = (partial.join(model.classes.select("label", "log_prior"), "label")

@@ -133,6 +133,13 @@ def _clean(spark, d, **kw):
                             country_recode=B.VIEW_COUNTRY_RECODE, meal_recode=B.VIEW_MEAL_RECODE)
 
 
+@register("total_guests", f"SELECT {rsum_sql('guests')} AS total_guests FROM ({clean_sql(bk_sql())})")
+def total_guests(spark, d):
+    """AG1: the grand total of guests over the cleaned bookings (one row)."""
+    from insight.operators.aggregate import grand_total
+    return grand_total(_clean(spark, d), "guests", "total_guests")
+
+
 @register("avg_rate", f"""
 SELECT hotel, {rmean_sql('adr')} AS rate_avg
 FROM ({clean_sql(bk_sql())}) GROUP BY hotel""", rounded=["rate_avg"])

@@ -73,7 +73,7 @@ def quality_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
 def language_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
     """A four-class classifier: ``documents.lang`` as the label."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"))
-    return train_model(docs)
+    return train_model(docs, persist_model=PERSIST_MODEL)
 
 
 def quality_test_predictions(tm: TrainedModel) -> DataFrame:

@@ -154,8 +154,17 @@ def page_body_text(spark, d):
 
 THRESHOLD = int(0.25 * NB.SPACE)
 
-NB_FIT_SQL = f"""
-docs AS (SELECT d.doc_id, d.text, l.quality AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+QUALITY_DOCS_SQL = ("SELECT d.doc_id, d.text, l.quality AS label FROM documents d "
+                    "JOIN labels l ON d.doc_id = l.doc_id")
+LANG_DOCS_SQL = "SELECT doc_id, text, lang AS label FROM documents"
+
+
+def nb_fit_sql(docs_sql: str) -> str:
+    return NB_FIT_TEMPLATE.replace("__DOCS__", docs_sql)
+
+
+NB_FIT_TEMPLATE = f"""
+docs AS (__DOCS__),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM (
          SELECT doc_id, unnest({terms_sql('text')}) AS term FROM docs) GROUP BY doc_id, term),
 vocab AS (SELECT DISTINCT term FROM tf),
@@ -201,7 +210,14 @@ pred AS (SELECT {k}, label AS predicted, score FROM scores
          QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY score DESC, label) = 1)"""
 
 
-NB_TEST_SQL = (f"WITH {NB_FIT_SQL},"
+NB_FIT_SQL = nb_fit_sql(QUALITY_DOCS_SQL)
+
+
+def nb_test_sql(fit_sql: str) -> str:
+    return NB_TEST_TEMPLATE.replace("__FIT__", fit_sql)
+
+
+NB_TEST_TEMPLATE = ("WITH __FIT__,"
                + predict_sql(["doc_id"], "SELECT doc_id FROM test",
                              "SELECT tf.* FROM tf JOIN test ON tf.doc_id = test.doc_id") + """,
 predt AS (SELECT t.doc_id, t.label AS truth, p.predicted, p.score FROM test t JOIN pred p ON t.doc_id = p.doc_id),
@@ -222,6 +238,10 @@ metrics AS (
 """)
 
 
+NB_TEST_SQL = nb_test_sql(NB_FIT_SQL)
+LANG_TEST_SQL = nb_test_sql(nb_fit_sql(LANG_DOCS_SQL))
+
+
 @register("nb_class_table", f"WITH {NB_FIT_SQL} SELECT * FROM classes",
           rounded=["log_prior", "log_unseen"])
 def nb_class_table(spark, d):
@@ -283,3 +303,18 @@ SELECT t.page_id, t.url, {clean_text_sql('t.content')} AS text_clean, p.predicte
 FROM ({PAGE_TEXT_SQL}) t JOIN pred p ON t.page_id = p.page_id""", rounded=["score"])
 def score_pages(spark, d):
     return TP.score_pages(TP.quality_model(spark, d), read_table(spark, d, "pages"))
+
+
+# --------------------------------------------------------------------------
+# four-class variant: documents.lang as the label (multi-class metrics)
+
+@register("nb_lang_confusion", LANG_TEST_SQL + "SELECT * FROM conf")
+def nb_lang_confusion(spark, d):
+    return TP.quality_confusion(TP.language_model(spark, d))
+
+
+@register("nb_lang_metrics", LANG_TEST_SQL + """
+SELECT *, coalesce(2.0 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM metrics""",
+          rounded=["precision", "recall", "f1"])
+def nb_lang_metrics(spark, d):
+    return TP.quality_metrics(TP.language_model(spark, d))
