@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from insight.functions.nulls import ColumnLike, col_of, r_divide, r_mean, r_sd, r_sum
+from insight.operators.joins import nsjoin
 
 
 def _cols(by: str | Sequence[str] | None) -> list[str]:
@@ -89,7 +90,7 @@ def share_within(df: DataFrame, value: str, by: str | Sequence[str], name: str =
     keys = _cols(by)
     tot = "__group_total"
     totals = df.groupBy(*keys).agg(r_sum(value).alias(tot))
-    return (df.join(totals, on=keys, how="left")
+    return (nsjoin(df, totals, keys, "left")  # null-safe: an NA group is a group
             .withColumn(name, r_divide(F.col(value) * 100.0, F.col(tot)))
             .drop(tot))
 

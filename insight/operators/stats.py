@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from insight.functions.nulls import ColumnLike, col_of
 from insight.operators.aggregate import with_scalar
-from insight.operators.quantiles import choose_method, nsjoin, quantile_columns
+from insight.operators.joins import nsjoin
+from insight.operators.quantiles import choose_method, quantile_columns
 
 
 def censor(c: ColumnLike, lo: float, hi: float) -> Column:

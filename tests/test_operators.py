@@ -154,3 +154,9 @@ def test_censor_and_bins(spark):
     assert h == {("x", 0): 1, ("x", 1): 2, ("k", 0): 4}
     p = rows(S.pair_bins(df, ["x", "k"], 2), "bin_x", "bin_y", "n")
     assert p == [(0, 0, 1), (1, 0, 2)]
+
+
+def test_share_within_na_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("R", 4.0)], "g string, v double")
+    out = sorted((r["g"] or "", r["s"]) for r in share_within(df, "v", "g", "s").collect())
+    assert out == [("", 25.0), ("", 75.0), ("R", 100.0)]
