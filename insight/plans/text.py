@@ -62,18 +62,35 @@ def train_model(docs: DataFrame, key: str = "doc_id", test_fraction: float = 0.2
     return TrainedModel(docs=split, tf=tf, split=split, model=fitted, key=key)
 
 
-PERSIST_MODEL = False
+# Fit once, score many: the reference fits its classifier once and scores the
+# held-out rows, the crawled posts and the crawled pages with that one model.
+# Within a Spark application a fitted model is kept per input (its tables are
+# written to the checkpoint folder, so reusing it re-reads files and runs no
+# upstream plan again).
+_FITTED: dict[tuple, TrainedModel] = {}
+
+
+def clear_fitted_models() -> None:
+    _FITTED.clear()
+
+
+def _fitted(spark: SparkSession, name: str, sf_dir: str, build) -> TrainedModel:
+    key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
+    if key not in _FITTED:
+        _FITTED[key] = build()
+    return _FITTED[key]
 
 
 def quality_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
-    """The classifier of ``labels.quality`` on ``documents``."""
-    return train_model(labelled_documents(spark, sf_dir, "quality"), persist_model=PERSIST_MODEL)
+    """The classifier of ``labels.quality`` on ``documents`` (fitted once per application)."""
+    return _fitted(spark, "quality", sf_dir, lambda: train_model(
+        labelled_documents(spark, sf_dir, "quality"), persist_model=True))
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
-    """A four-class classifier: ``documents.lang`` as the label."""
+    """A four-class classifier: ``documents.lang`` as the label (fitted once per application)."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"))
-    return train_model(docs, persist_model=PERSIST_MODEL)
+    return _fitted(spark, "lang", sf_dir, lambda: train_model(docs, persist_model=True))
 
 
 def quality_test_predictions(tm: TrainedModel) -> DataFrame:
