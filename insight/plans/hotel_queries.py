@@ -290,4 +290,4 @@ SELECT hotel, arrival_date_year, arrival_date_month,
 FROM ({_raw_month_sql(PRICE_YEAR)}) GROUP BY hotel, arrival_date_year, arrival_date_month""",
           rounded=["month_avg"])
 def year_price_by_month(spark, d):
-    return B.year_price_by_month(B.bookings_view(spark, d, calendar=True), PRICE_YEAR)
+    return B.year_price_by_month(B.bookings_view(spark, d, calendar=True, year=int(PRICE_YEAR)), PRICE_YEAR)
