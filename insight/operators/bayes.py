@@ -34,10 +34,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from insight.functions.text import STOP_WORDS, bag_of_words_terms, clean_tokens
+from insight.functions.text import STOP_WORDS
 from insight.operators.aggregate import with_scalar
 from insight.operators.contingency import confusion
 from insight.operators.partitioning import spread

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from insight.plans import bookings as B
 from insight.plans.registry import register
 
