@@ -372,3 +372,25 @@ def std_error_query(spark, d):
     df = (raw.filter((F.col("is_canceled") == 0) & ((F.col("adults") + F.col("children")) > 0))
           .withColumn("children", F.coalesce("children", F.lit(0.0))))
     return std_error(B.rate_person(df), ["hotel", "reserved_room_type"], "rate_person")
+
+
+# --------------------------------------------------------------------------
+# IO1 query form: the reader's NA normaliser on text casts of a driver table
+
+NA_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _tokens_sql() -> str:
+    from insight.sources.delimited import NA_TOKENS
+    return "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS) + "]"
+
+
+@register("na_normalise_orders", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count_if(list_contains({_tokens_sql()}, trim(CAST({c} AS VARCHAR))) "
+    f"OR {c} IS NULL) AS BIGINT) AS n_na FROM orders" for c in NA_ORDER_COLS))
+def na_normalise_orders(spark, d):
+    """Every column read as text, blank-trimmed, the seven NA spellings turned
+    into null (as the CSV reader does), then NA counts per column."""
+    from insight.sources.delimited import normalise_na
+    text = read_table(spark, d, "orders").select(*[F.col(c).cast("string").alias(c) for c in NA_ORDER_COLS])
+    return P.na_counts(normalise_na(text), NA_ORDER_COLS)
