@@ -56,12 +56,31 @@ def train_model(docs: DataFrame, key: str = "doc_id", test_fraction: float = 0.2
     train = split.filter(~F.col("is_test"))
     fitted = NB.fit_naive_bayes(tf, train, key, "label", vocab)
     if persist_model:
-        fitted = NB.NaiveBayesModel(classes=materialize(fitted.classes, "classes"),
-                                    weights=materialize(fitted.weights, "weights"),
-                                    vocab=materialize(vocab, "vocab"))
+        fitted = _persist(fitted, vocab)
     return TrainedModel(docs=split, tf=tf, split=split, model=fitted, key=key)
 
 
+def _persist(fitted: NB.NaiveBayesModel, vocab: DataFrame) -> NB.NaiveBayesModel:
+    """Write the class table and the term weights as ONE table (one job; the
+    class-term counts both derive from are computed once) plus the vocabulary."""
+    none = {"string": F.lit(None).cast("string"), "long": F.lit(None).cast("long"),
+            "double": F.lit(None).cast("double")}
+    classes = fitted.classes.select(
+        F.lit("class").alias("kind"), "label", none["string"].alias("term"), none["long"].alias("count"),
+        none["double"].alias("log_prob"), none["double"].alias("weight"),
+        "n_docs", "total_count", "log_prior", "log_unseen")
+    weights = fitted.weights.select(
+        F.lit("term").alias("kind"), "label", "term", "count", "log_prob", "weight",
+        none["long"].alias("n_docs"), none["long"].alias("total_count"),
+        none["double"].alias("log_prior"), none["double"].alias("log_unseen"))
+    table = materialize(classes.unionByName(weights), "model")
+    kind = F.col("kind")
+    return NB.NaiveBayesModel(
+        classes=table.filter(kind == "class").select("label", "n_docs", "total_count", "log_prior", "log_unseen"),
+        weights=table.filter(kind == "term").select("label", "term", "count", "log_prob", "weight"),
+        vocab=materialize(vocab, "vocab"))
+
+
 # Fit once, score many: the reference fits its classifier once and scores the
 # held-out rows, the crawled posts and the crawled pages with that one model.
 # Within a Spark application a fitted model is kept per input (its tables are
