@@ -149,3 +149,25 @@ def score_pages(tm: TrainedModel, pages: DataFrame) -> DataFrame:
     pred = NB.predict_naive_bayes(tm.model, tf, content, "page_id")
     cleaned = content.select("page_id", "url", clean_text(F.col("content")).alias("text_clean"))
     return cleaned.join(pred, "page_id").select("page_id", "url", "text_clean", "predicted", "score")
+
+
+# --------------------------------------------------------------------------
+# L2: crawl results handed on as text files, one record per line
+
+def export_post_search(posts: DataFrame, terms: Sequence[str], path: str, key: str = "post_id",
+                       max_results: int | None = 1000) -> None:
+    """Posts matching every term (re-posts left out, newlines flattened),
+    written one per line in key order."""
+    from insight.operators.search import search_posts
+    from insight.sources.textfile import write_lines
+    found = search_posts(posts, terms, key=key, max_results=max_results)
+    write_lines(found.orderBy(key), path)
+
+
+def export_page_text(pages: DataFrame, path: str) -> None:
+    """Visible text of every stored page, newlines and tabs flattened,
+    written one page per line."""
+    from insight.functions.text import flatten_whitespace
+    from insight.sources.textfile import write_lines
+    content = page_text(pages).select("page_id", flatten_whitespace("content", "\n\t").alias("text"))
+    write_lines(content.orderBy("page_id"), path)
