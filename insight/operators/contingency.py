@@ -76,3 +76,18 @@ def confusion(pred: DataFrame, truth: str, predicted: str, levels: DataFrame | N
               .groupBy(truth, predicted).agg(F.count(F.lit(1)).alias(name)))
     return (grid.join(counts, on=[truth, predicted], how="left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long"))))
+
+
+def crosstab_wide(df: DataFrame, row: str, column: str, max_levels: int = MAX_LEVELS) -> DataFrame:
+    """EX8 wide form: one row per level of ``row``, one count column per level
+    of ``column`` (named by the level), zero cells as 0, NA rows left out.
+
+    The column levels are needed as names, so they are gathered first: one
+    aggregate returning at most ``max_levels`` values (checked in the plan),
+    then ``pivot`` with the listed values (no second discovery pass).
+    """
+    present = df.select(_q(row).alias(row), _q(column).alias(column)).dropna()
+    levels = present.agg(_guarded(F.array_sort(F.collect_set(column)), column, max_levels).alias("l"))
+    values = levels.first()["l"] or []
+    wide = present.groupBy(row).pivot(column, values).agg(F.count(F.lit(1)))
+    return wide.fillna(0, subset=[str(v) for v in values])

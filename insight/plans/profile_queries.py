@@ -233,6 +233,14 @@ def freq_3way(spark, d):
     return CT.crosstab(li, ["l_linestatus", "l_returnflag", "ship_year"])
 
 
+@register("freq_2way_wide", """
+SELECT l_linestatus, CAST(count_if(l_returnflag = 'A') AS BIGINT) AS "A",
+       CAST(count_if(l_returnflag = 'N') AS BIGINT) AS "N", CAST(count_if(l_returnflag = 'R') AS BIGINT) AS "R"
+FROM lineitem WHERE l_linestatus IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY l_linestatus""")
+def freq_2way_wide(spark, d):
+    return CT.crosstab_wide(read_table(spark, d, "lineitem"), "l_linestatus", "l_returnflag")
+
+
 @register("freq_hotel_cancel_month", _grid_sql(
     ["hotel", "is_canceled", "arrival_date_month"], bk_sql(calendar=True)))
 def freq_hotel_cancel_month(spark, d):

@@ -160,3 +160,9 @@ def test_share_within_na_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("R", 4.0)], "g string, v double")
     out = sorted((r["g"] or "", r["s"]) for r in share_within(df, "v", "g", "s").collect())
     assert out == [("", 25.0), ("", 75.0), ("R", 100.0)]
+
+
+def test_crosstab_wide_zero_cells(spark):
+    df = spark.createDataFrame([("City", "0"), ("City", "1"), ("Resort", "0"), (None, "1")], "h string, c string")
+    out = {r["h"]: (r["0"], r["1"]) for r in CT.crosstab_wide(df, "h", "c").collect()}
+    assert out == {"City": (1, 1), "Resort": (1, 0)}
