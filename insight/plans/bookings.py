@@ -160,7 +160,7 @@ def with_country_name(df: DataFrame, dim: DataFrame, code: str = "country") -> D
 # --------------------------------------------------------------------------
 # 6. where do the guests come from (AG1, AG2, SO1, SC2, WN2, SO2, PD1)
 
-def guest_origin(guests_by_code: DataFrame, dim: DataFrame) -> DataFrame:
+def guest_origin(guests_by_code: DataFrame, dim: DataFrame, ordered: bool = True) -> DataFrame:
     """Guests per country name with the share of all guests as text.
 
     ``guests_by_code`` holds ``(country, guests)`` -- bookings or any
@@ -173,13 +173,19 @@ def guest_origin(guests_by_code: DataFrame, dim: DataFrame) -> DataFrame:
     named = with_country_name(per_code, dim)
     origin = named.groupBy("country_name").agg(r_sum("guests").alias("guests_country"))
     shares = share_of_total(origin, "guests_country", "__pct")
-    return shares.select("country_name", "guests_country", fixed2("__pct").alias("guest_pct"))
+    out = shares.select("country_name", "guests_country", fixed2("__pct").alias("guest_pct"))
+    # SO1: descending, NA last (a sort of the small per-name result)
+    if not ordered:
+        return out
+    return out.orderBy(F.col("guests_country").desc_nulls_last(), F.col("country_name").asc_nulls_last())
 
 
 def guest_origin_top(origin: DataFrame, n: int = 5, weight: str = "guests_country") -> DataFrame:
     """``top_n(n)``.  The reference ranks by its last column, the text
-    ``guest_pct`` (text order); pass ``weight='guest_pct'`` to reproduce that."""
-    return top_n(origin, n, weight)
+    ``guest_pct`` (text order); pass ``weight='guest_pct'`` to reproduce that.
+    Rows keep the descending order of the guest counts."""
+    return top_n(origin, n, weight).orderBy(F.col("guests_country").desc_nulls_last(),
+                                            F.col("country_name").asc_nulls_last())
 
 
 def guests_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,7 +252,8 @@ def rate_by_room_type_band(clean: DataFrame, limits=(0.0, 120.0)) -> DataFrame:
 def rate_by_month_band(clean: DataFrame) -> DataFrame:
     """PD3 + SO4: monthly mean +- sd per hotel, with the month ordinal for ordering."""
     g = rate_band(clean, ["hotel", "arrival_date_month"], "rate_month_avg", "rate_month_sd")
-    return g.withColumn("month_ord", month_ordinal("arrival_date_month"))
+    return (g.withColumn("month_ord", month_ordinal("arrival_date_month"))
+            .orderBy("hotel", F.col("month_ord").asc_nulls_last()))
 
 
 # --------------------------------------------------------------------------
@@ -265,7 +272,7 @@ def busy_months(clean: DataFrame, limits: tuple[float, float] | None = None,
     g = g.withColumn("guests_month_norm", norm).withColumn("month_ord", month_ordinal(m))
     if limits is not None:
         g = g.withColumn("guests_month_norm_shown", censor("guests_month_norm", *limits))
-    return g
+    return g.orderBy("hotel", F.col("month_ord").asc_nulls_last())
 
 
 def busy_months_by_year_count(clean: DataFrame) -> DataFrame:
@@ -274,26 +281,28 @@ def busy_months_by_year_count(clean: DataFrame) -> DataFrame:
          .agg(r_sum("guests").alias("guests_month"),
               F.countDistinct("arrival_date_year").alias("n_years")))
     return (g.withColumn("guests_month_norm", F.col("guests_month") / F.col("n_years"))
-             .withColumn("month_ord", month_ordinal("arrival_date_month")))
+             .withColumn("month_ord", month_ordinal("arrival_date_month"))
+             .orderBy("hotel", F.col("month_ord").asc_nulls_last()))
 
 
 # --------------------------------------------------------------------------
 # 12. stay length (PJ10, FL3, AG9, WN1, SC1, SO3, PD5)
 
-def stay_length_share(clean: DataFrame) -> DataFrame:
+def stay_length_share(clean: DataFrame, ordered: bool = True) -> DataFrame:
     """Bookings per (hotel, total_nights) and their percent share within the hotel."""
     nights = (clean.withColumn("total_nights",
                                F.col("stays_in_week_nights") + F.col("stays_in_weekend_nights"))
               .filter(F.col("total_nights") > 0))
     g = nights.groupBy("hotel", "total_nights").agg(F.count(F.lit(1)).alias("num_trx"))
     s = share_within(g, "num_trx", "hotel", "__pct")
-    return s.select("hotel", "total_nights", "num_trx",
-                    round_half_up("__pct", 2).alias("num_trx_pct"))
+    out = s.select("hotel", "total_nights", "num_trx", round_half_up("__pct", 2).alias("num_trx_pct"))
+    return out.orderBy("hotel", "total_nights") if ordered else out
 
 
 def stay_length_top(clean: DataFrame, n: int = 5) -> DataFrame:
     """Top-n stay lengths per hotel by the last column (``num_trx_pct``), ties kept."""
-    return top_n(stay_length_share(clean), n, "num_trx_pct", by="hotel")
+    return (top_n(stay_length_share(clean, ordered=False), n, "num_trx_pct", by="hotel")
+            .orderBy("hotel", "total_nights"))
 
 
 # --------------------------------------------------------------------------
@@ -317,7 +326,8 @@ def totals_by_year_month(raw: DataFrame) -> DataFrame:
         "guests", F.col("adults") + F.col("children") + F.col("babies"))
     return (df.groupBy("hotel", "arrival_date_year", "arrival_date_month")
             .agg(r_sum("guests").alias("guest_month_total"))
-            .withColumn("month_ord", month_ordinal("arrival_date_month")))
+            .withColumn("month_ord", month_ordinal("arrival_date_month"))
+            .orderBy("hotel", "arrival_date_year", F.col("month_ord").asc_nulls_last()))
 
 
 def year_price_by_month(raw: DataFrame, year: float = 2017.0) -> DataFrame:
@@ -325,4 +335,5 @@ def year_price_by_month(raw: DataFrame, year: float = 2017.0) -> DataFrame:
     df = rate_person(_raw_month_frame(raw, year))
     return (df.groupBy("hotel", "arrival_date_year", "arrival_date_month")
             .agg(r_mean("rate_person").alias("month_avg"))
-            .withColumn("month_ord", month_ordinal("arrival_date_month")))
+            .withColumn("month_ord", month_ordinal("arrival_date_month"))
+            .orderBy("hotel", "arrival_date_year", F.col("month_ord").asc_nulls_last()))

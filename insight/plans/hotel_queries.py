@@ -98,8 +98,8 @@ shares AS (
 """
 
 
-def _origin(spark, d):
-    return B.guest_origin(B.guests_by_country(spark, d), B.country_dim(spark, d))
+def _origin(spark, d, ordered=True):
+    return B.guest_origin(B.guests_by_country(spark, d), B.country_dim(spark, d), ordered)
 
 
 @register("guest_origin_share", ORIGIN_SQL + "SELECT * FROM shares")
@@ -112,7 +112,7 @@ SELECT country_name, guests_country, guest_pct FROM shares
 WHERE guests_country IS NOT NULL
 QUALIFY rank() OVER (ORDER BY guests_country DESC) <= 5""")
 def guest_origin_top5_numeric(spark, d):
-    return B.guest_origin_top(_origin(spark, d), 5, "guests_country")
+    return B.guest_origin_top(_origin(spark, d, ordered=False), 5, "guests_country")
 
 
 @register("guest_origin_top5_text_weight", ORIGIN_SQL + """
@@ -120,7 +120,7 @@ SELECT country_name, guests_country, guest_pct FROM shares
 WHERE guest_pct IS NOT NULL
 QUALIFY rank() OVER (ORDER BY guest_pct DESC) <= 5""")
 def guest_origin_top5_text_weight(spark, d):
-    return B.guest_origin_top(_origin(spark, d), 5, "guest_pct")
+    return B.guest_origin_top(_origin(spark, d, ordered=False), 5, "guest_pct")
 
 
 # --------------------------------------------------------------------------

@@ -25,3 +25,14 @@ def test_registry_contract():
     assert len(q) >= 45
     assert set(sql) <= set(q)
     assert all(callable(f) for f in q.values())
+
+
+def test_named_results_are_ordered(spark):
+    from conftest import SF_SMALL
+    q = load_entry().queries()
+    top = [r["guests_country"] for r in q["guest_origin_top5_numeric"](spark, SF_SMALL).collect()]
+    assert top == sorted(top, reverse=True)
+    shares = [r["guests_country"] for r in q["guest_origin_share"](spark, SF_SMALL).collect()]
+    assert shares == sorted(shares, reverse=True)
+    months = [(r["hotel"], r["month_ord"]) for r in q["busy_months_normalised"](spark, SF_SMALL).collect()]
+    assert months == sorted(months)
