@@ -73,17 +73,25 @@ def na_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
                                 for i, c in enumerate(cols)])
 
 
-def na_positions(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
+def na_positions(df: DataFrame, key: str, columns: Sequence[str] | None = None,
+                 row_numbers: bool = False) -> DataFrame:
     """EX10: ``apply(is.na(df), 2, which)`` as ``(column, key)`` rows, one per NA cell.
 
-    Rows are identified by their key rather than a 1-based position: a
-    global position would need a single-task sort of the whole table.
+    With ``row_numbers=True`` a ``row`` column holds R's 1-based row number
+    in key order, computed by :func:`insight.operators.ranking.row_positions`
+    (range partitions + per-partition offsets, no single-task sort).
     """
     cols = [c for c in (columns or df.columns) if c != key]
+    src = df
+    extra = []
+    if row_numbers:
+        from insight.operators.ranking import row_positions
+        src = row_positions(df, key, "row")
+        extra = ["row"]
     cells = F.array(*[F.when(_na(df, c), F.lit(c)) for c in cols])
-    return (df.select(_q(key), F.explode(cells).alias("column"))
+    return (src.select(_q(key), *extra, F.explode(cells).alias("column"))
             .filter(F.col("column").isNotNull())
-            .select("column", key))
+            .select("column", key, *extra))
 
 
 def column_summary(df: DataFrame, columns: Sequence[str] | None = None,

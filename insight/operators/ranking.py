@@ -65,3 +65,30 @@ def last_rows(df: DataFrame, key: str | Sequence[str], n: int = 6) -> DataFrame:
     """EX2: last ``n`` rows by key, returned in ascending key order."""
     keys = _cols(key)
     return df.orderBy(*[F.col(k).desc() for k in keys]).limit(n).orderBy(*keys)
+
+
+def row_positions(df: DataFrame, key: str | Sequence[str], name: str = "row",
+                  partitions: int | None = None) -> DataFrame:
+    """1-based position of every row in key order, without a single-task sort.
+
+    The frame is range-partitioned on the key (Spark samples the key to pick
+    balanced bounds), rows are counted per range partition, the counts --
+    one row per partition -- are turned into offsets, and rows are numbered
+    inside their own partition.  The partition id is taken once, in the
+    projection that feeds both the counts and the numbering, and both read
+    the same range shuffle.  Ties in the key get consecutive positions in an
+    arbitrary order, so use a unique key.
+    """
+    keys = _cols(key)
+    n = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys])
+              .withColumn("__pid", F.spark_partition_id()))
+    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
+    # one row per range partition: a small table, summed in order
+    offsets = counts.select("__pid", F.coalesce(F.sum("__c").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    local = F.row_number().over(Window.partitionBy("__pid").orderBy(*[F.col(k) for k in keys]))
+    return (ranged.withColumn("__rn", local)
+            .join(F.broadcast(offsets), "__pid")
+            .withColumn(name, F.col("__off") + F.col("__rn"))
+            .drop("__pid", "__rn", "__off"))

@@ -175,6 +175,15 @@ def na_positions(spark, d):
     return P.na_positions(_labelled_docs(spark, d), "doc_id", NA_COLS)
 
 
+@register("na_row_numbers", f"""
+WITH ld AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS "row" FROM ({LABELLED_DOCS_SQL}))
+""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", doc_id, \"row\" FROM ld WHERE {c} IS NULL" for c in NA_COLS if c != "doc_id"))
+def na_row_numbers(spark, d):
+    """EX10 with R's 1-based row numbers (distributed numbering, no single-task sort)."""
+    return P.na_positions(_labelled_docs(spark, d), "doc_id", NA_COLS, row_numbers=True)
+
+
 @register("nonzero_columns", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {i + 1} AS position, "
     f"CASE WHEN count({c}) = count(*) THEN sum(CAST({c} AS DOUBLE)) END AS col_sum, "

@@ -166,3 +166,14 @@ def test_crosstab_wide_zero_cells(spark):
     df = spark.createDataFrame([("City", "0"), ("City", "1"), ("Resort", "0"), (None, "1")], "h string, c string")
     out = {r["h"]: (r["0"], r["1"]) for r in CT.crosstab_wide(df, "h", "c").collect()}
     assert out == {"City": (1, 1), "Resort": (1, 0)}
+
+
+def test_row_positions_match_a_sort(spark):
+    import random
+    keys = list(range(0, 3000, 3))
+    random.Random(3).shuffle(keys)
+    df = spark.createDataFrame([(k, None if k % 9 == 0 else 1.0) for k in keys], "k long, x double")
+    got = {r["k"]: r["row"] for r in R.row_positions(df, "k", partitions=7).collect()}
+    assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
+    na = {r["k"]: r["row"] for r in P.na_positions(df, "k", ["x"], row_numbers=True).collect()}
+    assert na == {k: got[k] for k in keys if k % 9 == 0}
