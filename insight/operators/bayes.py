@@ -86,23 +86,14 @@ def vocabulary(tf: DataFrame, key: str | Sequence[str] | None = None) -> DataFra
     """Vocabulary ``(term, doc_freq, term_index)``; ``term_index`` is the
     0-based position in alphabetical order (the reference's feature index).
 
-    The position is computed without a single-task global sort: terms are
-    bucketed by their first two characters (a fixed, data-independent set of
-    at most 27 * 27 buckets whose order agrees with the term order), bucket
-    sizes are turned into offsets on that small table, and terms are
-    numbered within their bucket.
+    The position comes from :func:`insight.operators.ranking.row_positions`:
+    range partitions on the term (balanced bounds sampled by Spark), counts
+    per partition turned into offsets, numbering within each partition -- no
+    single-task sort of the vocabulary.
     """
-    terms = vocabulary_terms(tf).withColumn("bucket", F.substring("term", 1, 2))
-    sizes = terms.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    offsets = sizes.select(
-        "bucket",
-        (F.sum("size").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("offset"))
-    within = Window.partitionBy("bucket").orderBy("term")
-    return (terms.join(F.broadcast(offsets), "bucket")
-            .select("term", "doc_freq",
-                    (F.coalesce(F.col("offset"), F.lit(0)) + F.row_number().over(within) - 1)
-                    .cast("long").alias("term_index")))
+    from insight.operators.ranking import row_positions
+    return (row_positions(vocabulary_terms(tf), "term", "__pos")
+            .select("term", "doc_freq", (F.col("__pos") - 1).alias("term_index")))
 
 
 # --------------------------------------------------------------------------
@@ -224,9 +215,10 @@ def predict_naive_bayes(model: NaiveBayesModel, tf: DataFrame, docs: DataFrame,
 
 def label_levels(labels: DataFrame, key: str, label: str = "label") -> DataFrame:
     """Labels in order of first appearance: ``(label, level)``, 1-based."""
+    from insight.operators.ranking import row_positions
     firsts = labels.groupBy(F.col(label).alias("label")).agg(F.min(key).alias("__first"))
-    # one row per class: a small frame
-    return firsts.select("label", F.row_number().over(Window.orderBy("__first")).alias("level"))
+    return (row_positions(firsts, "__first", "level")
+            .select("label", F.col("level").cast("int").alias("level")))
 
 
 def confusion_matrix(pred: DataFrame, levels: DataFrame, truth: str = "truth",

@@ -160,11 +160,13 @@ def distinct_values(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 def first_seen_levels(df: DataFrame, column: str, key: str) -> DataFrame:
     """EX13: distinct values of one column in order of first appearance
-    (``unique()``): ``(value, first_key, level)`` with a 1-based level."""
+    (``unique()``): ``(value, first_key, level)`` with a 1-based level.
+
+    Levels are numbered by :func:`insight.operators.ranking.row_positions`
+    (no single-task sort, whatever the number of distinct values)."""
+    from insight.operators.ranking import row_positions
     firsts = df.groupBy(_q(column).alias("value")).agg(F.min(_q(key)).alias("first_key"))
-    # one row per distinct value: a small frame, ranked by first appearance
-    from pyspark.sql import Window
-    return firsts.withColumn("level", F.row_number().over(Window.orderBy("first_key")))
+    return row_positions(firsts, "first_key", "level").withColumn("level", F.col("level").cast("int"))
 
 
 def count_where(df: DataFrame, condition: Column, name: str = "n") -> DataFrame:

@@ -67,27 +67,47 @@ def last_rows(df: DataFrame, key: str | Sequence[str], n: int = 6) -> DataFrame:
     return df.orderBy(*[F.col(k).desc() for k in keys]).limit(n).orderBy(*keys)
 
 
-def row_positions(df: DataFrame, key: str | Sequence[str], name: str = "row",
-                  partitions: int | None = None) -> DataFrame:
-    """1-based position of every row in key order, without a single-task sort.
-
-    The frame is range-partitioned on the key (Spark samples the key to pick
-    balanced bounds), rows are counted per range partition, the counts --
-    one row per partition -- are turned into offsets, and rows are numbered
-    inside their own partition.  The partition id is taken once, in the
-    projection that feeds both the counts and the numbering, and both read
-    the same range shuffle.  Ties in the key get consecutive positions in an
-    arbitrary order, so use a unique key.
+def _range_bounds(df: DataFrame, key: str, parts: int, seed: int = 17) -> list:
+    """Split points for ``parts`` key ranges, from a bounded random sample.
+
+    Like Spark's range partitioner this collects a sample of the key (about
+    50 values per range) to the driver -- but once, so the ranges are fixed
+    literals and every evaluation of the plan assigns rows identically.
     """
-    keys = _cols(key)
-    n = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys])
-              .withColumn("__pid", F.spark_partition_id()))
+    total = df.count()
+    if total == 0 or parts <= 1:
+        return []
+    frac = min(1.0, 60.0 * parts / total)
+    sample = sorted(r[0] for r in df.select(key).sample(False, frac, seed).collect() if r[0] is not None)
+    if not sample:
+        return []
+    picks = [sample[min(len(sample) - 1, (len(sample) * i) // parts)] for i in range(1, parts)]
+    return sorted(set(picks))
+
+
+def row_positions(df: DataFrame, key: str, name: str = "row", partitions: int | None = None) -> DataFrame:
+    """1-based position of every row in ``key`` order, without a single-task sort.
+
+    Rows go to key ranges (split points drawn once from a bounded sample),
+    rows are counted per range, the counts -- one row per range -- are turned
+    into offsets, and rows are numbered inside their range (a window
+    partitioned by range).  Null keys come first, as in an ascending sort.
+    Ties in the key get consecutive positions in an arbitrary order, so use a
+    unique key.
+    """
+    parts = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bounds = _range_bounds(df, key, parts)
+    k = F.col(key)
+    rng = F.when(k.isNull(), F.lit(0))
+    for i, b in enumerate(bounds):
+        rng = rng.when(k < F.lit(b), F.lit(i))
+    rng = rng.otherwise(F.lit(len(bounds)))
+    ranged = df.withColumn("__pid", rng)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
-    # one row per range partition: a small table, summed in order
+    # one row per range (at most `parts`): a small table, summed in order
     offsets = counts.select("__pid", F.coalesce(F.sum("__c").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    local = F.row_number().over(Window.partitionBy("__pid").orderBy(*[F.col(k) for k in keys]))
+    local = F.row_number().over(Window.partitionBy("__pid").orderBy(k.asc_nulls_first()))
     return (ranged.withColumn("__rn", local)
             .join(F.broadcast(offsets), "__pid")
             .withColumn(name, F.col("__off") + F.col("__rn"))
