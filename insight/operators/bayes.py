@@ -92,7 +92,11 @@ def vocabulary(tf: DataFrame, key: str | Sequence[str] | None = None) -> DataFra
     single-task sort of the vocabulary.
     """
     from insight.operators.ranking import row_positions
-    return (row_positions(vocabulary_terms(tf), "term", "__pos")
+    from insight.sources.checkpoint import materialize
+    # the numbering reads its input several times (size, key sample, range
+    # counts, numbering): write the aggregated vocabulary once
+    terms = materialize(vocabulary_terms(tf), "vocabulary")
+    return (row_positions(terms, "term", "__pos")
             .select("term", "doc_freq", (F.col("__pos") - 1).alias("term_index")))
 
 
