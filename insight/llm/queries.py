@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from insight.llm import licenses, mixing, urlrules
+from insight.llm import licenses, mixing, quality, rules, urlrules
 from insight.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,14 @@ def op8_url_rules(spark, sf_dir):
 @register("op9_license_scan", licenses.SCAN_SQL)
 def op9_license_scan(spark, sf_dir):
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+@register("op1_quality_resample")
+def op1_quality_resample(spark, sf_dir):
+    return quality.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register("op10_quality_rules")
+def op10_quality_rules(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return rules.judge(docs, rules.fit_rules(docs, read_table(spark, sf_dir, "labels"))).drop("score")
