@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from insight.llm import licenses, mixing, quality, rules, urlrules
+from insight.llm import decontaminate, licenses, mixing, quality, rules, urlrules
 from insight.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op1_quality_resample(spark, sf_dir):
 def op10_quality_rules(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return rules.judge(docs, rules.fit_rules(docs, read_table(spark, sf_dir, "labels"))).drop("score")
+
+
+@register("op5_benchmark_hits", decontaminate.HITS_SQL)
+def op5_benchmark_hits(spark, sf_dir):
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
