@@ -7,6 +7,7 @@ characters: all bytes of a non-ASCII character are >= 0x80.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -14,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from insight.session import ensure_checkpoint_dir
+
 #: The word classes of the operator contracts.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 LETTER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -178,3 +181,40 @@ def labelled_sample(labels: DataFrame, column: str, bound: int, keep: Column | N
     if n > bound:
         ids = ids.where(unit_hash("sample", F.col("doc_id")) < F.lit(bound / n))
     return ids
+
+
+# --- stored steps and grouped tasks -------------------------------------------
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the checkpoint folder and return a scan of it."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
+def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Concatenation of start, start + 1, ... (count of them) per entry."""
+    if not len(counts):
+        return np.zeros(0, np.int64)
+    before = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    return np.arange(int(counts.sum())) - np.repeat(before - starts, counts)
+
+
+def key_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of consecutive rows with equal keys, of batches sorted by an integer key."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and keys[a] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = keys[a]
+    if held:
+        yield pa.Table.from_batches(held)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import IS_LETTER, TO_LOWER, lists, text_slices, unused_name, words_in
+from insight.llm.common import IS_LETTER, TO_LOWER, lists, ranges, text_slices, unused_name, words_in
 
 WINDOW = 10
 SAMPLE = 8
@@ -172,12 +172,6 @@ class Phrases:
         self.item_starts = np.concatenate([[0], np.cumsum(self.item_counts)]).astype(np.int64)
 
 
-def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Concatenation of start, start + 1, ... (count of them) per entry."""
-    before = np.concatenate([[0], np.cumsum(counts)[:-1]]) if len(counts) else counts
-    return np.arange(int(counts.sum())) - np.repeat(before - starts, counts)
-
-
 def shard_hits(words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(is each word hit, text of each pair, item of each pair) for one shard."""
     hit = np.zeros(len(words.hashes), bool)
@@ -189,7 +183,7 @@ def shard_hits(words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndar
     counts = words.counts[filled]
     begin = np.cumsum(counts + 1) - (counts + 1)  # each text is followed by a break
     symbols = np.full(int(counts.sum()) + len(counts) + 1, BREAK, np.int64)
-    symbols[_ranges(begin, counts)] = symbol + FIRST
+    symbols[ranges(begin, counts)] = symbol + FIRST
     symbols[-1] = END
     at = np.minimum(np.searchsorted(vocabulary, phrases.hashes), len(vocabulary) - 1)
     patterns = np.where(vocabulary[at] == phrases.hashes, at + FIRST, -1)
@@ -200,7 +194,7 @@ def shard_hits(words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndar
     found = np.flatnonzero(high > low)
     many = high[found] - low[found]
     window = np.repeat(found, many)
-    place = index.locate(_ranges(low[found], many))
+    place = index.locate(ranges(low[found], many))
     owner = np.searchsorted(begin, place, side="right") - 1
     text = filled[owner]
     first = words.offsets[text] + place - begin[owner]
@@ -209,7 +203,7 @@ def shard_hits(words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndar
     np.add.at(change, first + phrases.lengths[window], -1)
     hit[:] = np.cumsum(change[:-1]) > 0
     pairs = np.unique(np.stack([np.repeat(text, phrases.item_counts[window]),
-                                phrases.items[_ranges(phrases.item_starts[window], phrases.item_counts[window])]]), axis=1)
+                                phrases.items[ranges(phrases.item_starts[window], phrases.item_counts[window])]]), axis=1)
     return hit, pairs[0], pairs[1]
 
 

@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from insight.llm.common import unit_hash, unused_name, words_of
-from insight.sources.checkpoint import materialize
+from insight.llm.common import stored, unit_hash, unused_name, words_of
 
 #: Weights by position of the source, repeating.
 WEIGHTS = (3, 1, 2)
@@ -57,7 +56,7 @@ def source_targets(sized: DataFrame, share: float = SHARE, most: float = MOST) -
     """
     weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("pos") % len(WEIGHTS) + 1).cast("int"))
     sources = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    sources = materialize(_ranked(sources).withColumn("weight", weight), "mix-sources")
+    sources = stored(_ranked(sources).withColumn("weight", weight), "mix-sources")
     cap = F.lit(most) * F.col("source_size")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     level = 0.0
@@ -96,7 +95,7 @@ def copies(rate, doc_id, seed: str = SEED):
 
 def mix_plan(docs: DataFrame, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies for every row of ``docs``."""
-    sized = materialize(docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size")),
+    sized = stored(docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size")),
                         "mix-sizes")
     targets = source_targets(sized, share, most)
     out = _with_targets(sized, targets, "source", {"source_size": "source_size", "target": "target"})

@@ -29,9 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import (IS_SPACE, MULT, labelled_sample, mix, run_hashes, text_slices, unit_hash,
+from insight.llm.common import (IS_SPACE, MULT, labelled_sample, mix, run_hashes, stored, text_slices, unit_hash,
                                 unused_name)
-from insight.sources.checkpoint import materialize
 
 BUCKETS = 1 << 14
 SMOOTH = 1.0
@@ -156,7 +155,7 @@ def _fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 def resample(docs: DataFrame, labels: DataFrame, seed: str = SEED) -> DataFrame:
     """doc_id, log_weight, gumbel_key, selected for every row of ``docs``."""
     ratios = _fit(docs, labels)
-    scored = materialize(docs.select("doc_id", log_weight(F.col("text"), ratios).alias("log_weight"))
+    scored = stored(docs.select("doc_id", log_weight(F.col("text"), ratios).alias("log_weight"))
                          .withColumn("gumbel_key", gumbel_key(F.col("log_weight"), F.col("doc_id"), seed)),
                          "quality-weights")
     return scored.withColumn("selected", F.col("gumbel_key") >= F.lit(_border(scored, labels)))
@@ -176,5 +175,5 @@ def resampled(docs: DataFrame, labels: DataFrame, seed: str = SEED) -> DataFrame
     weight, key = unused_name(docs, "log_weight"), unused_name(docs, "gumbel_key")
     scored = docs.withColumn(weight, log_weight(F.col("text"), ratios))
     scored = scored.withColumn(key, gumbel_key(F.col(weight), F.col("doc_id"), seed))
-    slim = materialize(scored.select(F.col(weight).alias("log_weight"), F.col(key).alias("gumbel_key")), "quality-keys")
+    slim = stored(scored.select(F.col(weight).alias("log_weight"), F.col(key).alias("gumbel_key")), "quality-keys")
     return scored.where(F.col(key) >= F.lit(_border(slim, labels))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from insight.llm import decontaminate, licenses, mixing, quality, rules, urlrules
+from insight.llm import decontaminate, jaccard, licenses, mixing, quality, rules, urlrules
 from insight.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op10_quality_rules(spark, sf_dir):
 @register("op5_benchmark_hits", decontaminate.HITS_SQL)
 def op5_benchmark_hits(spark, sf_dir):
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_near_duplicates")
+def op4_near_duplicates(spark, sf_dir):
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
