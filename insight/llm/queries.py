@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from insight.llm import decontaminate, jaccard, licenses, mixing, quality, rules, urlrules
+from insight.llm import decontaminate, jaccard, licenses, mixing, ppm, quality, rules, urlrules
 from insight.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +57,8 @@ def op5_benchmark_hits(spark, sf_dir):
 @register("op4_near_duplicates")
 def op4_near_duplicates(spark, sf_dir):
     return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@register("op7_ppm_score")
+def op7_ppm_score(spark, sf_dir):
+    return ppm.score_texts(read_table(spark, sf_dir, "documents"), ppm.held_out(F.col("doc_id"), 5, 1))
