@@ -47,6 +47,11 @@ def unit_hash(*parts: Column | str) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
+def held_out(doc_id: Column, folds: int, fold: int) -> Column:
+    """Whether crc32 of the id as text falls in the fold; false for a null id."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
+
+
 def unused_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have (names compare without case)."""
     taken = {c.lower() for c in df.columns}
@@ -66,6 +71,11 @@ MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
 
 
+def salt(i: int) -> np.uint64:
+    """The i-th multiple of a fixed odd number."""
+    return np.uint64(i * int(MULT) & (1 << 64) - 1)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     h = h.astype(np.uint64, copy=True)

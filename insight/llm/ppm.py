@@ -215,11 +215,6 @@ def _base_scores(n: int, distinct: int, ends: int):
     return run
 
 
-def held_out(doc_id: Column, folds: int, fold: int) -> Column:
-    """Whether crc32 of the id as text falls in the fold; false for a null id."""
-    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
-
-
 def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = docs.sparkSession

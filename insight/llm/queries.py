@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import decontaminate, jaccard, licenses, mixing, ppm, quality, rules, urlrules
+from insight.llm import decontaminate, jaccard, langid, licenses, mixing, ppm, quality, rules, toxicity, urlrules
+from insight.llm.common import held_out
 from insight.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,4 +62,16 @@ def op4_near_duplicates(spark, sf_dir):
 
 @register("op7_ppm_score")
 def op7_ppm_score(spark, sf_dir):
-    return ppm.score_texts(read_table(spark, sf_dir, "documents"), ppm.held_out(F.col("doc_id"), 5, 1))
+    return ppm.score_texts(read_table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 1))
+
+
+@register("op3_language_id")
+def op3_language_id(spark, sf_dir):
+    return langid.identify(read_table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0))
+
+
+@register("op6_toxic_spans")
+def op6_toxic_spans(spark, sf_dir):
+    scored = toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                                     held_out(F.col("doc_id"), 3, 1))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
