@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from insight.llm.common import IS_SPACE, TO_LOWER, ranges, stored, text_slices, words_in
 
 ORDER = 5
-NODES = 1 << 21
+NODES = 1 << 20
 #: Bytes that UTF-8 never uses: the sign before a text, the sign after it.
 BEFORE, AFTER = 0xFE, 0xFF
 ALPHABET = 256
@@ -143,11 +143,12 @@ def fit_trie(texts: DataFrame, nodes: int = NODES) -> Trie:
     counted = stored(count_contexts(texts), "ppm-contexts")
     over = counted.agg(*[F.count(F.when(F.col("n") >= F.lit(1 << j), 1)).alias(f"c{j}") for j in range(62)]).first()
     least = 1 << next((j for j in range(62) if over[j] <= nodes), 61)
-    rows = counted.where(F.col("n") >= F.lit(least)).toPandas()
     levels = []
     for k in range(ORDER + 1):
-        part = rows[rows["level"] == k].sort_values("gram")
-        levels.append((part["gram"].to_numpy().astype(np.uint64), part["n"].to_numpy().astype(np.int64)))
+        part = counted.where((F.col("level") == k) & (F.col("n") >= F.lit(least))).select("gram", "n").toArrow()
+        grams, n = part.column("gram").to_numpy().astype(np.uint64), part.column("n").to_numpy()
+        order = np.argsort(grams)
+        levels.append((grams[order], n[order]))
     return Trie.of_counts(levels)
 
 
