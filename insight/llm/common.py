@@ -203,6 +203,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Bits of a key filter: 2,048 bitmaps of 4 KB, 8 MB in all, whatever the number of keys.
+FILTER_BITS = 1 << 26
+
+
+def _maybe_in(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+    """``df`` with a flag that is true for every row whose key is in ``ids``, and for few others.
+
+    A hash filter like a Bloom filter of one hash.  It decides which rows need
+    an exact join, so that the others are not shuffled.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    maps = (ids.select(F.bitmap_bucket_number(slot).alias("__map"), F.bitmap_bit_position(slot).alias("__bit"))
+            .groupBy("__map").agg(F.bitmap_construct_agg("__bit").alias("__bits")))
+    bit = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    flag = F.coalesce(F.expr("shiftright(__byte, cast(__bit % 8 as int)) & 1") == 1, F.lit(False))
+    return (df.withColumn("__map", F.bitmap_bucket_number(slot)).join(F.broadcast(maps), "__map", "left")
+            .withColumn("__byte", byte).withColumn("__bit", bit).withColumn(name, flag)
+            .drop("__map", "__bits", "__byte", "__bit"))
+
+
+def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is in ``ids`` (a one-column frame of that name); few others are shuffled."""
+    flagged = _maybe_in(df, key, ids, "__maybe").where("__maybe").drop("__maybe")
+    return flagged.join(ids, key, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def without(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``ids``; rows that surely are not are not shuffled."""
+    flagged = _maybe_in(df, key, ids, "__maybe")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    sure = flagged.where("not __maybe").select(*columns)
+    return sure.unionByName(flagged.where("__maybe").join(ids, key, "left_anti").select(*columns))
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Concatenation of start, start + 1, ... (count of them) per entry."""
     if not len(counts):

@@ -41,8 +41,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import (IS_LETTER, MULT, TO_LOWER, key_runs, lists, mix, ranges, stored, text_slices,
-                                unused_name, words_in)
+from insight.llm.common import (IS_LETTER, MULT, TO_LOWER, key_runs, lists, mix, only, ranges, stored, text_slices,
+                                unused_name, without, words_in)
 from insight.llm.components import components
 
 SHINGLE = 5
@@ -268,19 +268,26 @@ def classify(docs: DataFrame) -> tuple[DataFrame, str, DataFrame]:
     uid, s = unused_name(docs, "row_id"), unused_name(docs, "signed")
     rows = stored(docs.withColumn(uid, F.monotonically_increasing_id()).withColumn(s, signed(F.col("text"))), "jaccard-rows")
     marks = rows.select(F.col(uid).alias("id"), "doc_id", f"{s}.n", f"{s}.key_a", f"{s}.key_b")
-    sketches = rows.select(F.col(uid).alias("id"), F.col(f"{s}.sketch").alias("sketch"))
     alone = F.when(F.col("n") == 0, F.col("id"))  # documents without shingles are equal to none
-    sets = stored(marks.withColumn("alone", F.coalesce(alone, F.lit(-1))).groupBy("key_a", "key_b", "n", "alone")
-                  .agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")), "jaccard-sets")
-    members = stored(marks.withColumn("alone", F.coalesce(alone, F.lit(-1)))
-                     .join(sets, ["key_a", "key_b", "n", "alone"]).select("id", "doc_id", "node", "copies"), "jaccard-members")
-
-    nodes = members.where("id = node").select("id")
-    posted = (rows.select(F.col(uid).alias("id"), F.col(f"{s}.bands").alias("bands")).join(nodes, "id")
-              .select("id", F.explode("bands").alias("bucket")))
+    marks = marks.withColumn("alone", F.coalesce(alone, F.lit(-1)))
+    key = ["key_a", "key_b", "n", "alone"]
+    sets = marks.groupBy(*key).agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    copied = stored(sets.where("copies > 1"), "jaccard-copied")
+    of = (marks.join(copied, key, "left").select(
+        "id", "doc_id", "n", F.coalesce("node", "id").alias("node"), F.coalesce("copies", F.lit(1)).alias("copies")))
+    members = stored(of, "jaccard-members")
+    spare = members.where("id <> node").select(F.col("id").alias(uid))
+
+    posted = (without(rows.select(uid, F.col(f"{s}.bands").alias("bands")), uid, spare)
+              .select(F.col(uid).alias("id"), F.explode("bands").alias("bucket")))
+    posted = stored(posted, "jaccard-posted")
     buckets = stored(posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("leader"))
                      .where("size > 1"), "jaccard-buckets")
-    shared = stored(posted.join(buckets, "bucket"), "jaccard-shared")
+    shared = stored(only(posted, "bucket", buckets.select("bucket")).join(buckets, "bucket"), "jaccard-shared")
+    # from here on, only nodes that share a bucket with another
+    near = stored(only(rows.select(uid, "text", F.col(f"{s}.sketch").alias("sketch")), uid,
+                       shared.select(F.col("id").alias(uid)).distinct()).withColumnRenamed(uid, "id"), "jaccard-near")
+    sketches = near.select("id", "sketch")
 
     # every node against the leader of each of its buckets
     led = shared.where("id <> leader").select("id", "leader").distinct()
@@ -297,15 +304,14 @@ def classify(docs: DataFrame) -> tuple[DataFrame, str, DataFrame]:
     bridges = _sorted_tasks(_block_pairs(todo, "bucket", "size").select("key", "side", "comp", "sketch")).mapInArrow(
         _join_groups, "a long, b long").distinct()
     second = components(bridges)
-    nodes_of = grouped.select("id", "comp").distinct()
-    merged = nodes_of.join(second.select(F.col("id").alias("comp"), F.col("comp").alias("top")), "comp", "left").select(
+    merged = grouped.select("id", "comp").distinct().join(
+        second.select(F.col("id").alias("comp"), F.col("comp").alias("top")), "comp", "left").select(
         "id", F.coalesce("top", "comp").alias("comp"))
     merged = stored(merged, "jaccard-groups")
     sizes = stored(merged.groupBy("comp").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "jaccard-sizes")
 
     # exact verification inside each group
-    work = (merged.join(sizes, "comp").join(members.where("id = node").select("id", "copies"), "id")
-            .join(rows.select(F.col(uid).alias("id"), "text", F.col(f"{s}.sketch").alias("sketch")), "id"))
+    work = merged.join(sizes, "comp").join(members.where("id = node").select("id", "copies"), "id").join(near, "id")
     verified = stored(_sorted_tasks(_block_pairs(work, "comp", "size").select("key", "side", "id", "copies", "text", "sketch"))
                       .mapInArrow(_verify, "id long, root long, links long"), "jaccard-links")
     final = components(verified.select(F.col("id").alias("a"), F.col("root").alias("b")))
@@ -328,5 +334,7 @@ def one_per_class(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class: the one of the smallest doc_id."""
     rows, uid, classes = classify(docs)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
-    kept = classes.groupBy("comp").agg(F.min(order).alias("best")).select(F.col("best.id").alias(uid))
-    return rows.join(kept, uid, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    best = stored(classes.groupBy("comp").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("size"))
+                  .where("size > 1").select("comp", F.col("best.id").alias("best")), "jaccard-best")
+    spare = stored(classes.join(best, "comp").where("id <> best").select(F.col("id").alias(uid)), "jaccard-spare")
+    return without(rows, uid, spare).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -55,3 +55,17 @@ def test_task_functions_travel_by_value(spark):
     import insight.llm.rules as rules
     assert b"insight.llm.rules\n" not in cloudpickle.dumps(rules.statistics)
     assert np.array_equal(cloudpickle.loads(cloudpickle.dumps(rules._repeated))(np.array([1, 2, 1])), [True, False, True])
+
+
+def test_only_and_without_are_exact(spark, monkeypatch):
+    import insight.llm.common as common
+    df = spark.range(2000).selectExpr("id % 700 as k", "id as v", "'x' as __other")
+    ids = spark.createDataFrame([(i,) for i in range(0, 900, 7)] + [(-5,)], "k bigint")
+    want = [v for v in range(2000) if (v % 700) % 7 == 0]
+    for bits in (1 << 26, 1 << 8):  # with few bits, many rows need the exact join
+        monkeypatch.setattr(common, "FILTER_BITS", bits)
+        assert sorted(r["v"] for r in common.only(df, "k", ids).collect()) == want
+        assert sorted(r["v"] for r in common.without(df, "k", ids).collect()) == sorted(set(range(2000)) - set(want))
+        assert common.only(df, "k", ids).columns == df.columns
+    assert common.only(df, "k", ids.where("k < -9")).count() == 0
+    assert common.without(df, "k", ids.where("k < -9")).count() == 2000
