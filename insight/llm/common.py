@@ -25,6 +25,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Text handled at once inside a task.  Bounds the numpy temporaries; a longer
 #: single text is still handled whole, alone.
 SLICE_BYTES = 4 << 20
+CHUNK = 1 << 18
 
 
 def lower_ascii(text: Column) -> Column:
@@ -121,14 +122,22 @@ def segments(flags: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte run (polynomial over the run, mixed with its length)."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    out = np.zeros(len(starts), np.uint64)
     lens = ends - starts
-    flat = np.arange(int(lens.sum()), dtype=np.int64)
-    first = np.concatenate([[0], np.cumsum(lens)[:-1]])
-    pos = flat - np.repeat(first, lens)
-    vals = (data[pos + np.repeat(starts, lens)].astype(np.uint64) + np.uint64(1)) * _powers(int(lens.max()))[pos]
-    return mix(np.add.reduceat(vals, first) + lens.astype(np.uint64) * MULT)
+    total = np.cumsum(lens)
+    a = 0
+    while a < len(starts):  # about CHUNK bytes at a time: small temporaries that stay in the cache
+        done = total[a] - lens[a]
+        b = max(a + 1, int(np.searchsorted(total, done + CHUNK, side="right")))
+        own = lens[a:b]
+        first = total[a:b] - own - done
+        pos = np.arange(int(own.sum()), dtype=np.int64) - np.repeat(first, own)
+        vals = (data[pos + np.repeat(starts[a:b], own)].astype(np.uint64) + np.uint64(1)) * _powers(int(own.max()))[pos]
+        # an empty run (a cut-off word) would take the next one's first value
+        filled = own > 0
+        out[a:b][filled] = np.add.reduceat(vals, first[filled]) if filled.any() else 0
+        a = b
+    return mix(out + lens.astype(np.uint64) * MULT)
 
 
 def words_in(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> Words:

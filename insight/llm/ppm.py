@@ -35,6 +35,10 @@ from insight.llm.common import IS_SPACE, TO_LOWER, ranges, stored, text_slices,
 
 ORDER = 5
 NODES = 1 << 20
+#: Text whose n-grams are held at once; n-grams a task sums up before it passes them on.
+GRAM_BYTES, HELD = 1 << 20, 2_000_000
+#: Text whose words form one slice.
+WORD_BYTES = 8 << 20
 #: Bytes that UTF-8 never uses: the sign before a text, the sign after it.
 BEFORE, AFTER = 0xFE, 0xFF
 ALPHABET = 256
@@ -57,24 +61,30 @@ def context_grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return grams[real], lens + 1
 
 
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    codes, distinct = pd.factorize(np.concatenate(keys))
+    return distinct, np.bincount(codes, weights=np.concatenate(counts)).astype(np.int64)
+
+
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    def rows(g, n):
+        return pa.RecordBatch.from_arrays([pa.array(g.astype(np.int64)), pa.array(n)], ["gram", "n"])
+
+    keys, counts, size = [], [], 0
     for batch in batches:
-        for _, _, raw, offs in text_slices(batch.column("text")):
+        for _, _, raw, offs in text_slices(batch.column("text"), GRAM_BYTES):
             codes, new = pd.factorize(context_grams(raw, offs)[0])
-            keys = np.concatenate([keys, new])
-            counts = np.concatenate([counts, np.bincount(codes)])
-            if len(keys) > 4_000_000:
-                yield _gram_rows(keys, counts)
-                keys, counts = keys[:0], counts[:0]
-    if len(keys):
-        yield _gram_rows(keys, counts)
-
-
-def _gram_rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    codes, keys = pd.factorize(keys)
-    total = np.bincount(codes, weights=counts).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(total)], ["gram", "n"])
+            keys.append(new)
+            counts.append(np.bincount(codes))
+            size += len(new)
+            if size > HELD:
+                g, n = _summed(keys, counts)
+                keys, counts, size = [g], [n], len(g)
+                if size > HELD // 2:
+                    yield rows(g, n)
+                    keys, counts, size = [], [], 0
+    if keys:
+        yield rows(*_summed(keys, counts))
 
 
 def count_contexts(texts: DataFrame) -> DataFrame:
@@ -87,7 +97,10 @@ def count_contexts(texts: DataFrame) -> DataFrame:
 
 
 class Trie:
-    """Contexts of each order as sorted arrays: totals, symbols, and mass excluded one order below."""
+    """By order, as sorted arrays: n-grams, counts and context numbers; contexts, totals, symbols, excluded mass.
+
+    The excluded mass of a context is what its symbols count one order below.
+    """
 
     def __init__(self, levels: list[tuple]):
         self.levels = levels
@@ -106,7 +119,8 @@ class Trie:
             else:
                 short = grams & np.uint64((1 << 8 * k) - 1)
                 shadow = np.add.reduceat(below[1][np.searchsorted(below[0], short)], start)
-            levels.append((grams, counts, ctx, total, kinds, shadow))
+            own = np.repeat(np.arange(len(ctx), dtype=np.int32), kinds)
+            levels.append((grams, counts, own, ctx, total, kinds, shadow))
             below = grams, counts
         return cls(levels)
 
@@ -116,24 +130,25 @@ class Trie:
         out, open_ = np.zeros(n), np.arange(n)
         mass, kinds_out = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for k in range(len(self.levels) - 1, -1, -1):
-            all_grams, counts, ctx, total, kinds, shadow = self.levels[k]
+            all_grams, counts, own, ctx, total, kinds, shadow = self.levels[k]
             if not len(ctx) or not len(open_):
                 continue
             g = grams[open_] & np.uint64((1 << 8 * (k + 1)) - 1)
-            at = np.minimum(np.searchsorted(ctx, g >> np.uint64(8)), len(ctx) - 1)
-            seen = ctx[at] == g >> np.uint64(8)
             place = np.minimum(np.searchsorted(all_grams, g), len(all_grams) - 1)
             found = all_grams[place] == g
-            left = total[at] - mass[open_]
-            rest = kinds[at] - kinds_out[open_]
-            room = np.maximum(left + rest, 1)
-            hit = seen & found
-            out[open_[hit]] += np.log10(counts[place[hit]] / room[hit])
-            escape = seen & ~found & (rest > 0)  # with nothing left to predict, the escape is certain
-            out[open_[escape]] += np.log10(rest[escape] / room[escape])
-            miss = seen & ~found
-            mass[open_[miss]], kinds_out[open_[miss]] = shadow[at[miss]], kinds[at[miss]]
-            open_ = open_[~hit]
+            hit, place = open_[found], place[found]
+            at = own[place]
+            room = total[at] - mass[hit] + kinds[at] - kinds_out[hit]
+            out[hit] += np.log10(counts[place] / room)
+            # the others escape, if their context is known; with nothing left to predict, that is certain
+            open_, g = open_[~found], g[~found] >> np.uint64(8)
+            at = np.minimum(np.searchsorted(ctx, g), len(ctx) - 1)
+            seen = ctx[at] == g
+            miss, at = open_[seen], at[seen]
+            rest = kinds[at] - kinds_out[miss]
+            room = np.maximum(total[at] - mass[miss] + rest, 1)
+            out[miss] += np.where(rest > 0, np.log10(np.maximum(rest, 1) / room), 0.0)
+            mass[miss], kinds_out[miss] = shadow[at], kinds[at]
         out[open_] -= np.log10(np.maximum(ALPHABET - kinds_out[open_], 1))
         return out
 
@@ -161,17 +176,20 @@ def _slices(levels):
         trie = Trie(levels.value)
         for batch in batches:
             held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
-            for a, b, raw, offs in text_slices(batch.column("text")):
-                grams, many = context_grams(raw, offs)
-                codes, kinds = pd.factorize(grams)
-                score = np.add.reduceat(trie.log10(kinds)[codes], np.cumsum(many) - many)
+            text = batch.column("text")
+            for a, b, raw, offs in text_slices(text, WORD_BYTES):
+                score = []
+                for _, _, part, cuts in text_slices(text.slice(a, b - a), GRAM_BYTES):
+                    grams, many = context_grams(part, cuts)
+                    codes, kinds = pd.factorize(grams)
+                    score.append(np.add.reduceat(trie.log10(kinds)[codes], np.cumsum(many) - many))
                 words = words_in(TO_LOWER[raw], offs, ~IS_SPACE)
                 codes, kinds = pd.factorize(words.hashes)
                 learned = np.bincount(codes[~held[a:b][words.text_ids]], minlength=len(kinds))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x], t) for x, t in (
                         (batch.column("doc_id").slice(a, b - a).to_pylist(), pa.list_(pa.int64())),
-                        (held[a:b].tolist(), pa.list_(pa.bool_())), (score, pa.list_(pa.float64())),
+                        (held[a:b].tolist(), pa.list_(pa.bool_())), (np.concatenate(score), pa.list_(pa.float64())),
                         (words.counts.astype(np.int32), pa.list_(pa.int32())),
                         (codes.astype(np.int32).tobytes(), pa.binary()), (kinds.tobytes(), pa.binary()),
                         (learned.astype(np.int64).tobytes(), pa.binary()))],
