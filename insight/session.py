@@ -5,7 +5,10 @@ Library operators never call these: a cluster job owns its session.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,19 +39,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, setting a scratch one only if unset.
+    """Return the checkpoint directory, setting a scratch one only in local mode.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (local tests) do we create a
-    fresh scratch folder.
+    On a cluster ``spark.checkpoint.dir`` names a folder that all executors
+    share, and it is used as is.  Without it a cluster session is refused:
+    each executor would write to its own disk.  A local session (tests) gets a
+    fresh scratch folder, removed when the process ends.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder shared by all executors (master is {master})")
     path = tempfile.mkdtemp(prefix="insight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, path, True)
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -7,21 +7,34 @@ back.  That removes repeated recomputation, cuts the lineage (a lost
 executor never forces the upstream plan to re-run), and gives the optimizer
 the table's real size, so joins against a small model are broadcast on
 evidence rather than on a guess.  Executor-local checkpoints are never used.
+
+Tables stay until :func:`release` removes those of the application; a job
+calls it when its results are written.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from insight.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def _root(spark: SparkSession) -> str:
+    app = "".join(c if c.isalnum() else "-" for c in spark.sparkContext.applicationId)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/insight-{app}"
+
+
+def materialize(df: DataFrame, name: str = "table", compression: str = "zstd") -> DataFrame:
     """Write ``df`` under the checkpoint folder and return a scan of it."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/insight-{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    path = f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").option("compression", compression).parquet(path)
     return spark.read.parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every table this application has materialised."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

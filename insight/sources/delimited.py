@@ -20,6 +20,22 @@ from pyspark.sql import types as T
 NA_TOKENS = ("", "NA", "NULL", "NaN", "null", "Null", "<NA>")
 
 
+# Fields in double quotes may hold separators, line breaks and doubled quotes.
+# A file with quoted line breaks cannot be cut, so a large input should be
+# many files.
+QUOTING = {"quote": '"', "escape": '"', "multiLine": "true"}
+
+
+def parse_lines(lines: DataFrame, column: str, names: Sequence[str], sep: str = ";",
+                types: Mapping[str, str] | None = None) -> DataFrame:
+    """Delimited records held in a text column: the other columns are kept, ``column`` is replaced by ``names``."""
+    schema = ", ".join(f"`{n}` string" for n in names)
+    record = F.from_csv(F.col(column), schema, {"sep": sep, "quote": '"', "escape": '"'})
+    rest = [c for c in lines.columns if c != column]
+    df = lines.withColumn("__record", record).select(*[F.col(f"`{c}`") for c in rest], "__record.*")
+    return _apply_types(df, types or {})
+
+
 def normalise_na(df: DataFrame, tokens: Sequence[str] = NA_TOKENS,
                  columns: Sequence[str] | None = None) -> DataFrame:
     """Trim string cells and turn every listed token into null."""
@@ -84,7 +100,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ",", header: bool
     pass); without it and with ``infer=True`` one aggregation job guesses them.
     """
     raw = (spark.read.option("header", header).option("sep", sep)
-           .option("multiLine", False).option("mode", "PERMISSIVE").csv(path))
+           .options(**QUOTING).option("mode", "PERMISSIVE").csv(path))
     clean = normalise_na(raw, na_tokens)
     if types is None and infer:
         types = infer_types(clean)
@@ -95,5 +111,5 @@ def read_headerless(spark: SparkSession, path: str, names: Sequence[str], sep: s
                     types: Mapping[str, str] | None = None) -> DataFrame:
     """Headerless delimited file with caller-given column names."""
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    df = spark.read.schema(schema).option("header", False).option("sep", sep).csv(path)
+    df = spark.read.schema(schema).option("header", False).option("sep", sep).options(**QUOTING).csv(path)
     return _apply_types(df, types or {})

@@ -10,9 +10,9 @@ def read_lines(spark: SparkSession, path: str, key: str = "line_id",
                text: str = "text") -> DataFrame:
     """Read text files as ``(line_id, file, text)``.
 
-    ``line_id`` is monotonically increasing in file order (partition index in
-    the high bits, position in the low bits): unique and order-preserving
-    without a global sort or a single-task window.
+    ``line_id`` is unique and rises with the position within a file.  Spark
+    deals files to tasks by size, so it does not order lines of different
+    files: sort by ``(file, line_id)``.
     """
     df = spark.read.text(path)
     return df.select(

@@ -41,3 +41,35 @@ def test_text_lines_round_trip(spark):
     back = read_lines(spark, os.path.join(d, "out"))
     got = [r["text"] for r in back.orderBy("line_id").collect()]
     assert got == ["first line", "", "third"]
+
+
+def test_quoted_fields_with_breaks_and_doubled_quotes(spark):
+    d = _tmpdir()
+    path = os.path.join(d, "posts.csv")
+    open(path, "w").write('id,text\n1,"a, ""b""\nsecond line"\n2," NA "\n3,plain\n')
+    rows = {r["id"]: r["text"] for r in read_delimited(spark, path).collect()}
+    assert rows == {1.0: 'a, "b"\nsecond line', 2.0: None, 3.0: "plain"}
+    path = os.path.join(d, "train.csv")
+    open(path, "w").write('"x ""q""; y";positive\n"two\nlines";negative\n')
+    df = read_headerless(spark, path, ["tweet", "label"])
+    assert sorted(tuple(r) for r in df.collect()) == [("two\nlines", "negative"), ('x "q"; y', "positive")]
+
+
+def test_parse_lines_keeps_the_other_columns(spark):
+    from insight.sources.delimited import parse_lines
+    df = spark.createDataFrame([(1, '"a;b";2'), (2, "c;x")], "k int, line string")
+    out = parse_lines(df, "line", ["t", "n"], types={"n": "int"})
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a;b", 2), (2, "c", None)]
+
+
+def test_lines_of_several_files_sort_by_file_and_id(spark):
+    d = _tmpdir()
+    want = []
+    for name, n in (("b.txt", 3), ("a.txt", 200), ("c.txt", 1)):
+        lines = [f"{name} {i}" for i in range(n)] + [""]
+        open(os.path.join(d, name), "w").write("\n".join(lines) + "\n")
+        want.append((name, lines))
+    got = {}
+    for r in read_lines(spark, d).orderBy("file", "line_id").collect():
+        got.setdefault(os.path.basename(r["file"]), []).append(r["text"])
+    assert got == dict(want)
