@@ -19,6 +19,7 @@ from insight.functions.nulls import is_na
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
 FLOATING = (T.FloatType, T.DoubleType)
+DATED = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _q(name: str) -> Column:
@@ -79,7 +80,7 @@ def na_positions(df: DataFrame, key: str, columns: Sequence[str] | None = None,
 
     With ``row_numbers=True`` a ``row`` column holds R's 1-based row number
     in key order, computed by :func:`insight.operators.ranking.row_positions`
-    (range partitions + per-partition offsets, no single-task sort).
+    (range partitions and per-partition offsets, no single-task sort).
     """
     cols = [c for c in (columns or df.columns) if c != key]
     src = df
@@ -94,35 +95,42 @@ def na_positions(df: DataFrame, key: str, columns: Sequence[str] | None = None,
             .select("column", key, *extra))
 
 
-def column_summary(df: DataFrame, columns: Sequence[str] | None = None,
-                   method: str = "auto", accuracy: int = 10000) -> DataFrame:
-    """EX6: ``summary()`` of numeric columns: min, quartiles, mean, max and NA count.
+def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """EX6: ``summary()``: a row per column with its ``kind``.
 
-    Quartiles are type-7 and exact.  ``method="auto"`` (default) uses Spark's
-    exact aggregate when every column has a bounded number of distinct
-    values and otherwise distributed range refinement over the unpivoted
-    columns (a whole column is never merged in one task); ``"refine"`` and
-    ``"percentile"`` force one of them, ``"approx"`` uses a fixed-size sketch.  NAs (and NaN) are left
-    out of the statistics and counted, as R's summary does.
+    Numeric columns: min, exact type-7 quartiles, mean, max and NA count, with
+    NAs (and NaN) left out of the statistics, as R's summary does.  Date and
+    timestamp columns: the same, as seconds since 1970.  Other columns: length
+    (``n``), as R reports character columns, and NA count; nulls elsewhere.
     """
-    from insight.operators.stats import _hinges
+    from insight.operators.quantiles import quantile_columns
 
-    cols = [c for c in (columns or df.columns) if is_numeric(df, c)]
-    aggs, rows = [], []
+    cols = list(columns or df.columns)
+    dated = {c: isinstance(_field(df, c).dataType, DATED) for c in cols}
+    measured = [c for c in cols if is_numeric(df, c) or dated[c]]
+    value = {c: F.unix_micros(_q(c).cast("timestamp")) / F.lit(1e6) if dated[c] else _q(c).cast("double")
+             for c in measured}
+    aggs, rows = [F.count(F.lit(1)).alias("n")], []
+    none = F.lit(None).cast("double")
     for i, c in enumerate(cols):
-        x = F.when(~_na(df, c), _q(c).cast("double"))
-        aggs += [F.min(x).alias(f"min{i}"), F.avg(x).alias(f"mean{i}"),
-                 F.max(x).alias(f"max{i}"), F.count_if(_na(df, c)).alias(f"na{i}")]
-        rows.append(F.struct(F.lit(c).alias("column"), F.col(f"min{i}").alias("min"),
-                             F.col(f"mean{i}").alias("mean"), F.col(f"max{i}").alias("max"),
+        aggs.append(F.count_if(_na(df, c)).alias(f"na{i}"))
+        stats = [none.alias("min"), none.alias("mean"), none.alias("max")]
+        if c in value:
+            x = F.when(~_na(df, c), value[c])
+            aggs += [F.min(x).alias(f"min{i}"), F.avg(x).alias(f"mean{i}"), F.max(x).alias(f"max{i}")]
+            stats = [F.col(f"{s}{i}").alias(s) for s in ("min", "mean", "max")]
+        kind = "date" if dated[c] else "numeric" if c in value else "text"
+        rows.append(F.struct(F.lit(c).alias("column"), F.lit(kind).alias("kind"), F.col("n"), *stats,
                              F.col(f"na{i}").alias("n_na")))
     simple = _explode_rows(df.agg(*aggs), rows)
+    out = ["column", "kind", "n", "min", "q1", "median", "mean", "q3", "max", "n_na"]
+    if not measured:
+        return simple.select(*[F.col(c) if c in simple.columns else none.alias(c) for c in out])
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.when(~_na(df, c), _q(c).cast("double")).alias("value"))
-        for c in cols])).alias("__c")).select("__c.*")
-    quart = _hinges(long, ["column"], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"], method, accuracy)
-    return (simple.join(quart.drop("n"), "column", "left")
-            .select("column", "min", "q1", "median", "mean", "q3", "max", "n_na"))
+        F.struct(F.lit(c).alias("column"), F.when(~_na(df, c), value[c]).alias("value"))
+        for c in measured])).alias("__c")).select("__c.*")
+    quart = quantile_columns(long, ["column"], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    return simple.join(quart.drop("n"), "column", "left").select(*out)
 
 
 def column_mean_sd(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -170,8 +178,8 @@ def first_seen_levels(df: DataFrame, column: str, key: str) -> DataFrame:
 
 
 def count_where(df: DataFrame, condition: Column, name: str = "n") -> DataFrame:
-    """EX16: ``filter(...) %>% nrow()`` as a one-row aggregate."""
-    return df.agg(F.count_if(condition).alias(name))
+    """EX16: ``filter(...) %>% nrow()``: the filter can reach the scan, the count is one row."""
+    return df.filter(condition).agg(F.count(F.lit(1)).alias(name))
 
 
 def apply_per_column(df: DataFrame, fn: Callable[[Column], Column],

@@ -1,27 +1,18 @@
 """Exact type-7 quantiles without gathering a group into one task.
 
-Spark's exact ``percentile`` merges a value->count map per group in a single
-task: fine for columns with few distinct values, fatal for a continuous
-column whose hot group holds a third of 100 TB.  Here every quantile is found
-by range refinement, all in DataFrame jobs:
-
-1. Per group: ``n``, min, max.  Each probability ``p`` asks for the order
-   statistics at 0-based ranks ``floor(h)`` and ``ceil(h)``, ``h = (n-1)p``
-   (R type 7 / ``quantile_cont``); each such rank is a *target*.
-2. While a target's value range ``[lo, hi]`` still holds more than
-   ``max_exact`` values: one pass counts the values of the range in
-   ``bins`` equal-width buckets (partial aggregation; the result has at most
-   targets x bins rows), the bucket holding the target rank becomes the new
-   range (shrunk to the actual min/max inside it) and the count of values
-   below it is carried along.
-3. Then the remaining slice (at most ``max_exact`` values per target) is
-   ranked exactly with a window partitioned by target.
-
-A range that collapses to one value answers immediately (point masses), so
-the loop ends after a few rounds even for heavily repeated values.  The
-driver sees one integer per round (the number of unfinished targets); the
-small target table is written to the checkpoint folder each round so
-lineage stays short.
+One algorithm at every size, for finite and infinite values:
+
+1. Equal values of a group are counted (partial aggregation), so a value that
+   holds many rows is one row from here on.
+2. The distinct (group, value) rows are sorted over range partitions
+   (:func:`insight.operators.ranking.ranged`): a large group spans many
+   partitions, a partition may hold many small groups.
+3. Rows per (group, partition) are summed; their running sums say in which
+   partition each wanted rank lies.  Only those partitions are cumulated, and
+   the row that covers the rank is taken.
+
+For a probability ``p`` the ranks are ``floor(h)`` and ``ceil(h)`` with
+``h = (n - 1) p`` (R type 7 / ``quantile_cont``).
 """
 
 from __future__ import annotations
@@ -32,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from insight.operators.joins import nsjoin
+from insight.operators.ranking import ranged
 from insight.sources.checkpoint import materialize
 
 
@@ -42,8 +34,7 @@ def _keys(by) -> list[str]:
 
 
 def exact_quantiles(df: DataFrame, by: str | Sequence[str] | None, value: str,
-                    probs: Sequence[float], bins: int = 1024, max_exact: int = 200_000,
-                    max_rounds: int = 12) -> DataFrame:
+                    probs: Sequence[float]) -> DataFrame:
     """``(by..., p, q, n)``: type-7 quantile ``q`` of ``value`` for each ``p``.
 
     Nulls and NaN are left out; a group with no values gives no rows.
@@ -52,91 +43,43 @@ def exact_quantiles(df: DataFrame, by: str | Sequence[str] | None, value: str,
     keys = out_keys or ["__g"]
     v = F.col(value).cast("double")
     src = df if out_keys else df.withColumn("__g", F.lit(0))
-    base = src.select(*keys, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"),
-                                    F.max("__v").alias("hi"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    per_p = (stats.select(*keys, "n", "lo", "hi", F.explode(probs_arr).alias("p"))
-             .withColumn("h", (F.col("n") - 1) * F.col("p")))
-    ranks = (per_p.select(*keys, "p", "n", "lo", "hi",
-                          F.explode(F.array_distinct(F.array(F.floor("h"), F.ceil("h")))).alias("r")))
-    targets = (ranks.select(*keys, "r", "n", "lo", "hi").distinct()
-               .withColumn("tid", F.monotonically_increasing_id())
-               .withColumn("below", F.lit(0).cast("long"))
-               .withColumn("cnt", F.col("n")))
-    targets = materialize(targets, "qtargets")
-
-    def active(t: DataFrame) -> DataFrame:
-        return t.filter((F.col("lo") < F.col("hi")) & (F.col("cnt") > max_exact))
-
-    for _ in range(max_rounds):
-        if active(targets).limit(1).count() == 0:
-            break
-        act = active(targets).select(*keys, "tid", "lo", "hi")
-        width = (F.col("hi") - F.col("lo")) / float(bins)
-        bucket = F.least(F.floor((F.col("__v") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-        hist = (nsjoin(base, act, keys)
-                .filter(F.col("__v").between(F.col("lo"), F.col("hi")))
-                .groupBy("tid", bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min("__v").alias("blo"), F.max("__v").alias("bhi")))
-        # at most `bins` rows per target: a small window
-        before = F.coalesce(F.sum("c").over(
-            Window.partitionBy("tid").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        hist = hist.withColumn("cum", before)
-        cur = targets.select("tid", "r", "below")
-        chosen = (hist.join(cur, "tid")
-                  .filter((F.col("r") >= F.col("below") + F.col("cum"))
-                          & (F.col("r") < F.col("below") + F.col("cum") + F.col("c")))
-                  .select("tid", F.col("blo").alias("nlo"), F.col("bhi").alias("nhi"),
-                          (F.col("below") + F.col("cum")).alias("nbelow"), F.col("c").alias("ncnt")))
-        targets = materialize(
-            targets.join(chosen, "tid", "left").select(
-                *keys, "r", "n", "tid",
-                F.coalesce("nlo", "lo").alias("lo"), F.coalesce("nhi", "hi").alias("hi"),
-                F.coalesce("nbelow", "below").alias("below"), F.coalesce("ncnt", "cnt").alias("cnt")),
-            "qtargets")
-
-    # exact pass over the remaining slices (<= max_exact values per target)
-    open_t = targets.filter(F.col("lo") < F.col("hi")).select(*keys, "tid", "r", "lo", "hi", "below")
-    slices = (nsjoin(base, open_t, keys).filter(F.col("__v").between(F.col("lo"), F.col("hi")))
-              .withColumn("__pos", F.row_number().over(Window.partitionBy("tid").orderBy("__v")) - 1)
-              .filter(F.col("__pos") == F.col("r") - F.col("below"))
-              .select("tid", F.col("__v").alias("x")))
-    solved = (targets.join(slices, "tid", "left")
-              .select(*keys, "r", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("x")).alias("x")))
-    lo_v = solved.select(*keys, F.col("r").alias("r_lo"), F.col("x").alias("x_lo"))
-    hi_v = solved.select(*keys, F.col("r").alias("r_hi"), F.col("x").alias("x_hi"))
-    out = (per_p.select(*keys, "p", "n", F.floor("h").alias("r_lo"), F.ceil("h").alias("r_hi"),
-                        (F.col("h") - F.floor("h")).alias("frac"))
-           .transform(lambda d: nsjoin(d, lo_v, keys + ["r_lo"]))
-           .transform(lambda d: nsjoin(d, hi_v, keys + ["r_hi"])))
-    q = F.col("x_lo") + F.col("frac") * (F.col("x_hi") - F.col("x_lo"))
-    return out.select(*out_keys, "p", F.when(F.col("frac") == 0, F.col("x_lo")).otherwise(q).alias("q"), "n")
-
-
-# Spark's exact ``percentile`` keeps one map entry per distinct value of a
-# group in the task that merges it; below this many it is safe and fastest.
-DISTINCT_LIMIT = 1_000_000
-
-
-def choose_method(df: DataFrame, by: str | Sequence[str] | None, value: str,
-                  distinct_limit: int = DISTINCT_LIMIT) -> str:
-    """``"percentile"`` when every group has at most ``distinct_limit``
-    distinct values (HyperLogLog estimate, one small job returning one
-    number), else ``"refine"``."""
-    keys = _keys(by)
-    v = F.col(value).cast("double")
-    per = F.approx_count_distinct(v, 0.05)
-    worst = (df.groupBy(*keys).agg(per.alias("d")).agg(F.max("d").alias("d")) if keys
-             else df.agg(per.alias("d")))
-    d = worst.first()["d"] or 0
-    return "percentile" if d <= distinct_limit else "refine"
+    counts = (src.select(*keys, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+              .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")))
+    rows = ranged(counts, [*keys, "__v"])
+
+    # one row per group and partition: how many values lie in earlier partitions
+    parts = rows.groupBy(*keys, "__part").agg(F.sum("__c").alias("__sub"))
+    run = Window.partitionBy(*keys).orderBy("__part")
+    parts = parts.withColumn("__before", F.sum("__sub").over(run) - F.col("__sub"))
+    parts = parts.withColumn("n", F.sum("__sub").over(Window.partitionBy(*keys)))
+    parts = materialize(parts, "quantile-parts")
+
+    h = (F.col("n") - 1) * F.col("p")
+    wanted = (parts.groupBy(*keys).agg(F.first("n").alias("n"))
+              .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+              .withColumn("h", h).withColumn("lo", F.floor("h")).withColumn("hi", F.ceil("h")))
+    ranks = wanted.select(*keys, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("r")).distinct()
+    at = (nsjoin(ranks, parts.drop("n"), keys)
+          .filter((F.col("r") >= F.col("__before")) & (F.col("r") < F.col("__before") + F.col("__sub")))
+          .select(*keys, "__part", "r", "__before"))
+    upto = F.sum("__c").over(Window.partitionBy(*keys, "__part", "r").orderBy("__v"))
+    found = (nsjoin(rows.select(*keys, "__part", "__v", "__c"), at, [*keys, "__part"])
+             .withColumn("__upto", F.col("__before") + upto)
+             .filter((F.col("r") < F.col("__upto")) & (F.col("r") >= F.col("__upto") - F.col("__c")))
+             .select(*keys, "r", F.col("__v").alias("x")))
+    found = materialize(found, "quantile-values")
+    out = nsjoin(wanted, found.select(*keys, F.col("r").alias("lo"), F.col("x").alias("x_lo")), [*keys, "lo"])
+    out = nsjoin(out, found.select(*keys, F.col("r").alias("hi"), F.col("x").alias("x_hi")), [*keys, "hi"])
+    # equal neighbours first: Inf - Inf is no difference
+    q = (F.when(F.col("x_lo") == F.col("x_hi"), F.col("x_lo"))
+         .otherwise(F.col("x_lo") + (F.col("h") - F.col("lo")) * (F.col("x_hi") - F.col("x_lo"))))
+    return out.select(*out_keys, "p", q.alias("q"), "n")
 
 
 def quantile_columns(df: DataFrame, by: str | Sequence[str] | None, value: str,
-                     probs: Sequence[float], names: Sequence[str], **kw) -> DataFrame:
+                     probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """Wide form: one column per probability (``names``), plus ``n``."""
     keys = _keys(by)
-    long = exact_quantiles(df, keys, value, probs, **kw)
+    long = exact_quantiles(df, keys, value, probs)
     aggs = [F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(name) for p, name in zip(probs, names)]
     return long.groupBy(*keys).agg(*aggs, F.max("n").alias("n"))

@@ -46,16 +46,6 @@ def top_n(df: DataFrame, n: int, weight: str, by: str | Sequence[str] | None = N
     return with_scalar(present, threshold).filter(w >= F.col(thr)).drop(thr)
 
 
-def arrange(df: DataFrame, *order: Column) -> DataFrame:
-    """SO1/SO4/SO6: total order.  Callers add a key as the last term for stability."""
-    return df.orderBy(*order)
-
-
-def arrange_desc(df: DataFrame, weight: str, *tie_keys: str) -> DataFrame:
-    """SO1: descending, NA last, ties by the given keys."""
-    return df.orderBy(F.col(weight).desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in tie_keys])
-
-
 def first_rows(df: DataFrame, key: str | Sequence[str], n: int = 6) -> DataFrame:
     """EX1 / SO5: first ``n`` rows by key (distributed take-ordered)."""
     return df.orderBy(*[F.col(k).asc() for k in _cols(key)]).limit(n)
@@ -67,48 +57,35 @@ def last_rows(df: DataFrame, key: str | Sequence[str], n: int = 6) -> DataFrame:
     return df.orderBy(*[F.col(k).desc() for k in keys]).limit(n).orderBy(*keys)
 
 
-def _range_bounds(df: DataFrame, key: str, parts: int, seed: int = 17) -> list:
-    """Split points for ``parts`` key ranges, from a bounded random sample.
+def ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` sorted over range partitions and stored, with ``__part`` and ``__at``.
 
-    Like Spark's range partitioner this collects a sample of the key (about
-    50 values per range) to the driver -- but once, so the ranges are fixed
-    literals and every evaluation of the plan assigns rows identically.
+    Spark's range partitioning deals the rows by the ``order`` columns (use a
+    combination without repeats: all rows of one value go to one range); each
+    partition is sorted and its rows are numbered from 0 where they stand.
+    Partitions are numbered in order, so the position of a row is the number of
+    rows in earlier partitions plus ``__at``.  The result is written once:
+    every reader sees the same numbers.
     """
-    total = df.count()
-    if total == 0 or parts <= 1:
-        return []
-    frac = min(1.0, 60.0 * parts / total)
-    sample = sorted(r[0] for r in df.select(key).sample(False, frac, seed).collect() if r[0] is not None)
-    if not sample:
-        return []
-    picks = [sample[min(len(sample) - 1, (len(sample) * i) // parts)] for i in range(1, parts)]
-    return sorted(set(picks))
+    from insight.sources.checkpoint import materialize
+    number = F.monotonically_increasing_id()  # partition number in the high bits, place in it below
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", number)
+    return materialize(cut.withColumn("__part", F.shiftright("__id", 33))
+                       .withColumn("__at", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))).drop("__id"), "ranged")
 
 
-def row_positions(df: DataFrame, key: str, name: str = "row", partitions: int | None = None) -> DataFrame:
+def row_positions(df: DataFrame, key: str, name: str = "row") -> DataFrame:
     """1-based position of every row in ``key`` order, without a single-task sort.
 
-    Rows go to key ranges (split points drawn once from a bounded sample),
-    rows are counted per range, the counts -- one row per range -- are turned
-    into offsets, and rows are numbered inside their range (a window
-    partitioned by range).  Null keys come first, as in an ascending sort.
-    Ties in the key get consecutive positions in an arbitrary order, so use a
-    unique key.
+    Null keys come first, as in an ascending sort.  Equal keys get consecutive
+    positions in an arbitrary order; a row id as a second sort column
+    spreads them (nulls too) over ranges.  Row counts per range -- one row per
+    range -- become offsets.
     """
-    parts = partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = _range_bounds(df, key, parts)
-    k = F.col(key)
-    rng = F.when(k.isNull(), F.lit(0))
-    for i, b in enumerate(bounds):
-        rng = rng.when(k < F.lit(b), F.lit(i))
-    rng = rng.otherwise(F.lit(len(bounds)))
-    ranged = df.withColumn("__pid", rng)
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
-    # one row per range (at most `parts`): a small table, summed in order
-    offsets = counts.select("__pid", F.coalesce(F.sum("__c").over(
-        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    local = F.row_number().over(Window.partitionBy("__pid").orderBy(k.asc_nulls_first()))
-    return (ranged.withColumn("__rn", local)
-            .join(F.broadcast(offsets), "__pid")
-            .withColumn(name, F.col("__off") + F.col("__rn"))
-            .drop("__pid", "__rn", "__off"))
+    tied = df.withColumn("__tie", F.monotonically_increasing_id())
+    rows = ranged(tied, [key, "__tie"]).drop("__tie")
+    counts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__off"))
+    return (rows.join(F.broadcast(offsets), "__part")
+            .withColumn(name, F.col("__off") + F.col("__at") + 1)
+            .drop("__part", "__at", "__off"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from insight.functions.nulls import ColumnLike, col_of
 from insight.operators.aggregate import with_scalar
 from insight.operators.joins import nsjoin
-from insight.operators.quantiles import choose_method, quantile_columns
+from insight.operators.quantiles import quantile_columns
 
 
 def censor(c: ColumnLike, lo: float, hi: float) -> Column:
@@ -27,6 +27,11 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+#: Sums in one aggregate: with many more, its generated code passes the JVM's
+#: 64 KB and Spark falls back to the interpreted path.
+SUMS_AT_ONCE = 36
+
+
 def correlation_long(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
                      na_propagate: bool = True) -> DataFrame:
     """AG12: Pearson correlation of every ordered column pair, long form.
@@ -41,7 +46,8 @@ def correlation_long(df: DataFrame, columns: Sequence[str], digits: int | None =
     the aggregation buffer at ~p^2/2 fields so the stage stays inside
     whole-stage code generation (one ``covar_samp`` + two ``stddev_samp``
     per pair would need ~5x more buffer fields and fall back to the
-    interpreted path).  With ``na_propagate=False`` rows are used pairwise
+    interpreted path).  Above ``SUMS_AT_ONCE`` pairs the sums are taken in
+    several passes.  With ``na_propagate=False`` rows are used pairwise
     (a null skips the row for that pair only), via ``covar_samp``.
     """
     cols = list(columns)
@@ -57,8 +63,9 @@ def correlation_long(df: DataFrame, columns: Sequence[str], digits: int | None =
     # of dozens of Column calls
     sums = [F.expr(f"sum((__x{i} - __m{i}) * (__x{j} - __m{j}))").alias(f"s_{i}_{j}")
             for i in range(p) for j in range(i, p)]
-    keep = [F.expr("first(__n)").alias("__n")] + [F.expr(f"first(__k{i})").alias(f"__k{i}") for i in range(p)]
-    wide = centred.agg(*keep, *sums)
+    wide = first.select("__n", *[f"__k{i}" for i in range(p)])
+    for at in range(0, len(sums), SUMS_AT_ONCE):
+        wide = with_scalar(wide, centred.agg(*sums[at:at + SUMS_AT_ONCE]))
     cells = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
@@ -102,40 +109,17 @@ def upper_triangle(corr: DataFrame, include_diagonal: bool = True) -> DataFrame:
     return corr.filter(cond)
 
 
-def _hinges(df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str],
-            method: str, accuracy: int) -> DataFrame:
-    """Per-group quantiles as columns ``names`` plus ``n``.
-
-    ``method``: ``"refine"`` (exact, distributed range refinement -- no group
-    is gathered into one task), ``"percentile"`` (Spark's exact aggregate: a
-    value->count map per group, bounded by the group's distinct values),
-    ``"auto"`` (measure the largest per-group distinct count first and take
-    ``percentile`` below :data:`DISTINCT_LIMIT`, else ``refine``) or
-    ``"approx"`` (fixed-size sketch).
-    """
-    if method == "auto":
-        method = choose_method(df, keys, value)
-    if method == "refine":
-        return quantile_columns(df, keys, value, probs, names)
-    v = F.col(value).cast("double")
-    arr = F.array(*[F.lit(p) for p in probs])
-    q = F.percentile_approx(v, arr, accuracy) if method == "approx" else F.percentile(v, arr)
-    g = df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys).agg(q.alias("__q"), F.count(v).alias("n"))
-    return g.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)], "n")
-
-
-def boxplot_stats(df: DataFrame, by: Sequence[str], value: str, method: str = "auto",
-                  accuracy: int = 10000, coef: float = 1.5) -> DataFrame:
+def boxplot_stats(df: DataFrame, by: Sequence[str], value: str, coef: float = 1.5) -> DataFrame:
     """PD6: hinges, whiskers and outlier counts per group (ggplot's box plot).
 
-    Hinges are type-7 quartiles (see :func:`_hinges` for the methods).
-    Whiskers are the furthest points within ``coef * IQR`` of the hinges.
-    The per-group statistics (one row per group) are joined back null-safely
-    and a second partial aggregate finds whiskers and outlier counts.
+    Hinges are exact type-7 quartiles.  Whiskers are the furthest points within
+    ``coef * IQR`` of the hinges.  The per-group statistics (one row per group)
+    are joined back null-safely and a second partial aggregate finds whiskers
+    and outlier counts.
     """
     keys = list(by)
     v = F.col(value).cast("double")
-    hinges = _hinges(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], method, accuracy)
+    hinges = quantile_columns(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     hinges = (hinges.withColumn("__lo", F.col("q1") - coef * (F.col("q3") - F.col("q1")))
                     .withColumn("__hi", F.col("q3") + coef * (F.col("q3") - F.col("q1"))))
     pts = nsjoin(df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("__v")), hinges, keys)
@@ -147,11 +131,11 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str, method: str = "a
 
 
 def boxplot_outliers(df: DataFrame, by: Sequence[str], value: str, key: Sequence[str] = (),
-                     method: str = "auto", accuracy: int = 10000, coef: float = 1.5) -> DataFrame:
+                     coef: float = 1.5) -> DataFrame:
     """PD6: the points beyond the whiskers, one row each (``by``, ``key``, value)."""
     keys = list(by)
     v = F.col(value).cast("double")
-    h = _hinges(df, keys, value, [0.25, 0.75], ["q1", "q3"], method, accuracy)
+    h = quantile_columns(df, keys, value, [0.25, 0.75], ["q1", "q3"])
     fences = h.select(*keys, (F.col("q1") - coef * (F.col("q3") - F.col("q1"))).alias("__lo"),
                       (F.col("q3") + coef * (F.col("q3") - F.col("q1"))).alias("__hi"))
     pts = nsjoin(df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, *key, v.alias(value)), fences, keys)
@@ -167,11 +151,16 @@ def _bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
             .otherwise(F.least(raw, F.lit(bins - 1)))).cast("int")
 
 
+def _finite(name: str) -> Column:
+    """The value as a double; NaN and infinities, which have no bin, become null."""
+    x = _q(name).cast("double")
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
 def _ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.min(_q(c).cast("double")).alias(f"__min{i}"),
-                 F.max(_q(c).cast("double")).alias(f"__max{i}")]
+        aggs += [F.min(_finite(c)).alias(f"__min{i}"), F.max(_finite(c)).alias(f"__max{i}")]
     return df.agg(*aggs)
 
 
@@ -179,41 +168,37 @@ def histogram_long(df: DataFrame, columns: Sequence[str], bins: int = 10) -> Dat
     """PD7 diagonal: equal-width histogram of each column, ``(var, bin, var_min, var_max, n)``.
 
     One pass for the ranges, one for the counts; rows are exploded into
-    ``(column index, bin)`` pairs and counted on integer keys (the names
-    are attached to the small result).
+    ``(column index, bin)`` pairs and counted on integer keys; the ranges ride
+    along in the aggregate and the names are attached to the small result.
     """
     cols = list(columns)
     withr = with_scalar(df.select(*[_q(c) for c in cols]), _ranges(df, cols))
-    items = [F.struct(F.lit(i).alias("v"),
-                      _bin(_q(c).cast("double"), F.col(f"__min{i}"), F.col(f"__max{i}"), bins).alias("bin"))
+    items = [F.struct(F.lit(i).alias("v"), _bin(_finite(c), F.col(f"__min{i}"), F.col(f"__max{i}"), bins).alias("bin"),
+                      F.col(f"__min{i}").alias("lo"), F.col(f"__max{i}").alias("hi"))
              for i, c in enumerate(cols)]
     counts = (withr.select(F.inline(F.array(*items)))
               .filter(F.col("bin").isNotNull())
-              .groupBy("v", "bin").agg(F.count(F.lit(1)).alias("n")))
+              .groupBy("v", "bin").agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("var_min"),
+                                       F.first("hi").alias("var_max")))
     names = F.array(*[F.lit(c) for c in cols])
-    ranges = _ranges(df, cols)
-    mins = F.array(*[F.col(f"__min{i}") for i in range(len(cols))])
-    maxs = F.array(*[F.col(f"__max{i}") for i in range(len(cols))])
-    return (with_scalar(counts, ranges.select(mins.alias("__mins"), maxs.alias("__maxs")))
-            .select(F.element_at(names, F.col("v") + 1).alias("var"), "bin",
-                    F.element_at("__mins", F.col("v") + 1).alias("var_min"),
-                    F.element_at("__maxs", F.col("v") + 1).alias("var_max"), "n"))
+    return counts.select(F.element_at(names, F.col("v") + 1).alias("var"), "bin", "var_min", "var_max", "n")
 
 
 def pair_bins(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """PD7 off-diagonal: 2-D bin counts for every column pair (instead of all
-    points), ``(var_x, var_y, bin_x, bin_y, n)``.  Rows with a null in
-    either column of a pair are left out of that pair.  Counted on integer
+    points), ``(var_x, var_y, bin_x, bin_y, n)``.  Rows with a null (or
+    NaN, or an infinity) in either column of a pair are left out of that pair.  Counted on integer
     keys ``(pair, bin_x, bin_y)``; names are attached to the small result."""
     cols = list(columns)
     withr = with_scalar(df.select(*[_q(c) for c in cols]), _ranges(df, cols))
-    binned = withr.select(*[_bin(_q(c).cast("double"), F.col(f"__min{i}"), F.col(f"__max{i}"), bins)
-                            .alias(f"__b{i}") for i, c in enumerate(cols)])
+    bin_of = F.array(*[_bin(_finite(c), F.col(f"__min{i}"), F.col(f"__max{i}"), bins) for i, c in enumerate(cols)])
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    items = [F.struct(F.lit(k).alias("pair"), F.col(f"__b{i}").alias("bin_x"), F.col(f"__b{j}").alias("bin_y"))
-             for k, (i, j) in enumerate(pairs)]
-    counts = (binned.select(F.inline(F.array(*items)))
-              .filter(F.col("bin_x").isNotNull() & F.col("bin_y").isNotNull())
+    # the pairs are data, not code: generated code would grow with their number
+    listed = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i + 1).alias("i"), F.lit(j + 1).alias("j"))
+                       for k, (i, j) in enumerate(pairs)])
+    rows = withr.select(bin_of.alias("__b")).select(F.inline(F.transform(listed, lambda x: F.struct(
+        x["k"].alias("pair"), F.element_at("__b", x["i"]).alias("bin_x"), F.element_at("__b", x["j"]).alias("bin_y")))))
+    counts = (rows.filter(F.col("bin_x").isNotNull() & F.col("bin_y").isNotNull())
               .groupBy("pair", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n")))
     xs = F.array(*[F.lit(cols[i]) for i, _ in pairs])
     ys = F.array(*[F.lit(cols[j]) for _, j in pairs])

@@ -3,8 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from insight.operators.quantiles import choose_method, exact_quantiles, quantile_columns
-from insight.operators.stats import boxplot_stats
+from insight.operators.quantiles import exact_quantiles, quantile_columns
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
@@ -17,11 +16,10 @@ def data():
     return rows
 
 
-@pytest.mark.parametrize("max_exact,bins", [(200_000, 1024), (40, 8)])
-def test_exact_quantiles_match_type7(spark, data, max_exact, bins):
+def test_exact_quantiles_match_type7(spark, data):
     df = spark.createDataFrame(data, "g string, v double")
     out = {(r["g"], r["p"]): r["q"] for r in
-           exact_quantiles(df, "g", "v", PROBS, bins=bins, max_exact=max_exact).collect()}
+           exact_quantiles(df, "g", "v", PROBS).collect()}
     for g in ["a", None, "b", "d"]:
         vals = np.array([v for gg, v in data if gg == g and v is not None and v == v])
         for p in PROBS:
@@ -32,16 +30,33 @@ def test_exact_quantiles_match_type7(spark, data, max_exact, bins):
 def test_global_and_wide(spark, data):
     df = spark.createDataFrame(data, "g string, v double")
     vals = np.array([v for _, v in data if v is not None and v == v])
-    glob = {r["p"]: r["q"] for r in exact_quantiles(df, None, "v", [0.5], max_exact=50, bins=4).collect()}
+    glob = {r["p"]: r["q"] for r in exact_quantiles(df, None, "v", [0.5]).collect()}
     assert abs(glob[0.5] - float(np.median(vals))) < 1e-12
     wide = {r["g"]: r for r in quantile_columns(df, "g", "v", [0.25, 0.75], ["q1", "q3"]).collect()}
     assert wide["b"]["q1"] == 1.0 and wide["b"]["n"] == 10
 
 
-def test_boxplot_methods_agree(spark, data):
-    df = spark.createDataFrame(data, "g string, v double")
-    ref = {r["g"]: tuple(r) for r in boxplot_stats(df, ["g"], "v", method="percentile").collect()}
-    got = {r["g"]: tuple(r) for r in boxplot_stats(df, ["g"], "v", method="refine").collect()}
-    assert ref == got
-    assert choose_method(df, "g", "v") == "percentile"
-    assert choose_method(df, "g", "v", distinct_limit=10) == "refine"
+def test_infinities_are_ordinary_values(spark):
+    inf = float("inf")
+    rows = [("a", v) for v in (-inf, 1.0, 2.0, 3.0, inf, inf)] + [("b", inf)] * 3 + [("c", 5.0), ("c", inf)]
+    out = {(r["g"], r["p"]): r["q"] for r in
+           exact_quantiles(spark.createDataFrame(rows, "g string, v double"), "g", "v", [0.0, 0.5, 0.9, 1.0]).collect()}
+    assert (out["a", 0.0], out["a", 0.5], out["a", 1.0]) == (-inf, 2.5, inf)
+    assert out["a", 0.9] == inf and out["b", 0.5] == inf and out["c", 0.5] == inf and out["c", 0.0] == 5.0
+
+
+def test_a_large_group_is_not_gathered_in_one_task(spark):
+    """300,000 distinct values of one group lie in many range partitions, and only wanted ones are cumulated."""
+    n = 300_000
+    df = spark.range(n).selectExpr("'hot' as g", "cast((id * 7919) % 300007 as double) as v")
+    from insight.operators.ranking import ranged
+    conf = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = [r["count"] for r in ranged(df, ["g", "v"]).groupBy("__part").count().collect()]
+        assert len(parts) >= 4 and max(parts) < 0.5 * n
+        got = {r["p"]: r["q"] for r in exact_quantiles(df, "g", "v", PROBS).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", conf)
+    vals = np.array([(i * 7919) % 300007 for i in range(n)], float)
+    assert all(abs(got[p] - float(np.quantile(vals, p))) < 1e-6 for p in PROBS)
