@@ -1,54 +1,77 @@
 """Links and visible text of stored web pages (SC14, SC15) by regular expressions.
 
-The patterns use only features shared by Java regex (Spark) and RE2, so the
-same rule list can be checked in SQL:
+Visible text:
 
 1. body = from ``<body ...>`` to ``</body>`` or, for an unclosed body, to the
-   end of the page;
-2. script, style and comment spans are dropped;
+   end of the page; a page without a body tag is read whole, less its head;
+2. script, style and comment spans are dropped (an unclosed one to the end);
 3. inline tags vanish (``a b i em strong span ...``), every other tag is a
    space (block boundary);
-4. a fixed list of entities is decoded, ``&amp;`` last;
+4. character references are decoded once: the named ones of HTML 4, ``&apos;``
+   and numeric ones, decimal or hexadecimal;
 5. blanks (space, tab, CR, LF, FF) are squeezed to one space and trimmed --
    this also performs the newline/tab flattening of the page text.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from insight.functions.nulls import ColumnLike, col_of
 
+HAS_BODY = r"(?i)<body[\s>]"
 BODY = r"(?is)<body[^>]*>(.*?)(</body>|\z)"
-DROP_SPANS = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
+HEAD = r"(?is)<head[\s>].*?(</head>|\z)"
+DROP_SPANS = r"(?is)<script[^>]*>.*?(</script>|\z)|<style[^>]*>.*?(</style>|\z)|<!--.*?(-->|\z)"
 INLINE_TAGS = r"(?i)</?(a|abbr|b|code|em|i|small|span|strong|u)(\s[^>]*)?>"
 ANY_TAG = r"<[^>]*>"
 BLANKS = r"[ \t\r\n\f]+"
-LINK = r"(?i)<a\s[^>]*href=\"([^\"]*)\""
+LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+REFERENCE = r"^&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 URL_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 URL_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 URL_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*@)?([^/?#:]*)"
 
-# Entity decoding table, applied in this order (&amp; last).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", "\""), ("&#39;", "'"),
-            ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")]
-
 
 def _replace(c: Column, pattern: str, rep: str) -> Column:
     return F.regexp_replace(c, pattern, rep)
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point; null outside Unicode and for surrogates."""
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
 def decode_entities(c: ColumnLike) -> Column:
-    out = col_of(c)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Decode character references, each once; unknown ones stay as they are.
+
+    The text is cut before every ``&``; a piece that begins with a reference has it
+    replaced.  A no-break space becomes a plain one.
+    """
+    known = {**{k: chr(v) for k, v in name2codepoint.items()}, "apos": "'", "nbsp": " "}
+    names = F.create_map(*[F.lit(x) for k, v in sorted(known.items()) for x in (k, v)])
+
+    def decoded(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, REFERENCE, 1)
+        digits = F.substring(ref, 2, 10)
+        hexed = F.conv(F.substring(ref, 3, 10), 16, 10).cast("long")
+        char = (F.when(ref.rlike("^#[xX]"), _character(hexed))
+                .when(ref.startswith("#"), _character(digits.try_cast("long")))
+                .when(ref != "", F.try_element_at(names, ref)))
+        whole = F.concat(char, F.substring(piece, F.length(ref) + 3, F.length(piece)))
+        return F.when(piece.startswith("&"), F.coalesce(whole, piece)).otherwise(piece)
+
+    return F.array_join(F.transform(F.split(col_of(c), "(?=&)"), decoded), "")
 
 
 def body_text(html: ColumnLike) -> Column:
     """SC15: visible text of the page body, one line, blanks squeezed."""
-    body = F.regexp_extract(col_of(html), BODY, 1)
+    page = col_of(html)
+    body = F.when(page.rlike(HAS_BODY), F.regexp_extract(page, BODY, 1)).otherwise(_replace(page, HEAD, " "))
     body = _replace(body, DROP_SPANS, " ")
     body = _replace(body, INLINE_TAGS, "")
     body = _replace(body, ANY_TAG, " ")
@@ -63,8 +86,9 @@ def inner_html(html: ColumnLike, tag: str) -> Column:
 
 
 def link_targets(html: ColumnLike) -> Column:
-    """SC14: ``href`` of every anchor, in page order (array)."""
-    return F.regexp_extract_all(col_of(html), F.lit(LINK), 1)
+    """SC14: ``href`` of every anchor, in page order (array); quotes, if any, are taken off."""
+    raw = F.regexp_extract_all(col_of(html), F.lit(LINK), 1)
+    return F.transform(raw, lambda x: F.regexp_replace(x, r"""^["']|["']$""", ""))
 
 
 def url_host(url: ColumnLike) -> Column:
@@ -72,6 +96,21 @@ def url_host(url: ColumnLike) -> Column:
     return F.lower(F.regexp_extract(col_of(url), URL_HOST, 2))
 
 
+def _without_dots(url: Column) -> Column:
+    """An absolute URL whose path has its ``.`` and ``..`` segments removed."""
+    origin = F.regexp_extract(url, URL_ORIGIN, 1)
+    path = F.regexp_extract(url, r"^[^/]*//[^/?#]*([^?#]*)", 1)
+    tail = F.regexp_extract(url, r"([?#].*)?$", 1)
+    segments = F.split(F.substring(path, 2, 1_000_000_000), "/")
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda acc, s: F.when(
+        s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(
+        F.concat(acc, F.array(s))))
+    last = F.element_at(segments, -1)
+    end = F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    clean = F.concat(origin, F.lit("/"), F.array_join(kept, "/"), end, tail)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), clean).otherwise(url)
+
+
 def resolve_url(href: ColumnLike, base: ColumnLike) -> Column:
     """Absolute form of ``href`` against the page URL ``base``."""
     h = decode_entities(col_of(href))
@@ -79,9 +118,12 @@ def resolve_url(href: ColumnLike, base: ColumnLike) -> Column:
     origin = F.regexp_extract(b, URL_ORIGIN, 1)
     scheme = F.regexp_extract(b, URL_SCHEME, 1)
     base_doc = F.regexp_replace(b, "#.*$", "")
-    base_dir = F.regexp_extract(base_doc, r"^([^?#]*/)", 1)
+    base_page = F.regexp_replace(base_doc, r"\?.*$", "")
+    # the folder of the page; a bare origin has the root
+    base_dir = F.when(base_page == origin, F.concat(origin, F.lit("/"))).otherwise(F.regexp_extract(base_page, r"^(.*/)", 1))
     return (F.when(h.rlike(URL_SCHEME), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(origin, h))
-            .when(h.startswith("#") | h.startswith("?") | (h == ""), F.concat(base_doc, h))
-            .otherwise(F.concat(base_dir, h)))
+            .when(h.startswith("//"), _without_dots(F.concat(scheme, F.lit(":"), h)))
+            .when(h.startswith("/"), _without_dots(F.concat(origin, h)))
+            .when(h.startswith("#") | (h == ""), F.concat(base_doc, h))
+            .when(h.startswith("?"), F.concat(base_page, h))
+            .otherwise(_without_dots(F.concat(base_dir, h))))

@@ -50,13 +50,6 @@ def summarize(df: DataFrame, by: str | Sequence[str] | None, **aggs: Column) ->
     return df.groupBy(*keys).agg(*named) if keys else df.agg(*named)
 
 
-def mean_sd(df: DataFrame, by: str | Sequence[str], value: ColumnLike,
-            mean_name: str = "mean", sd_name: str = "sd", na_rm: bool = False) -> DataFrame:
-    """AG5: mean and sample sd per group (sd of a one-row group is null)."""
-    return df.groupBy(*_cols(by)).agg(r_mean(value, na_rm).alias(mean_name),
-                                      r_sd(value, na_rm).alias(sd_name))
-
-
 def std_error(df: DataFrame, by: str | Sequence[str] | None, value: ColumnLike,
               name: str = "std_error", na_rm: bool = False) -> DataFrame:
     """AG10: standard error of the mean, ``sd / sqrt(n)`` per group."""
@@ -94,9 +87,3 @@ def share_within(df: DataFrame, value: str, by: str | Sequence[str], name: str =
             .withColumn(name, r_divide(F.col(value) * 100.0, F.col(tot)))
             .drop(tot))
 
-
-def count_rows(df: DataFrame, by: str | Sequence[str] | None, name: str = "n") -> DataFrame:
-    """AG9 / EX16: row count per group (or one row for the whole frame)."""
-    keys = _cols(by)
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)) if keys
-            else df.agg(F.count(F.lit(1)).alias(name)))

@@ -21,12 +21,14 @@ Hence::
 
 with ``L(d)`` the number of known tokens of ``d``.  The model therefore
 only stores observed (class, term) pairs -- never the V x K dense table --
-and scoring is one equi-join on ``term``.  Every document contributes one
-extra row under a reserved pseudo-term carrying ``L(d)``, matched by one
-model row per class carrying ``log_unseen(c)``: each document meets every
-class through the same join (documents without any known token included)
-and no cross product is formed.  Per-class priors are then added by an
-equi-join on the class (K rows).
+and scoring is one equi-join on ``term`` plus the K class rows.
+
+Frequent terms.  A term that stands in a large share of the documents would be
+a hot join key.  Document frequencies are known from the vocabulary, so terms
+of at least ``HOT_SHARE`` of the documents are joined by broadcast (there are
+at most ``average distinct terms per document / HOT_SHARE`` of them, whatever
+the number of documents), and the others, none of which holds more than that
+share, by a shuffle.
 """
 
 from __future__ import annotations
@@ -40,9 +42,9 @@ from pyspark.sql import functions as F
 from insight.functions.text import STOP_WORDS
 from insight.operators.aggregate import with_scalar
 from insight.operators.contingency import confusion
-from insight.operators.partitioning import spread
 
-LENGTH_TERM = "\u0001length"  # reserved: real terms are lower-case letters only
+#: Share of the vocabulary's documents from which a term is joined by broadcast.
+HOT_SHARE = 0.01
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -64,7 +66,6 @@ def term_frequencies(docs: DataFrame, key: str | Sequence[str], text: str = "tex
     the shuffle carries distinct (document, term) pairs only.
     """
     keys = _keys(key)
-    docs = spread(docs.select(*keys, text))
     tok = F.col("__tok")
     cond = tok != ""
     if stop_words:
@@ -87,16 +88,11 @@ def vocabulary(tf: DataFrame, key: str | Sequence[str] | None = None) -> DataFra
     0-based position in alphabetical order (the reference's feature index).
 
     The position comes from :func:`insight.operators.ranking.row_positions`:
-    range partitions on the term (balanced bounds sampled by Spark), counts
-    per partition turned into offsets, numbering within each partition -- no
-    single-task sort of the vocabulary.
+    range partitions on the term, row counts per partition turned into offsets,
+    numbering within each partition -- no single-task sort of the vocabulary.
     """
     from insight.operators.ranking import row_positions
-    from insight.sources.checkpoint import materialize
-    # the numbering reads its input several times (size, key sample, range
-    # counts, numbering): write the aggregated vocabulary once
-    terms = materialize(vocabulary_terms(tf), "vocabulary")
-    return (row_positions(terms, "term", "__pos")
+    return (row_positions(vocabulary_terms(tf), "term", "__pos")
             .select("term", "doc_freq", (F.col("__pos") - 1).alias("term_index")))
 
 
@@ -105,6 +101,7 @@ def vocabulary(tf: DataFrame, key: str | Sequence[str] | None = None) -> DataFra
 
 GOLDEN = 2654435761
 SPACE = 1 << 32
+KEY_SPACE = 1 << 31
 
 
 def key_split(df: DataFrame, key: str, test_fraction: float = 0.25, salt: int = 0) -> DataFrame:
@@ -112,11 +109,11 @@ def key_split(df: DataFrame, key: str, test_fraction: float = 0.25, salt: int =
 
     Multiplicative hashing of the integer key spreads neighbouring ids over
     the unit interval; the test set is the fraction below ``test_fraction``.
-    Every row lands in exactly one side.  Keys must stay below 3 * 10**9
-    (the product must fit a signed 64-bit integer).
+    Every row lands in exactly one side.  Any 64-bit key will do: it is reduced
+    modulo 2^31 first, so that the product fits a signed 64-bit integer.
     """
     threshold = int(test_fraction * SPACE)
-    h = F.pmod(F.col(key) * F.lit(GOLDEN) + F.lit(salt), F.lit(SPACE))
+    h = F.pmod(F.pmod(F.col(key), F.lit(KEY_SPACE)) * F.lit(GOLDEN) + F.lit(salt), F.lit(SPACE))
     return df.withColumn("is_test", h < threshold)
 
 
@@ -134,6 +131,7 @@ class NaiveBayesModel:
     classes: DataFrame      # label, n_docs, total_count, log_prior, log_unseen
     weights: DataFrame      # label, term, count, log_prob, weight
     vocab: DataFrame        # term, doc_freq
+    n_vocab_docs: int       # documents the vocabulary was made from
     label: str = "label"
 
 
@@ -149,6 +147,7 @@ def fit_naive_bayes(tf: DataFrame, labels: DataFrame, key: str | Sequence[str],
     """
     keys = _keys(key)
     vocab = vocab if vocab is not None else vocabulary_terms(tf)
+    n_vocab_docs = tf.select(*keys).distinct().count()
     v_size = vocab.agg(F.count(F.lit(1)).cast("double").alias("__v"))
     train = labels.select(*keys, F.col(label).alias("label"))
     counts = train.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
@@ -166,50 +165,46 @@ def fit_naive_bayes(tf: DataFrame, labels: DataFrame, key: str | Sequence[str],
                .withColumn("weight", F.log((F.col("count") + alpha) / F.lit(alpha)))
                .select("label", "term", "count",
                        (F.col("weight") + F.col("log_unseen")).alias("log_prob"), "weight"))
-    return NaiveBayesModel(classes=classes, weights=weights, vocab=vocab, label=label)
+    return NaiveBayesModel(classes=classes, weights=weights, vocab=vocab, n_vocab_docs=n_vocab_docs,
+                           label=label)
 
 
 # --------------------------------------------------------------------------
 # predict (JN2, JN4, ML3, WN5)
 
-LENGTH_SALTS = 64
-
-
 def predict_naive_bayes(model: NaiveBayesModel, tf: DataFrame, docs: DataFrame,
-                        key: str | Sequence[str], restrict_to_vocab: bool = True,
-                        salts: int = LENGTH_SALTS) -> DataFrame:
+                        key: str | Sequence[str], restrict_to_vocab: bool = True) -> DataFrame:
     """ML3: ``(key..., predicted, score)`` for every row of ``docs``.
 
-    ``tf`` holds the documents' term frequencies; terms outside the model
-    vocabulary are dropped first (left-semi join), as the fitted vectoriser
-    ignores unseen words.  Documents without a known term get the prior-only
-    prediction.
-
-    Skew: every document contributes one length row, so that pseudo-term
-    would be the hottest join key by construction.  It is salted -- the
-    document's hash picks one of ``salts`` sub-keys and the K per-class
-    length rows of the model are replicated ``salts`` times -- so those rows
-    spread over ``salts`` join partitions.  Naturally frequent real terms
-    are left to adaptive skew-join splitting (the model side holds at most K
-    rows per term, so splitting the document side is cheap).
+    ``tf`` holds the documents' term frequencies (read twice: pass a stored
+    table); terms outside the model vocabulary are dropped, as the fitted
+    vectoriser ignores unseen words.  Documents without a known term get the
+    prior-only prediction.
     """
     keys = _keys(key)
-    known = tf.join(model.vocab.select("term"), "term", "left_semi") if restrict_to_vocab else tf
-    lengths = known.groupBy(*keys).agg(F.sum("tf").alias("__len"))
-    salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(salts))
-    doc_len = (docs.select(*keys).join(lengths, keys, "left")
-               .select(*keys, F.concat(F.lit(LENGTH_TERM), salt.cast("string")).alias("term"),
-                       F.coalesce(F.col("__len"), F.lit(0)).alias("tf")))
-    rows = known.select(*keys, "term", "tf").unionByName(doc_len)
-    length_rows = (model.classes.select("label", F.col("log_unseen").alias("weight"),
-                                        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__s"))
-                   .select(F.concat(F.lit(LENGTH_TERM), F.col("__s").cast("string")).alias("term"),
-                           "label", "weight"))
-    model_rows = model.weights.select("term", "label", "weight").unionByName(length_rows)
-    partial = (rows.join(model_rows, "term")
-               .groupBy(*keys, "label").agg(F.sum(F.col("tf") * F.col("weight")).alias("__s")))
-    scores = (partial.join(model.classes.select("label", "log_prior"), "label")
-              .withColumn("score", F.col("__s") + F.col("log_prior")))
+    hot = F.col("doc_freq") >= F.lit(HOT_SHARE * model.n_vocab_docs)
+    hot_terms = F.broadcast(model.vocab.filter(hot).select("term"))
+    cold_terms = model.vocab.filter(~hot).select("term")
+    rows = tf.select(*keys, "term", "tf")
+    often, seldom = rows.join(hot_terms, "term", "left_semi"), rows.join(hot_terms, "term", "left_anti")
+    if restrict_to_vocab:
+        seldom = seldom.join(cold_terms, "term", "left_semi")
+    weights = model.weights.select("term", "label", "weight")
+    hot_weights = F.broadcast(weights.join(hot_terms, "term", "left_semi"))
+    cold_weights = weights.join(hot_terms, "term", "left_anti")
+    gain = F.col("tf") * F.col("weight")
+    parts = (often.join(hot_weights, "term").select(*keys, "label", gain.alias("s"))
+             .unionByName(seldom.join(cold_weights, "term").select(*keys, "label", gain.alias("s"))))
+    gains = parts.groupBy(*keys, "label").agg(F.sum("s").alias("gain"))
+    lengths = often.unionByName(seldom).groupBy(*keys).agg(F.sum("tf").alias("len"))
+    # K rows, one per class: every document meets every class
+    classes = model.classes.agg(F.collect_list(F.struct("label", "log_prior", "log_unseen")).alias("__classes"))
+    every = (with_scalar(docs.select(*keys).join(lengths, keys, "left"), classes)
+             .select(*keys, F.coalesce("len", F.lit(0)).alias("len"), F.explode("__classes").alias("c"))
+             .select(*keys, "len", "c.*"))
+    scores = (every.join(gains, [*keys, "label"], "left")
+              .withColumn("score", F.coalesce("gain", F.lit(0.0)) + F.col("len") * F.col("log_unseen")
+                          + F.col("log_prior")))
     best = F.min_by(F.col("label"), F.struct(-F.col("score"), F.col("label")))
     return scores.groupBy(*keys).agg(best.alias("predicted"), F.max("score").alias("score"))
 
@@ -218,11 +213,13 @@ def predict_naive_bayes(model: NaiveBayesModel, tf: DataFrame, docs: DataFrame,
 # evaluation (ML6, ML7, ML8)
 
 def label_levels(labels: DataFrame, key: str, label: str = "label") -> DataFrame:
-    """Labels in order of first appearance: ``(label, level)``, 1-based."""
-    from insight.operators.ranking import row_positions
+    """Labels in order of first appearance: ``(label, level)``, 1-based.
+
+    The window runs over one row per label.
+    """
     firsts = labels.groupBy(F.col(label).alias("label")).agg(F.min(key).alias("__first"))
-    return (row_positions(firsts, "__first", "level")
-            .select("label", F.col("level").cast("int").alias("level")))
+    level = F.dense_rank().over(Window.orderBy("__first", "label"))
+    return firsts.select("label", level.cast("int").alias("level"))
 
 
 def confusion_matrix(pred: DataFrame, levels: DataFrame, truth: str = "truth",

@@ -1,11 +1,12 @@
 """Frequency and contingency tables with zero cells (EX7-EX9, AG15).
 
-R's ``table()`` reports every combination of the observed levels, zero
-cells included, and leaves NA out.  The level sets of categorical columns
-are small by nature; they are gathered in ONE aggregate (``collect_set``,
-guarded by ``max_levels`` inside the plan) and expanded with ``explode`` --
-a generator, not a join -- into the full grid, onto which the distributed
-counts are left-joined on the level columns.
+R's ``table()`` reports every combination of the observed levels, zero cells
+included, and leaves NA out.  The table is scanned once: its rows are counted
+by group (partial aggregation), the grouped counts are stored, and everything
+else -- level sets, the grid of their combinations, zero fill -- is made from
+these counts.  The grid is the product of the level sets because the zero
+cells are the operator's result; its size depends on the levels, not on the
+number of rows.
 """
 
 from __future__ import annotations
@@ -16,14 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from insight.operators.profile import _q
-
-MAX_LEVELS = 10000
-
-
-def _guarded(levels, name: str, max_levels: int):
-    return F.when(F.size(levels) > max_levels,
-                  F.raise_error(F.lit(f"too many levels in {name} for a contingency table"))
-                  ).otherwise(levels)
+from insight.sources.checkpoint import materialize
 
 
 def frequency(df: DataFrame, column: str, name: str = "n") -> DataFrame:
@@ -32,25 +26,26 @@ def frequency(df: DataFrame, column: str, name: str = "n") -> DataFrame:
             .agg(F.count(F.lit(1)).alias(name)))
 
 
-def level_grid(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> DataFrame:
-    """All combinations of the observed (non-null) levels of ``columns``."""
+def _counts(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     cols = list(columns)
-    levels = df.agg(*[_guarded(F.array_sort(F.collect_set(_q(c))), c, max_levels).alias(f"l{i}")
-                      for i, c in enumerate(cols)])
-    grid = levels
-    for i, c in enumerate(cols):
-        grid = grid.withColumn(c, F.explode(F.col(f"l{i}")))
-    return grid.select(*[_q(c) for c in cols])
+    counts = df.select(*[_q(c) for c in cols]).dropna().groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias(name))
+    return materialize(counts, "table-counts")
+
+
+def _level_grid(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """All combinations of the levels that occur in the grouped counts."""
+    grid = None
+    for c in columns:
+        levels = counts.select(_q(c)).distinct()
+        grid = levels if grid is None else grid.crossJoin(levels)
+    return grid
 
 
-def crosstab(df: DataFrame, columns: Sequence[str], name: str = "n",
-             max_levels: int = MAX_LEVELS) -> DataFrame:
+def crosstab(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:
     """EX8/EX9: n-way table in long form with zero cells, NA rows left out."""
     cols = list(columns)
-    present = df.select(*[_q(c) for c in cols]).dropna()
-    counts = present.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
-    grid = level_grid(present, cols, max_levels)
-    return (grid.join(counts, on=cols, how="left")
+    counts = _counts(df, cols, name)
+    return (_level_grid(counts, cols).join(counts, on=cols, how="left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long"))))
 
 
@@ -62,32 +57,27 @@ def confusion(pred: DataFrame, truth: str, predicted: str, levels: DataFrame | N
     order); by default the sorted union of both columns.  Output:
     ``truth, predicted, n, truth_level, predicted_level``.
     """
+    counts = _counts(pred, [truth, predicted], name)
     if levels is None:
-        labs = (pred.select(F.col(truth).alias("label"))
-                .unionByName(pred.select(F.col(predicted).alias("label"))).dropna().distinct())
-        # one row per distinct label: a small frame
+        labs = (pred.select(F.col(truth).alias("label")).union(pred.select(F.col(predicted).alias("label")))
+                .dropna().distinct())
+        # one row per distinct label
         levels = labs.withColumn("level", F.dense_rank().over(Window.orderBy("label")))
-    lab_arr = levels.agg(_guarded(F.array_sort(F.collect_list(F.struct("level", "label"))),
-                                  "labels", MAX_LEVELS).alias("ls"))
-    grid = (lab_arr.withColumn("t", F.explode("ls")).withColumn("p", F.explode("ls"))
-            .select(F.col("t.label").alias(truth), F.col("p.label").alias(predicted),
-                    F.col("t.level").alias("truth_level"), F.col("p.level").alias("predicted_level")))
-    counts = (pred.filter(F.col(truth).isNotNull() & F.col(predicted).isNotNull())
-              .groupBy(truth, predicted).agg(F.count(F.lit(1)).alias(name)))
+    rows = levels.select(F.col("label").alias(truth), F.col("level").alias("truth_level"))
+    cols = levels.select(F.col("label").alias(predicted), F.col("level").alias("predicted_level"))
+    grid = rows.crossJoin(cols).select(truth, predicted, "truth_level", "predicted_level")
     return (grid.join(counts, on=[truth, predicted], how="left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long"))))
 
 
-def crosstab_wide(df: DataFrame, row: str, column: str, max_levels: int = MAX_LEVELS) -> DataFrame:
+def crosstab_wide(df: DataFrame, row: str, column: str) -> DataFrame:
     """EX8 wide form: one row per level of ``row``, one count column per level
     of ``column`` (named by the level), zero cells as 0, NA rows left out.
 
-    The column levels are needed as names, so they are gathered first: one
-    aggregate returning at most ``max_levels`` values (checked in the plan),
-    then ``pivot`` with the listed values (no second discovery pass).
+    Column levels become column names, so they are read from the grouped counts
+    first.
     """
-    present = df.select(_q(row).alias(row), _q(column).alias(column)).dropna()
-    levels = present.agg(_guarded(F.array_sort(F.collect_set(column)), column, max_levels).alias("l"))
-    values = levels.first()["l"] or []
-    wide = present.groupBy(row).pivot(column, values).agg(F.count(F.lit(1)))
+    counts = _counts(df, [row, column], "n")
+    values = [r[0] for r in counts.select(_q(column)).distinct().orderBy(_q(column)).collect()]
+    wide = counts.groupBy(_q(row)).pivot(column, values).agg(F.sum("n"))
     return wide.fillna(0, subset=[str(v) for v in values])

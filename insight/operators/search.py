@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from insight.functions.html import body_text, inner_html, link_targets, resolve_url, url_host
 from insight.functions.text import contains_word, flatten_whitespace
-from insight.operators.partitioning import spread
 
 REPOST_PREFIX = "RT @"
 
@@ -29,17 +28,19 @@ def all_words(text: Column, terms: Sequence[str]) -> Column:
     return cond
 
 
-def search_posts(posts: DataFrame, terms: Sequence[str], key: str = "post_id", text: str = "text",
-                 exclude_reposts: bool = True, max_results: int | None = 1000) -> DataFrame:
+def search_posts(posts: DataFrame, terms: Sequence[str], key: str | Sequence[str] = "post_id", text: str = "text",
+                 repost_prefix: str | None = REPOST_PREFIX, max_results: int | None = None) -> DataFrame:
     """IO6: posts holding every term, re-posts (``RT @...``) left out, newlines
-    flattened, at most ``max_results`` rows in key order (the API's cap)."""
+    flattened.  All of them; ``max_results`` keeps the first ones in key order,
+    as a search service does (SO5)."""
+    keys = [key] if isinstance(key, str) else list(key)
     t = F.col(text)
     cond = all_words(t, terms)
-    if exclude_reposts:
-        cond = cond & ~F.coalesce(t.startswith(REPOST_PREFIX), F.lit(False))
-    out = posts.filter(cond).select(F.col(key), flatten_whitespace(t, "\n").alias(text))
+    if repost_prefix is not None:
+        cond = cond & ~F.coalesce(t.startswith(repost_prefix), F.lit(False))
+    out = posts.filter(cond).select(*keys, flatten_whitespace(t, "\n").alias(text))
     if max_results is not None:
-        out = out.orderBy(key).limit(max_results)
+        out = out.orderBy(*keys).limit(max_results)
     return out
 
 
@@ -59,13 +60,13 @@ def search_pages(pages: DataFrame, terms: Sequence[str], exclude_sites: Sequence
 
     Output ``(page_id, url, host)``.
     """
-    pages = spread(pages.select(key, url, html))
     u = F.col(url)
-    text = body_text(F.col(html))
-    cond = all_words(text, terms)
+    pages = pages.select(key, url, html)
     if exclude_sites:
-        cond = cond & ~site_excluded(u, exclude_sites)
-    return pages.filter(cond).select(F.col(key), u, url_host(u).alias("host"))
+        pages = pages.filter(~site_excluded(u, exclude_sites))
+    # one body parse for all terms
+    holds = F.exists(F.array(body_text(F.col(html))), lambda t: all_words(t, terms))
+    return pages.filter(holds).select(F.col(key), u, url_host(u).alias("host"))
 
 
 def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
@@ -84,4 +85,4 @@ def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
 
 def page_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """SC15 + UF3: ``(page_id, url, content)``; parallelism is the partitioning."""
-    return spread(pages.select(key, url, html)).select(F.col(key), F.col(url), body_text(F.col(html)).alias("content"))
+    return pages.select(F.col(key), F.col(url), body_text(F.col(html)).alias("content"))

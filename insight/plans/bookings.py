@@ -18,8 +18,12 @@ Fixed mapping of the driver tables onto the bookings schema:
     hotel                    <- l_linestatus
     is_canceled              <- 1.0 if l_returnflag = 'R' else 0.0
     adr                      <- l_extendedprice
-    adults                   <- l_linenumber - 1            (0..6)
+    adults                   <- l_linenumber, but 0 for every seventh part of
+                                line status F: some groups of rates divide by
+                                zero, the others are finite
     children                 <- nullif(round(l_tax * 100), 0)   (nullable)
+    agent, company           <- l_suppkey and l_partkey, null for every fifth
+                                and third key (on request)
     babies                   <- floor(l_quantity / 25)
     stays_in_week_nights     <- l_linenumber
     stays_in_weekend_nights  <- floor(l_discount * 100 / 4)
@@ -54,6 +58,11 @@ MEAL_RECODE = {"Undefined": "SC"}
 FILL_ZERO = ("children", "agent", "company")
 FILL_COUNTRY = "unknown"
 
+# Plot axis limits of the reference (per-person rate by room type;
+# guests per month).
+ROOM_RATE_LIMITS = (0.0, 120.0)
+BUSY_LIMITS = (1500.0, 4500.0)
+
 # Driver-table analogues of the two recodes (codes of region 0 have no name in
 # the dimension; two of them are recoded onto named codes, as CN -> CHN).
 VIEW_COUNTRY_RECODE = {"5": "6", "10": "11"}
@@ -64,26 +73,35 @@ VIEW_MEAL_RECODE = {"HOUSEHOLD": "FURNITURE"}
 # driver-table view
 
 def bookings_view(spark: SparkSession, sf_dir: str, calendar: bool = False,
-                  guest: bool = False, room: bool = False, year: int | None = None) -> DataFrame:
+                  guest: bool = False, room: bool = False, year: int | None = None,
+                  kept_only: bool = False, nation: int | None = None, agents: bool = False) -> DataFrame:
     """Bookings-shaped frame from the driver tables; joins only what is asked for.
 
     ``year`` keeps arrivals of one year as a date-range predicate on the
     order date, which reaches the parquet scan (``year(d) = y`` would not)
-    and lets date-clustered files skip row groups.
+    and lets date-clustered files skip row groups.  ``kept_only`` leaves out
+    cancelled bookings and ``nation`` keeps the guests of one nation, as
+    predicates on the stored columns, which reach the scan as well.
+    ``agents`` adds the nullable ``agent`` and ``company``.
     """
     li = read_table(spark, sf_dir, "lineitem")
+    if kept_only:
+        li = li.filter((F.col("l_returnflag") != "R") | F.col("l_returnflag").isNull())
+    no_adults = (F.col("l_linestatus") == "F") & (F.col("l_partkey") % 7 == 0)
     df = li.select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_partkey").alias("part_key"),
         F.col("l_linestatus").alias("hotel"),
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("is_canceled"),
         F.col("l_extendedprice").alias("adr"),
-        (F.col("l_linenumber") - 1).cast("double").alias("adults"),
+        F.when(no_adults, 0.0).otherwise(F.col("l_linenumber").cast("double")).alias("adults"),
         F.nullif(F.round(F.col("l_tax") * 100.0), F.lit(0.0)).alias("children"),
         F.floor(F.col("l_quantity") / 25.0).cast("double").alias("babies"),
         F.col("l_linenumber").cast("double").alias("stays_in_week_nights"),
         F.floor(F.col("l_discount") * 100.0 / 4.0).cast("double").alias("stays_in_weekend_nights"),
         *([F.col("l_shipdate")] if (calendar or guest or year is not None) else []),
+        *([F.when(F.col("l_suppkey") % 5 != 0, F.col("l_suppkey").cast("double")).alias("agent"),
+           F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey").cast("double")).alias("company")] if agents else []),
     )
     if calendar or guest or year is not None:
         orders = read_table(spark, sf_dir, "orders")
@@ -103,7 +121,10 @@ def bookings_view(spark: SparkSession, sf_dir: str, calendar: bool = False,
                           .cast("double"))
               .drop("o_orderdate", "l_shipdate"))
     if guest:
-        c = read_table(spark, sf_dir, "customer").select(
+        customers = read_table(spark, sf_dir, "customer")
+        if nation is not None:
+            customers = customers.filter(F.col("c_nationkey") == nation)
+        c = customers.select(
             F.col("c_custkey").alias("customer_key"),
             F.col("c_nationkey").cast("string").alias("country"),
             F.col("c_mktsegment").alias("meal"),
@@ -196,7 +217,7 @@ def guests_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, customers per code.  Only the first step touches line-level
     rows.
     """
-    lines = clean_bookings(bookings_view(spark, sf_dir))
+    lines = clean_bookings(bookings_view(spark, sf_dir, kept_only=True))
     per_order = lines.groupBy("order_key").agg(F.sum("guests").alias("guests"))
     o = read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_key"))
@@ -245,7 +266,7 @@ def rate_band(clean: DataFrame, by: list[str], mean_name: str, sd_name: str,
     return g
 
 
-def rate_by_room_type_band(clean: DataFrame, limits=(0.0, 120.0)) -> DataFrame:
+def rate_by_room_type_band(clean: DataFrame, limits=ROOM_RATE_LIMITS) -> DataFrame:
     return rate_band(clean, ["hotel", "reserved_room_type"], "mean_rp", "sd_rp", limits)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from insight.functions.calendar import MONTHS
 from insight.plans import bookings as B
 from insight.plans.registry import register
 
@@ -9,17 +10,21 @@ from insight.plans.registry import register
 # SQL building blocks (DuckDB dialect) mirroring bookings.bookings_view
 
 
-def bk_sql(calendar: bool = False, guest: bool = False, room: bool = False) -> str:
+def bk_sql(calendar: bool = False, guest: bool = False, room: bool = False, agents: bool = False) -> str:
     cols = [
         "l.l_orderkey AS order_key", "l.l_partkey AS part_key", "l.l_linestatus AS hotel",
         "CASE WHEN l.l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_canceled",
         "l.l_extendedprice AS adr",
-        "CAST(l.l_linenumber - 1 AS DOUBLE) AS adults",
+        "CASE WHEN l.l_linestatus = 'F' AND l.l_partkey % 7 = 0 THEN 0.0::DOUBLE "
+        "ELSE CAST(l.l_linenumber AS DOUBLE) END AS adults",
         "nullif(round(l.l_tax * 100.0), 0.0) AS children",
         "CAST(floor(l.l_quantity / 25.0) AS DOUBLE) AS babies",
         "CAST(l.l_linenumber AS DOUBLE) AS stays_in_week_nights",
         "CAST(floor(l.l_discount * 100.0 / 4.0) AS DOUBLE) AS stays_in_weekend_nights",
     ]
+    if agents:
+        cols += ["CASE WHEN l.l_suppkey % 5 <> 0 THEN CAST(l.l_suppkey AS DOUBLE) END AS agent",
+                 "CASE WHEN l.l_partkey % 3 <> 0 THEN CAST(l.l_partkey AS DOUBLE) END AS company"]
     src = "lineitem l"
     if calendar or guest:
         cols += ["o.o_custkey AS customer_key",
@@ -71,10 +76,7 @@ def rsum_sql(x: str) -> str:
     return f"CASE WHEN count({x}) = count(*) THEN sum({x}) END"
 
 
-MONTH_ORD_SQL = ("CASE arrival_date_month WHEN 'January' THEN 1 WHEN 'February' THEN 2 "
-                 "WHEN 'March' THEN 3 WHEN 'April' THEN 4 WHEN 'May' THEN 5 WHEN 'June' THEN 6 "
-                 "WHEN 'July' THEN 7 WHEN 'August' THEN 8 WHEN 'September' THEN 9 "
-                 "WHEN 'October' THEN 10 WHEN 'November' THEN 11 WHEN 'December' THEN 12 END")
+MONTH_ORD_SQL = ("CASE arrival_date_month " + " ".join(f"WHEN '{m}' THEN {i + 1}" for i, m in enumerate(MONTHS)) + " END")
 
 DIM_SQL = ("SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS country_name "
            "FROM nation WHERE n_regionkey <> 0")
@@ -127,7 +129,7 @@ def guest_origin_top5_text_weight(spark, d):
 # rates
 
 def _clean(spark, d, **kw):
-    return B.clean_bookings(B.bookings_view(spark, d, **kw),
+    return B.clean_bookings(B.bookings_view(spark, d, kept_only=True, **kw),
                             country_recode=B.VIEW_COUNTRY_RECODE, meal_recode=B.VIEW_MEAL_RECODE)
 
 
@@ -169,7 +171,8 @@ SELECT *{shown}{extra} FROM (
     FROM (SELECT *, {RP} AS rate_person FROM ({clean_sql(bk)})) GROUP BY {keys}))"""
 
 
-ROOM_LIMITS = (0.0, 120.0)
+# the prices of the driver tables are higher than the reference's rates
+ROOM_LIMITS = tuple(140.0 * x for x in B.ROOM_RATE_LIMITS)
 
 
 BAND_ROUND = ["band_low", "band_high"]
@@ -193,7 +196,7 @@ def rate_by_month_band(spark, d):
 # --------------------------------------------------------------------------
 # busy months
 
-BUSY_LIMITS = (1500.0, 4500.0)
+BUSY_LIMITS = B.BUSY_LIMITS
 
 
 def _busy_sql(limits=None) -> str:
@@ -276,7 +279,7 @@ SELECT hotel, arrival_date_year, arrival_date_month,
        {rsum_sql('adults + children + babies')} AS guest_month_total, {MONTH_ORD_SQL} AS month_ord
 FROM ({_raw_month_sql()}) GROUP BY hotel, arrival_date_year, arrival_date_month""")
 def totals_by_year_month(spark, d):
-    return B.totals_by_year_month(B.bookings_view(spark, d, calendar=True))
+    return B.totals_by_year_month(B.bookings_view(spark, d, calendar=True, kept_only=True))
 
 
 PRICE_YEAR = 1998.0
@@ -288,4 +291,4 @@ SELECT hotel, arrival_date_year, arrival_date_month,
 FROM ({_raw_month_sql(PRICE_YEAR)}) GROUP BY hotel, arrival_date_year, arrival_date_month""",
           rounded=["month_avg"])
 def year_price_by_month(spark, d):
-    return B.year_price_by_month(B.bookings_view(spark, d, calendar=True, year=int(PRICE_YEAR)), PRICE_YEAR)
+    return B.year_price_by_month(B.bookings_view(spark, d, calendar=True, year=int(PRICE_YEAR), kept_only=True), PRICE_YEAR)

@@ -103,29 +103,44 @@ def structure_orders(spark, d):
 SUMMARY_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber", "l_tax_or_na", "zero"]
 
 
-def _summary_sql() -> str:
+def _summary_sql(src: str, kinds: dict[str, str]) -> str:
     parts = []
-    for c in SUMMARY_COLS:
-        x = f"CAST({c} AS DOUBLE)"
-        parts.append(
-            f"SELECT '{c}' AS \"column\", min({x}) AS min, quantile_cont({x}, 0.25) AS q1, "
-            f"quantile_cont({x}, 0.5) AS median, avg({x}) AS mean, quantile_cont({x}, 0.75) AS q3, "
-            f"max({x}) AS max, count(*) - count({x}) AS n_na FROM ({LINE_NUMBERS_SQL})")
+    for c, kind in kinds.items():
+        none = ", ".join(f"NULL::DOUBLE AS {s}" for s in ("min", "q1", "median", "mean", "q3", "max"))
+        x = f"epoch_us(CAST({c} AS TIMESTAMP)) / 1e6::DOUBLE" if kind == "date" else f"CAST({c} AS DOUBLE)"
+        stats = none if kind == "text" else (
+            f"min({x}) AS min, quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median, avg({x}) AS mean, "
+            f"quantile_cont({x}, 0.75) AS q3, max({x}) AS max")
+        parts.append(f"SELECT '{c}' AS \"column\", '{kind}' AS kind, count(*) AS n, {stats}, "
+                     f"count(*) - count({c}) AS n_na FROM ({src})")
     return " UNION ALL ".join(parts)
 
 
-@register("column_summary", _summary_sql(), rounded=["mean", "q1", "median", "q3"])
+@register("column_summary", _summary_sql(LINE_NUMBERS_SQL, dict.fromkeys(SUMMARY_COLS, "numeric")),
+          rounded=["mean", "q1", "median", "q3"])
 def column_summary(spark, d):
     return P.column_summary(_line_numbers(spark, d))
 
 
+ORDER_KINDS = {"o_orderkey": "numeric", "o_orderstatus": "text", "o_totalprice": "numeric", "o_orderdate": "date",
+               "o_orderpriority": "text", "customer": "text"}
+ORDERS_SQL = "SELECT *, CASE WHEN o_custkey % 4 <> 0 THEN 'c' || o_custkey END AS customer FROM orders"
+
+
+@register("order_summary", _summary_sql(ORDERS_SQL, ORDER_KINDS), rounded=["mean", "q1", "median", "q3"], digits=3)
+def order_summary(spark, d):
+    """EX6 with number, date and text columns."""
+    name = F.when(F.col("o_custkey") % 4 != 0, F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+    return P.column_summary(read_table(spark, d, "orders").withColumn("customer", name), list(ORDER_KINDS))
+
+
 def _mean_sd_sql() -> str:
     numeric = {"order_key", "part_key", "customer_key", "is_canceled", "adr", "adults", "children",
                "babies", "stays_in_week_nights", "stays_in_weekend_nights", "arrival_date_year",
                "lead_time", "guests"}
     cols = ["order_key", "part_key", "hotel", "is_canceled", "adr", "adults", "children", "babies",
             "stays_in_week_nights", "stays_in_weekend_nights", "customer_key", "arrival_date_year",
-            "arrival_date_month", "lead_time", "country", "meal", "guests"]
+            "arrival_date_month", "lead_time", "guests"]
     parts = []
     for c in cols:
         if c in numeric:
@@ -134,12 +149,12 @@ def _mean_sd_sql() -> str:
                          f"CASE WHEN count({x}) = count(*) THEN stddev_samp({x}) END AS sd FROM cc")
         else:
             parts.append(f"SELECT '{c}' AS \"column\", NULL::DOUBLE AS mean, NULL::DOUBLE AS sd")
-    return f"WITH cc AS ({CLEAN_CANCEL_SQL}) " + " UNION ALL ".join(parts)
+    return f"WITH cc AS ({NUMERIC_CANCEL_SQL}) " + " UNION ALL ".join(parts)
 
 
 @register("column_mean_sd", _mean_sd_sql(), rounded=["mean", "sd"])
 def column_mean_sd(spark, d):
-    return P.column_mean_sd(_clean_cancel(spark, d))
+    return P.column_mean_sd(_clean_cancel(spark, d, guest=False))
 
 
 UNIQUE_COLS = ["hotel", "is_canceled", "arrival_date_year", "arrival_date_month", "country", "meal"]
@@ -193,14 +208,81 @@ def nonzero_columns(spark, d):
     return C.column_totals(_line_numbers(spark, d))
 
 
+def _kept_sql(condition: str) -> str:
+    """Rows of LINE_NUMBERS_SQL in long form, of the columns that meet a condition on their totals."""
+    parts = [f"SELECT '{c}' AS \"column\", sum(CAST({c} AS DOUBLE)) AS total, min(CAST({c} AS DOUBLE)) AS low FROM src "
+             f"HAVING count({c}) = count(*) AND {condition.replace('x', c)}" for c in SUMMARY_COLS]
+    return f"WITH src AS ({LINE_NUMBERS_SQL}) " + " UNION ALL ".join(parts)
+
+
+def _total_and_low(df):
+    """UF1: one aggregate per column."""
+    total = P.apply_per_column(df, lambda c: F.sum(c.cast("double")), name="total")
+    return total.join(P.apply_per_column(df, lambda c: F.min(c.cast("double")), name="low"), "column")
+
+
+@register("keep_nonzero_columns", _kept_sql("count_if(x <> 0) > 0"), rounded=["total"], digits=2)
+def keep_nonzero_columns(spark, d):
+    """PJ4 + PJ5, shown by what is left of the columns."""
+    return _total_and_low(C.keep_nonzero_columns(C.select_numeric(_line_numbers(spark, d))))
+
+
+@register("keep_positive_sum_columns", _kept_sql("sum(x) > 0"), rounded=["total"], digits=2)
+def keep_positive_sum_columns(spark, d):
+    """PJ6, shown by what is left of the columns."""
+    return _total_and_low(C.keep_positive_sum_columns(_line_numbers(spark, d)))
+
+
+@register("na_by_column_apply", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS n_na FROM ({LINE_NUMBERS_SQL})"
+    for c in SUMMARY_COLS if c != "zero"))
+def na_by_column_apply(spark, d):
+    """UF1 on the columns that PJ3 leaves."""
+    kept = C.drop_columns(_line_numbers(spark, d), ["zero"])
+    return P.apply_per_column(kept, lambda c: F.count_if(c.isNull()), name="n_na")
+
+
+@register("cancel_category", """
+SELECT CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END AS status, count(*) AS n FROM lineitem GROUP BY 1""")
+def cancel_category(spark, d):
+    """PJ13: the cancellation flag as a category."""
+    view = B.bookings_view(spark, d)
+    return view.groupBy(C.as_category("is_canceled").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("headerless_records", """
+SELECT d.doc_id, left(regexp_replace(d.text, '\\s+', ' ', 'g'), 60) || '; "' || d.source || '"' AS tweet, l.quality AS sentiment
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+def headerless_records(spark, d):
+    """IO2: records of the form ``text;label`` without a header, quoted, parsed back."""
+    from insight.sources.delimited import parse_lines
+    docs = read_table(spark, d, "documents").join(read_table(spark, d, "labels"), "doc_id")
+    start = F.substring(F.regexp_replace("text", r"\s+", " "), 1, 60)
+    field = F.concat(start, F.lit('; "'), F.col("source"), F.lit('"'))
+    quoted = F.concat(F.lit('"'), F.replace(field, F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = docs.select("doc_id", F.concat_ws(";", quoted, F.col("quality").cast("string")).alias("line"))
+    return parse_lines(lines, "line", ["tweet", "sentiment"], types={"sentiment": "int"})
+
+
 @register("count_country_7", f"""
-SELECT CAST(count_if(country = '7') AS BIGINT) AS n FROM ({clean_sql(bk_sql(guest=True))})""")
+SELECT count(*) AS n FROM ({clean_sql(bk_sql(guest=True))}) WHERE country = '7'""")
 def count_country_7(spark, d):
-    clean = B.clean_bookings(B.bookings_view(spark, d, guest=True),
+    clean = B.clean_bookings(B.bookings_view(spark, d, guest=True, kept_only=True, nation=7),
                              country_recode=B.VIEW_COUNTRY_RECODE, meal_recode=B.VIEW_MEAL_RECODE)
     return P.count_where(clean, F.col("country") == "7")
 
 
+@register("fill_agent_company", f"""
+SELECT agent = 0 AS no_agent, company = 0 AS no_company, sum(agent + company) AS total, count(*) AS n
+FROM (SELECT coalesce(agent, 0.0) AS agent, coalesce(company, 0.0) AS company FROM ({bk_sql(agents=True)}))
+GROUP BY 1, 2""")
+def fill_agent_company(spark, d):
+    """PJ7 on ``agent`` and ``company``."""
+    filled = B.clean_bookings(B.bookings_view(spark, d, agents=True), keep_cancelled=True)
+    return (filled.groupBy((F.col("agent") == 0).alias("no_agent"), (F.col("company") == 0).alias("no_company"))
+            .agg(F.sum(F.col("agent") + F.col("company")).alias("total"), F.count(F.lit(1)).alias("n")))
+
+
 @register("fill_recode", f"""
 SELECT country, meal, children, count(*) AS n FROM ({CLEAN_CANCEL_SQL})
 GROUP BY country, meal, children""")
@@ -228,33 +310,41 @@ n AS (SELECT {keys}, count(*) AS n FROM s GROUP BY {keys})
 SELECT {sel}, coalesce(n.n, 0) AS n FROM g LEFT JOIN n ON {on}"""
 
 
-SHIP_SQL = "SELECT l_linestatus, l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS ship_year FROM lineitem"
+# one combination is left out, so that the tables have empty cells
+SHIP_SQL = """SELECT l_linestatus, l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS ship_year FROM lineitem
+WHERE NOT (l_linestatus = 'F' AND l_returnflag = 'A')"""
 
 
-@register("freq_2way", _grid_sql(["l_linestatus", "l_returnflag"], "SELECT * FROM lineitem"))
+def _ship(spark, d):
+    li = read_table(spark, d, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    return li.filter(~((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "A")))
+
+
+@register("freq_2way", _grid_sql(["l_linestatus", "l_returnflag"], SHIP_SQL))
 def freq_2way(spark, d):
-    return CT.crosstab(read_table(spark, d, "lineitem"), ["l_linestatus", "l_returnflag"])
+    return CT.crosstab(_ship(spark, d), ["l_linestatus", "l_returnflag"])
 
 
 @register("freq_3way", _grid_sql(["l_linestatus", "l_returnflag", "ship_year"], SHIP_SQL))
 def freq_3way(spark, d):
-    li = read_table(spark, d, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
-    return CT.crosstab(li, ["l_linestatus", "l_returnflag", "ship_year"])
+    return CT.crosstab(_ship(spark, d), ["l_linestatus", "l_returnflag", "ship_year"])
 
 
 @register("freq_2way_wide", """
 SELECT l_linestatus, CAST(count_if(l_returnflag = 'A') AS BIGINT) AS "A",
        CAST(count_if(l_returnflag = 'N') AS BIGINT) AS "N", CAST(count_if(l_returnflag = 'R') AS BIGINT) AS "R"
-FROM lineitem WHERE l_linestatus IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY l_linestatus""")
+FROM (""" + SHIP_SQL + """) WHERE l_linestatus IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY l_linestatus""")
 def freq_2way_wide(spark, d):
-    return CT.crosstab_wide(read_table(spark, d, "lineitem"), "l_linestatus", "l_returnflag")
+    return CT.crosstab_wide(_ship(spark, d), "l_linestatus", "l_returnflag")
 
 
 @register("freq_hotel_cancel_month", _grid_sql(
-    ["hotel", "is_canceled", "arrival_date_month"], bk_sql(calendar=True)))
+    ["hotel", "is_canceled", "arrival_date_month"],
+    f"SELECT * FROM ({bk_sql(calendar=True)}) WHERE NOT (hotel = 'F' AND is_canceled = 1 AND arrival_date_month = 'May')"))
 def freq_hotel_cancel_month(spark, d):
-    return CT.crosstab(B.bookings_view(spark, d, calendar=True),
-                       ["hotel", "is_canceled", "arrival_date_month"])
+    view = B.bookings_view(spark, d, calendar=True)
+    some = ~((F.col("hotel") == "F") & (F.col("is_canceled") == 1) & (F.col("arrival_date_month") == "May"))
+    return CT.crosstab(view.filter(some), ["hotel", "is_canceled", "arrival_date_month"])
 
 
 # --------------------------------------------------------------------------
@@ -262,12 +352,17 @@ def freq_hotel_cancel_month(spark, d):
 
 CORR_COLS = ["adr", "adults", "children", "babies", "stays_in_week_nights",
              "stays_in_weekend_nights", "lead_time", "guests"]
+# the reference drops three columns in one place and seven in another; keys stand
+# for the further ones here
+WIDE_CORR_COLS = ["order_key", "part_key", *CORR_COLS[:6], "customer_key", *CORR_COLS[6:]]
+FEW_DROPPED = ["is_canceled", "arrival_date_year"]
+MORE_DROPPED = [*FEW_DROPPED, "order_key", "part_key", "customer_key"]
 
 
-def _corr_sql(upper: bool) -> str:
+def _corr_sql(cols: list[str], upper: bool) -> str:
     parts = []
-    for i, a in enumerate(CORR_COLS):
-        for j, b in enumerate(CORR_COLS):
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
             if upper and i > j:
                 continue
             parts.append(
@@ -277,20 +372,25 @@ def _corr_sql(upper: bool) -> str:
     return f"WITH cc AS ({NUMERIC_CANCEL_SQL}) " + " UNION ALL ".join(parts)
 
 
-def _corr(spark, d):
-    num = C.drop_columns(C.select_numeric(_clean_cancel(spark, d, guest=False)),
-                         ["is_canceled", "arrival_date_year", "order_key", "part_key", "customer_key"])
-    return S.correlation_long(num, CORR_COLS)
+def _corr(spark, d, dropped):
+    """PJ4, PJ3, AG12: the columns are those that are left, in their order."""
+    num = C.drop_columns(C.select_numeric(_clean_cancel(spark, d, guest=False)), dropped)
+    return S.correlation_long(num, num.columns)
 
 
-@register("corr_matrix", _corr_sql(False))
+@register("corr_matrix", _corr_sql(CORR_COLS, False))
 def corr_matrix(spark, d):
-    return _corr(spark, d)
+    return _corr(spark, d, MORE_DROPPED)
+
+
+@register("corr_matrix_wide", _corr_sql(WIDE_CORR_COLS, False))
+def corr_matrix_wide(spark, d):
+    return _corr(spark, d, FEW_DROPPED)
 
 
-@register("corr_upper", _corr_sql(True))
+@register("corr_upper", _corr_sql(CORR_COLS, True))
 def corr_upper(spark, d):
-    return S.upper_triangle(_corr(spark, d))
+    return S.upper_triangle(_corr(spark, d, MORE_DROPPED))
 
 
 PAIR_COLS = ["lead_time", "adr", "adults", "stays_in_week_nights", "stays_in_weekend_nights"]
@@ -302,21 +402,32 @@ def _bin_sql(c: str) -> str:
             f"ELSE CAST(least(floor(({c} - min_{c}) / (max_{c} - min_{c}) * {float(BINS)}), {BINS - 1}) AS INTEGER) END")
 
 
-def _ranges_sql() -> str:
-    rng = ", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in PAIR_COLS)
+def _ranges_sql(cols: list[str]) -> str:
+    rng = ", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in cols)
     return f"WITH cc AS ({NUMERIC_CANCEL_SQL}), r AS (SELECT {rng} FROM cc), b AS (SELECT * FROM cc, r) "
 
 
-@register("pair_bins", _ranges_sql() + " UNION ALL ".join(
-    f"SELECT '{a}' AS var_x, '{b}' AS var_y, b_x AS bin_x, b_y AS bin_y, count(*) AS n FROM "
-    f"(SELECT {_bin_sql(a)} AS b_x, {_bin_sql(b)} AS b_y FROM b) WHERE b_x IS NOT NULL AND b_y IS NOT NULL "
-    f"GROUP BY b_x, b_y"
-    for i, a in enumerate(PAIR_COLS) for b in PAIR_COLS[i + 1:]))
+def _pair_sql(cols: list[str]) -> str:
+    return _ranges_sql(cols) + " UNION ALL ".join(
+        f"SELECT '{a}' AS var_x, '{b}' AS var_y, b_x AS bin_x, b_y AS bin_y, count(*) AS n FROM "
+        f"(SELECT {_bin_sql(a)} AS b_x, {_bin_sql(b)} AS b_y FROM b) WHERE b_x IS NOT NULL AND b_y IS NOT NULL "
+        f"GROUP BY b_x, b_y"
+        for i, a in enumerate(cols) for b in cols[i + 1:])
+
+
+@register("pair_bins", _pair_sql(PAIR_COLS))
 def pair_bins(spark, d):
     return S.pair_bins(_clean_cancel(spark, d, guest=False), PAIR_COLS, BINS)
 
 
-@register("pair_histograms", _ranges_sql() + " UNION ALL ".join(
+@register("pair_bins_all", _pair_sql(WIDE_CORR_COLS))
+def pair_bins_all(spark, d):
+    """The pair plot over all numeric columns."""
+    num = C.drop_columns(C.select_numeric(_clean_cancel(spark, d, guest=False)), FEW_DROPPED)
+    return S.pair_bins(num, num.columns, BINS)
+
+
+@register("pair_histograms", _ranges_sql(PAIR_COLS) + " UNION ALL ".join(
     f"SELECT '{c}' AS var, bx AS bin, min(min_{c}) AS var_min, min(max_{c}) AS var_max, count(*) AS n FROM "
     f"(SELECT {_bin_sql(c)} AS bx, min_{c}, max_{c} FROM b) WHERE bx IS NOT NULL GROUP BY bx"
     for c in PAIR_COLS))
@@ -397,17 +508,29 @@ def std_error_query(spark, d):
 NA_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
-def _tokens_sql() -> str:
-    from insight.sources.delimited import NA_TOKENS
-    return "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS) + "]"
+#: Spellings planted by key, some with blanks around them (the reader trims).
+PLANTED = ("", "NA", " NULL ", "NaN", "null", " Null", "<NA>", "n/a", "  ")
+
+
+def _planted_sql(c: str) -> str:
+    whens = " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(PLANTED))
+    return f"CASE (o_orderkey + length('{c}')) % 31 {whens} ELSE CAST({c} AS VARCHAR) END"
 
 
 @register("na_normalise_orders", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", CAST(count_if(list_contains({_tokens_sql()}, trim(CAST({c} AS VARCHAR))) "
-    f"OR {c} IS NULL) AS BIGINT) AS n_na FROM orders" for c in NA_ORDER_COLS))
+    f"SELECT '{c}' AS \"column\", CAST(count_if(v IS NULL OR trim(v) IN "
+    f"('', 'NA', 'NULL', 'NaN', 'null', 'Null', '<NA>')) AS BIGINT) AS n_na "
+    f"FROM (SELECT {_planted_sql(c)} AS v FROM orders)" for c in NA_ORDER_COLS))
 def na_normalise_orders(spark, d):
-    """Every column read as text, blank-trimmed, the seven NA spellings turned
-    into null (as the CSV reader does), then NA counts per column."""
+    """Every column read as text, the seven NA spellings planted, trimmed and
+    turned into null (as the CSV reader does), then NA counts per column."""
     from insight.sources.delimited import normalise_na
-    text = read_table(spark, d, "orders").select(*[F.col(c).cast("string").alias(c) for c in NA_ORDER_COLS])
+
+    def planted(c):
+        slot, out = (F.col("o_orderkey") + len(c)) % 31, F.col(c).cast("string")
+        for i, t in enumerate(PLANTED):
+            out = F.when(slot == i, F.lit(t)).otherwise(out)
+        return out.alias(c)
+
+    text = read_table(spark, d, "orders").select(*[planted(c) for c in NA_ORDER_COLS])
     return P.na_counts(normalise_na(text), NA_ORDER_COLS)

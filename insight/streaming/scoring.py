@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from insight.plans import text as TP
-from insight.session import ensure_checkpoint_dir
+from insight.sources.checkpoint import materialize
 
 
 def text_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -32,21 +32,25 @@ def text_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int
 
 
 def score_batch(model: TP.TrainedModel, batch: DataFrame, batch_id: int, sink_dir: str) -> None:
-    posts = batch.select(F.lit(batch_id).cast("long").alias("batch_id"),
-                         F.monotonically_increasing_id().alias("post_id"), "file", "text")
+    # the batch is stored once, so that its row numbers are the same for every reader
+    posts = materialize(batch.select(F.lit(batch_id).cast("long").alias("batch_id"),
+                                     F.monotonically_increasing_id().alias("post_id"), "file", "text"), "batch")
     scored = TP.score_posts(model, posts, ["batch_id", "post_id"])
     out = scored.join(posts.select("batch_id", "post_id", "file"), ["batch_id", "post_id"])
     out.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 
 
 def start_scoring(spark: SparkSession, model: TP.TrainedModel, source_dir: str, sink_dir: str,
-                  checkpoint_location: str | None = None, available_now: bool = False,
+                  checkpoint_location: str, available_now: bool = False,
                   processing_time: str | None = None) -> StreamingQuery:
-    """Start the scoring stream; ``available_now`` processes what is there and stops."""
-    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/insight-scoring-stream"
+    """Start the scoring stream; ``available_now`` processes what is there and stops.
+
+    ``checkpoint_location`` is the stream's own folder and must outlive the
+    driver: a restarted stream goes on from the offsets kept there.
+    """
     writer = (text_stream(spark, source_dir).writeStream
               .foreachBatch(lambda df, bid: score_batch(model, df, bid, sink_dir))
-              .option("checkpointLocation", ckpt))
+              .option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

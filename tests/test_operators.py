@@ -94,9 +94,10 @@ def test_correlation_edge_cases(spark):
 
 def test_column_summary_type7_quantiles(spark):
     df = spark.createDataFrame([(1.0, "x"), (2.0, "y"), (3.0, None), (10.0, "z"), (None, "w")], "v double, s string")
-    r = P.column_summary(df).collect()
-    assert len(r) == 1
-    r = r[0]
+    out = {r["column"]: r for r in P.column_summary(df).collect()}
+    assert set(out) == {"v", "s"}
+    assert (out["s"]["kind"], out["s"]["n"], out["s"]["n_na"], out["s"]["mean"]) == ("text", 5, 1, None)
+    r = out["v"]
     assert (r["min"], r["q1"], r["median"], r["q3"], r["max"], r["n_na"]) == (1.0, 1.75, 2.5, 4.75, 10.0, 1)
     assert r["mean"] == 4.0
 
@@ -173,7 +174,39 @@ def test_row_positions_match_a_sort(spark):
     keys = list(range(0, 3000, 3))
     random.Random(3).shuffle(keys)
     df = spark.createDataFrame([(k, None if k % 9 == 0 else 1.0) for k in keys], "k long, x double")
-    got = {r["k"]: r["row"] for r in R.row_positions(df, "k", partitions=7).collect()}
+    got = {r["k"]: r["row"] for r in R.row_positions(df, "k").collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
     na = {r["k"]: r["row"] for r in P.na_positions(df, "k", ["x"], row_numbers=True).collect()}
     assert na == {k: got[k] for k in keys if k % 9 == 0}
+
+
+def test_row_positions_spread_null_and_repeated_keys(spark):
+    df = spark.createDataFrame([(None if i % 3 else i % 5,) for i in range(3000)], "k int")
+    out = [(r["row"], r["k"]) for r in R.row_positions(df, "k").collect()]
+    assert sorted(p for p, _ in out) == list(range(1, 3001))
+    assert [k for _, k in sorted(out)] == sorted((k for _, k in out), key=lambda k: (k is not None, k or 0))
+    ranged = R.ranged(df.withColumn("t", F.monotonically_increasing_id()), ["k", "t"])
+    nulls = ranged.filter("k IS NULL").groupBy("__part").count().collect()
+    assert len(nulls) > 1 or spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+
+
+def test_bins_leave_out_nan_and_infinities(spark):
+    rows = [(float(i), 1.0) for i in range(100)] + [(float("nan"), 1.0), (float("inf"), 1.0), (float("-inf"), 1.0)]
+    df = spark.createDataFrame(rows, "x double, k double")
+    h = {r["bin"]: (r["n"], r["var_min"], r["var_max"]) for r in S.histogram_long(df, ["x"], 10).collect()}
+    assert len(h) == 10 and sum(n for n, _, _ in h.values()) == 100 and set(h.values()) == {(10, 0.0, 99.0)}
+    assert sum(r["n"] for r in S.pair_bins(df, ["x", "k"], 10).collect()) == 100
+
+
+def test_summary_of_dates(spark):
+    df = spark.sql("SELECT * FROM VALUES (DATE'1970-01-02', 'a'), (DATE'1970-01-04', NULL), (NULL, 'b') AS t(d, s)")
+    d = {r["column"]: r for r in P.column_summary(df).collect()}["d"]
+    assert (d["kind"], d["min"], d["median"], d["max"], d["n_na"]) == ("date", 86400.0, 172800.0, 259200.0, 1)
+
+
+def test_crosstab_scans_once(spark):
+    df = spark.createDataFrame([(i % 5, i % 3 if i % 5 else 0) for i in range(100)], "a int, b int")
+    out = {(r["a"], r["b"]): r["n"] for r in CT.crosstab(df, ["a", "b"]).collect()}
+    assert len(out) == 15 and out[(0, 1)] == 0 and sum(out.values()) == 100
+    many = spark.range(12_000).selectExpr("id as a", "id % 2 as b")  # no limit on the number of levels
+    assert CT.crosstab(many, ["a", "b"]).count() == 24_000

@@ -15,7 +15,13 @@ def test_filters_reach_the_scan(spark):
     p = plan_of(spark, "guest_origin_top5_numeric")
     assert "CartesianProduct" not in p
     # only the columns the plan reads are scanned
-    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double" in p
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double" in p
+    # and cancelled lines are left out there
+    assert "Not(EqualTo(l_returnflag,R))" in p
+
+
+def test_nation_filter_reaches_the_scan(spark):
+    assert "EqualTo(c_nationkey,7)" in plan_of(spark, "count_country_7")
 
 
 def test_year_filter_is_a_pushed_date_range(spark):
@@ -26,7 +32,7 @@ def test_year_filter_is_a_pushed_date_range(spark):
 def test_column_pruning_on_fact_scan(spark):
     p = plan_of(spark, "avg_rate")
     scans = [line for line in p.splitlines() if "lineitem.parquet" in line]
-    assert scans and all("l_comment" not in s and "l_partkey" not in s for s in scans)
+    assert scans and all("l_comment" not in s and "l_suppkey" not in s for s in scans)
 
 
 def test_top_n_per_group_uses_window_group_limit(spark):
