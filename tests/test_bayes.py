@@ -81,7 +81,7 @@ def test_naive_bayes_matches_brute_force(spark):
 
 def test_model_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string, label string")
-    tm = TP.train_model(docs, persist_model=True)
+    tm = TP.train_model(docs)
     classes = {r["label"]: r for r in tm.model.classes.collect()}
     assert abs(sum(math.exp(r["log_prior"]) for r in classes.values()) - 1.0) < 1e-12
     w = tm.model.weights.collect()
@@ -115,3 +115,16 @@ def test_key_split_is_disjoint_and_stable(spark):
     a = NB.key_split(df, "k").filter("is_test").count()
     assert 800 < a < 1200
     assert NB.key_split(df, "k").filter("is_test").count() == a
+    big = spark.createDataFrame([(k,) for k in (4 * 10**9, 2**63 - 1, -(2**63), -1, 0)], "k long")
+    assert NB.key_split(big, "k").filter("is_test IS NOT NULL").count() == 5
+
+
+def test_hot_terms_score_as_others_do(spark, monkeypatch):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, label string")
+    posts = spark.createDataFrame(NEW, "post_id long, text string")
+    out = []
+    for share in (0.01, 0.3, 2.0):  # all terms by broadcast, some, none
+        monkeypatch.setattr(NB, "HOT_SHARE", share)
+        out.append(sorted((r["post_id"], r["predicted"], round(r["score"], 9))
+                          for r in TP.score_posts(TP.train_model(docs), posts, "post_id").collect()))
+    assert out[0] == out[1] == out[2]

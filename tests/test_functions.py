@@ -83,7 +83,7 @@ def test_body_text_rules(spark):
     out = [r["x"] for r in df.select(body_text("h").alias("x")).collect()]
     assert out[0] == "A&B Hello world <3 Bye ©"
     assert out[1] == "closed"
-    assert out[2] == ""
+    assert out[2] == "no body"
 
 
 def test_links_and_resolution(spark):

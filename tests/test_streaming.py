@@ -16,8 +16,7 @@ def test_stream_scores_like_batch(spark):
     os.makedirs(src)
     open(os.path.join(src, "a.txt"), "w").write("good good\nbad awful\n")
     open(os.path.join(src, "b.txt"), "w").write("nothing known\n\nok great\n")
-    model = TP.train_model(spark.createDataFrame(DOCS, "doc_id long, text string, label string"),
-                           persist_model=True)
+    model = TP.train_model(spark.createDataFrame(DOCS, "doc_id long, text string, label string"))
     q = start_scoring(spark, model, src, sink, os.path.join(root, "ckpt"), available_now=True)
     q.awaitTermination(120)
     got = spark.read.parquet(sink)
