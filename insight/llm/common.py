@@ -7,7 +7,6 @@ characters: all bytes of a non-ASCII character are >= 0x80.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.session import ensure_checkpoint_dir
+from insight.sources.checkpoint import materialize
 
 #: The word classes of the operator contracts.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
@@ -206,10 +205,7 @@ def labelled_sample(labels: DataFrame, column: str, bound: int, keep: Column | N
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and return a scan of it."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    return materialize(df, f"llm-{name}")
 
 
 #: Bits of a key filter: 2,048 bitmaps of 4 KB, 8 MB in all, whatever the number of keys.

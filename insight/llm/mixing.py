@@ -19,9 +19,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from insight.llm.common import stored, unit_hash, unused_name, words_of
+from insight.operators.ranking import row_positions
 
 #: Weights by position of the source, repeating.
 WEIGHTS = (3, 1, 2)
@@ -32,19 +32,12 @@ SEED = "mix-1"
 BROADCAST_SOURCES = 100_000
 
 
-def _ranked(sources: DataFrame, ranges: int = 64) -> DataFrame:
-    """0-based position of each source by code point, null last, as ``pos``.
-
-    The first two bytes cut the sources into ranges; counts of the ranges give
-    each range its offset, and rows are numbered within their range.
-    """
-    head = F.coalesce(F.substring(F.hex(F.col("source").cast("binary")), 1, 6), F.lit("~"))
-    ranged = sources.withColumn("head", head)
-    counts = ranged.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("head", (F.sum("n").over(Window.orderBy("head")) - F.col("n")).alias("before"))
-    number = F.row_number().over(Window.partitionBy("head").orderBy(F.col("source").asc_nulls_last()))
-    return (ranged.withColumn("number", number).join(before, "head")
-            .withColumn("pos", F.col("before") + F.col("number") - 1).drop("head", "number", "before"))
+def _ranked(sources: DataFrame) -> DataFrame:
+    """0-based position of each source by code point, null last, as ``pos``."""
+    named = sources.where(F.col("source").isNotNull())
+    after = sources.where(F.col("source").isNull()).crossJoin(F.broadcast(named.agg(F.count(F.lit(1)).alias("pos"))))
+    numbered = row_positions(named, "source", "pos").withColumn("pos", F.col("pos") - 1)
+    return numbered.unionByName(after)
 
 
 def source_targets(sized: DataFrame, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -55,7 +48,7 @@ def source_targets(sized: DataFrame, share: float = SHARE, most: float = MOST) -
     round is one aggregate over the table of sources.
     """
     weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("pos") % len(WEIGHTS) + 1).cast("int"))
-    sources = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
+    sources = stored(sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")), "mix-sizes")
     sources = stored(_ranked(sources).withColumn("weight", weight), "mix-sources")
     cap = F.lit(most) * F.col("source_size")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
