@@ -32,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import IS_LETTER, MULT, TO_LOWER, labelled_sample, lists, mix, run_hashes, salt, text_slices, words_in
+from insight.llm.common import IS_LETTER, MULT, TO_LOWER, labelled_sample, lists, mix, run_hashes, salt, stored, text_slices, words_in
 
-#: Labelled documents of each kind, and sentences, that fit the model.
+#: Labelled documents of each kind, and (about) sentences, that fit the model.
 TOXIC_DOCS, CLEAN_DOCS, SENTENCES = 8_000, 8_000, 40_000
 SUPPORT, PRECISION = 0.01, 0.4
 #: Expected number of keys that mark toxic documents by chance.
@@ -320,8 +320,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column) -> ToxicMode
         return None
     known = lexicon(sample.where("label = 1"), sample.where("label = 0"))
     field = Field()
-    cut = (sample.select("text", "label").mapInArrow(_sentences(known), "draw long, features array<int>, labels array<int>")
-           .orderBy("draw", "features").limit(SENTENCES).toPandas())
+    cut = stored(sample.select("text", "label").mapInArrow(
+        _sentences(known), "draw long, features array<int>, labels array<int>"), "toxic-sentences")
+    share = SENTENCES / max(1, cut.count())
+    cut = (cut.where(F.pmod("draw", F.lit(1 << 20)) < F.lit(int(min(1.0, share) * (1 << 20)))).toPandas()
+           .sort_values("draw", kind="stable"))
     kinds_of = 2 + len(PREFIXES)
     field.train([(np.asarray(f, np.int64).reshape(-1, kinds_of).T, np.asarray(y, float))
                  for f, y in zip(cut["features"], cut["labels"])])
