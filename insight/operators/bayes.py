@@ -137,17 +137,19 @@ class NaiveBayesModel:
 
 def fit_naive_bayes(tf: DataFrame, labels: DataFrame, key: str | Sequence[str],
                     label: str = "label", vocab: DataFrame | None = None,
-                    alpha: float = 1.0) -> NaiveBayesModel:
+                    n_vocab_docs: int | None = None, alpha: float = 1.0) -> NaiveBayesModel:
     """ML2: fit on the training documents ``labels (key..., label)``.
 
     ``tf`` may hold more documents than ``labels`` (e.g. the test rows):
     the vocabulary -- and so ``V`` -- comes from ``vocab`` if given, else from
     every document in ``tf``, which is the reference's order (vectoriser fit
-    on all rows before the split).
+    on all rows before the split).  ``n_vocab_docs`` is the number of those
+    documents, counted if it is not given.
     """
     keys = _keys(key)
     vocab = vocab if vocab is not None else vocabulary_terms(tf)
-    n_vocab_docs = tf.select(*keys).distinct().count()
+    if n_vocab_docs is None:
+        n_vocab_docs = tf.select(*keys).distinct().count()
     v_size = vocab.agg(F.count(F.lit(1)).cast("double").alias("__v"))
     train = labels.select(*keys, F.col(label).alias("label"))
     counts = train.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))

@@ -51,7 +51,7 @@ def train_model(docs: DataFrame, key: str = "doc_id", test_fraction: float = 0.2
     tf = materialize(NB.term_frequencies(docs, key, "text", stop_words), "tf")
     vocab = materialize(NB.vocabulary_terms(tf), "vocab")        # ML1: all rows, before the split
     split = materialize(NB.key_split(docs.select(key, "label"), key, test_fraction), "split")
-    fitted = NB.fit_naive_bayes(tf, split.filter(~F.col("is_test")), key, "label", vocab)
+    fitted = NB.fit_naive_bayes(tf, split.filter(~F.col("is_test")), key, "label", vocab, split.count())
     fitted.classes, fitted.weights = materialize(fitted.classes, "classes"), materialize(fitted.weights, "weights")
     return TrainedModel(docs=split, tf=tf, split=split, model=fitted, key=key)
 
