@@ -153,12 +153,12 @@ def _fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
 
 def resample(docs: DataFrame, labels: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, log_weight, gumbel_key, selected for every row of ``docs``."""
+    """doc_id, log_weight, gumbel_key, kept for every row of ``docs``."""
     ratios = _fit(docs, labels)
     scored = stored(docs.select("doc_id", log_weight(F.col("text"), ratios).alias("log_weight"))
                          .withColumn("gumbel_key", gumbel_key(F.col("log_weight"), F.col("doc_id"), seed)),
                          "quality-weights")
-    return scored.withColumn("selected", F.col("gumbel_key") >= F.lit(_border(scored, labels)))
+    return scored.withColumn("kept", F.col("gumbel_key") >= F.lit(_border(scored, labels)))
 
 
 def _border(scored: DataFrame, labels: DataFrame) -> int:

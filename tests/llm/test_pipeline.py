@@ -67,7 +67,7 @@ def test_stages_are_the_operators_one_after_the_other(spark, tmp_path):
     # each stage against the decisions of its operator on the same input
     step = [f for _, f in corpus_pipeline.STAGES]
     a = step[0](spark, docs, sf)
-    assert ids(a) == ids(quality.resample(docs, marks).where("selected"))
+    assert ids(a) == ids(quality.resample(docs, marks).where("kept"))
     b = step[1](spark, a, sf)
     assert ids(b) == ids(rules.judge(a, rules.fit_rules(whole, marks)).where("kept"))
     b = mixing.stored(b, "test")

@@ -54,15 +54,15 @@ def test_weights_and_draw_equal_the_plain_version(spark, case):
     known = [q for _, q, _ in labels if q is not None]
     k = round(sum(q == 1 for q in known) / len(known) * len(some)) if known else len(some)
     border = sorted((r["gumbel_key"] for r in some), reverse=True)[k - 1]
-    assert all(r["selected"] == (r["gumbel_key"] >= border) for r in out)
+    assert all(r["kept"] == (r["gumbel_key"] >= border) for r in out)
     kept = resampled(docs, marks)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted((r["doc_id"] for r in out if r["selected"]), key=repr)
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted((r["doc_id"] for r in out if r["kept"]), key=repr)
 
 
 def test_it_keeps_the_good_and_drops_the_rest(spark):
     rows, labels = corpus()
-    out = {r["doc_id"]: r["selected"] for r in resample(docs_frame(spark, rows), labels_frame(spark, labels)).collect()}
+    out = {r["doc_id"]: r["kept"] for r in resample(docs_frame(spark, rows), labels_frame(spark, labels)).collect()}
     good = [out[i] for i in out if i % 5]
     bad = [out[i] for i in out if i % 5 == 0]
     assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad)
