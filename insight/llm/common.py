@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from insight.sources.checkpoint import materialize
 
-#: The word classes of the operator contracts.
-SPACED_WORD = r"[^\x20\x09-\x0D]+"
-LETTER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between the words of the operator contracts, whose
+#: words are runs of all other characters.
+SPACED_GAP = r"[\x20\x09-\x0D]+"
+LETTER_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Text handled at once inside a task.  Bounds the numpy temporaries; a longer
@@ -32,9 +33,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def words_of(text: Column, pattern: str = SPACED_WORD) -> Column:
-    """All words of a text; null has none."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
+def words_of(text: Column, between: str = SPACED_GAP) -> Column:
+    """All words of a text; null has none.
+
+    Splitting between words is several times faster than matching the words.
+    """
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), between), "")
 
 
 def unit_hash(*parts: Column | str) -> Column:

@@ -8,7 +8,7 @@ at once; matching rows are walked to a sampled suffix to locate them; located
 windows become spans, which are merged per document.
 
 A window is ``WINDOW`` consecutive item words; an item of fewer words, but not
-none, is one window.  Words are those of ``LETTER_WORD`` with A-Z lower-cased;
+none, is one window.  Words stand between ``LETTER_GAP``, with A-Z lower-cased;
 they are compared by 64-bit hash.
 
 The benchmark is searched in blocks of about ``BLOCK_BYTES`` of item text, so

@@ -1,6 +1,6 @@
 """N-gram Jaccard join with Bayesian candidate pruning.
 
-Documents are sets of five-word shingles (words of ``LETTER_WORD``, A-Z
+Documents are sets of five-word shingles (words between ``LETTER_GAP``, A-Z
 lower-cased; a text of one to four words is one shingle).  Two documents are
 linked if the Jaccard similarity of their sets is at least ``THRESHOLD``;
 classes are the connected components of the links.

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import LETTER_WORD, lower_ascii, words_of
+from insight.llm.common import LETTER_GAP, lower_ascii, words_of
 
 #: Label, template words, key phrase (a run of the template).
 TEMPLATES = (
@@ -138,7 +138,7 @@ def _joined(labels: Column) -> Column:
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, rare: int = RARE) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score per row."""
-    worded = docs.select("doc_id", words_of(lower_ascii(F.col("text")), LETTER_WORD).alias("words"))
+    worded = docs.select("doc_id", words_of(lower_ascii(F.col("text")), LETTER_GAP).alias("words"))
     index = rare_index(worded, templates, rare)
     words = F.col("words")
     found = worded.select("doc_id", F.size(words).cast("long").alias("n_words"),

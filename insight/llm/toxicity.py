@@ -1,6 +1,6 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Tokens are words of ``LETTER_WORD`` (A-Z lower-cased); a sequence is a
+Tokens are words between ``LETTER_GAP`` (A-Z lower-cased); a sequence is a
 sentence, cut after ``MAX_TOKENS`` tokens.  A token's features are hashes of the
 word, two prefixes and a suffix; two states, clean and toxic, are chained by
 transition weights.  Token labels come from labelled documents: a token of

@@ -39,9 +39,9 @@ def test_scan_equals_the_plain_version(spark):
 
 def test_index_takes_the_rarest_words(spark):
     docs = docs_frame(spark, [(i, "under the license " * 3 + ("mit" if i == 0 else ""), "en", "a") for i in range(5)])
-    from insight.llm.common import LETTER_WORD, lower_ascii, words_of
+    from insight.llm.common import LETTER_GAP, lower_ascii, words_of
     from pyspark.sql import functions as F
-    index = licenses.rare_index(docs.select(words_of(lower_ascii(F.col("text")), LETTER_WORD).alias("words")))
+    index = licenses.rare_index(docs.select(words_of(lower_ascii(F.col("text")), LETTER_GAP).alias("words")))
     assert [w for w, t, _ in index if t == 0 and w == "mit"] == ["mit"]
     assert max(sum(1 for _, t, _ in index if t == k) for k in range(len(TEMPLATES))) == licenses.RARE
 
