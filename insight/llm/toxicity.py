@@ -6,7 +6,8 @@ word, two prefixes and a suffix; two states, clean and toxic, are chained by
 transition weights.  Token labels come from labelled documents: a token of
 a toxic document is toxic if one of its keys (word or prefix) is found in
 ``SUPPORT`` of the toxic documents, in more of them than chance would have it,
-and ``PRECISION`` of the documents with that key are toxic.  For support, documents
+and ``PRECISION`` of the documents with that key are toxic; documents that hold
+a key of precision ``SURE`` do not vouch for weaker ones.  For support, documents
 with the same smallest shingle hash count once, so copies of a document do not
 make its words toxic.
 
@@ -37,6 +38,8 @@ from insight.llm.common import IS_LETTER, MULT, TO_LOWER, labelled_sample, lists
 #: Labelled documents of each kind, and (about) sentences, that fit the model.
 TOXIC_DOCS, CLEAN_DOCS, SENTENCES = 8_000, 8_000, 40_000
 SUPPORT, PRECISION = 0.01, 0.4
+#: Precision from which a key explains the label of its documents.
+SURE = 0.95
 #: Expected number of keys that mark toxic documents by chance.
 CHANCE = 0.01
 PREFIXES, SUFFIX = (4, 6), 3
@@ -136,7 +139,18 @@ def lexicon(toxic: DataFrame, clean: DataFrame) -> np.ndarray:
     others = (clean.select("text").mapInArrow(_count_known(known), "key long, n long").groupBy("key")
               .agg(F.sum("n").alias("n")))
     against = {r["key"]: r["n"] for r in others.collect()}
-    return np.array([k for k in known.tolist() if keys[k] >= PRECISION * (keys[k] + against.get(k, 0))], np.int64)
+    precision = {k: keys[k] / (keys[k] + against.get(k, 0)) for k in keys}
+    sure = [k for k in keys if precision[k] >= SURE]
+    # weaker keys count only where no sure one explains the label
+    open_docs = marked
+    if sure:
+        listed = toxic.sparkSession.createDataFrame([(k,) for k in sure], "key bigint")
+        explained = marked.join(F.broadcast(listed), "key", "left_semi").select("mark").distinct()
+        open_docs = marked.join(explained, "mark", "left_anti")
+    weaker = (open_docs.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") >= max(least, SUPPORT * n)).select("key").collect())
+    more = [r["key"] for r in weaker if precision.get(r["key"], 0) >= PRECISION]
+    return np.array(sorted({*sure, *more}), np.int64)
 
 
 class Field:
