@@ -24,7 +24,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Text handled at once inside a task.  Bounds the numpy temporaries; a longer
 #: single text is still handled whole, alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 CHUNK = 1 << 18
 
 
