@@ -4,17 +4,19 @@ The model is a byte-context trie of order ``ORDER`` over the text with A-Z
 lower-cased and one end sign.  Escapes follow method C, and symbols seen in a
 longer context are excluded from the shorter ones.  The trie is pretrained: byte
 n-grams of all training texts are counted, shorter contexts follow from the
-longest ones.  Its capacity is ``NODES`` nodes; if the corpus has more, those
-seen fewer than 2^j times are left out, with the smallest j that fits, so
-what the tasks are sent is bounded.  The probability of a symbol depends on
-its ``ORDER`` predecessors only, so each slice of text scores its distinct
-n-grams once.
-
-Next to it stands a smoothed unigram model over words, whose counts are not
-bounded and are therefore joined: each slice of rows lists its distinct words
-once, their counts are joined to the lists, and the lists go back to the
+longest ones.  No context is left out, so the trie grows with the corpus and is
+cut in shards by the three bytes before the symbol: a shard holds all that the
+n-grams with these bytes need, and gives the probability of each distinct
+n-gram once.
+
+The probabilities are a table.  Tasks are sent those of the commonest n-grams,
+at most ``COMMON``; each slice of rows lists its other distinct n-grams once,
+their probabilities are joined to the lists, and the lists go back to the
 slices.
 
+Next to it stands a smoothed unigram model over words, whose counts are joined
+to the slices' distinct words in the same way.
+
 Edge cases: null and empty texts consist of the end sign only; rows with null
 doc_id are trained on; rows with equal doc_id are scored one by one; without
 training rows every symbol has probability 1/256; other columns are ignored;
@@ -34,11 +36,16 @@ from pyspark.sql import functions as F
 from insight.llm.common import IS_SPACE, TO_LOWER, ranges, stored, text_slices, words_in
 
 ORDER = 5
+#: Capacity of a trie that is taken to the driver (:func:`fit_trie`); scoring has none.
 NODES = 1 << 20
+#: N-grams whose probabilities every task is sent; the others' are joined.
+COMMON = 1 << 21
+#: N-grams of one shard of the trie, about.
+SHARD = 500_000
 #: Text whose n-grams are held at once; n-grams a task sums up before it passes them on.
 GRAM_BYTES, HELD = 1 << 20, 2_000_000
-#: Text whose words form one slice.
-WORD_BYTES = 8 << 20
+#: Text whose words form one slice, at most; n-grams of a slice that are joined, about.
+WORD_BYTES, JOINED = 8 << 20, 1 << 20
 #: Bytes that UTF-8 never uses: the sign before a text, the sign after it.
 BEFORE, AFTER = 0xFE, 0xFF
 ALPHABET = 256
@@ -72,10 +79,12 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     keys, counts, size = [], [], 0
     for batch in batches:
-        for _, _, raw, offs in text_slices(batch.column("text"), GRAM_BYTES):
-            codes, new = pd.factorize(context_grams(raw, offs)[0])
+        learned = ~batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
+        for a, b, raw, offs in text_slices(batch.column("text"), GRAM_BYTES):
+            grams, many = context_grams(raw, offs)
+            codes, new = pd.factorize(grams)
             keys.append(new)
-            counts.append(np.bincount(codes))
+            counts.append(np.bincount(codes[np.repeat(learned[a:b], many)], minlength=len(new)))
             size += len(new)
             if size > HELD:
                 g, n = _summed(keys, counts)
@@ -87,13 +96,19 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(*_summed(keys, counts))
 
 
-def count_contexts(texts: DataFrame) -> DataFrame:
-    """(level, gram, n): counts of the byte n-grams of all lengths, level + 1 bytes each."""
-    longest = texts.select("text").mapInArrow(_count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+def count_longest(rows: DataFrame) -> DataFrame:
+    """(gram, n): n-grams of ORDER + 1 bytes of all rows, with their counts in the rows that are not ``held``."""
+    return (rows.select("text", "held").mapInArrow(_count_grams, "gram long, n long")
+            .groupBy("gram").agg(F.sum("n").alias("n")))
+
+
+def shorter(longest: DataFrame, top: int) -> DataFrame:
+    """(level, gram, n): counts of the n-grams of levels 0 to ``top``, level + 1 bytes each."""
     levels = F.explode(F.array(*[
         F.struct(F.lit(k).alias("level"), F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("gram"))
-        for k in range(ORDER + 1)]))
-    return (longest.select(levels.alias("x"), "n").groupBy("x.level", "x.gram").agg(F.sum("n").alias("n")))
+        for k in range(top + 1)]))
+    return (longest.where("n > 0").select(levels.alias("x"), "n").groupBy("x.level", "x.gram")
+            .agg(F.sum("n").alias("n")))
 
 
 class Trie:
@@ -154,8 +169,11 @@ class Trie:
 
 
 def fit_trie(texts: DataFrame, nodes: int = NODES) -> Trie:
-    """Count all texts and take the trie of at most ``nodes`` nodes to the driver."""
-    counted = stored(count_contexts(texts), "ppm-contexts")
+    """A trie of at most ``nodes`` nodes on the driver, without the rarest n-grams.
+
+    :func:`score_texts` does not use it: it scores by all n-grams.
+    """
+    counted = stored(shorter(count_longest(texts.withColumn("held", F.lit(False))), ORDER), "ppm-contexts")
     over = counted.agg(*[F.count(F.when(F.col("n") >= F.lit(1 << j), 1)).alias(f"c{j}") for j in range(62)]).first()
     least = 1 << next((j for j in range(62) if over[j] <= nodes), 61)
     levels = []
@@ -167,22 +185,95 @@ def fit_trie(texts: DataFrame, nodes: int = NODES) -> Trie:
     return Trie.of_counts(levels)
 
 
+def _sorted(grams: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    grams, place = np.unique(grams, return_index=True)
+    return grams, *[v[place] for v in values]
+
+
+def _score_shard(low):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        level, grams = rows.column("level").to_numpy(), rows.column("gram").to_numpy().astype(np.uint64)
+        n = rows.column("n").to_numpy()
+        del held, rows
+        counted = list(low.value)
+        for k in range(2, ORDER + 1):
+            own = (level == k) & (n > 0)
+            counted.append(_sorted(grams[own], n[own]))  # level 2 comes once for each byte before it
+        asked = level == ORDER
+        grams, n = grams[asked], n[asked]
+        trie = Trie.of_counts(counted)
+        yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(n), pa.array(trie.log10(grams))],
+                                         ["gram", "n", "p"])
+    return run
+
+
+def gram_scores(rows: DataFrame) -> DataFrame:
+    """(gram, n, p): all n-grams of ORDER + 1 bytes, count and log10 P(last byte | bytes before) by the rows not ``held``.
+
+    The last byte and the three before it are in all n-grams of levels 3 and
+    up that a probability needs, so those go to one shard.  Level 2 is sent to
+    every shard that has its contexts; levels 0 and 1 are at most 65,792 rows.
+    """
+    spark = rows.sparkSession
+    longest = stored(count_longest(rows), "ppm-longest")
+    short = stored(shorter(longest, ORDER - 1), "ppm-shorter")
+    low = []
+    for k in range(2):
+        part = short.where(F.col("level") == k).select("gram", "n").toArrow()
+        low.append(_sorted(part.column("gram").to_numpy().astype(np.uint64), part.column("n").to_numpy()))
+    sent = spark.sparkContext.broadcast(low)
+    before = F.shiftright("gram", 8)
+    deep = (short.where("level > 2").unionByName(longest.withColumn("level", F.lit(ORDER)))
+            .withColumn("shard", before.bitwiseAND(F.lit((1 << 24) - 1))))
+    shards = longest.select(before.bitwiseAND(F.lit((1 << 24) - 1)).alias("shard")).distinct()
+    level2 = (short.where("level = 2").withColumn("pair", before)
+              .join(shards.withColumn("pair", F.col("shard").bitwiseAND(F.lit((1 << 16) - 1))), "pair"))
+    columns = ["level", "gram", "n", "shard"]
+    total = longest.count() + short.count()
+    many = max(spark.sparkContext.defaultParallelism, -(-total // SHARD))
+    both = deep.select(*columns).unionByName(level2.select(*columns)).repartition(many, "shard")
+    return stored(both.select("level", "gram", "n").mapInArrow(_score_shard(sent), "gram long, n long, p double"), "ppm-scores")
+
+
+def common_scores(scores: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """The commonest n-grams, sorted, with their scores; share of the symbols that they do not cover."""
+    over = scores.agg(F.sum("n").alias("all"), *[
+        F.count(F.when(F.col("n") >= F.lit(1 << j), 1)).alias(f"c{j}") for j in range(62)]).first()
+    least = 1 << next((j for j in range(62) if over[f"c{j}"] <= most), 61)
+    part = scores.where(F.col("n") >= F.lit(least)).select("gram", "n", "p").toArrow()
+    grams, p = _sorted(part.column("gram").to_numpy().astype(np.uint64), part.column("p").to_numpy())
+    return grams, p, 1 - int(part.column("n").to_numpy().sum()) / over["all"] if over["all"] else 1.0
+
+
 _SLICE = ("docs array<bigint>, held array<boolean>, score array<double>, counts array<int>, "
-          "words binary, distinct binary, learned binary")
+          "words binary, distinct binary, learned binary, asked binary, places binary, grams binary")
 
 
-def _slices(levels):
+def _slices(common, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(levels.value)
+        known, logs = common.value
         for batch in batches:
             held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
             text = batch.column("text")
-            for a, b, raw, offs in text_slices(text, WORD_BYTES):
-                score = []
+            for a, b, raw, offs in text_slices(text, size):
+                score, asked, others = [], [], []
                 for _, _, part, cuts in text_slices(text.slice(a, b - a), GRAM_BYTES):
                     grams, many = context_grams(part, cuts)
                     codes, kinds = pd.factorize(grams)
-                    score.append(np.add.reduceat(trie.log10(kinds)[codes], np.cumsum(many) - many))
+                    place = np.minimum(np.searchsorted(known, kinds), max(len(known) - 1, 0))
+                    found = known[place] == kinds if len(known) else np.zeros(len(kinds), bool)
+                    values = np.zeros(len(kinds))
+                    values[found] = logs[place[found]]
+                    begin = np.cumsum(many) - many
+                    score.append(np.add.reduceat(values[codes], begin))
+                    other = ~found[codes]
+                    asked.append(np.add.reduceat(other, begin, dtype=np.int64))
+                    others.append(grams[other])
+                places, grams = pd.factorize(np.concatenate(others))
                 words = words_in(TO_LOWER[raw], offs, ~IS_SPACE)
                 codes, kinds = pd.factorize(words.hashes)
                 learned = np.bincount(codes[~held[a:b][words.text_ids]], minlength=len(kinds))
@@ -192,11 +283,22 @@ def _slices(levels):
                         (held[a:b].tolist(), pa.list_(pa.bool_())), (np.concatenate(score), pa.list_(pa.float64())),
                         (words.counts.astype(np.int32), pa.list_(pa.int32())),
                         (codes.astype(np.int32).tobytes(), pa.binary()), (kinds.tobytes(), pa.binary()),
-                        (learned.astype(np.int64).tobytes(), pa.binary()))],
-                    ["docs", "held", "score", "counts", "words", "distinct", "learned"])
+                        (learned.astype(np.int64).tobytes(), pa.binary()),
+                        (np.concatenate(asked).astype(np.int32).tobytes(), pa.binary()),
+                        (places.astype(np.int32).tobytes(), pa.binary()), (grams.tobytes(), pa.binary()))],
+                    ["docs", "held", "score", "counts", "words", "distinct", "learned", "asked", "places", "grams"])
     return run
 
 
+def _gram_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            grams = np.frombuffer(batch.column("grams")[k].as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(grams), batch.column("slice")[k].as_py(), np.int64)),
+                 pa.array(np.arange(len(grams), dtype=np.int32)), pa.array(grams)], ["slice", "place", "gram"])
+
+
 def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
@@ -225,11 +327,19 @@ def _base_scores(n: int, distinct: int, ends: int):
                 total = np.concatenate([[0.0], np.cumsum(logs(c)[codes])]) if len(codes) else np.zeros(1)
                 known = np.concatenate([[0], np.cumsum(c[codes] > 0)])
                 size = len(counts)
+                score = batch.column("score")[k].values.to_numpy()
+                packed = batch.column("others")[k]
+                if packed.is_valid:
+                    p = np.zeros(len(packed.values))
+                    p[packed.values.field("place").to_numpy()] = packed.values.field("p").to_numpy()
+                    places = np.frombuffer(batch.column("places")[k].as_py(), np.int32)
+                    text_of = np.repeat(np.arange(size), np.frombuffer(batch.column("asked")[k].as_py(), np.int32))
+                    score = score + np.bincount(text_of, weights=p[places], minlength=size)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("docs")[k].values, batch.column("held")[k].values, pa.array(counts + 1),
                      pa.array(known[edges[1:]] - known[edges[:-1]] + int(ends > 0)), pa.array(np.full(size, n, np.int64)),
                      pa.array(total[edges[1:]] - total[edges[:-1]] + float(logs(np.array(ends)))),
-                     batch.column("score")[k].values],
+                     pa.array(score)],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
@@ -238,9 +348,11 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", held.alias("held"))
-    trie = fit_trie(rows.where(~F.col("held")))
-    levels = spark.sparkContext.broadcast(trie.levels)  # at most NODES rows of numbers
-    slices = stored(rows.mapInArrow(_slices(levels), _SLICE).withColumn("slice", F.monotonically_increasing_id()), "ppm-slices")
+    scores = gram_scores(rows)
+    known, logs, rest = common_scores(scores, COMMON)
+    common = spark.sparkContext.broadcast((known, logs))  # at most COMMON rows of two numbers
+    size = int(np.clip(JOINED / max(rest, 1e-9), GRAM_BYTES, WORD_BYTES))
+    slices = stored(rows.mapInArrow(_slices(common, size), _SLICE).withColumn("slice", F.monotonically_increasing_id()), "ppm-slices")
     lists_of = slices.select("slice", "distinct", "learned").mapInArrow(
         _word_lists, "slice long, place long, word long, n long")
     vocabulary = stored(lists_of.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "ppm-words")
@@ -248,7 +360,11 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     ends = rows.where(~F.col("held")).count()
     found = (lists_of.select("slice", "place", "word").join(vocabulary, "word")
              .groupBy("slice").agg(F.collect_list(F.shiftleft("place", 40) + F.col("c")).alias("found")))
-    ready = slices.join(found, "slice", "left").select("docs", "held", "score", "counts", "words", "distinct", "found")
+    others = (slices.select("slice", "grams").mapInArrow(_gram_lists, "slice long, place int, gram long")
+              .join(scores.select("gram", "p"), "gram").groupBy("slice")
+              .agg(F.collect_list(F.struct("place", "p")).alias("others")))
+    ready = (slices.join(found, "slice", "left").join(others, "slice", "left")
+             .select("docs", "held", "score", "counts", "words", "distinct", "found", "asked", "places", "others"))
     return ready.mapInArrow(
         _base_scores(words + ends, distinct + int(ends > 0), ends),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

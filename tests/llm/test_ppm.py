@@ -73,6 +73,17 @@ def test_scores_equal_the_plain_version(spark):
     assert sorted(got, key=repr) == sorted(plain(rows), key=repr)
 
 
+@pytest.mark.parametrize("most", [0, 50])
+def test_scores_use_all_contexts_of_a_large_corpus(spark, monkeypatch, most):
+    """With room for few n-grams on the driver and in the tasks, the scores stay those of all n-grams."""
+    monkeypatch.setattr(ppm.fit_trie, "__defaults__", (50,))
+    monkeypatch.setattr(ppm, "COMMON", most, raising=False)
+    monkeypatch.setattr(ppm, "SHARD", 100, raising=False)
+    rows = corpus()
+    got = [(*r[:5], round(r[5], 6), round(r[6], 6)) for r in score_texts(docs_frame(spark, rows), held_out(F.col("doc_id"), 5, 1)).collect()]
+    assert sorted(got, key=repr) == sorted(plain(rows), key=repr)
+
+
 def trie_of(counts):
     levels = []
     for level in counts:
