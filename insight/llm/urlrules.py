@@ -1,11 +1,13 @@
 """URL filter from association rules.
 
-Labelled pages become item sets of URL tokens.  Spark's FP-growth mines the
-token combinations that come often enough, with and without the label; the
-rules ``tokens -> label`` with enough confidence, and more of it than any
-smaller rule they contain, are kept.  They are looked up by an inverted index:
-each rule is posted under its rarest token, and a page that has this token is
-tested for the others.
+Labelled pages become item sets of all their URL tokens.  The token
+combinations that come often enough with the label are counted level by level;
+the rules ``tokens -> label`` with enough confidence, and more of it than any
+smaller rule they contain, are kept.  A combination on the same pages as a
+smaller one cannot be kept, nor can one that contains a rule of confidence 1,
+so neither is extended: tokens that always come together cost no more than one
+of them.  Rules are looked up by an inverted index: each is posted under its
+rarest token, and a page that has this token is tested for the others.
 
 A page's label is that of the document whose number its URL path ends in (the
 crawl's own numbering).  Numbers are not tokens, so rules do not learn single
@@ -21,14 +23,16 @@ holds and the default verdict is ``allow``; repeated rows are judged alike.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.fpm import FPGrowth
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import lower_ascii
+from insight.llm.common import lower_ascii, stored
 
 #: Fixed values: (verdict, host, path prefix).
 HOST_RULES = (
@@ -38,12 +42,11 @@ HOST_RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-BAD = "=bad"
 MIN_SUPPORT = 0.002
 MIN_COUNT = 10
 MIN_CONFIDENCE = 0.5
-#: Tokens of one URL that enter mining; more are matched, not mined together.
-ITEMS = 10
+#: Distinct item sets whose tokens are counted at once.
+ROWS = 1 << 14
 
 
 def host_of(url: Column) -> Column:
@@ -97,42 +100,106 @@ def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return numbered.where(F.col("doc_id").isNotNull()).join(marks, "doc_id").select("tokens", "bad")
 
 
+def _item_sets(index):
+    """Sorted numbers of a page's tokens that are in ``index``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = index.value
+        for batch in batches:
+            items = [sorted(known[t] for t in set(row) if t in known) for row in batch.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.int32())), batch.column("bad")], ["items", "bad"])
+    return run
+
+
+def _count_sets(sent):
+    """(set, n, bad): pages with all items of each candidate, by its number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        candidates = sent.value
+        n, bad = np.zeros(len(candidates), np.int64), np.zeros(len(candidates), np.int64)
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(first, ROWS)
+                column = batch.column("items")
+                row = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
+                item = column.flatten().to_numpy()
+                order = np.argsort(item, kind="stable")
+                item, row = item[order], row[order]
+                edges = np.searchsorted(item, np.arange((int(item[-1]) if len(item) else -1) + 2))
+                has = np.zeros((len(edges) - 1, -(-batch.num_rows // 8)), np.uint8)
+                for i, (a, b) in enumerate(zip(edges, edges[1:])):
+                    flags = np.zeros(batch.num_rows, bool)
+                    flags[row[a:b]] = True
+                    has[i] = np.packbits(flags)
+                weights = batch.column("n").to_numpy(), batch.column("bad").to_numpy()
+                prefix, bits = None, None
+                for c, items in enumerate(candidates):
+                    if items[-1] >= len(has):
+                        continue
+                    if items[:-1] != prefix:
+                        prefix, bits = items[:-1], np.bitwise_and.reduce(has[list(items[:-1])])
+                    both = bits & has[items[-1]]
+                    if both.any():
+                        flags = np.unpackbits(both, count=batch.num_rows).view(bool)
+                        n[c] += weights[0][flags].sum()
+                        bad[c] += weights[1][flags].sum()
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some]), pa.array(bad[some])], ["set", "n", "bad"])
+    return run
+
+
+def _larger(sets: set[tuple]) -> list[tuple]:
+    """Combinations of one item more whose parts of one item less are all in ``sets``, sorted."""
+    ends: dict[tuple, list] = {}
+    for s in sorted(sets):
+        ends.setdefault(s[:-1], []).append(s[-1])
+    return [(*start, x, y) for start, last in ends.items() for i, x in enumerate(last) for y in last[i + 1:]
+            if all((*start[:j], *start[j + 1:], x, y) in sets for j in range(len(start)))]
+
+
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT,
                min_confidence: float = MIN_CONFIDENCE) -> list[dict]:
     """Rules ``tokens -> bad``: tokens, count, confidence.
 
-    Support is relative to the labelled pages, so there are at most
-    2^ITEMS / min_support item sets, whatever the input's size.
+    All tokens of a page are mined.  The work is bounded by support, which is
+    relative to the labelled pages: only combinations on that many bad pages
+    are extended.
     """
     n = labelled.count()
     if n == 0:
         return []
-    support = max(min_support, min_count / n)
-    if support > 1:
+    least = math.ceil(max(min_support * n, min_count))
+    if least > n:
         return []
-    # a URL longer than ITEMS mines its commonest tokens, which are those that can be frequent
-    common = (labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") >= support * n))
-    counts = {r["token"]: r["n"] for r in common.collect()}  # at most tokens per URL / support rows
-    if not counts:
+    common = (labelled.select(F.explode(F.array_distinct("tokens")).alias("token"), "bad").groupBy("token")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= least))
+    rows = sorted((r["n"], r["token"], r["bad"]) for r in common.collect())  # at most tokens per URL / support rows
+    if not rows:
         return []
-    known = F.create_map(*[F.lit(x) for k, v in sorted(counts.items()) for x in (k, v)])
-    kept = F.filter(F.col("tokens"), lambda t: F.map_contains_key(known, t))
-    ranked = F.transform(kept, lambda t: F.struct((-F.element_at(known, t)).alias("o"), t.alias("t")))
-    items = F.transform(F.slice(F.array_sort(ranked), 1, ITEMS), lambda x: x["t"])
-    items = F.when(F.col("bad") == 1, F.concat(items, F.array(F.lit(BAD)))).otherwise(items)
-    sets = FPGrowth(itemsCol="items", minSupport=support).fit(labelled.select(items.alias("items"))).freqItemsets
-    freq = {frozenset(r["items"]): r["freq"] for r in sets.collect()}
-    rules = {}
-    for items, f in freq.items():
-        body = items - {BAD}
-        if BAD in items and body and f / freq[body] >= min_confidence:
-            rules[body] = f / freq[body]
-    out = []
-    for body, conf in rules.items():
-        inside = [body - {x} for x in body]
-        if not any(rules.get(s, 0) >= conf for s in inside if s):
-            out.append({"tokens": sorted(body, key=lambda t: (counts[t], t)), "count": freq[body], "confidence": conf})
+    spark = labelled.sparkSession
+    index = spark.sparkContext.broadcast({t: i for i, (_, t, _) in enumerate(rows)})
+    sets = stored(labelled.select("tokens", F.col("bad").cast("long").alias("bad"))
+                  .mapInArrow(_item_sets(index), "items array<int>, bad long").where(F.size("items") > 1)
+                  .groupBy("items").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")), "url-items")
+    level = {(i,): (count, bad) for i, (count, _, bad) in enumerate(rows)}
+    rules: dict[tuple, tuple] = {}
+    while level:
+        for items, (count, bad) in level.items():
+            parts = [items[:j] + items[j + 1:] for j in range(len(items))]
+            if bad / count >= min_confidence:
+                better = any(p in rules and rules[p][1] >= bad / count for p in parts)
+                rules[items] = (count, bad / count, not better)
+        # beyond a rule of confidence 1 every combination repeats a smaller rule
+        candidates = _larger({s for s, (count, bad) in level.items() if bad < count})
+        if not candidates:
+            break
+        sent = spark.sparkContext.broadcast(candidates)
+        counted = (sets.mapInArrow(_count_sets(sent), "set long, n long, bad long").groupBy("set")
+                   .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= least)).collect()
+        found = {candidates[r["set"]]: (r["n"], r["bad"]) for r in counted}
+        # on the same pages as one of its parts: it repeats that part's rule, and so do all that contain it
+        level = {s: x for s, x in found.items()
+                 if all(level[s[:j] + s[j + 1:]][0] > x[0] for j in range(len(s)))}
+    out = [{"tokens": [rows[i][1] for i in items], "count": count, "confidence": confidence}
+           for items, (count, confidence, kept) in rules.items() if kept]
     return sorted(out, key=lambda r: r["tokens"])
 
 

@@ -78,6 +78,28 @@ def test_rules_equal_counting_all_combinations(spark):
     assert got and got == plain_rules(rows, 0.05, 0.6)
 
 
+def test_all_tokens_of_long_urls_are_mined(spark):
+    """16 frequent tokens a URL; the telling pair is among the rarest."""
+    rows = []
+    for i in range(240):
+        tokens = [f"p{k}:x" for k in range(9)]
+        tokens += [f"q:{name}={'a' if i % step else 'b'}" for name, step in (("u", 5), ("v", 7))]
+        tokens += [f"q:w={i % 3}", f"h1:{'y' if i % 16 else 'z'}", f"x:{i % 4}", f"s:{i % 2}"]
+        spam = i % 3 == 1 and i % 4 == 2
+        rows.append((tokens + [f"f:{i % 5 == 1}"], int(spam and i % 7 > 0 or i % 16 == 0)))
+    assert all(len(set(t)) == 16 for t, _ in rows)
+    labelled = spark.createDataFrame(rows, "tokens array<string>, bad int")
+    got = {frozenset(r["tokens"]): r["confidence"] for r in mine_rules(labelled, 0.02, 5, 0.6)}
+    assert frozenset(["q:w=1", "x:2"]) in got
+    assert got == plain_rules(rows, 0.02, 0.6)
+
+
+def test_tokens_that_always_come_together_cost_one(spark):
+    rows = [([f"t{k}" for k in range(40)] + [f"r:{i % 4}"], int(i % 4 == 0)) for i in range(80)]
+    labelled = spark.createDataFrame(rows, "tokens array<string>, bad int")
+    assert [(r["tokens"], r["count"], r["confidence"]) for r in mine_rules(labelled, 0.1, 5, 0.6)] == [(["r:0"], 20, 1.0)]
+
+
 def test_verdicts_follow_the_rules(spark):
     pages, labels = training(spark)
     rules = plain_rules([(r["tokens"], r["bad"]) for r in page_labels(pages, labels).collect()], 0.05, 0.6)
