@@ -8,8 +8,10 @@ numpy node arrays and score whole batches.  Fixed rules come first: a document
 of under ``MIN_WORDS`` words, or with more than half of its words in repeated
 three-word windows, fails.
 
-The border of the verdict is set on the training sample: at most ``LOST`` of
-its good documents may fall below it, and it is never above 0.5.
+The border of the verdict is set on scores of rows the trees have not seen: the
+sample is cut in ``FOLDS`` folds, equal rows in one, and each is scored by trees of
+the others.  The border has the least sum of the share of junk let through and
+``LOST`` times the share of good documents lost, and is the nearest such to 0.5.
 
 Edge cases: null and empty texts have only zeros and fail the fixed rules;
 without labels, or with one class only, the model keeps what the fixed rules
@@ -29,7 +31,8 @@ from insight.llm.common import IS_SPACE, MULT, labelled_sample, mix, run_hashes,
 TRAIN_ROWS = 20_000
 TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 64, 20
 PENALTY = 1.0
-LOST = 0.002
+#: Folds of the sample that set the border; weight of good documents lost against junk let through.
+FOLDS, LOST = 5, 4.0
 MIN_WORDS, MAX_REPEAT = 50, 50
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -134,8 +137,39 @@ class Trees:
 KEEP_ALL = Trees(0.0, *[np.zeros((0, 1))] * 5, 0.0)
 
 
+def unseen_scores(x: np.ndarray, y: np.ndarray, falling=FALLING) -> np.ndarray:
+    """Score of each row by trees of the other folds."""
+    fold = np.unique(x, axis=0, return_inverse=True)[1].ravel() % FOLDS
+    out = np.zeros(len(y))
+    for f in range(FOLDS):
+        own = fold == f
+        if own.any():
+            out[own] = _grow(x[~own], y[~own], falling).score(x[own])
+    return out
+
+
+def best_border(score: np.ndarray, y: np.ndarray) -> float:
+    """Border of least junk let through and good lost; rows of both kinds are needed."""
+    levels, place = np.unique(score, return_inverse=True)
+    good = np.bincount(place[y == 1], minlength=len(levels)) / (y == 1).sum()
+    junk = np.bincount(place[y == 0], minlength=len(levels)) / (y == 0).sum()
+    # border k lies above the k lowest levels
+    cost = LOST * np.concatenate([[0], np.cumsum(good)]) + 1 - np.concatenate([[0], np.cumsum(junk)])
+    low, high = np.concatenate([[0.0], levels]), np.concatenate([levels, [1.0]])
+    best = np.flatnonzero(cost <= cost.min() + 1e-12)
+    inside = np.clip(0.5, low[best] + (high[best] - low[best]) / 4, high[best] - (high[best] - low[best]) / 4)
+    return float(inside[np.abs(inside - 0.5).argmin()])
+
+
 def boost(x: np.ndarray, y: np.ndarray, falling=FALLING) -> Trees:
     """Fit on a bounded sample; ``KEEP_ALL`` if there is one class only."""
+    trees = _grow(x, y, falling)
+    if trees is not KEEP_ALL:
+        trees.border = best_border(unseen_scores(x, y, falling), y)
+    return trees
+
+
+def _grow(x: np.ndarray, y: np.ndarray, falling) -> Trees:
     if len(y) == 0 or y.min() == y.max():
         return KEEP_ALL
     down = np.array([f in falling for f in FEATURES])
@@ -183,9 +217,7 @@ def boost(x: np.ndarray, y: np.ndarray, falling=FALLING) -> Trees:
                 a, b = ((mid, high), (low, mid)) if down[j] else ((low, high), (low, high))
                 open_nodes += [(2 * node + 1, rows[goes], *a, depth + 1), (2 * node + 2, rows[~goes], *b, depth + 1)]
         parts.append((feature, cut, left, right, value))
-    trees = Trees(base, *[np.stack(z) for z in zip(*parts)], 0.5)
-    trees.border = float(min(0.5, np.quantile(trees.score(x)[y == 1], LOST)))
-    return trees
+    return Trees(base, *[np.stack(z) for z in zip(*parts)], 0.5)
 
 
 STATS_TYPE = "struct<" + ",".join(f"{s}:bigint" for s in STATS) + ",features:array<double>>"

@@ -98,6 +98,21 @@ def test_junk_goes_and_clean_documents_stay(spark):
     assert kept == {i for i in range(400) if i % 4}
 
 
+def test_flipped_labels_do_not_let_junk_through():
+    x, y = training(6000, 5)
+    clean = y.copy()
+    flipped = np.random.default_rng(9).random(len(y)) < 0.05
+    y[flipped] = 1 - y[flipped]
+    trees = boost(x[:3000], y[:3000])
+    score, good = trees.score(x[3000:]), clean[3000:] == 1
+
+    def cost(border):
+        return (score[~good] >= border).mean() + rules.LOST * (score[good] < border).mean()
+
+    assert cost(trees.border) <= min(cost(b) for b in np.linspace(0, 1, 201)) + 0.1
+    assert (score[~good] >= trees.border).mean() < 0.4 and (score[good] < trees.border).mean() < 0.05
+
+
 def test_empty_tables(spark):
     docs, labels = docs_frame(spark, []), labels_frame(spark, [])
     trees = fit_rules(docs, labels)
