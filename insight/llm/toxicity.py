@@ -5,9 +5,9 @@ sentence, cut after ``MAX_TOKENS`` tokens.  A token's features are hashes of the
 word, two prefixes and a suffix; two states, clean and toxic, are chained by
 transition weights.  Token labels come from labelled documents: a token of
 a toxic document is toxic if one of its keys (word or prefix) is found in
-``SUPPORT`` of the toxic documents, in more of them than chance would have it,
-and ``PRECISION`` of the documents with that key are toxic; documents that hold
-a key of precision ``SURE`` do not vouch for weaker ones.  For support, documents
+more toxic documents than chance would have it, and ``PRECISION`` of the
+documents with that key are toxic; documents that hold a key of precision
+``SURE`` do not vouch for weaker ones.  To count against chance, documents
 with the same smallest shingle hash count once, so copies of a document do not
 make its words toxic.
 
@@ -37,7 +37,7 @@ from insight.llm.common import IS_LETTER, MULT, TO_LOWER, labelled_sample, lists
 
 #: Labelled documents of each kind, and (about) sentences, that fit the model.
 TOXIC_DOCS, CLEAN_DOCS, SENTENCES = 8_000, 8_000, 40_000
-SUPPORT, PRECISION = 0.01, 0.4
+PRECISION = 0.4
 #: Precision from which a key explains the label of its documents.
 SURE = 0.95
 #: Expected number of keys that mark toxic documents by chance.
@@ -106,20 +106,16 @@ def _toxic_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1])], ["key", "mark"])
 
 
-def _count_known(known: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(known), np.int64)
-        for batch in batches:
-            for _, _, raw, offs in text_slices(batch.column("text")):
-                low = TO_LOWER[raw]
-                words = words_in(low, offs, IS_LETTER)
-                keys = _lexical(token_keys(low, words)).view(np.int64)
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                kind, token = np.nonzero(known[at] == keys)
-                pairs = np.unique(words.text_ids[token] * len(known) + at[kind, token])
-                total += np.bincount(pairs % len(known), minlength=len(known))
-        yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(total)], ["key", "n"])
-    return run
+def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n): documents of a slice that hold each key."""
+    for batch in batches:
+        for _, _, raw, offs in text_slices(batch.column("text")):
+            low = TO_LOWER[raw]
+            words = words_in(low, offs, IS_LETTER)
+            keys = _lexical(token_keys(low, words)).view(np.int64)
+            pairs = np.unique(np.stack([keys.ravel(), np.tile(words.text_ids, len(keys))]), axis=1)
+            key, n = np.unique(pairs[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
 def lexicon(toxic: DataFrame, clean: DataFrame) -> np.ndarray:
@@ -131,26 +127,19 @@ def lexicon(toxic: DataFrame, clean: DataFrame) -> np.ndarray:
     least = 2  # so few toxic documents may share a key by chance
     while many * share**least > CHANCE and least < n:
         least += 1
-    found = counted.where(F.col("n") >= max(least, SUPPORT * n))
-    keys = {r["key"]: r["n"] for r in found.collect()}  # each holds SUPPORT of the documents: a bounded number
-    if not keys:
-        return np.zeros(0, np.int64)
-    known = np.array(sorted(keys), np.int64)
-    others = (clean.select("text").mapInArrow(_count_known(known), "key long, n long").groupBy("key")
-              .agg(F.sum("n").alias("n")))
-    against = {r["key"]: r["n"] for r in others.collect()}
-    precision = {k: keys[k] / (keys[k] + against.get(k, 0)) for k in keys}
-    sure = [k for k in keys if precision[k] >= SURE]
+    others = (clean.select("text").mapInArrow(_key_counts, "key long, n long").groupBy("key")
+              .agg(F.sum("n").alias("against")))
+    precision = F.col("n") / (F.col("n") + F.coalesce(F.col("against"), F.lit(0)))
+    keys = stored(counted.where(F.col("n") >= least).join(others, "key", "left")
+                  .select("key", precision.alias("precision")).where(F.col("precision") >= PRECISION), "toxic-keys")
+    sure = keys.where(F.col("precision") >= SURE).select("key")
     # weaker keys count only where no sure one explains the label
-    open_docs = marked
-    if sure:
-        listed = toxic.sparkSession.createDataFrame([(k,) for k in sure], "key bigint")
-        explained = marked.join(F.broadcast(listed), "key", "left_semi").select("mark").distinct()
-        open_docs = marked.join(explained, "mark", "left_anti")
-    weaker = (open_docs.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") >= max(least, SUPPORT * n)).select("key").collect())
-    more = [r["key"] for r in weaker if precision.get(r["key"], 0) >= PRECISION]
-    return np.array(sorted({*sure, *more}), np.int64)
+    explained = marked.join(sure, "key", "left_semi").select("mark").distinct()
+    weaker = (marked.join(explained, "mark", "left_anti").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") >= least).select("key").join(keys, "key", "left_semi"))
+    # of the sample's keys, those that mark toxic tokens: the tasks are sent them
+    found = sure.union(weaker).distinct().toArrow().column("key").to_numpy()
+    return np.sort(found)
 
 
 class Field:

@@ -71,6 +71,26 @@ def test_held_out_documents_are_caught_and_clean_ones_left_alone(spark):
             assert not r["spans"]
 
 
+def test_a_wide_toxic_vocabulary_is_learned(spark):
+    """Four hundred toxic words without a common prefix, each in under 1 % of the toxic documents."""
+    rnd = random.Random(4)
+    plain = [f"{a}{b}{c}" for a in ("an", "be", "co", "di") for b in ("ra", "so", "tu") for c in ("n", "st", "ly", "m")]
+    bad = ["".join(rnd.choices("ghjkpqvwxz", k=8)) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(16_000):
+        text = rnd.choices(plain, k=20)
+        toxic = i % 4 == 0
+        for _ in range(2 * toxic):
+            text[rnd.randrange(len(text))] = rnd.choice(bad)
+        rows.append((i, " ".join(text), "en", "a"))
+        labels.append((i, 1, int(toxic)))
+    out = score_toxicity(docs_frame(spark, rows), labels_frame(spark, labels), held_out(F.col("doc_id"), 3, 1))
+    held = out.where("held_out").select("doc_id", "score").collect()
+    caught = [r["score"] >= 0.7 for r in held if r["doc_id"] % 4 == 0]
+    alarms = [r["score"] >= 0.7 for r in held if r["doc_id"] % 4]
+    assert sum(caught) >= 0.9 * len(caught) and sum(alarms) <= 0.02 * len(alarms)
+
+
 def test_labels_of_held_out_rows_are_not_learned(spark):
     rows, labels = corpus(300)
     held = held_out(F.col("doc_id"), 3, 1)
