@@ -216,7 +216,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 FILTER_BITS = 1 << 26
 
 
-def _maybe_in(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+def maybe_in(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
     """``df`` with a flag that is true for every row whose key is in ``ids``, and for few others.
 
     A hash filter like a Bloom filter of one hash.  It decides which rows need
@@ -235,13 +235,13 @@ def _maybe_in(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
 
 def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key is in ``ids`` (a one-column frame of that name); few others are shuffled."""
-    flagged = _maybe_in(df, key, ids, "__maybe").where("__maybe").drop("__maybe")
+    flagged = maybe_in(df, key, ids, "__maybe").where("__maybe").drop("__maybe")
     return flagged.join(ids, key, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def without(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key is not in ``ids``; rows that surely are not are not shuffled."""
-    flagged = _maybe_in(df, key, ids, "__maybe")
+    flagged = maybe_in(df, key, ids, "__maybe")
     columns = [F.col(f"`{c}`") for c in df.columns]
     sure = flagged.where("not __maybe").select(*columns)
     return sure.unionByName(flagged.where("__maybe").join(ids, key, "left_anti").select(*columns))

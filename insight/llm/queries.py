@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from insight.llm import decontaminate, jaccard, langid, licenses, mixing, ppm, quality, rules, toxicity, urlrules
+from insight.llm import (decontaminate, divergence, jaccard, langid, licenses, mixing, ppm, prefixtrie, quality, repeats, rules,
+                         toxicity, urlrules)
 from insight.llm.common import held_out
 from insight.sources.tables import read_table
 
@@ -75,3 +76,18 @@ def op6_toxic_spans(spark, sf_dir):
     scored = toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
                                      held_out(F.col("doc_id"), 3, 1))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op11_repeated_spans", repeats.REMOVED_SQL)
+def op11_repeated_spans(spark, sf_dir):
+    return repeats.removed_words(read_table(spark, sf_dir, "documents"))
+
+
+@register("op12_source_audit", divergence.AUDIT_SQL)
+def op12_source_audit(spark, sf_dir):
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+@register("op13_prefix_trie", prefixtrie.TRIE_SQL)
+def op13_prefix_trie(spark, sf_dir):
+    return prefixtrie.prefix_trie(*prefixtrie.rebuild(read_table(spark, sf_dir, "conversations")))
