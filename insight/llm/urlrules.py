@@ -1,13 +1,15 @@
 """URL filter from association rules.
 
-Labelled pages become item sets of all their URL tokens.  The token
-combinations that come often enough with the label are counted level by level;
-the rules ``tokens -> label`` with enough confidence, and more of it than any
-smaller rule they contain, are kept.  A combination on the same pages as a
-smaller one cannot be kept, nor can one that contains a rule of confidence 1,
-so neither is extended: tokens that always come together cost no more than one
-of them.  Rules are looked up by an inverted index: each is posted under its
-rarest token, and a page that has this token is tested for the others.
+Labelled pages become item sets of all their frequent URL tokens.  Tokens that stand on
+exactly the same labelled pages are one item, so what always comes together is mined
+once; FP-growth mines the combinations of items with the label, and the rules
+``tokens -> label`` with enough support and confidence, and more confidence than any
+rule of one token less, are kept.  A rule of items stands for all its choices of one
+token from each item.  Items on all labelled pages are rules by themselves at most:
+with them a combination stays as sure as without.
+
+Rules are looked up by an inverted index: each is posted under its rarest item, and a
+URL that has this item is tested for the others.
 
 A page's label is that of the document whose number its URL path ends in (the
 crawl's own numbering).  Numbers are not tokens, so rules do not learn single
@@ -24,11 +26,9 @@ holds and the default verdict is ``allow``; repeated rows are judged alike.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from itertools import product
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +45,8 @@ HOST_RULES = (
 MIN_SUPPORT = 0.002
 MIN_COUNT = 10
 MIN_CONFIDENCE = 0.5
-#: Distinct item sets whose tokens are counted at once.
-ROWS = 1 << 14
+#: The item of a bad page; tokens have a colon.
+BAD = "bad"
 
 
 def host_of(url: Column) -> Column:
@@ -100,136 +100,82 @@ def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return numbered.where(F.col("doc_id").isNotNull()).join(marks, "doc_id").select("tokens", "bad")
 
 
-def _item_sets(index):
-    """Sorted numbers of a page's tokens that are in ``index``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = index.value
-        for batch in batches:
-            items = [sorted(known[t] for t in set(row) if t in known) for row in batch.column("tokens").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.int32())), batch.column("bad")], ["items", "bad"])
-    return run
-
-
-def _count_sets(sent):
-    """(set, n, bad): pages with all items of each candidate, by its number."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        candidates = sent.value
-        n, bad = np.zeros(len(candidates), np.int64), np.zeros(len(candidates), np.int64)
-        for whole in batches:
-            for first in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(first, ROWS)
-                column = batch.column("items")
-                row = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
-                item = column.flatten().to_numpy()
-                order = np.argsort(item, kind="stable")
-                item, row = item[order], row[order]
-                edges = np.searchsorted(item, np.arange((int(item[-1]) if len(item) else -1) + 2))
-                has = np.zeros((len(edges) - 1, -(-batch.num_rows // 8)), np.uint8)
-                for i, (a, b) in enumerate(zip(edges, edges[1:])):
-                    flags = np.zeros(batch.num_rows, bool)
-                    flags[row[a:b]] = True
-                    has[i] = np.packbits(flags)
-                weights = batch.column("n").to_numpy(), batch.column("bad").to_numpy()
-                prefix, bits = None, None
-                for c, items in enumerate(candidates):
-                    if items[-1] >= len(has):
-                        continue
-                    if items[:-1] != prefix:
-                        prefix, bits = items[:-1], np.bitwise_and.reduce(has[list(items[:-1])])
-                    both = bits & has[items[-1]]
-                    if both.any():
-                        flags = np.unpackbits(both, count=batch.num_rows).view(bool)
-                        n[c] += weights[0][flags].sum()
-                        bad[c] += weights[1][flags].sum()
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some]), pa.array(bad[some])], ["set", "n", "bad"])
-    return run
-
-
-def _larger(sets: set[tuple]) -> list[tuple]:
-    """Combinations of one item more whose parts of one item less are all in ``sets``, sorted."""
-    ends: dict[tuple, list] = {}
-    for s in sorted(sets):
-        ends.setdefault(s[:-1], []).append(s[-1])
-    return [(*start, x, y) for start, last in ends.items() for i, x in enumerate(last) for y in last[i + 1:]
-            if all((*start[:j], *start[j + 1:], x, y) in sets for j in range(len(start)))]
+def token_items(labelled: DataFrame, least: int) -> DataFrame:
+    """(token, item, n): tokens of at least ``least`` bad pages; those of the same pages have the same item.
+
+    ``labelled`` has page, tokens and bad.  Sets of pages are compared by their size and
+    two exclusive ors of page hashes.
+    """
+    pages = [F.bit_xor(F.xxhash64(F.lit(i), "page")).alias(f"h{i}") for i in range(2)]
+    tokens = (labelled.select("page", "bad", F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"), *pages).where(F.col("bad") >= least).drop("bad"))
+    tokens = stored(tokens, "url-tokens")
+    same = ["n", "h0", "h1"]
+    return tokens.join(tokens.groupBy(*same).agg(F.min("token").alias("item")), same).select("token", "item", "n")
+
+
+def mine_items(labelled: DataFrame, min_support: float, min_count: int, min_confidence: float) -> tuple[DataFrame, DataFrame]:
+    """Items (token, item, n) and rules (items, n, confidence) of ``labelled`` pages (tokens, bad)."""
+    labelled = stored(labelled.select("tokens", "bad", F.monotonically_increasing_id().alias("page")), "url-labelled")
+    total, all_bad = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    least = math.ceil(max(min_support * total, min_count))
+    items = stored(token_items(labelled, least), "url-items")
+    single = items.where(F.col("n") == total).select(F.array("item").alias("items"), "n", F.lit(all_bad).cast("long").alias("bad")).distinct()
+    mined = items.where(F.col("n") < total)
+    sets = (labelled.select("page", "bad", F.explode("tokens").alias("token")).join(mined.select("token", "item"), "token")
+            .groupBy("page").agg(F.collect_set("item").alias("items"), F.max("bad").alias("bad"))
+            .select(F.when(F.col("bad") == 1, F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")))
+    sets = stored(sets, "url-sets")
+    many = sets.count()
+    if many >= least:
+        growth = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / many, minConfidence=1.0)
+        found = stored(growth.fit(sets).freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("n")), "url-sets-found")
+        with_label = found.where(F.array_contains("items", BAD)).select(F.array_remove("items", F.lit(BAD)).alias("items"), F.col("n").alias("bad"))
+        single = single.unionByName(found.join(with_label.where(F.size("items") > 0), "items").select("items", "n", "bad"))
+    rules = (single.withColumn("confidence", F.col("bad") / F.col("n"))
+             .where((F.col("bad") >= least) & (F.col("confidence") >= min_confidence)).drop("bad"))
+    rules = stored(rules, "url-rules")
+    parts = (rules.where(F.size("items") > 1)
+             .select("items", "confidence", F.explode(F.transform("items", lambda x: F.array_remove("items", x))).alias("part")))
+    smaller = rules.select(F.col("items").alias("part"), F.col("confidence").alias("sure"))
+    repeats = parts.join(smaller, "part").where(F.col("sure") >= F.col("confidence")).select("items")
+    return items, stored(rules.join(repeats.distinct(), "items", "left_anti"), "url-rules-kept")
 
 
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT,
                min_confidence: float = MIN_CONFIDENCE) -> list[dict]:
-    """Rules ``tokens -> bad``: tokens, count, confidence.
-
-    All tokens of a page are mined.  The work is bounded by support, which is
-    relative to the labelled pages: only combinations on that many bad pages
-    are extended.
-    """
-    n = labelled.count()
-    if n == 0:
-        return []
-    least = math.ceil(max(min_support * n, min_count))
-    if least > n:
-        return []
-    common = (labelled.select(F.explode(F.array_distinct("tokens")).alias("token"), "bad").groupBy("token")
-              .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= least))
-    rows = sorted((r["n"], r["token"], r["bad"]) for r in common.collect())  # at most tokens per URL / support rows
-    if not rows:
-        return []
-    spark = labelled.sparkSession
-    index = spark.sparkContext.broadcast({t: i for i, (_, t, _) in enumerate(rows)})
-    sets = stored(labelled.select("tokens", F.col("bad").cast("long").alias("bad"))
-                  .mapInArrow(_item_sets(index), "items array<int>, bad long").where(F.size("items") > 1)
-                  .groupBy("items").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")), "url-items")
-    level = {(i,): (count, bad) for i, (count, _, bad) in enumerate(rows)}
-    rules: dict[tuple, tuple] = {}
-    while level:
-        for items, (count, bad) in level.items():
-            parts = [items[:j] + items[j + 1:] for j in range(len(items))]
-            if bad / count >= min_confidence:
-                better = any(p in rules and rules[p][1] >= bad / count for p in parts)
-                rules[items] = (count, bad / count, not better)
-        # beyond a rule of confidence 1 every combination repeats a smaller rule
-        candidates = _larger({s for s, (count, bad) in level.items() if bad < count})
-        if not candidates:
-            break
-        sent = spark.sparkContext.broadcast(candidates)
-        counted = (sets.mapInArrow(_count_sets(sent), "set long, n long, bad long").groupBy("set")
-                   .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= least)).collect()
-        found = {candidates[r["set"]]: (r["n"], r["bad"]) for r in counted}
-        # on the same pages as one of its parts: it repeats that part's rule, and so do all that contain it
-        level = {s: x for s, x in found.items()
-                 if all(level[s[:j] + s[j + 1:]][0] > x[0] for j in range(len(s)))}
-    out = [{"tokens": [rows[i][1] for i in items], "count": count, "confidence": confidence}
-           for items, (count, confidence, kept) in rules.items() if kept]
+    """Rules ``tokens -> bad`` written out, for reading: tokens, count, confidence."""
+    items, rules = mine_items(labelled, min_support, min_count, min_confidence)
+    tokens: dict[str, list] = {}
+    for r in items.join(rules.select(F.explode("items").alias("item")).distinct(), "item", "left_semi").collect():
+        tokens.setdefault(r["item"], []).append(r["token"])
+    out = [{"tokens": sorted(chosen), "count": r["n"], "confidence": r["confidence"]}
+           for r in rules.collect() for chosen in product(*(tokens[i] for i in r["items"]))]
     return sorted(out, key=lambda r: r["tokens"])
 
 
-def rule_confidence(tokens: Column, rules: list[dict]) -> Column:
-    """Highest confidence of the rules that fit the token column, 0 if none does."""
-    index: dict[str, list] = {}
-    for r in rules:
-        index.setdefault(r["tokens"][0], []).append((frozenset(r["tokens"]), r["confidence"]))
-    if not index:
-        return F.lit(0.0)
-
-    @F.pandas_udf("double")
-    def best(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in column:
-            out = []
-            for row in s:
-                have = set(row) if row is not None else set()
-                out.append(max((c for t in have for need, c in index.get(t, ()) if need <= have), default=0.0))
-            yield pd.Series(out, dtype="float64")
-
-    return best(tokens)
+def rule_confidence(urls: DataFrame, items: DataFrame, rules: DataFrame) -> DataFrame:
+    """(url, confidence): the highest confidence of the rules that fit, for the URLs that any fits."""
+    needed = rules.select(F.explode("items").alias("item")).distinct()
+    used = items.join(needed, "item", "left_semi")
+    have = (urls.where(F.col("url").isNotNull()).select("url").distinct()
+            .select("url", F.explode(url_tokens(F.col("url"))).alias("token")).join(used.select("token", "item"), "token")
+            .groupBy("url").agg(F.collect_set("item").alias("have")))
+    sizes = used.select("item", "n").distinct().withColumnRenamed("n", "pages")
+    posted = (rules.select("items", "confidence", F.explode("items").alias("item")).join(sizes, "item")
+              .groupBy("items", "confidence").agg(F.min_by("item", F.struct("pages", "item")).alias("item")))
+    return (have.select("url", "have", F.explode("have").alias("item")).join(posted, "item")
+            .where(F.size(F.array_except("items", "have")) == 0).groupBy("url").agg(F.max("confidence").alias("confidence")))
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """page_id, host, path, rule, verdict, confidence for every row of ``pages``."""
-    rules = mine_rules(page_labels(pages, labels), **bounds)
+    limits = {"min_support": MIN_SUPPORT, "min_count": MIN_COUNT, "min_confidence": MIN_CONFIDENCE} | bounds
+    items, rules = mine_items(page_labels(pages, labels), **limits)
     url = F.col("url")
-    base = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), url_tokens(url).alias("tokens"))
+    sure = rule_confidence(pages, items, rules)
+    base = pages.select("page_id", "url").join(sure, "url", "left")
     rule, verdict = host_rule(F.col("host"), F.col("path"))
-    out = base.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("fixed"),
-                      rule_confidence(F.col("tokens"), rules).alias("confidence"))
+    out = base.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
     mined = F.when(F.col("confidence") > 0, F.lit("block")).otherwise(F.lit("allow"))
-    return out.select("page_id", "host", "path", "rule", F.coalesce("fixed", mined).alias("verdict"), "confidence")
+    return out.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, mined).alias("verdict"), "confidence")
