@@ -251,14 +251,13 @@ def cancel_category(spark, d):
 
 
 @register("headerless_records", """
-SELECT d.doc_id, left(regexp_replace(d.text, '\\s+', ' ', 'g'), 60) || '; "' || d.source || '"' AS tweet, l.quality AS sentiment
+SELECT d.doc_id, regexp_replace(d.text, '\\s+', ' ', 'g') || '; "' || d.source || '"' AS tweet, l.quality AS sentiment
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
 def headerless_records(spark, d):
     """IO2: records of the form ``text;label`` without a header, quoted, parsed back."""
     from insight.sources.delimited import parse_lines
     docs = read_table(spark, d, "documents").join(read_table(spark, d, "labels"), "doc_id")
-    start = F.substring(F.regexp_replace("text", r"\s+", " "), 1, 60)
-    field = F.concat(start, F.lit('; "'), F.col("source"), F.lit('"'))
+    field = F.concat(F.regexp_replace("text", r"\s+", " "), F.lit('; "'), F.col("source"), F.lit('"'))
     quoted = F.concat(F.lit('"'), F.replace(field, F.lit('"'), F.lit('""')), F.lit('"'))
     lines = docs.select("doc_id", F.concat_ws(";", quoted, F.col("quality").cast("string")).alias("line"))
     return parse_lines(lines, "line", ["tweet", "sentiment"], types={"sentiment": "int"})
