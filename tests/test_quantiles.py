@@ -60,3 +60,52 @@ def test_a_large_group_is_not_gathered_in_one_task(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", conf)
     vals = np.array([(i * 7919) % 300007 for i in range(n)], float)
     assert all(abs(got[p] - float(np.quantile(vals, p))) < 1e-6 for p in PROBS)
+
+
+ROUGH = [0.0, 0.25, 0.5, 0.75, 1.0]
+
+
+def ties(kind, n=20_000):
+    """Adversarial inputs: most rows on one value, steps at the wanted ranks, sorted runs, alternating ends."""
+    if kind == "one value":
+        return [1.0] * n
+    if kind == "two values":
+        return [0.0] * (n // 2) + [1.0] * (n - n // 2)
+    if kind == "steps at the quartiles":
+        return [float(4 * i // n) for i in range(n)] + [0.5]
+    if kind == "sorted":
+        return [float(i) for i in range(n)]
+    if kind == "falling with ties":
+        return [float(-(i // 7)) for i in range(n)]
+    return [(-1.0) ** i * 2.0 ** (i % 900) for i in range(n)]  # wide range, alternating
+
+
+@pytest.mark.parametrize("kind", ["one value", "two values", "steps at the quartiles", "sorted", "falling with ties", "wide"])
+def test_adversarial_ties(spark, kind):
+    vals = ties(kind)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(6)
+    got = {r["p"]: r["q"] for r in exact_quantiles(df, None, "v", ROUGH).collect()}
+    for p in ROUGH:
+        assert got[p] == pytest.approx(float(np.quantile(np.array(vals), p)), rel=1e-12, abs=1e-12)
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    """With no room for the sketch's error, ranks fall outside their brackets; the result stays exact."""
+    from insight.operators import quantiles
+    monkeypatch.setattr(quantiles, "ERROR", -0.01)
+    monkeypatch.setattr(quantiles, "SMALL", 0)
+    vals = np.array([((i * 7919) % 30011) / 3 for i in range(30_000)])
+    df = spark.createDataFrame([("g", float(v)) for v in vals] + [("h", 1.0), ("h", 2.0)], "g string, v double")
+    got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(df, "g", "v", ROUGH).collect()}
+    assert all(abs(got["g", p] - float(np.quantile(vals, p))) < 1e-9 for p in ROUGH)
+    assert [got["h", p] for p in ROUGH] == [1.0, 1.25, 1.5, 1.75, 2.0]
+
+
+def test_large_brackets_are_cut_in_pieces(spark, monkeypatch):
+    from insight.operators import quantiles
+    monkeypatch.setattr(quantiles, "KEPT", 20)
+    vals = np.concatenate([np.arange(25_000) ** 1.5, np.repeat(300.0, 5000), [np.inf] * 5])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(5)
+    got = {r["p"]: r["q"] for r in exact_quantiles(df, None, "v", [0.001, 0.25, 0.5, 0.999]).collect()}
+    for p in (0.001, 0.25, 0.5, 0.999):
+        assert got[p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
