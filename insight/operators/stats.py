@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from insight.functions.nulls import ColumnLike, col_of
 from insight.operators.aggregate import with_scalar
+from insight.operators.blocks import comoments, pair_counts
 from insight.operators.joins import nsjoin
 from insight.operators.quantiles import quantile_columns
+from insight.sources.checkpoint import materialize
 
 
 def censor(c: ColumnLike, lo: float, hi: float) -> Column:
@@ -27,80 +29,26 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-#: Sums in one aggregate: with many more, its generated code passes the JVM's
-#: 64 KB and Spark falls back to the interpreted path.
-SUMS_AT_ONCE = 36
-
-
 def correlation_long(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
                      na_propagate: bool = True) -> DataFrame:
     """AG12: Pearson correlation of every ordered column pair, long form.
 
     Output ``var_x, var_y, ord_x, ord_y, r``.  As R's ``cor`` default, a null
-    anywhere in either column makes the cell null (``na_propagate``); a
-    constant column gives null.
-
-    Plan: two aggregation passes of plain sums -- column means, then the
-    centred cross-products ``sum((x - mx) * (y - my))`` of the p(p+1)/2
-    pairs.  Centring keeps the sums numerically stable, and plain sums keep
-    the aggregation buffer at ~p^2/2 fields so the stage stays inside
-    whole-stage code generation (one ``covar_samp`` + two ``stddev_samp``
-    per pair would need ~5x more buffer fields and fall back to the
-    interpreted path).  Above ``SUMS_AT_ONCE`` pairs the sums are taken in
-    several passes.  With ``na_propagate=False`` rows are used pairwise
-    (a null skips the row for that pair only), via ``covar_samp``.
+    or NaN anywhere in either column makes the cell null (``na_propagate``); with
+    ``na_propagate=False`` rows are used pairwise.  A constant column gives null.
+
+    One scan for any number of columns: :func:`insight.operators.blocks.comoments`.
     """
     cols = list(columns)
-    if not na_propagate:
-        return _correlation_pairwise(df, cols, digits)
-    p = len(cols)
-    first = df.agg(F.count(F.lit(1)).alias("__n"),
-                   *[F.count(_q(c).cast("double")).alias(f"__k{i}") for i, c in enumerate(cols)],
-                   *[F.avg(_q(c).cast("double")).alias(f"__m{i}") for i, c in enumerate(cols)])
-    centred = with_scalar(df.select(*[_q(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)]),
-                          first)
-    # wide expression lists are written as SQL text: one parse each instead
-    # of dozens of Column calls
-    sums = [F.expr(f"sum((__x{i} - __m{i}) * (__x{j} - __m{j}))").alias(f"s_{i}_{j}")
-            for i in range(p) for j in range(i, p)]
-    wide = first.select("__n", *[f"__k{i}" for i in range(p)])
-    for at in range(0, len(sums), SUMS_AT_ONCE):
-        wide = with_scalar(wide, centred.agg(*sums[at:at + SUMS_AT_ONCE]))
-    cells = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            lo, hi = min(i, j), max(i, j)
-            r = (f"CASE WHEN __k{lo} = __n AND __k{hi} = __n AND __n > 1 THEN "
-                 f"try_divide(s_{lo}_{hi}, sqrt(s_{lo}_{lo} * s_{hi}_{hi})) END")
-            if digits is not None:
-                r = f"round({r}, {digits})"
-            cells.append(f"named_struct('var_x', {_sql_str(a)}, 'var_y', {_sql_str(b)}, "
-                         f"'ord_x', {i}, 'ord_y', {j}, 'r', {r})")
-    return wide.selectExpr(f"inline(array({', '.join(cells)}))")
-
-
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _correlation_pairwise(df: DataFrame, cols: list[str], digits: int | None) -> DataFrame:
-    aggs = []
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            xa, xb = _q(a).cast("double"), _q(cols[j]).cast("double")
-            r = F.try_divide(F.covar_samp(xa, xb), F.stddev_samp(xa) * F.stddev_samp(xb))
-            if digits is not None:
-                r = F.round(r, digits)
-            aggs.append(r.alias(f"c_{i}_{j}"))
-    wide = df.agg(*aggs)
-    cells = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            lo, hi = min(i, j), max(i, j)
-            cells.append(F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
-                                  F.lit(i).alias("ord_x"), F.lit(j).alias("ord_y"),
-                                  F.col(f"c_{lo}_{hi}").alias("r")))
-    return wide.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    usable = (F.col("n") > 1) & (F.col("sq_i") > 0) & (F.col("sq_j") > 0)
+    if na_propagate:
+        usable = usable & (F.col("n") == F.col("rows"))
+    r = F.when(usable, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.col("cross") / F.sqrt(F.col("sq_i") * F.col("sq_j"))))
+    if digits is not None:
+        r = F.round(r, digits)
+    names = F.array(*[F.lit(c) for c in cols])
+    return comoments(df, cols).select(F.element_at(names, F.col("i") + 1).alias("var_x"), F.element_at(names, F.col("j") + 1).alias("var_y"),
+                                      F.col("i").alias("ord_x"), F.col("j").alias("ord_y"), r.alias("r"))
 
 
 def upper_triangle(corr: DataFrame, include_diagonal: bool = True) -> DataFrame:
@@ -109,6 +57,12 @@ def upper_triangle(corr: DataFrame, include_diagonal: bool = True) -> DataFrame:
     return corr.filter(cond)
 
 
+def _points(df: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
+    """The columns and the value as ``__v``, where it is a number, stored: the input is computed once."""
+    v = F.col(value).cast("double")
+    return materialize(df.filter(v.isNotNull() & ~F.isnan(v)).select(*columns, v.alias("__v")), "points")
+
+
 def boxplot_stats(df: DataFrame, by: Sequence[str], value: str, coef: float = 1.5) -> DataFrame:
     """PD6: hinges, whiskers and outlier counts per group (ggplot's box plot).
 
@@ -118,11 +72,11 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str, coef: float = 1.
     and outlier counts.
     """
     keys = list(by)
-    v = F.col(value).cast("double")
-    hinges = quantile_columns(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    points = _points(df, keys, value)
+    hinges = quantile_columns(points, keys, "__v", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     hinges = (hinges.withColumn("__lo", F.col("q1") - coef * (F.col("q3") - F.col("q1")))
                     .withColumn("__hi", F.col("q3") + coef * (F.col("q3") - F.col("q1"))))
-    pts = nsjoin(df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("__v")), hinges, keys)
+    pts = nsjoin(points, hinges, keys)
     inside = F.col("__v").between(F.col("__lo"), F.col("__hi"))
     return (pts.groupBy(*keys, "n", "q1", "median", "q3")
             .agg(F.min(F.when(inside, F.col("__v"))).alias("lower_whisker"),
@@ -134,11 +88,11 @@ def boxplot_outliers(df: DataFrame, by: Sequence[str], value: str, key: Sequence
                      coef: float = 1.5) -> DataFrame:
     """PD6: the points beyond the whiskers, one row each (``by``, ``key``, value)."""
     keys = list(by)
-    v = F.col(value).cast("double")
-    h = quantile_columns(df, keys, value, [0.25, 0.75], ["q1", "q3"])
+    points = _points(df, [*keys, *key], value)
+    h = quantile_columns(points, keys, "__v", [0.25, 0.75], ["q1", "q3"])
     fences = h.select(*keys, (F.col("q1") - coef * (F.col("q3") - F.col("q1"))).alias("__lo"),
                       (F.col("q3") + coef * (F.col("q3") - F.col("q1"))).alias("__hi"))
-    pts = nsjoin(df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, *key, v.alias(value)), fences, keys)
+    pts = nsjoin(points.withColumnRenamed("__v", value), fences, keys)
     return (pts.filter(~F.col(value).between(F.col("__lo"), F.col("__hi")))
             .drop("__lo", "__hi"))
 
@@ -187,20 +141,15 @@ def histogram_long(df: DataFrame, columns: Sequence[str], bins: int = 10) -> Dat
 def pair_bins(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """PD7 off-diagonal: 2-D bin counts for every column pair (instead of all
     points), ``(var_x, var_y, bin_x, bin_y, n)``.  Rows with a null (or
-    NaN, or an infinity) in either column of a pair are left out of that pair.  Counted on integer
-    keys ``(pair, bin_x, bin_y)``; names are attached to the small result."""
+    NaN, or an infinity) in either column of a pair are left out of that pair.
+
+    One pass for the ranges and one for the counts, which every task sums up for all
+    pairs before anything is shuffled (:func:`insight.operators.blocks.pair_counts`).
+    """
     cols = list(columns)
     withr = with_scalar(df.select(*[_q(c) for c in cols]), _ranges(df, cols))
-    bin_of = F.array(*[_bin(_finite(c), F.col(f"__min{i}"), F.col(f"__max{i}"), bins) for i, c in enumerate(cols)])
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    # the pairs are data, not code: generated code would grow with their number
-    listed = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i + 1).alias("i"), F.lit(j + 1).alias("j"))
-                       for k, (i, j) in enumerate(pairs)])
-    rows = withr.select(bin_of.alias("__b")).select(F.inline(F.transform(listed, lambda x: F.struct(
-        x["k"].alias("pair"), F.element_at("__b", x["i"]).alias("bin_x"), F.element_at("__b", x["j"]).alias("bin_y")))))
-    counts = (rows.filter(F.col("bin_x").isNotNull() & F.col("bin_y").isNotNull())
-              .groupBy("pair", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n")))
-    xs = F.array(*[F.lit(cols[i]) for i, _ in pairs])
-    ys = F.array(*[F.lit(cols[j]) for _, j in pairs])
-    return counts.select(F.element_at(xs, F.col("pair") + 1).alias("var_x"),
-                         F.element_at(ys, F.col("pair") + 1).alias("var_y"), "bin_x", "bin_y", "n")
+    bin_of = [_bin(_finite(c), F.col(f"__min{i}"), F.col(f"__max{i}"), bins) for i, c in enumerate(cols)]
+    names = F.array(*[F.lit(c) for c in cols])
+    return pair_counts(withr, bin_of, bins).select(
+        F.element_at(names, F.col("i") + 1).alias("var_x"), F.element_at(names, F.col("j") + 1).alias("var_y"),
+        F.col("bin_i").alias("bin_x"), F.col("bin_j").alias("bin_y"), "n")
