@@ -10,10 +10,12 @@ from insight.operators import profile as P
 from insight.operators import ranking as R
 from insight.operators import stats as S
 from insight.operators.aggregate import std_error
+from insight.operators.density import density
 from insight.plans import bookings as B
 from insight.functions.nulls import r_divide
 from insight.plans.hotel_queries import RP, bk_sql, clean_sql, rdiv_sql
 from insight.plans.registry import register
+from insight.sources.checkpoint import new_folder
 from insight.sources.tables import read_table
 
 # --------------------------------------------------------------------------
@@ -434,6 +436,29 @@ def pair_histograms(spark, d):
     return S.histogram_long(_clean_cancel(spark, d, guest=False), PAIR_COLS, BINS)
 
 
+DENSITY_POINTS = 128
+
+
+@register("pair_density", f"""
+WITH cc AS ({NUMERIC_CANCEL_SQL}),
+long AS ({" UNION ALL ".join(f"SELECT '{c}' AS var, CAST({c} AS DOUBLE) AS v FROM cc WHERE {c} IS NOT NULL" for c in PAIR_COLS)}),
+s AS (SELECT var, count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi,
+             (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) / 1.34 AS spread FROM long GROUP BY var HAVING max(v) > min(v)),
+b AS (SELECT var, n, lo, (hi - lo) / {DENSITY_POINTS - 1} AS step,
+             0.9 * CASE WHEN least(sd, spread) > 0 THEN least(sd, spread) ELSE sd END * pow(n, -0.2) AS width FROM s),
+u AS (SELECT var, (v - lo) / step AS u FROM long JOIN b USING (var)),
+parts AS (SELECT var, CAST(least(floor(u), {DENSITY_POINTS - 2}) AS INTEGER) AS cell, u FROM u),
+weights AS (SELECT var, cell, sum(w) AS w FROM (
+  SELECT var, cell, 1 - (u - cell) AS w FROM parts UNION ALL SELECT var, cell + 1, u - cell FROM parts) GROUP BY ALL),
+points AS (SELECT CAST(unnest(range(0, {DENSITY_POINTS})) AS INTEGER) AS point)
+SELECT var, point, min(lo) + point * min(step) AS x,
+       sum(w * exp(-0.5 * pow((point - cell) * step / width, 2))) / (min(n) * min(width) * sqrt(2 * pi())) AS density
+FROM weights JOIN b USING (var) CROSS JOIN points GROUP BY var, point""", rounded=["x", "density"], digits=9)
+def pair_density(spark, d):
+    """PD7 diagonal: the density curves."""
+    return density(_clean_cancel(spark, d, guest=False), PAIR_COLS, DENSITY_POINTS)
+
+
 def _status(df):
     """Status label (PJ14, levels mapped the right way round) and price per night."""
     nights = F.col("stays_in_week_nights") + F.col("stays_in_weekend_nights")
@@ -533,3 +558,80 @@ def na_normalise_orders(spark, d):
 
     text = read_table(spark, d, "orders").select(*[planted(c) for c in NA_ORDER_COLS])
     return P.na_counts(normalise_na(text), NA_ORDER_COLS)
+
+
+# --------------------------------------------------------------------------
+# files without a key: the driver tables written as text and read back
+
+
+def _written(df, key: str, header: bool = True) -> str:
+    """Path of ``df`` as CSV files in key order."""
+    path = new_folder(df.sparkSession, "csv")
+    df.orderBy(key).write.option("header", header).option("escape", '"').csv(path)
+    return path
+
+
+FILE_COLS = ["o_custkey", "o_orderstatus", "o_orderpriority"]
+FILE_SQL = f"SELECT row_number() OVER (ORDER BY o_orderkey) AS \"row\", {', '.join(FILE_COLS)} FROM orders"
+
+
+@register("file_head_tail", f"""
+WITH f AS ({FILE_SQL})
+SELECT "row", CAST(o_custkey AS DOUBLE) AS o_custkey, o_orderstatus, o_orderpriority FROM f
+WHERE "row" <= 6 OR "row" > (SELECT count(*) FROM f) - 6""")
+def file_head_tail(spark, d):
+    """EX1, EX2 on files without a key: the first and last six rows by their number."""
+    from insight.sources.delimited import read_delimited
+    path = _written(read_table(spark, d, "orders").select("o_orderkey", *FILE_COLS), "o_orderkey")
+    rows = read_delimited(spark, path, row_numbers="row").select("row", *FILE_COLS)
+    return R.first_rows(rows, "row", 6).unionByName(R.last_rows(rows, "row", 6)).distinct()
+
+
+FILE_NA_COLS = ["lang", "n_chars", "quality", "toxic"]
+
+
+@register("file_na_rows", f"""
+WITH ld AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS "row" FROM ({LABELLED_DOCS_SQL}))
+""" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", \"row\" FROM ld WHERE {c} IS NULL" for c in FILE_NA_COLS))
+def file_na_rows(spark, d):
+    """EX10, WN4 on files without a key: NA cells by row number."""
+    from insight.sources.delimited import read_delimited
+    path = _written(_labelled_docs(spark, d).select("doc_id", *FILE_NA_COLS), "doc_id")
+    rows = read_delimited(spark, path, row_numbers="row").select("row", *FILE_NA_COLS)
+    return P.na_positions(rows, "row", FILE_NA_COLS)
+
+
+#: Columns of every kind, some mixed, with missing cells in between.
+TYPED_COLS = {
+    "flag": "CASE WHEN o_orderkey % 3 = 0 THEN 'TRUE' WHEN o_orderkey % 3 = 1 THEN 'F' ELSE 'NA' END",
+    "whole": "CAST(o_custkey AS STRING)", "amount": "CAST(o_totalprice AS STRING)", "day": "date_format(o_orderdate, 'yyyy-MM-dd')",
+    "clock": "CASE WHEN o_orderkey % 7 = 0 THEN '<NA>' ELSE concat('1', CAST(o_orderkey % 10 AS STRING), ':30') END",
+    "stamp": "CASE WHEN o_orderkey % 2 = 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END",
+    "code": "lpad(CAST(o_custkey AS STRING), 12, '0')", "mixed": "CASE WHEN o_orderkey % 5 = 0 THEN 'none' ELSE CAST(o_totalprice AS STRING) END",
+    "words": "o_orderpriority", "nothing": "CASE WHEN o_orderkey % 2 = 0 THEN 'NULL' ELSE '' END", "numbers": "CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS STRING) ELSE '1e3' END",
+}
+TYPED_SQL = {c: x.replace("AS STRING", "AS VARCHAR").replace("date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')", "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')")
+             .replace("date_format(o_orderdate, 'yyyy-MM-dd')", "strftime(o_orderdate, '%Y-%m-%d')") for c, x in TYPED_COLS.items()}
+
+
+def _type_sql(c: str) -> str:
+    tests = {"boolean": "v IN ('TRUE', 'FALSE', 'T', 'F')",
+             "int": "try_cast(v AS INTEGER) IS NOT NULL AND v NOT LIKE '0_%' AND NOT contains(v, 'e') AND NOT contains(v, '.')",
+             "double": "try_cast(v AS DOUBLE) IS NOT NULL AND (v NOT LIKE '0_%' OR v LIKE '0.%')",
+             "date": "length(v) = 10 AND try_cast(v AS DATE) IS NOT NULL",
+             "interval hour to second": "length(v) IN (5, 8) AND try_cast(v || ':00' AS TIME) IS NOT NULL",
+             "timestamp": "try_cast(v AS TIMESTAMP) IS NOT NULL"}
+    whens = " ".join(f"WHEN bool_and({x}) FILTER (v IS NOT NULL) THEN '{t}'" for t, x in tests.items())
+    cell = TYPED_SQL[c]
+    return (f"SELECT '{c}' AS \"column\", CASE WHEN count(v) = 0 THEN 'string' {whens} ELSE 'string' END AS type, count(*) - count(v) AS n_na "
+            f"FROM (SELECT CASE WHEN {cell} IN ('', 'NA', 'NULL', '<NA>') THEN NULL ELSE {cell} END AS v FROM orders)")
+
+
+@register("file_types", " UNION ALL ".join(_type_sql(c) for c in TYPED_COLS))
+def file_types(spark, d):
+    """IO1: the types that the reader guesses for a file, and the NA cells that it leaves after the casts."""
+    from insight.sources.delimited import read_delimited
+    src = read_table(spark, d, "orders").select("o_orderkey", *[F.expr(x).alias(c) for c, x in TYPED_COLS.items()])
+    df = read_delimited(spark, _written(src, "o_orderkey"), integers=True).select(*TYPED_COLS)
+    types = F.create_map(*[F.lit(x) for c, t in df.dtypes for x in (c, t)])
+    return P.na_counts(df).select("column", types[F.col("column")].alias("type"), "n_na")

@@ -29,7 +29,7 @@ def _root(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str = "table", compression: str = "zstd") -> DataFrame:
     """Write ``df`` under the checkpoint folder and return a scan of it."""
     spark = df.sparkSession
-    path = f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.mode("error").option("compression", compression).parquet(path)
     return spark.read.parquet(path)
 
@@ -38,3 +38,8 @@ def release(spark: SparkSession) -> None:
     """Remove every table this application has materialised."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path under the checkpoint folder that nothing has used; :func:`release` removes it too."""
+    return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"

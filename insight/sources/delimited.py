@@ -4,7 +4,7 @@ Spark's CSV ``nullValue`` option accepts one token only, so the file is read
 with every column as a string and each cell is normalised with one ``when``
 (blank-trimmed match against the token list).  Types are then either given by
 the caller or guessed in one aggregation pass over the data (R ``read_csv``
-guesses too); the cast is ``try_cast`` so a bad cell becomes null instead of
+guesses too, from a sample of the rows; here all count); the cast is ``try_cast`` so a bad cell becomes null instead of
 failing the job.
 """
 
@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from insight.sources.textfile import in_file_order
+
 # The missing-value spellings of the bookings reader.
 NA_TOKENS = ("", "NA", "NULL", "NaN", "null", "Null", "<NA>")
 
@@ -51,33 +53,50 @@ def normalise_na(df: DataFrame, tokens: Sequence[str] = NA_TOKENS,
     return df.select(*out)
 
 
-def infer_types(df: DataFrame, candidates: Sequence[str] = ("double", "date")) -> dict[str, str]:
-    """Guess a type per string column in ONE aggregation job.
+#: Types a cell can have, from the narrowest to the widest, each with its bit.  A column's
+#: type is the first one that all its cells admit.
+TYPE_BITS = {"boolean": 1, "int": 2, "double": 4, "date": 8, "interval hour to second": 16, "timestamp": 32}
+ANY_TYPE = 63
+# How the spreadsheet reader spells logical cells.
+LOGICAL = ("T", "F", "TRUE", "FALSE", "True", "False", "true", "false")
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf(inity)?)$"
+LEADING_ZERO = r"^[+-]?0\d"
+DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+TIME = r"^([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,6})?)?$"
+STAMP = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
+
 
-    A column gets the first candidate type that every non-null cell casts
-    to; otherwise it stays a string.  An all-null column becomes ``string``.
+def cell_types(cell: Column, integers: bool = False) -> Column:
+    """The bits of the types that a text cell admits; a missing cell admits all.
+
+    Numbers with a leading zero are codes, hence text.  A date is a timestamp too.
+    Integers are doubles unless ``integers`` is set, as the spreadsheet reader guesses.
+    """
+    number = cell.rlike(NUMBER) & ~cell.rlike(LEADING_ZERO)
+    whole = F.lit(integers) & cell.rlike(r"^[+-]?\d+$") & cell.try_cast("int").isNotNull()
+    date = cell.rlike(DATE) & cell.try_cast("date").isNotNull()
+    stamp = date | cell.rlike(STAMP) & cell.try_cast("timestamp").isNotNull()
+    tests = {"boolean": cell.isin(*LOGICAL), "int": number & whole, "double": number, "date": date,
+             "interval hour to second": cell.rlike(TIME), "timestamp": stamp}
+    bits = F.lit(0)
+    for name, holds in tests.items():
+        bits = bits + F.when(holds, F.lit(TYPE_BITS[name])).otherwise(F.lit(0))
+    return F.when(cell.isNull(), F.lit(ANY_TYPE)).otherwise(bits)
+
+
+def infer_types(df: DataFrame, integers: bool = False) -> dict[str, str]:
+    """Guess a type per string column: the cells' sets of types are intersected in ONE aggregation job.
+
+    A column gets the first type of ``TYPE_BITS`` that every non-null cell admits, else
+    string; an all-null column stays a string.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
         return {}
-    aggs = []
-    for i, n in enumerate(names):
-        c = F.col(f"`{n}`")
-        aggs.append(F.count(c).alias(f"n{i}"))
-        for j, t in enumerate(candidates):
-            aggs.append(F.count(c.try_cast(t)).alias(f"n{i}_{j}"))
-    row = df.agg(*aggs).first()
-    out = {}
-    for i, n in enumerate(names):
-        total = row[f"n{i}"]
-        chosen = "string"
-        if total:
-            for j, t in enumerate(candidates):
-                if row[f"n{i}_{j}"] == total:
-                    chosen = t
-                    break
-        out[n] = chosen
-    return out
+    cells = [F.col(f"`{n}`") for n in names]
+    row = df.agg(*[F.bit_and(cell_types(c, integers)).alias(f"t{i}") for i, c in enumerate(cells)],
+                 *[F.count(c).alias(f"n{i}") for i, c in enumerate(cells)]).first()
+    return {n: next((t for t, bit in TYPE_BITS.items() if row[f"n{i}"] and row[f"t{i}"] & bit), "string") for i, n in enumerate(names)}
 
 
 def _apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -85,7 +104,9 @@ def _apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     for name in df.columns:
         c = F.col(f"`{name}`")
         t = types.get(name)
-        if t and t != "string":
+        if t == "interval hour to second":
+            c = F.when(c.rlike(r"^\d+:\d+$"), F.concat(c, F.lit(":00"))).otherwise(c).try_cast(t)
+        elif t and t != "string":
             c = c.try_cast(t)
         cols.append(c.alias(name))
     return df.select(*cols)
@@ -93,17 +114,22 @@ def _apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
                    na_tokens: Sequence[str] = NA_TOKENS,
-                   types: Mapping[str, str] | None = None, infer: bool = True) -> DataFrame:
+                   types: Mapping[str, str] | None = None, infer: bool = True, integers: bool = False,
+                   row_numbers: str | None = None) -> DataFrame:
     """CSV with a header, several NA spellings and typed columns.
 
     ``types`` fixes column types (recommended on a cluster: no guessing
-    pass); without it and with ``infer=True`` one aggregation job guesses them.
+    pass); without it and with ``infer=True`` one aggregation job guesses them
+    (:func:`infer_types`).  ``row_numbers`` names a column for the rows' numbers in file
+    order, for files without a key.
     """
     raw = (spark.read.option("header", header).option("sep", sep)
            .options(**QUOTING).option("mode", "PERMISSIVE").csv(path))
+    if row_numbers:
+        raw = in_file_order(raw, row_numbers)
     clean = normalise_na(raw, na_tokens)
     if types is None and infer:
-        types = infer_types(clean)
+        types = infer_types(clean, integers)
     return _apply_types(clean, types or {})
 
 
