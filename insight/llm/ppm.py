@@ -36,16 +36,16 @@ from pyspark.sql import functions as F
 from insight.llm.common import IS_SPACE, TO_LOWER, ranges, stored, text_slices, words_in
 
 ORDER = 5
-#: Capacity of a trie that is taken to the driver (:func:`fit_trie`); scoring has none.
-NODES = 1 << 20
 #: N-grams whose probabilities every task is sent; the others' are joined.
 COMMON = 1 << 21
 #: N-grams of one shard of the trie, about.
 SHARD = 500_000
-#: Text whose n-grams are held at once; n-grams a task sums up before it passes them on.
-GRAM_BYTES, HELD = 1 << 20, 2_000_000
+#: Text whose n-grams are counted at once, and looked up at once; n-grams a task sums up before it passes them on.
+COUNT_BYTES, GRAM_BYTES, HELD = 1 << 18, 1 << 20, 500_000
 #: Text whose words form one slice, at most; n-grams of a slice that are joined, about.
-WORD_BYTES, JOINED = 8 << 20, 1 << 20
+WORD_BYTES, JOINED = 4 << 20, 1 << 20
+#: Words with at least one in so many tokens are sent to all tasks: at most so many.
+SENT_WORDS = 1 << 16
 #: Bytes that UTF-8 never uses: the sign before a text, the sign after it.
 BEFORE, AFTER = 0xFE, 0xFF
 ALPHABET = 256
@@ -80,7 +80,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, counts, size = [], [], 0
     for batch in batches:
         learned = ~batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
-        for a, b, raw, offs in text_slices(batch.column("text"), GRAM_BYTES):
+        for a, b, raw, offs in text_slices(batch.column("text"), COUNT_BYTES):
             grams, many = context_grams(raw, offs)
             codes, new = pd.factorize(grams)
             keys.append(new)
@@ -168,23 +168,6 @@ class Trie:
         return out
 
 
-def fit_trie(texts: DataFrame, nodes: int = NODES) -> Trie:
-    """A trie of at most ``nodes`` nodes on the driver, without the rarest n-grams.
-
-    :func:`score_texts` does not use it: it scores by all n-grams.
-    """
-    counted = stored(shorter(count_longest(texts.withColumn("held", F.lit(False))), ORDER), "ppm-contexts")
-    over = counted.agg(*[F.count(F.when(F.col("n") >= F.lit(1 << j), 1)).alias(f"c{j}") for j in range(62)]).first()
-    least = 1 << next((j for j in range(62) if over[j] <= nodes), 61)
-    levels = []
-    for k in range(ORDER + 1):
-        part = counted.where((F.col("level") == k) & (F.col("n") >= F.lit(least))).select("gram", "n").toArrow()
-        grams, n = part.column("gram").to_numpy().astype(np.uint64), part.column("n").to_numpy()
-        order = np.argsort(grams)
-        levels.append((grams[order], n[order]))
-    return Trie.of_counts(levels)
-
-
 def _sorted(grams: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     grams, place = np.unique(grams, return_index=True)
     return grams, *[v[place] for v in values]
@@ -236,7 +219,9 @@ def gram_scores(rows: DataFrame) -> DataFrame:
     total = longest.count() + short.count()
     many = max(spark.sparkContext.defaultParallelism, -(-total // SHARD))
     both = deep.select(*columns).unionByName(level2.select(*columns)).repartition(many, "shard")
-    return stored(both.select("level", "gram", "n").mapInArrow(_score_shard(sent), "gram long, n long, p double"), "ppm-scores")
+    scores = stored(both.select("level", "gram", "n").mapInArrow(_score_shard(sent), "gram long, n long, p double"), "ppm-scores")
+    sent.unpersist()
+    return scores
 
 
 def common_scores(scores: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, float]:
@@ -306,7 +291,7 @@ def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             learned = np.frombuffer(batch.column("learned")[k].as_py(), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(words), batch.column("slice")[k].as_py(), np.int64)),
-                 pa.array(np.arange(len(words))), pa.array(words), pa.array(learned)], ["slice", "place", "word", "n"])
+                 pa.array(np.arange(len(words), dtype=np.int32)), pa.array(words), pa.array(learned)], ["slice", "place", "word", "n"])
 
 
 def _base_scores(n: int, distinct: int, ends: int):
@@ -318,20 +303,19 @@ def _base_scores(n: int, distinct: int, ends: int):
             for k in range(batch.num_rows):
                 codes = np.frombuffer(batch.column("words")[k].as_py(), np.int32)
                 c = np.zeros(len(batch.column("distinct")[k].as_py()) // 8, np.int64)
-                packed = batch.column("found")[k]
-                if packed.is_valid:
-                    found = packed.values.to_numpy()
-                    c[found >> 40] = found & ((1 << 40) - 1)
+                found = batch.column("found")[k]
+                if found.is_valid:
+                    c[found.values.to_numpy()] = batch.column("times")[k].values.to_numpy()
                 counts = batch.column("counts")[k].values.to_numpy().astype(np.int64)
                 edges = np.concatenate([[0], np.cumsum(counts)])
                 total = np.concatenate([[0.0], np.cumsum(logs(c)[codes])]) if len(codes) else np.zeros(1)
                 known = np.concatenate([[0], np.cumsum(c[codes] > 0)])
                 size = len(counts)
                 score = batch.column("score")[k].values.to_numpy()
-                packed = batch.column("others")[k]
-                if packed.is_valid:
-                    p = np.zeros(len(packed.values))
-                    p[packed.values.field("place").to_numpy()] = packed.values.field("p").to_numpy()
+                others = batch.column("others")[k]
+                if others.is_valid:
+                    p = np.zeros(len(others.values))
+                    p[others.values.to_numpy()] = batch.column("p")[k].values.to_numpy()
                     places = np.frombuffer(batch.column("places")[k].as_py(), np.int32)
                     text_of = np.repeat(np.arange(size), np.frombuffer(batch.column("asked")[k].as_py(), np.int32))
                     score = score + np.bincount(text_of, weights=p[places], minlength=size)
@@ -344,6 +328,18 @@ def _base_scores(n: int, distinct: int, ends: int):
     return run
 
 
+def with_counts(lists_of: DataFrame, vocabulary: DataFrame, total: int) -> DataFrame:
+    """``lists_of`` (slice, place, word) with the count ``c`` of each word that ``vocabulary`` has.
+
+    Words of at least one in ``SENT_WORDS`` tokens, which stand in most slices, are
+    sent; there are at most ``SENT_WORDS`` of them.
+    """
+    often = F.col("c") >= F.lit(-(-total // SENT_WORDS))
+    seen = lists_of.join(F.broadcast(vocabulary.where(often)), "word", "left")
+    rare = seen.where("c IS NULL").drop("c").join(vocabulary.where(~often), "word")
+    return seen.where("c IS NOT NULL").unionByName(rare)
+
+
 def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = docs.sparkSession
@@ -353,18 +349,19 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     common = spark.sparkContext.broadcast((known, logs))  # at most COMMON rows of two numbers
     size = int(np.clip(JOINED / max(rest, 1e-9), GRAM_BYTES, WORD_BYTES))
     slices = stored(rows.mapInArrow(_slices(common, size), _SLICE).withColumn("slice", F.monotonically_increasing_id()), "ppm-slices")
+    common.unpersist()
     lists_of = slices.select("slice", "distinct", "learned").mapInArrow(
-        _word_lists, "slice long, place long, word long, n long")
+        _word_lists, "slice long, place int, word long, n long")
     vocabulary = stored(lists_of.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "ppm-words")
     words, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     ends = rows.where(~F.col("held")).count()
-    found = (lists_of.select("slice", "place", "word").join(vocabulary, "word")
-             .groupBy("slice").agg(F.collect_list(F.shiftleft("place", 40) + F.col("c")).alias("found")))
+    found = (with_counts(lists_of.select("slice", "place", "word"), vocabulary, words)
+             .groupBy("slice").agg(F.collect_list("place").alias("found"), F.collect_list("c").alias("times")))
     others = (slices.select("slice", "grams").mapInArrow(_gram_lists, "slice long, place int, gram long")
               .join(scores.select("gram", "p"), "gram").groupBy("slice")
-              .agg(F.collect_list(F.struct("place", "p")).alias("others")))
+              .agg(F.collect_list("place").alias("others"), F.collect_list("p").alias("p")))
     ready = (slices.join(found, "slice", "left").join(others, "slice", "left")
-             .select("docs", "held", "score", "counts", "words", "distinct", "found", "asked", "places", "others"))
+             .select("docs", "held", "score", "counts", "words", "distinct", "found", "times", "asked", "places", "others", "p"))
     return ready.mapInArrow(
         _base_scores(words + ends, distinct + int(ends > 0), ends),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

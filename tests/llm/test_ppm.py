@@ -76,9 +76,9 @@ def test_scores_equal_the_plain_version(spark):
 @pytest.mark.parametrize("most", [0, 50])
 def test_scores_use_all_contexts_of_a_large_corpus(spark, monkeypatch, most):
     """With room for few n-grams on the driver and in the tasks, the scores stay those of all n-grams."""
-    monkeypatch.setattr(ppm.fit_trie, "__defaults__", (50,))
-    monkeypatch.setattr(ppm, "COMMON", most, raising=False)
-    monkeypatch.setattr(ppm, "SHARD", 100, raising=False)
+    monkeypatch.setattr(ppm, "COMMON", most)
+    monkeypatch.setattr(ppm, "SHARD", 100)
+    monkeypatch.setattr(ppm, "SENT_WORDS", most + 1)
     rows = corpus()
     got = [(*r[:5], round(r[5], 6), round(r[6], 6)) for r in score_texts(docs_frame(spark, rows), held_out(F.col("doc_id"), 5, 1)).collect()]
     assert sorted(got, key=repr) == sorted(plain(rows), key=repr)
@@ -110,17 +110,14 @@ def test_context_grams_cut_texts_apart():
         assert last == line
 
 
-@pytest.mark.parametrize("nodes", [50, 400])
-def test_capacity_leaves_out_the_rarest(spark, nodes):
-    docs = docs_frame(spark, corpus())
-    trie = ppm.fit_trie(docs, nodes)
-    full = plain_counts([t for _, t, *_ in corpus()])
-    assert 0 < sum(len(level[0]) for level in trie.levels) <= nodes
-    least = min(int(level[1].min()) for level in trie.levels if len(level[0]))
-    want = sum(1 for level in full for c in level.values() for n in c.values() if n >= least)
-    assert sum(len(level[0]) for level in trie.levels) == want
-    ctx = np.array([int.from_bytes(b" the " + bytes([s]), "big") for s in range(256)], np.uint64)
-    assert abs((10 ** trie.log10(ctx)).sum() - 1) < 1e-9
+@pytest.mark.parametrize("sent", [2, 1 << 16])
+def test_word_counts_of_any_size_reach_their_place(spark, monkeypatch, sent):
+    """Counts above 2^40 and places above 2^23 keep apart, for sent words and joined ones."""
+    monkeypatch.setattr(ppm, "SENT_WORDS", sent)
+    lists_of = spark.createDataFrame([(0, 0, 10), (0, 1 << 24, 11), (1, 5, 10), (1, 6, 12)], "slice long, place long, word long")
+    vocabulary = spark.createDataFrame([(10, 1 << 41), (11, 3)], "word long, c long")
+    got = ppm.with_counts(lists_of, vocabulary, (1 << 41) + 3).select("slice", "place", "c").collect()
+    assert sorted(map(tuple, got)) == [(0, 0, 1 << 41), (0, 1 << 24, 3), (1, 5, 1 << 41)]
 
 
 def test_odd_rows_and_empty_table(spark):
