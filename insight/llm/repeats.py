@@ -8,15 +8,15 @@ only to the documents' passages that can match it:
 1. *Anchors.*  A window's anchor is its smallest n-gram of ``GRAM`` words (by hash, the
    first of equal ones).  Equal windows have equal anchors, and neighbouring windows
    mostly share theirs, so anchors are about a fifth of the words.  Only anchors that
-   occur under two doc_ids go on.
+   occur twice go on.
 2. *Passages.*  The consecutive windows of one anchor are a passage.  Equal passages are
-   collapsed into one with its smallest doc_id.  An anchor with over ``SPLIT`` distinct
-   passages (a very common phrase) has its passages cut in single windows, which go by
-   their own hash, so no anchor gathers in one place.
+   collapsed into one with its smallest doc_id, whose text is cut out once.  An anchor
+   with over ``SPLIT`` distinct passages (a very common phrase) has them cut in single
+   windows, equal ones collapsed again, so no anchor gathers in one place.
 3. *Shards.*  Passages of one anchor, or of one window, go to one shard of about
-   ``SHARD`` words.  The shard's suffix automaton holds all its passages; each state
-   keeps the smallest doc_id of the places where its strings end.  The passages are
-   streamed through it, many at once: the matching statistic, cut at ``least`` words, and
+   ``SHARD`` words.  The shard's suffix automaton holds its passages (but those alone with
+   their anchor, which only they could match); each state keeps the smallest doc_id of the
+   places where its strings end.  All passages are streamed through it, many at once: the matching statistic, cut at ``least`` words, and
    the state give the first document of each window.
 4. The windows' first documents go back to the documents.  A window whose first document
    is smaller than its own marks its words; marked words make maximal spans, which are
@@ -34,13 +34,15 @@ long texts are handled whole, alone; other columns are ignored or, in
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import IS_SPACE, Words, key_runs, lists, maybe_in, mix, only, ranges, stored, text_slices, unused_name, words_in
+from insight.llm.common import IS_SPACE, Words, key_runs, lists, maybe_in, mix, ranges, stored, text_slices, unused_name, words_in
 
 LEAST = 13
 #: Words of an anchor.
@@ -49,6 +51,8 @@ GRAM = 5
 SPLIT = 512
 #: Words of a shard's passages, about.
 SHARD = 100_000
+#: Bits of the filter of shared anchors (16 MB), and where in the anchor a key's two bits come from.
+FILTER_BITS, SLOTS = 1 << 27, (0, 32)
 NO_DOC = np.iinfo(np.int64).max
 _STEP = np.uint64(0x100000001B3)
 
@@ -88,7 +92,11 @@ def passages(words: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 class Automaton:
-    """Generalised suffix automaton of word sequences; each state has the smallest document of its ends."""
+    """Generalised suffix automaton of word sequences; each state has the smallest document of its ends.
+
+    Sequences are added in the order of their documents, so a state's first document is
+    that of the sequence that made it; copies take theirs from the states that link to them.
+    """
 
     def __init__(self, sequences: list[list[int]], docs: list[int]):
         following: list[dict[int, int]] = [{}]
@@ -97,7 +105,7 @@ class Automaton:
         def copied(state: int, word: int, target: int) -> int:
             """A copy of ``target`` for the strings that also end elsewhere."""
             twin = len(following)
-            following.append(dict(following[target]))
+            following.append(following[target].copy())
             link.append(link[target])
             length.append(length[state] + 1)
             doc.append(NO_DOC)
@@ -107,40 +115,50 @@ class Automaton:
                 state = link[state]
             return twin
 
-        for sequence, of in zip(sequences, docs):
-            last = 0
-            for word in sequence:
-                target = following[last].get(word)
-                if target is not None:
+        for k in sorted(range(len(docs)), key=docs.__getitem__):
+            of, last = docs[k], 0
+            for word in sequences[k]:
+                out = following[last]
+                if word in out:
+                    target = out[word]
                     if length[target] != length[last] + 1:
                         target = copied(last, word, target)
+                    if of < doc[target]:  # a copy that no sequence has made
+                        doc[target] = of
                     last = target
-                else:
-                    new, state = len(following), last
-                    following.append({})
-                    length.append(length[last] + 1)
-                    link.append(0)
-                    doc.append(NO_DOC)
-                    while state >= 0 and word not in following[state]:
-                        following[state][word] = new
-                        state = link[state]
-                    if state >= 0:
-                        target = following[state][word]
+                    continue
+                new = len(following)
+                following.append({})
+                length.append(length[last] + 1)
+                doc.append(of)
+                out[word] = new
+                state = link[last]
+                while state >= 0:
+                    out = following[state]
+                    if word in out:
+                        target = out[word]
                         if length[target] != length[state] + 1:
+                            link.append(0)  # the new state's, until the copy has its number
                             target = copied(state, word, target)
-                        link[new] = target
-                    last = new
-                if of < doc[last]:
-                    doc[last] = of
+                            link[new] = target
+                        else:
+                            link.append(target)
+                        break
+                    out[word] = new
+                    state = link[state]
+                else:
+                    link.append(0)
+                last = new
         self.link, self.length = np.array(link, np.int64), np.array(length, np.int64)
         self.doc = np.array(doc, np.int64)
         for size in range(int(self.length.max()), 0, -1):  # ends of a state are ends of its link
             own = np.flatnonzero(self.length == size)
             np.minimum.at(self.doc, self.link[own], self.doc[own])
-        count = [len(f) for f in following]
+        count = np.fromiter(map(len, following), np.int64, len(following))
         state = np.repeat(np.arange(len(count)), count)
-        word = np.fromiter((w for f in following for w in f), np.int64, int(sum(count)))
-        target = np.fromiter((t for f in following for t in f.values()), np.int64, int(sum(count)))
+        total = int(count.sum())
+        word = np.fromiter(chain.from_iterable(following), np.int64, total)
+        target = np.fromiter(chain.from_iterable(map(dict.values, following)), np.int64, total)
         self.words = np.unique(word)
         key = state * len(self.words) + np.searchsorted(self.words, word)
         order = np.argsort(key)
@@ -180,23 +198,65 @@ class Automaton:
         return out
 
 
+PLACES = pa.schema([("anchor", pa.int64()), ("passage", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("run", pa.int64())])
+#: A run of windows in one number: first window << RUN | windows.
+RUN = 16
+
+
 def _anchors(docs: DataFrame, least: int) -> DataFrame:
-    """(anchor, passage, doc_id, text_key, first, windows) of every passage; texts are known by doc_id and two hashes."""
-    kind = pa.schema([("anchor", pa.int64()), ("passage", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()),
-                      ("first", pa.int32()), ("windows", pa.int32())])
+    """(anchor) of every passage."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, raw, offs in text_slices(batch.column("text")):
+                anchor = passages(words_in(raw, offs, ~IS_SPACE), least)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64))], ["anchor"])
+
+    return docs.select("text").mapInArrow(find, "anchor bigint")
+
+
+def _filter_of(shared: DataFrame) -> np.ndarray:
+    """Bloom filter of the shared anchors, two bits each: ``FILTER_BITS`` bits whatever their number."""
+    slots = [F.shiftright("anchor", s).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1 for s in SLOTS]  # Spark's bitmaps number from 1
+    slot = F.col("slot")
+    maps = (shared.select(F.explode(F.array(*slots)).alias("slot")).select(F.bitmap_bucket_number(slot).alias("map"), F.bitmap_bit_position(slot).alias("bit"))
+            .groupBy("map").agg(F.bitmap_construct_agg("bit").alias("bits"))).toArrow()
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for number, bits in zip(maps.column("map").to_pylist(), maps.column("bits").to_pylist()):
+        out[(number - 1) * len(bits): number * len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def _places(docs: DataFrame, shared: DataFrame, least: int) -> DataFrame:
+    """(anchor, passage, doc_id, text_key, run) of the passages whose anchors are shared, stored.
+
+    Tasks are sent a bit filter of the shared anchors, so few others leave them; once the
+    shared anchors are too many for the filter, an exact join follows.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(_filter_of(shared))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy() for c in ("doc_id", "text_key"))
             for a, _, raw, offs in text_slices(batch.column("text")):
                 words = words_in(raw, offs, ~IS_SPACE)
                 anchor, text, first, windows = passages(words, least)
+                some = np.arange(len(anchor))
+                for shift in SLOTS:
+                    slot = (anchor[some] >> np.uint64(shift) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                    some = some[(bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0]
+                anchor, text, first, windows = anchor[some], text[some], first[some], windows[some]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor.view(np.int64)), pa.array(passage_hashes(words.hashes, first, windows + least - 1).view(np.int64)),
-                     pa.array(ids[a + text]), pa.array(keys[a + text]),
-                     pa.array((first - words.offsets[text]).astype(np.int32)), pa.array(windows.astype(np.int32))], schema=kind)
+                     pa.array(ids[a + text]), pa.array(keys[a + text]), pa.array((first - words.offsets[text]) << RUN | windows)], schema=PLACES)
 
-    return docs.mapInArrow(find, "anchor bigint, passage bigint, doc_id bigint, text_key bigint, first int, windows int")
+    found = docs.mapInArrow(find, "anchor bigint, passage bigint, doc_id bigint, text_key bigint, run bigint")
+    if shared.count() > FILTER_BITS // 8:
+        found = found.join(shared, "anchor", "left_semi")
+    found = stored(found, "repeats-places")
+    sent.unpersist()
+    return found
 
 
 def passage_hashes(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -208,85 +268,148 @@ def passage_hashes(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray) ->
     return mix(out + counts.astype(np.uint64))
 
 
-def _passage_words(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """(anchor, passage, words): word hashes of one place of each wanted passage."""
-    kind = pa.schema([("anchor", pa.int64()), ("passage", pa.int64()), ("words", pa.list_(pa.int64()))])
+def joined_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Texts of so many words each, one space between."""
+    inner = np.ones(len(starts), bool)
+    filled = counts > 0
+    inner[(np.cumsum(counts) - counts)[filled]] = False
+    size = ends - starts + inner
+    lead = np.cumsum(size) - size
+    taken = np.append(raw, np.uint8(0x20))[ranges(starts - inner, size)]
+    taken[lead[inner]] = 0x20
+    edges = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
+    return pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(taken)).cast(pa.string())
+
+
+ROUTED = pa.schema([("anchor", pa.int64()), ("passage", pa.int64()), ("at", pa.int32()), ("window", pa.int64()), ("doc_id", pa.int64()), ("words", pa.string())])
+
+
+def _passage_texts(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
+    """(anchor, passage, at, window, doc_id, words): the text of each wanted passage (at and window null), or, if ``common``, of its windows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = batch.column("places")
+            ids, runs = batch.column("doc_id").to_numpy(), batch.column("runs")
             for a, b, raw, offs in text_slices(batch.column("text")):
                 words = words_in(raw, offs, ~IS_SPACE)
-                own = places.slice(a, b - a)
+                anchors, _, firsts, _ = passages(words, least)
+                own = runs.slice(a, b - a)
                 each = np.diff(own.offsets.to_numpy())
-                flat = own.flatten()
-                anchor, passage, first, windows = (flat.field(i).to_numpy() for i in range(4))
-                first = words.offsets[np.repeat(np.arange(b - a), each)] + first
-                counts = windows.astype(np.int64) + least - 1
+                run = own.flatten().to_numpy()
+                text = np.repeat(np.arange(b - a), each)
+                common, windows = run & 1 > 0, (run >> 1) & ((1 << RUN) - 1)
+                first = words.offsets[text] + (run >> RUN + 1)
+                anchor = anchors[np.searchsorted(firsts, first)].view(np.int64)
+                passage = passage_hashes(words.hashes, first, windows + least - 1).view(np.int64)
+                times = np.where(common, windows, 1)
+                row = np.repeat(np.arange(len(run)), times)
+                at = ranges(np.zeros(len(run), np.int64), times)
+                begin = first[row] + at
+                counts = np.where(common[row], least, windows[row] + least - 1)
+                single = pa.array(~common[row])
+                window = passage_hashes(words.hashes, begin, np.where(common[row], least, 0)).view(np.int64)
+                word = ranges(begin, counts)
+                null = pa.scalar(None)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor), pa.array(passage), lists(words.hashes[ranges(first, counts)].view(np.int64), counts, pa.int64())], schema=kind)
+                    [pa.array(anchor[row]), pa.array(passage[row]), pc.if_else(single, null, pa.array(at.astype(np.int32))),
+                     pc.if_else(single, null, pa.array(window)), pa.array(ids[a + text[row]]),
+                     joined_words(raw, words.starts[word], words.ends[word], counts)], schema=ROUTED)
 
-    place = F.struct("anchor", "passage", "first", "windows")
-    by_text = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(place).alias("places"))
+    by_text = (wanted.select("doc_id", "text_key", (F.col("run") * 2 + F.col("common").cast("int")).alias("run"))
+               .groupBy("doc_id", "text_key").agg(F.collect_list("run").alias("runs")))
     ids = wanted.select(F.xxhash64("doc_id", "text_key").alias("id"))
     some = maybe_in(docs.withColumn("id", F.xxhash64("doc_id", "text_key")), "id", ids, "some").where("some")
-    return (some.join(by_text, ["doc_id", "text_key"]).select("text", "places")
-            .mapInArrow(cut, "anchor bigint, passage bigint, words array<bigint>"))
+    return (some.join(by_text, ["doc_id", "text_key"]).select("doc_id", "text", "runs")
+            .mapInArrow(cut, "anchor bigint, passage bigint, at int, window bigint, doc_id bigint, words string"))
 
 
-def _first_documents(routed: DataFrame, least: int) -> DataFrame:
-    """(anchor, passage, at, firsts) of passages (route, anchor, passage, at, doc_id, words): per window, its first document."""
-    total = routed.agg(F.sum(F.size("words"))).first()[0] or 0
-    shards = max(1, -(-total // SHARD))
-    kind = pa.schema([("anchor", pa.int64()), ("passage", pa.int64()), ("at", pa.int32()), ("firsts", pa.list_(pa.int64()))])
+def _once(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows whose keys differ from the row before."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, bool)
+        columns = [batch.column(k).to_numpy() for k in keys]
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        new[0] = last != tuple(c[0] for c in columns)
+        last = tuple(c[-1] for c in columns)
+        yield batch.filter(pa.array(new))
+
+
+EARLIER = pa.struct([("i", pa.int32()), ("d", pa.int64())])
+
+
+def _first_documents(texts: DataFrame, shards: int, least: int) -> DataFrame:
+    """(anchor, passage, low, earlier) of passages (anchor, passage, doc_id, words): their windows that stand in a document before ``low``.
+
+    ``low`` is the passage's document; ``earlier`` has the window's number and its first document.
+    """
+    kind = pa.schema([("anchor", pa.int64()), ("passage", pa.int64()), ("low", pa.int64()), ("earlier", pa.list_(EARLIER))])
+
+    def sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _once(batches, ["anchor", "passage"]):
+            yield batch.append_column("shard", pa.array(batch.column("anchor").to_numpy() % shards))
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in key_runs(batches, "shard"):
+        for table in key_runs(sharded(batches), "shard"):
             table = table.combine_chunks()
-            column = table.column("words").combine_chunks()
-            offs, flat = column.offsets.to_numpy().astype(np.int64), column.values.to_numpy()
-            counts = np.diff(offs)
-            automaton = Automaton([flat[s:e].tolist() for s, e in zip(offs[:-1], offs[1:])], table.column("doc_id").to_pylist())
-            found = automaton.first_documents(flat, offs[:-1], counts, least)
+            parts = [words_in(raw, offs, ~IS_SPACE) for _, _, raw, offs in text_slices(table.column("words"))]
+            counts = np.concatenate([w.counts for w in parts])
+            _, flat = np.unique(np.concatenate([w.hashes for w in parts]), return_inverse=True)
+            starts = np.cumsum(counts) - counts
+            low = table.column("doc_id").to_numpy()
+            # a passage that is alone with its anchor has no other to match: it is streamed, but not in the reference
+            _, of_anchor, many = np.unique(table.column("anchor").to_numpy(), return_inverse=True, return_counts=True)
+            reference = np.flatnonzero(many[of_anchor] > 1)
+            automaton = Automaton([flat[starts[r]:starts[r] + counts[r]].tolist() for r in reference], low[reference].tolist())
+            found = automaton.first_documents(flat, starts, counts, least)
             windows = counts - (least - 1)
-            inner = np.cumsum(counts) - counts + least - 1
-            yield pa.RecordBatch.from_arrays(
-                [table.column(c).combine_chunks() for c in ("anchor", "passage", "at")]
-                + [lists(found[ranges(inner, windows)], windows, pa.int64())], schema=kind)
+            of, i = np.repeat(np.arange(len(counts)), windows), ranges(np.zeros(len(counts), np.int64), windows)
+            first = found[ranges(starts + least - 1, windows)]
+            some = np.flatnonzero(first < low[of])
+            earlier = pa.StructArray.from_arrays([pa.array(i[some].astype(np.int32)), pa.array(first[some])], fields=list(EARLIER))
+            yield pa.RecordBatch.from_arrays([table.column(c).combine_chunks() for c in ("anchor", "passage", "doc_id")]
+                                             + [lists(earlier, np.bincount(of[some], minlength=len(counts)), EARLIER)], schema=kind)
 
-    dealt = routed.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
-    return (dealt.repartition(min(shards, 20_000), "shard").sortWithinPartitions("shard")
-            .mapInArrow(stream, "anchor bigint, passage bigint, at int, firsts array<bigint>"))
+    shard = F.pmod("anchor", F.lit(shards))
+    return (texts.repartition(min(shards, 20_000), shard).sortWithinPartitions(shard, "anchor", "passage")
+            .mapInArrow(stream, "anchor bigint, passage bigint, low bigint, earlier array<struct<i:int,d:bigint>>"))
 
 
-def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, text_key, spans) of the texts that lose words; spans are (first, last) word numbers, sorted and apart.
+def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """(doc_id, text_key, runs) of the texts that lose words; the runs of their repeated windows, packed.
 
     ``docs`` has doc_id, text and text_key (:func:`keyed`).
     """
     ordered = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text_key", "text")
-    found = stored(_anchors(ordered, least), "repeats-anchors")
-    shared = stored(found.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-                    .where("low < high").select("anchor"), "repeats-shared")
-    places = stored(only(found, "anchor", shared), "repeats-places")
-    # one place of each distinct passage, of the smallest document
-    first = (places.groupBy("anchor", "passage").agg(
-        F.min(F.struct("doc_id", "text_key", "first", "windows")).alias("p")).select("anchor", "passage", "p.*"))
-    first = stored(first, "repeats-passages")
-    common = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SPLIT).select("anchor", F.lit(True).alias("common"))
-    words = _passage_words(ordered, first, least).join(first.select("anchor", "passage", "doc_id"), ["anchor", "passage"])
-    words = words.dropDuplicates(["anchor", "passage"]).join(common, "anchor", "left")
-    at = F.when(F.col("common"), F.sequence(F.lit(0), F.size("words") - least)).otherwise(F.array(F.lit(0)))
-    routed = words.withColumn("at", F.explode(at))
-    routed = routed.withColumn("words", F.when(F.col("common"), F.slice("words", F.col("at") + 1, least)).otherwise(F.col("words")))
-    routed = routed.withColumn("route", F.when(F.col("common"), F.xxhash64("words")).otherwise(F.col("anchor")))
-    routed = stored(routed.select("route", "anchor", "passage", "at", "doc_id", "words"), "repeats-routed")
-    firsts = stored(_first_documents(routed, least), "repeats-firsts")
-    # a document's windows with an earlier first document
-    earlier = F.filter(F.transform("firsts", lambda d, i: F.struct(d.alias("d"), i.alias("i"))), lambda w: w["d"] < F.col("doc_id"))
-    marked = (places.join(firsts, ["anchor", "passage"]).withColumn("earlier", earlier).where(F.size("earlier") > 0)
-              .select("doc_id", "text_key", F.transform("earlier", lambda w: w["i"] + F.col("first") + F.col("at")).alias("starts")))
-    return marked.groupBy("doc_id", "text_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("starts")))).alias("starts"))
+    shared = stored(_anchors(ordered, least).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeats-shared")
+    places = _places(ordered, shared, least)
+    # one place of each distinct passage, of its smallest document
+    first = stored(places.groupBy("anchor", "passage").agg(F.min(F.struct("doc_id", "text_key", "run")).alias("p"))
+                   .select("anchor", "passage", "p.*"), "repeats-passages")
+    common = stored(first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SPLIT).select("anchor", F.lit(True).alias("common")),
+                    "repeats-common")
+    wanted = first.join(common, "anchor", "left").withColumn("common", F.coalesce("common", F.lit(False)))
+    texts = stored(_passage_texts(ordered, wanted, least), "repeats-texts")
+    # a window that stands in many passages of a common anchor is one passage
+    windows = (texts.where("window IS NOT NULL").groupBy("window").agg(F.min(F.struct("doc_id", "words")).alias("w"))
+               .select(F.col("window").alias("anchor"), F.col("window").alias("passage"), "w.*"))
+    whole = texts.where("window IS NULL").select("anchor", "passage", "doc_id", "words")
+    words = first.agg(F.sum(F.col("run").bitwiseAND(F.lit((1 << RUN) - 1)) + (least - 1))).first()[0] or 0
+    known = stored(_first_documents(whole.unionByName(windows), max(1, -(-words // SHARD)), least), "repeats-firsts")
+    alone = known.join(common.select("anchor"), "anchor", "left_anti")
+    single = known.where("anchor = passage").select(F.col("anchor").alias("window"), F.col("low").alias("d"))
+    inside = (texts.where("window IS NOT NULL").select("anchor", "passage", "at", "window", F.col("doc_id").alias("low")).join(single, "window")
+              .select("anchor", "passage", "low", F.when(F.col("d") < F.col("low"), F.array(F.struct(F.col("at").alias("i"), "d"))).alias("earlier")))
+    known = alone.unionByName(inside)
+    # equal passages of later documents are repeated whole, the first one where a window stands earlier
+    begin = F.shiftright("run", RUN)
+    own = F.transform(F.filter("earlier", lambda w: w["d"] < F.col("doc_id")), lambda w: F.shiftleft(begin + w["i"], RUN) + 1)
+    runs = F.when(F.col("doc_id") > F.col("low"), F.array("run")).otherwise(F.coalesce(own, F.array().cast("array<bigint>")))
+    marked = places.join(known, ["anchor", "passage"]).select("doc_id", "text_key", F.explode(runs).alias("run"))
+    return marked.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("run")).alias("runs"))
 
 
 def keyed(docs: DataFrame, name: str = "text_key") -> DataFrame:
@@ -298,20 +421,21 @@ CUT_TYPE = "struct<n_words:bigint,spans:array<struct<first:bigint,last:bigint>>,
 _SPAN = pa.struct([("first", pa.int64()), ("last", pa.int64())])
 
 
-def cut_repeats(text: Column, starts: Column, least: int) -> Column:
-    """Struct per text: its words, the maximal spans that ``least`` words from ``starts`` on make, and the kept words, one space between."""
+def cut_repeats(text: Column, runs: Column, least: int) -> Column:
+    """Struct per text: its words, the maximal spans that the windows of the runs make, and the kept words, one space between."""
 
     @F.arrow_udf(CUT_TYPE)
-    def udf(texts: pa.Array, starts: pa.Array) -> pa.Array:
+    def udf(texts: pa.Array, runs: pa.Array) -> pa.Array:
         parts = []
         for a, b, raw, offs in text_slices(texts):
             words = words_in(raw, offs, ~IS_SPACE)
-            own = starts.slice(a, b - a)
+            own = runs.slice(a, b - a)
             each = np.where(own.is_null().to_numpy(zero_copy_only=False), 0, own.value_lengths().fill_null(0).to_numpy())
-            first = np.repeat(words.offsets[:-1], each) + own.flatten().to_numpy()
+            run = own.flatten().to_numpy()
+            first = np.repeat(words.offsets[:-1], each) + (run >> RUN)
             change = np.zeros(len(words.hashes) + 1, np.int64)
             np.add.at(change, first, 1)
-            np.add.at(change, first + least, -1)
+            np.add.at(change, first + (run & ((1 << RUN) - 1)) + least - 1, -1)
             gone = np.cumsum(change[:-1]) > 0
             bound = np.zeros(len(gone) + 1, bool)
             bound[words.offsets] = True
@@ -320,38 +444,30 @@ def cut_repeats(text: Column, starts: Column, least: int) -> Column:
             of = np.searchsorted(words.offsets, opens, side="right") - 1
             spans = pa.StructArray.from_arrays([pa.array(opens - words.offsets[of]), pa.array(closes - words.offsets[of])], fields=list(_SPAN))
             stay = np.flatnonzero(~gone)
-            size = words.ends[stay] - words.starts[stay]
-            text_of = words.text_ids[stay]
-            begins = np.concatenate([[True], text_of[1:] != text_of[:-1]]) if len(stay) else np.zeros(0, bool)
-            # a space before each word but a text's first
-            taken = np.append(raw, np.uint8(0x20))[ranges(words.starts[stay] - ~begins, size + ~begins)]
-            lead = np.cumsum(size + ~begins) - (size + ~begins)
-            taken[lead[~begins]] = 0x20
-            total = np.bincount(text_of, size + ~begins, minlength=b - a).astype(np.int64)
-            kept = pa.LargeStringArray.from_buffers(b - a, pa.py_buffer(np.concatenate([[0], np.cumsum(total)]).astype(np.int64)), pa.py_buffer(taken))
+            kept = joined_words(raw, words.starts[stay], words.ends[stay], np.bincount(words.text_ids[stay], minlength=b - a))
             parts.append(pa.StructArray.from_arrays(
-                [pa.array(words.counts.astype(np.int64)), lists(spans, np.bincount(of, minlength=b - a), _SPAN), kept.cast(pa.string())],
+                [pa.array(words.counts.astype(np.int64)), lists(spans, np.bincount(of, minlength=b - a), _SPAN), kept],
                 ["n_words", "spans", "kept"]))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.struct(
             [("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("kept", pa.string())]))
 
-    return udf.asNondeterministic()(text, starts)
+    return udf.asNondeterministic()(text, runs)
 
 
 def with_cuts(docs: DataFrame, name: str, least: int = LEAST) -> DataFrame:
     """``docs`` with a struct column ``name``: n_words, spans of removed words, kept text."""
-    key, starts, flag, ids = (unused_name(docs, n) for n in ("text_key", "starts", "marked", "id_key"))
+    key, runs, flag, ids = (unused_name(docs, n) for n in ("text_key", "runs", "marked", "id_key"))
     full = keyed(docs, key)
-    marks = stored(repeated_spans(full.select("doc_id", "text", F.col(key).alias("text_key")), least), "repeats-marks")
+    marks = stored(repeated_runs(full.select("doc_id", "text", F.col(key).alias("text_key")), least), "repeats-marks")
     marked = marks.select(F.xxhash64("doc_id", "text_key").alias(ids))
     flagged = maybe_in(full.withColumn(ids, F.xxhash64(F.col("doc_id"), F.col(key))), ids, marked, flag).drop(ids)
-    plain = flagged.where(~F.col(flag)).withColumn(starts, F.lit(None).cast("array<int>"))
+    plain = flagged.where(~F.col(flag)).withColumn(runs, F.lit(None).cast("array<bigint>"))
     own = marks.toDF(*[unused_name(flagged, f"marks_{c}") for c in marks.columns])
     doc, text, found = own.columns
     hit = (flagged.where(F.col(flag)).join(own, (F.col("doc_id") == F.col(doc)) & (F.col(key) == F.col(text)), "left")
-           .withColumnRenamed(found, starts).drop(doc, text))
+           .withColumnRenamed(found, runs).drop(doc, text))
     both = plain.unionByName(hit).drop(key, flag)
-    return both.withColumn(name, cut_repeats(F.col("text"), F.col(starts), least)).drop(starts)
+    return both.withColumn(name, cut_repeats(F.col("text"), F.col(runs), least)).drop(runs)
 
 
 def removed_words(docs: DataFrame, least: int = LEAST) -> DataFrame:
