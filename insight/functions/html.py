@@ -15,13 +15,21 @@ Visible text:
 
 from __future__ import annotations
 
+import re
+import sys
+from collections.abc import Sequence
 from html.entities import name2codepoint
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from insight.functions.nulls import ColumnLike, col_of
 
+# functions that run in tasks travel with the plan, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HAS_BODY = r"(?i)<body[\s>]"
 BODY = r"(?is)<body[^>]*>(.*?)(</body>|\z)"
 HEAD = r"(?is)<head[\s>].*?(</head>|\z)"
@@ -80,9 +88,82 @@ def body_text(html: ColumnLike) -> Column:
 
 
 def inner_html(html: ColumnLike, tag: str) -> Column:
-    """The inner HTML of every ``<tag>...</tag>`` of the page, concatenated."""
-    spans = F.regexp_extract_all(col_of(html), F.lit(f"(?is)<{tag}[^>]*>(.*?)</{tag}>"), 1)
-    return F.array_join(spans, " ")
+    """The inner HTML of every outermost ``<tag>...</tag>`` of the page, concatenated; the tag may be nested.
+
+    The page is cut before its ``<tag`` and ``</tag`` marks.  A running depth over the
+    pieces tells which ones lie inside; a closing mark without an opening one is ignored,
+    an unclosed element runs to the end of the page.
+    """
+    mark = rf"(?i)(?=<{tag}[\s>/])|(?=</{tag}[\s>])"
+    pieces = F.split(col_of(html), mark)
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("out"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opens = piece.rlike(rf"(?i)^<{tag}[\s>/]")
+        closes = piece.rlike(rf"(?i)^</{tag}[\s>]")
+        depth = (F.when(opens, state["depth"] + 1).when(closes, F.greatest(state["depth"] - 1, F.lit(0)))
+                 .otherwise(state["depth"]))
+        outer = (opens & (state["depth"] == 0)) | (closes & (state["depth"] == 1))
+        # an outermost mark itself is no content: what follows the opening one is, what follows the closing one is not
+        body = F.when(outer, F.regexp_replace(piece, r"(?s)^<[^>]*>", "")).otherwise(piece)
+        between = F.when(opens & (state["depth"] == 0) & (state["out"] != ""), F.lit(" ")).otherwise(F.lit(""))
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(state["out"], between, body)).otherwise(state["out"]).alias("out"))
+
+    return F.aggregate(pieces, start, step, lambda state: state["out"])
+
+
+# Elements that have no end tag.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+
+
+def selected_links(html: ColumnLike, steps: Sequence[tuple[str, str | None, str | None]]) -> Column:
+    """SC14 in a scope: ``href`` of the anchors that end a chain of elements, in page order (array).
+
+    ``steps`` lists the chain from the outside in, as (relation, tag, class): the relation
+    is "inside" (at any depth) or "child"; tag or class may be None.  For example
+    ``[("inside", None, "mw"), ("inside", None, "r"), ("child", "a", None)]``.
+
+    The page's tags are read once with a stack of open elements.  Each has two sets of
+    steps, as bits: those that it ends itself, and those that it or an element around it
+    ends.  An end tag closes the elements up to its own start tag, one without a start tag
+    nothing.  Scripts, styles and comments are left out first.  A null page has no links.
+    """
+    chain = [(relation, tag and tag.lower(), cls) for relation, tag, cls in steps]
+    tag_at = re.compile(r"<(/?)([A-Za-z][^\s>/]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>")
+    named = {n: re.compile(rf"""(?i)(?:^|\s){n}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""") for n in ("class", "href")}
+
+    def attribute(name: str, text: str) -> str | None:
+        found = named[name].search(text)
+        return found and found[1].strip(found[1][0] if found[1][0] in "\"'" else "")
+
+    def links(page: str) -> list[str]:
+        out, stack = [], [("", 0, 0)]
+        for end, tag, rest in tag_at.findall(page):
+            tag = tag.lower()
+            if end:
+                at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
+                del stack[at or len(stack):]
+                continue
+            classes = (attribute("class", rest) or "").split()
+            _, parent, around = stack[-1]
+            own = 0
+            for k, (relation, want, cls) in enumerate(chain):
+                held = k == 0 or (parent if relation == "child" else around) >> (k - 1) & 1
+                if held and want in (None, tag) and (cls is None or cls in classes):
+                    own |= 1 << k
+            if tag == "a" and own >> (len(chain) - 1) & 1:
+                href = attribute("href", rest)
+                if href is not None:
+                    out.append(href)
+            if tag not in VOID and not rest.rstrip().endswith("/"):
+                stack.append((tag, own, around | own))
+        return out
+
+    @F.pandas_udf("array<string>")
+    def select(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda p: links(p) if p is not None else [])
+
+    return select(_replace(col_of(html), DROP_SPANS, " "))
 
 
 def link_targets(html: ColumnLike) -> Column:

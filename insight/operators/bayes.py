@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 from insight.functions.text import STOP_WORDS
 from insight.operators.aggregate import with_scalar
 from insight.operators.contingency import confusion
+from insight.operators.joins import nsjoin
+from insight.sources.checkpoint import materialize
 
 #: Share of the vocabulary's documents from which a term is joined by broadcast.
 HOT_SHARE = 0.01
@@ -117,6 +119,41 @@ def key_split(df: DataFrame, key: str, test_fraction: float = 0.25, salt: int =
     return df.withColumn("is_test", h < threshold)
 
 
+def exact_split(df: DataFrame, key: str, by: str | Sequence[str] = (), test_fraction: float = 0.25, salt: int = 0) -> DataFrame:
+    """ST2, exact form: ``df`` with boolean ``is_test``; each stratum ``by`` has ``ceil(n * test_fraction)`` test rows.
+
+    The test rows of a stratum are those of the smallest key hashes (the hash of
+    :func:`key_split`), ties broken by the key.  The border is found by interval counts:
+    2^16 intervals of the hash, then those of the interval that holds it, then the rows
+    of that one hash, which are numbered over range partitions.  No stratum is sorted or
+    gathered; only counts per interval move.
+    """
+    from insight.operators.ranking import row_positions
+    strata = list(_keys(by)) or ["__all"]
+    src = df if _keys(by) else df.withColumn("__all", F.lit(0))
+    h = F.pmod(F.pmod(F.col(key), F.lit(KEY_SPACE)) * F.lit(GOLDEN) + F.lit(salt), F.lit(SPACE))
+    hashed = src.withColumn("__h", h)
+    counted = materialize(hashed.groupBy(*strata, "__h").agg(F.count(F.lit(1)).alias("__n")), "split-counts")
+    border = counted.groupBy(*strata).agg(F.ceil(F.sum("__n") * F.lit(test_fraction)).cast("bigint").alias("__k")).withColumn("__at", F.lit(0).cast("bigint"))
+    for shift in (16, 0):
+        # the interval that holds the k-th hash; k counts on from its start
+        cell = F.shiftright("__h", shift)
+        cells = nsjoin(counted, border, strata).where(F.shiftright("__h", shift + 16) == F.col("__at")).groupBy(*strata, "__k", cell.alias("__cell")).agg(
+            F.sum("__n").alias("__n"))
+        upto = F.sum("__n").over(Window.partitionBy(*strata).orderBy("__cell"))
+        cells = cells.withColumn("__before", upto - F.col("__n"))
+        border = materialize(cells.where((F.col("__before") < F.col("__k")) & (F.col("__k") <= F.col("__before") + F.col("__n")))
+                             .select(*strata, (F.col("__k") - F.col("__before")).alias("__k"), F.col("__cell").alias("__at")), "split-border")
+    marked = nsjoin(hashed, border, strata, "left")
+    sure = marked.where("__h <> __at").withColumn("is_test", F.col("__h") < F.col("__at"))
+    tied = row_positions(marked.where("__h = __at").withColumn("__order", F.struct(*strata, key)), "__order", "__pos")
+    tied = materialize(tied, "split-ties")
+    first = tied.groupBy(*strata).agg(F.min("__pos").alias("__first"))
+    tied = nsjoin(tied, first, strata).withColumn("is_test", F.col("__pos") - F.col("__first") < F.col("__k"))
+    out = [*[F.col(f"`{c}`") for c in df.columns], F.col("is_test")]
+    return sure.select(*out).unionByName(tied.select(*out))
+
+
 def random_split(df: DataFrame, test_fraction: float = 0.25, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """ST2, sampling form: ``(train, test)`` with a seeded ``randomSplit``."""
     train, test = df.randomSplit([1.0 - test_fraction, test_fraction], seed)

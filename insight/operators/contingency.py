@@ -70,14 +70,21 @@ def confusion(pred: DataFrame, truth: str, predicted: str, levels: DataFrame | N
             .withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long"))))
 
 
-def crosstab_wide(df: DataFrame, row: str, column: str) -> DataFrame:
+#: Levels that a wide table can have as columns.
+MOST_COLUMNS = 10_000
+
+
+def crosstab_wide(df: DataFrame, row: str, column: str, most: int = MOST_COLUMNS) -> DataFrame:
     """EX8 wide form: one row per level of ``row``, one count column per level
     of ``column`` (named by the level), zero cells as 0, NA rows left out.
 
     Column levels become column names, so they are read from the grouped counts
-    first.
+    first; over ``most`` of them are refused (use :func:`crosstab`, the long form).
     """
     counts = _counts(df, [row, column], "n")
-    values = [r[0] for r in counts.select(_q(column)).distinct().orderBy(_q(column)).collect()]
+    levels = counts.select(_q(column)).distinct()
+    if levels.limit(most + 1).count() > most:
+        raise ValueError(f"column {column!r} has more than {most} levels; use crosstab for the long form")
+    values = [r[0] for r in levels.orderBy(_q(column)).collect()]
     wide = counts.groupBy(_q(row)).pivot(column, values).agg(F.sum("n"))
     return wide.fillna(0, subset=[str(v) for v in values])

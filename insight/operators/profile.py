@@ -166,6 +166,30 @@ def distinct_values(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return long.distinct()
 
 
+#: Distinct values up to which a column's are listed.
+MOST_LEVELS = 1000
+
+
+def column_levels(df: DataFrame, columns: Sequence[str] | None = None, most: int = MOST_LEVELS) -> DataFrame:
+    """EX12 with a guard: ``(column, n_levels, listed, value)``.
+
+    ``n_levels`` is a HyperLogLog estimate (one sketch per column, one aggregate).
+    Columns of at most ``most`` levels have a row per value, NA included; the others have
+    one row with a null value and ``listed`` false.  :func:`distinct_values` lists all.
+    """
+    from insight.sources.checkpoint import materialize
+    cols = list(columns or df.columns)
+    sketches = df.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(_q(c).cast("string"))).alias(f"n{i}") for i, c in enumerate(cols)])
+    sizes = _explode_rows(sketches, [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"n{i}"), F.lit(0)).alias("n_levels"))
+                                     for i, c in enumerate(cols)]).withColumn("listed", F.col("n_levels") <= most)
+    sizes = materialize(sizes, "levels")
+    few = [r["column"] for r in sizes.where("listed").select("column").collect()]  # column names
+    long = sizes.where("NOT listed").withColumn("value", F.lit(None).cast("string"))
+    if not few:
+        return long
+    return sizes.join(distinct_values(df, few), "column").select(long.columns).unionByName(long)
+
+
 def first_seen_levels(df: DataFrame, column: str, key: str) -> DataFrame:
     """EX13: distinct values of one column in order of first appearance
     (``unique()``): ``(value, first_key, level)`` with a 1-based level.

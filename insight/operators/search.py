@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.functions.html import body_text, inner_html, link_targets, resolve_url, url_host
+from insight.functions.html import body_text, inner_html, link_targets, resolve_url, selected_links, url_host
 from insight.functions.text import contains_word, flatten_whitespace
 
 REPOST_PREFIX = "RT @"
@@ -70,15 +70,19 @@ def search_pages(pages: DataFrame, terms: Sequence[str], exclude_sites: Sequence
 
 
 def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-               container: str | None = None) -> DataFrame:
+               container: str | Sequence[tuple] | None = None) -> DataFrame:
     """SC14 + ST1: every anchor target of every page, ``(page_id, pos, href, link)``.
 
     ``pos`` is the 1-based position within the page, so ordering by
     ``(page_id, pos)`` is the appended result list.  ``container`` limits the
-    anchors to the inner HTML of that tag (the reference's selector scope).
+    anchors to the inner HTML of that tag or, as a chain of steps, to those that
+    :func:`insight.functions.html.selected_links` finds.
     """
-    src = F.col(html) if container is None else inner_html(F.col(html), container)
-    exploded = pages.select(F.col(key), F.col(url), F.posexplode(link_targets(src)).alias("pos", "href"))
+    if container is None or isinstance(container, str):
+        hrefs = link_targets(F.col(html) if container is None else inner_html(F.col(html), container))
+    else:
+        hrefs = selected_links(F.col(html), container)
+    exploded = pages.select(F.col(key), F.col(url), F.posexplode(hrefs).alias("pos", "href"))
     return exploded.select(key, (F.col("pos") + 1).alias("pos"), "href",
                            resolve_url(F.col("href"), F.col(url)).alias("link"))
 

@@ -9,7 +9,7 @@ from insight.operators import contingency as CT
 from insight.operators import profile as P
 from insight.operators import ranking as R
 from insight.operators import stats as S
-from insight.operators.aggregate import std_error
+from insight.operators.aggregate import exact_sum, std_error
 from insight.operators.density import density
 from insight.plans import bookings as B
 from insight.functions.nulls import r_divide
@@ -178,6 +178,29 @@ def lang_levels_first_seen(spark, d):
 NA_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
 
 
+LEVEL_COLS = ["l_orderkey", "l_linestatus", "l_returnflag", "l_linenumber", "l_discount", "l_extendedprice"]
+MOST_LEVELS = 50
+
+
+@register("column_levels", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", n <= {MOST_LEVELS} AS listed, v AS value FROM (SELECT count(DISTINCT {c}) AS n FROM lineitem), "
+    f"(SELECT DISTINCT CASE WHEN (SELECT count(DISTINCT {c}) FROM lineitem) <= {MOST_LEVELS} THEN CAST({c} AS VARCHAR) END AS v FROM lineitem)"
+    for c in LEVEL_COLS))
+def column_levels(spark, d):
+    """EX12 with its guard: values of columns with few levels, one row for each of the others."""
+    return P.column_levels(read_table(spark, d, "lineitem"), LEVEL_COLS, MOST_LEVELS).drop("n_levels")
+
+
+@register("exact_totals", """
+SELECT l_linestatus, l_returnflag, fsum(l_extendedprice) AS price, fsum(l_extendedprice * l_discount) AS discount
+FROM lineitem GROUP BY l_linestatus, l_returnflag""", rounded=["price", "discount"], digits=4)
+def exact_totals(spark, d):
+    """T11: sums that do not depend on the order of the rows."""
+    li = read_table(spark, d, "lineitem").withColumn("off", F.col("l_extendedprice") * F.col("l_discount"))
+    keys = ["l_linestatus", "l_returnflag"]
+    return exact_sum(li, keys, "l_extendedprice", "price").join(exact_sum(li, keys, "off", "discount"), keys)
+
+
 @register("na_counts", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS n_na FROM ({LABELLED_DOCS_SQL})"
     for c in NA_COLS))
@@ -635,3 +658,27 @@ def file_types(spark, d):
     df = read_delimited(spark, _written(src, "o_orderkey"), integers=True).select(*TYPED_COLS)
     types = F.create_map(*[F.lit(x) for c, t in df.dtypes for x in (c, t)])
     return P.na_counts(df).select("column", types[F.col("column")].alias("type"), "n_na")
+
+
+@register("quoted_records", """
+SELECT doc_id, text AS tweet, source AS sentiment FROM documents WHERE text IS NOT NULL""")
+def quoted_records(spark, d):
+    """IO1, IO2: quoted fields with line breaks, read by many tasks and put together again."""
+    from insight.sources.delimited import parse_lines, read_records
+    docs = read_table(spark, d, "documents").where("text IS NOT NULL")
+    quoted = F.concat(F.lit('"'), F.replace(F.col("text"), F.lit('"'), F.lit('""')), F.lit('"'))
+    path = new_folder(spark, "records")
+    docs.select(F.concat_ws(";", F.col("doc_id").cast("string"), quoted, F.col("source"))).write.text(path)
+    return parse_lines(read_records(spark, path), "record", ["doc_id", "tweet", "sentiment"], types={"doc_id": "bigint"}).drop("row")
+
+
+@register("lines_round_trip", """
+SELECT row_number() OVER (ORDER BY doc_id, i) AS "row", line AS text FROM (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))""")
+def lines_round_trip(spark, d):
+    """IO3, IO4: texts written as lines and read back with their line numbers."""
+    from insight.sources.textfile import read_numbered_lines, write_lines
+    path = new_folder(spark, "lines")
+    write_lines(read_table(spark, d, "documents").orderBy("doc_id"), path)
+    return read_numbered_lines(spark, path)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from insight.functions.text import STOP_WORDS, clean_text
 from insight.operators import bayes as NB
 from insight.operators.search import page_text
-from insight.sources.checkpoint import materialize
+from insight.sources.checkpoint import materialize, tables_root
 from insight.sources.tables import read_table
 
 
@@ -56,14 +56,36 @@ def train_model(docs: DataFrame, key: str = "doc_id", test_fraction: float = 0.2
     return TrainedModel(docs=split, tf=tf, split=split, model=fitted, key=key)
 
 
+#: Fitted models of this process, by kind and state of the input files.
+_FITTED: dict[tuple, TrainedModel] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str, tables: Sequence[str]) -> tuple:
+    """What identifies the tables' content: a hash of their files' paths, sizes and modification times."""
+    out = []
+    for t in tables:
+        files = read_table(spark, sf_dir, t).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        out.append(tuple(files.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*files.columns))).first()))
+    return tuple(out)
+
+
+def _fitted_once(spark: SparkSession, sf_dir: str, kind: str, tables: Sequence[str], docs) -> TrainedModel:
+    """The model of ``docs()``, fitted once per application for the same input files, as the reference fits once and scores three inputs."""
+    key = (tables_root(spark), kind, sf_dir, _state(spark, sf_dir, tables))
+    if key not in _FITTED:
+        _FITTED[key] = train_model(docs())
+    return _FITTED[key]
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
     """The classifier of ``labels.quality`` on ``documents``."""
-    return train_model(labelled_documents(spark, sf_dir, "quality"))
+    return _fitted_once(spark, sf_dir, "quality", ("documents", "labels"), lambda: labelled_documents(spark, sf_dir, "quality"))
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> TrainedModel:
     """A four-class classifier: ``documents.lang`` as the label."""
-    return train_model(read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label")))
+    return _fitted_once(spark, sf_dir, "lang", ("documents",), lambda: read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.col("lang").alias("label")))
 
 
 def quality_test_predictions(tm: TrainedModel) -> DataFrame:

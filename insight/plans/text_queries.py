@@ -140,6 +140,17 @@ def page_links(spark, d):
     return S.page_links(read_table(spark, d, "pages"))
 
 
+@register("page_links_in_list", f"""
+SELECT page_id, pos, href, {resolve_sql('href', 'url')} AS link FROM (
+  SELECT page_id, url, unnest(hrefs) AS href, CAST(generate_subscripts(hrefs, 1) AS INTEGER) AS pos
+  FROM (SELECT page_id, url, list_transform(
+          string_split(split_part(split_part(html, '<nav>', 2), '</nav>', 1), '<li><a href="')[2:], lambda x: split_part(x, '"', 1)) AS hrefs
+        FROM pages))""")
+def page_links_in_list(spark, d):
+    """SC14 in a scope: links that are children of list items inside the navigation."""
+    return S.page_links(read_table(spark, d, "pages"), container=[("inside", "nav", None), ("inside", "li", None), ("child", "a", None)])
+
+
 @register("page_body_text", f"SELECT page_id, url, {body_text_sql('html')} AS content FROM pages")
 def page_body_text(spark, d):
     return S.page_text(read_table(spark, d, "pages"))
@@ -155,6 +166,15 @@ QUALITY_DOCS_SQL = ("SELECT d.doc_id, d.text, l.quality AS label FROM documents
 LANG_DOCS_SQL = "SELECT doc_id, text, lang AS label FROM documents"
 
 
+@register("exact_split", f"""
+SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY ((doc_id % 2147483648) * 2654435761) % 4294967296, doc_id)
+                      <= ceil(count(*) OVER (PARTITION BY label) * 0.25) AS is_test
+FROM ({QUALITY_DOCS_SQL})""")
+def exact_split(spark, d):
+    """ST2: exactly a quarter of each class, rounded up."""
+    return NB.exact_split(TP.labelled_documents(spark, d).drop("text"), "doc_id", "label")
+
+
 def nb_fit_sql(docs_sql: str) -> str:
     return NB_FIT_TEMPLATE.replace("__DOCS__", docs_sql)
 

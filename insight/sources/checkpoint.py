@@ -21,9 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from insight.session import ensure_checkpoint_dir
 
 
-def _root(spark: SparkSession) -> str:
+#: Times that the tables of this process were removed.
+_released = 0
+
+
+def tables_root(spark: SparkSession) -> str:
+    """The folder of the application's stored tables; another one after each :func:`release`."""
     app = "".join(c if c.isalnum() else "-" for c in spark.sparkContext.applicationId)
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/insight-{app}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/insight-{app}-{_released}"
 
 
 def materialize(df: DataFrame, name: str = "table", compression: str = "zstd") -> DataFrame:
@@ -36,10 +41,12 @@ def materialize(df: DataFrame, name: str = "table", compression: str = "zstd") -
 
 def release(spark: SparkSession) -> None:
     """Remove every table this application has materialised."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    global _released
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tables_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _released += 1
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path under the checkpoint folder that nothing has used; :func:`release` removes it too."""
-    return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{tables_root(spark)}/{name}-{uuid.uuid4().hex}"

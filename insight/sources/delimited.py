@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from insight.sources.checkpoint import materialize
 from insight.sources.textfile import in_file_order
 
 # The missing-value spellings of the bookings reader.
@@ -23,8 +24,8 @@ NA_TOKENS = ("", "NA", "NULL", "NaN", "null", "Null", "<NA>")
 
 
 # Fields in double quotes may hold separators, line breaks and doubled quotes.
-# A file with quoted line breaks cannot be cut, so a large input should be
-# many files.
+# Spark's reader does not cut a file with quoted line breaks: a large one is
+# read by read_records and parse_lines, many small ones by one task each.
 QUOTING = {"quote": '"', "escape": '"', "multiLine": "true"}
 
 
@@ -38,6 +39,32 @@ def parse_lines(lines: DataFrame, column: str, names: Sequence[str], sep: str =
     return _apply_types(df, types or {})
 
 
+def read_records(spark: SparkSession, path: str, record: str = "record", row: str = "row") -> DataFrame:
+    """Quoted records of text files as ``(row, record)``, in file order, however the files are cut in blocks.
+
+    A line break inside quotes does not end a record.  Lines are numbered in file order;
+    a line begins a record if the quotes before it are even in number.  Quotes are counted
+    per block and summed over the blocks, so the state at a block's start is known without
+    reading the file from its beginning; lines of a record are put together by its number.
+    """
+    lines = in_file_order(spark.read.option("lineSep", "\n").text(path), "__line")
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    lines = lines.select("__line", "value", quotes.alias("__q"), F.floor((F.col("__line") - 1) / LINES).alias("__piece"))
+    pieces = lines.groupBy("__piece").agg(F.sum("__q").alias("__q"))
+    before = pieces.select("__piece", (F.sum("__q").over(Window.orderBy("__piece")) - F.col("__q")).alias("__before"))
+    here = F.sum("__q").over(Window.partitionBy("__piece").orderBy("__line")) - F.col("__q")
+    state = lines.withColumn("__here", here).join(before, "__piece")
+    begins = ((F.col("__before") + F.col("__here")) % 2 == 0).cast("bigint")
+    marked = materialize(state.select("__line", "value", "__piece", begins.alias("__begins")), "records")
+    starts = marked.groupBy("__piece").agg(F.sum("__begins").alias("__n"))
+    earlier = starts.select("__piece", (F.sum("__n").over(Window.orderBy("__piece")) - F.col("__n")).alias("__off"))
+    number = F.sum("__begins").over(Window.partitionBy("__piece").orderBy("__line"))
+    owned = marked.withColumn("__own", number).join(earlier, "__piece").withColumn(row, F.col("__own") + F.col("__off"))
+    parts = F.array_sort(F.collect_list(F.struct("__line", "value")))
+    joined = F.array_join(F.transform(parts, lambda p: p["value"]), "\n")
+    return owned.groupBy(row).agg(F.regexp_replace(joined, r"\r$", "").alias(record))
+
+
 def normalise_na(df: DataFrame, tokens: Sequence[str] = NA_TOKENS,
                  columns: Sequence[str] | None = None) -> DataFrame:
     """Trim string cells and turn every listed token into null."""
@@ -53,6 +80,8 @@ def normalise_na(df: DataFrame, tokens: Sequence[str] = NA_TOKENS,
     return df.select(*out)
 
 
+#: Lines whose quotes are counted together.
+LINES = 1 << 16
 #: Types a cell can have, from the narrowest to the widest, each with its bit.  A column's
 #: type is the first one that all its cells admit.
 TYPE_BITS = {"boolean": 1, "int": 2, "double": 4, "date": 8, "interval hour to second": 16, "timestamp": 32}

@@ -72,3 +72,40 @@ def test_post_search_has_no_limit_unless_asked(spark):
     df = spark.range(3000).selectExpr("id as post_id", "concat('the post ', id) as text")
     assert search_posts(df, ["the"]).count() == 3000
     assert [r["post_id"] for r in search_posts(df, ["the"], max_results=3).collect()] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("page,tag,want", [
+    ("<div>a<div>b</div>c</div>d<div>e</div>", "div", "a<div>b</div>c e"),
+    ("x<DIV class=y>a</DIV>", "div", "a"), ("<div>open <a href=x>", "div", "open <a href=x>"), ("</div>a<div>b</div>", "div", "b"),
+    ("<divx>a</divx><div>b</div>", "div", "b"), ("no", "div", ""), ("", "div", ""), (None, "div", None),
+])
+def test_inner_html_of_nested_containers(spark, page, tag, want):
+    from insight.functions.html import inner_html
+    assert one(spark, page, lambda c: inner_html(c, tag)) == want
+
+
+RESULT = [("inside", None, "mw"), ("inside", None, "g"), ("inside", None, "r"), ("child", "a", None)]
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<div class="mw"><div class=g><p class="x r"><a href="/1">t</a></p></div></div>', ["/1"]),
+    ('<div class="mw"><div><div class=g><i class=r><b><a href="/no"></a></b></i></div></div></div>', []),  # not a child
+    ('<div class="mw"><div class=g></div><i class=r><a href="/no"></a></i></div>', []),  # beside, not inside
+    ('<div class="mw g r"><a href="/no"></a></div>', []),  # three elements, not one
+    ('<div class=mw><div class=g><br><img src=x><input/><span class=r><a href=/2>t</a><a class=z HREF=\'/3\'>u</a></span></div></div>', ["/2", "/3"]),
+    ('<div class=mw><div class=g><div class=r><div class=r><a href=4></a></div><a href=5></a></div></div></div><a href=6>', ["4", "5"]),
+    ('<div class=mw><div class=g><div class=r></b><a href=7></a></span></div></div>', ["7"]),  # stray end tags
+    ('<div class=mw><!-- <div class=g><div class=r> --><a href=8></a></div>', []), ("<a href=9>", []), ("", []), (None, []),
+])
+def test_links_of_a_chain_of_elements(spark, page, want):
+    from insight.functions.html import selected_links
+    assert one(spark, page, lambda c: selected_links(c, RESULT)) == want
+
+
+def test_page_links_in_a_scope(spark):
+    from insight.operators.search import page_links
+    df = spark.createDataFrame([(1, "http://a.org/x/", "<a href=0></a><ul><li><a href='y'></a><div><a href=z></a></div></li></ul>")],
+                               "page_id long, url string, html string")
+    out = page_links(df, container=[("inside", "li", None), ("inside", "a", None)]).collect()
+    assert [(r["pos"], r["link"]) for r in out] == [(1, "http://a.org/x/y"), (2, "http://a.org/x/z")]
+    assert [r["href"] for r in page_links(df, container="div").collect()] == ["z"]
