@@ -188,6 +188,14 @@ def lists(values, counts: Sequence[int], kind: pa.DataType) -> pa.Array:
 
 # --- labelled rows -----------------------------------------------------------
 
+def labelled_ids(labels: DataFrame, column: str, keep: Column | None = None) -> DataFrame:
+    """(doc_id, label): one row per labelled id; of several labels the largest counts."""
+    ids = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
+    if keep is not None:
+        ids = ids.where(keep)
+    return ids.groupBy("doc_id").agg(F.max(column).alias("label"))
+
+
 def labelled_sample(labels: DataFrame, column: str, bound: int, keep: Column | None = None) -> DataFrame:
     """At most about ``bound`` labelled ids with their label, chosen by id hash.
 
@@ -195,16 +203,38 @@ def labelled_sample(labels: DataFrame, column: str, bound: int, keep: Column | N
     sample rate is set from the number of rows, so the result's size is
     bounded whatever the table's size is (it can be broadcast).
     """
-    ids = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
-    if keep is not None:
-        ids = ids.where(keep)
-    ids = ids.groupBy("doc_id").agg(F.max(column).alias("label"))
+    ids = labelled_ids(labels, column, keep)
     n = ids.count()
     if n > bound:
         ids = ids.where(unit_hash("sample", F.col("doc_id")) < F.lit(bound / n))
     return ids
 
 
+def text_draw(seed: str, *parts: Column) -> Column:
+    """Uniform number in [0, 1) from the seed and the parts (52 bits)."""
+    return F.xxhash64(F.lit(seed), *parts).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+
+
+def labelled_texts(docs: DataFrame, ids: DataFrame, bound: int, seed: str = "sample") -> DataFrame:
+    """(doc_id, text, label): at most ``bound`` distinct (doc_id, text) of ``docs`` with a label in ``ids``.
+
+    Equal rows count once; a doc_id that holds many texts is drawn text by text, so it is
+    represented like the others and cannot fill the sample.  The draw sees ids and text
+    hashes only; its result, at most ``bound`` rows of numbers, is sent to the scan that
+    fetches the texts.
+    """
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    keys = stored(hashed.select("doc_id", "text_key").distinct().join(ids, "doc_id"), "sample-keys")
+    n = keys.count()
+    drawn = keys
+    if n > bound:  # about a fifth too many, then the smallest draws
+        draw = text_draw(seed, F.col("doc_id"), F.col("text_key"))
+        drawn = keys.withColumn("draw", draw).where(F.col("draw") < F.lit(1.2 * bound / n)).orderBy("draw").limit(bound).drop("draw")
+    drawn = stored(drawn, "sample-drawn")
+    rows = hashed.join(F.broadcast(drawn), ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "label")
+    return rows.dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text", "label")
+
+
 # --- stored steps and grouped tasks -------------------------------------------
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -233,6 +263,33 @@ def maybe_in(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
             .drop("__map", "__bits", "__byte", "__bit"))
 
 
+#: Bits of a filter that tasks are sent (16 MB), and where in a 64-bit hash its two places come from.
+BLOOM_BITS, BLOOM_SHIFTS = 1 << 27, (0, 32)
+
+
+def bloom_bits(hashes: DataFrame) -> np.ndarray:
+    """Bloom filter of a one-column frame of 64-bit hashes, two bits each: ``BLOOM_BITS`` bits whatever their number."""
+    (column,) = hashes.columns
+    slots = [F.shiftright(column, s).bitwiseAND(F.lit(BLOOM_BITS - 1)) + 1 for s in BLOOM_SHIFTS]  # Spark's bitmaps number from 1
+    slot = F.col("slot")
+    maps = (hashes.select(F.explode(F.array(*slots)).alias("slot"))
+            .select(F.bitmap_bucket_number(slot).alias("map"), F.bitmap_bit_position(slot).alias("bit"))
+            .groupBy("map").agg(F.bitmap_construct_agg("bit").alias("bits"))).toArrow()
+    out = np.zeros(BLOOM_BITS // 8, np.uint8)
+    for number, bits in zip(maps.column("map").to_pylist(), maps.column("bits").to_pylist()):
+        out[(number - 1) * len(bits): number * len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def in_bloom(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Positions of the hashes that may be in the filter."""
+    some = np.arange(len(hashes))
+    for shift in BLOOM_SHIFTS:
+        slot = (hashes[some] >> np.uint64(shift) & np.uint64(BLOOM_BITS - 1)).astype(np.int64)
+        some = some[(bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0]
+    return some
+
+
 def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key is in ``ids`` (a one-column frame of that name); few others are shuffled."""
     flagged = maybe_in(df, key, ids, "__maybe").where("__maybe").drop("__maybe")

@@ -8,8 +8,10 @@ follow-the-regularised-leader with elastic-net penalties on a bounded sample
 (``PER_LANG`` documents a language at most), and a temperature, set on a part of
 that sample that the weights have not seen, calibrates the probabilities.
 
-Training documents are those with a text, a lang and ``learn`` true; lang is a
-code from a small set, which comes to the driver.
+Training documents are those with a text, a lang and ``learn`` true.  The sample is
+drawn by doc_id and text: equal rows count once in it, and an id that holds many texts
+is drawn text by text.  lang is a code from a small set, which comes to the driver; over
+``LANGS`` of them are refused.
 
 Edge cases: a text that is null or has no letter gets ``und`` with score 0, and
 so does every text if there is nothing to learn from; with one language it is always
@@ -24,14 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from insight.llm.common import lists, mix, unit_hash
+from insight.llm.common import lists, mix, text_draw
 
 GRAM = 3
 DIM = 1 << 14
 PER_LANG = 1500
+#: Languages that can be learned: each is a column of the weights, on the driver and in every task.
+LANGS = 1000
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.02, 0.001
 CHUNK_DOCS, CHUNK_CHARS = 256, 1_000_000
 NONE = "und"
@@ -173,20 +177,28 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 def fit_languages(docs: DataFrame, learn: Column) -> LangModel | None:
     """Fit on the rows with a text, a lang and ``learn`` true; None without any."""
-    rows = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = (docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull())
+            .select("doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("key")))
+    # equal rows count once in the sample; the document frequencies are those of all rows
+    found = (rows.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")).groupBy("lang")
+             .agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n")).limit(LANGS + 1).collect())
+    if len(found) > LANGS:
+        raise ValueError(f"more than {LANGS} languages: each has a weight column on the driver and in every task")
+    sizes = {r["lang"]: r["texts"] for r in found}
     if not sizes:
         return None
     codes = sorted(sizes)
-    total = sum(sizes.values())
+    total = sum(r["n"] for r in found)
     df = np.zeros(DIM)
     counted = rows.select("text").mapInArrow(_document_frequency, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     for r in counted.collect():  # at most DIM rows
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + total) / (1 + df)) + 1
     rates = F.create_map(*[x for c in codes for x in (F.lit(c), F.lit(min(1.0, PER_LANG / sizes[c])))])
-    draw = unit_hash("lang", F.col("doc_id"))
-    sample = (rows.withColumn("draw", draw / F.element_at(rates, F.col("lang"))).where("draw < 1")
+    drawn = rows.withColumn("draw", text_draw("lang", F.col("key")) / F.element_at(rates, F.col("lang"))).where("draw < 1")
+    drawn = drawn.dropDuplicates(["lang", "key"])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))  # about PER_LANG rows each
+    sample = (drawn.withColumn("place", place).where(F.col("place") <= PER_LANG)
               .select("text", "lang", "draw").mapInArrow(_gram_lists, "lang string, draw double, bucket array<int>, count array<int>")
               .toPandas().sort_values(["draw", "lang"], kind="stable"))
     train, check = [], []

@@ -75,7 +75,7 @@ def op3_language_id(spark, sf_dir):
 def op6_toxic_spans(spark, sf_dir):
     scored = toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
                                      held_out(F.col("doc_id"), 3, 1))
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
 
 
 @register("op11_repeated_spans", repeats.REMOVED_SQL)

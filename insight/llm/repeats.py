@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import IS_SPACE, Words, key_runs, lists, maybe_in, mix, ranges, stored, text_slices, unused_name, words_in
+from insight.llm.common import BLOOM_BITS, IS_SPACE, Words, bloom_bits, in_bloom, key_runs, lists, maybe_in, mix, ranges, stored, text_slices, unused_name, words_in
 
 LEAST = 13
 #: Words of an anchor.
@@ -51,8 +51,6 @@ GRAM = 5
 SPLIT = 512
 #: Words of a shard's passages, about.
 SHARD = 100_000
-#: Bits of the filter of shared anchors (16 MB), and where in the anchor a key's two bits come from.
-FILTER_BITS, SLOTS = 1 << 27, (0, 32)
 NO_DOC = np.iinfo(np.int64).max
 _STEP = np.uint64(0x100000001B3)
 
@@ -215,25 +213,13 @@ def _anchors(docs: DataFrame, least: int) -> DataFrame:
     return docs.select("text").mapInArrow(find, "anchor bigint")
 
 
-def _filter_of(shared: DataFrame) -> np.ndarray:
-    """Bloom filter of the shared anchors, two bits each: ``FILTER_BITS`` bits whatever their number."""
-    slots = [F.shiftright("anchor", s).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1 for s in SLOTS]  # Spark's bitmaps number from 1
-    slot = F.col("slot")
-    maps = (shared.select(F.explode(F.array(*slots)).alias("slot")).select(F.bitmap_bucket_number(slot).alias("map"), F.bitmap_bit_position(slot).alias("bit"))
-            .groupBy("map").agg(F.bitmap_construct_agg("bit").alias("bits"))).toArrow()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for number, bits in zip(maps.column("map").to_pylist(), maps.column("bits").to_pylist()):
-        out[(number - 1) * len(bits): number * len(bits)] = np.frombuffer(bits, np.uint8)
-    return out
-
-
 def _places(docs: DataFrame, shared: DataFrame, least: int) -> DataFrame:
     """(anchor, passage, doc_id, text_key, run) of the passages whose anchors are shared, stored.
 
     Tasks are sent a bit filter of the shared anchors, so few others leave them; once the
     shared anchors are too many for the filter, an exact join follows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(_filter_of(shared))
+    sent = docs.sparkSession.sparkContext.broadcast(bloom_bits(shared))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
@@ -242,17 +228,14 @@ def _places(docs: DataFrame, shared: DataFrame, least: int) -> DataFrame:
             for a, _, raw, offs in text_slices(batch.column("text")):
                 words = words_in(raw, offs, ~IS_SPACE)
                 anchor, text, first, windows = passages(words, least)
-                some = np.arange(len(anchor))
-                for shift in SLOTS:
-                    slot = (anchor[some] >> np.uint64(shift) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                    some = some[(bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0]
+                some = in_bloom(bits, anchor)
                 anchor, text, first, windows = anchor[some], text[some], first[some], windows[some]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor.view(np.int64)), pa.array(passage_hashes(words.hashes, first, windows + least - 1).view(np.int64)),
                      pa.array(ids[a + text]), pa.array(keys[a + text]), pa.array((first - words.offsets[text]) << RUN | windows)], schema=PLACES)
 
     found = docs.mapInArrow(find, "anchor bigint, passage bigint, doc_id bigint, text_key bigint, run bigint")
-    if shared.count() > FILTER_BITS // 8:
+    if shared.count() > BLOOM_BITS // 8:
         found = found.join(shared, "anchor", "left_semi")
     found = stored(found, "repeats-places")
     sent.unpersist()

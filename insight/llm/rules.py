@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import IS_SPACE, MULT, labelled_sample, mix, run_hashes, segments, text_slices, unused_name, words_in
+from insight.llm.common import IS_SPACE, MULT, labelled_ids, labelled_texts, mix, run_hashes, segments, text_slices, unused_name, words_in
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 64, 20
@@ -260,12 +260,11 @@ def verdicts(text: Column, trees: Trees) -> Column:
 
 
 def fit_rules(docs: DataFrame, labels: DataFrame) -> Trees:
-    """Trees from a bounded sample of the labelled documents."""
-    ids = labelled_sample(labels, "quality", TRAIN_ROWS)
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    """Trees from a bounded sample of the labelled documents, at most ``TRAIN_ROWS`` rows."""
+    texts = labelled_texts(docs, labelled_ids(labels, "quality"), TRAIN_ROWS)
     rows = (texts.select("doc_id", "label", text_statistics(F.col("text")).alias("s"))
-            .select("doc_id", "label", "s.features").toPandas())  # about TRAIN_ROWS rows of numbers
-    rows = rows.sort_values("doc_id", kind="stable")
+            .select("doc_id", "label", "s.features").toPandas())
+    rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (rows["doc_id"].iloc[i], tuple(rows["features"].iloc[i])))]
     x = np.array(rows["features"].tolist(), dtype=float).reshape(len(rows), len(FEATURES))
     return boost(x, (rows["label"].to_numpy() == 1).astype(float))
 

@@ -12,7 +12,8 @@ with the same smallest shingle hash count once, so copies of a document do not
 make its words toxic.
 
 The field is trained by gradient steps on the log-likelihood (forward-backward)
-over a bounded sample; for scoring, forward-backward gives each token's
+over a bounded sample of labelled texts -- equal rows count once, an id with many texts
+is drawn text by text -- and of their sentences, drawn by place; for scoring, forward-backward gives each token's
 marginal.  A document's score is a logistic function, fitted on the sampled
 documents, of its largest marginal, the expected number of toxic tokens and
 their rate; spans are the runs of tokens with a marginal of 0.5 or more, as
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import IS_LETTER, MULT, TO_LOWER, labelled_sample, lists, mix, run_hashes, salt, stored, text_slices, words_in
+from insight.llm.common import IS_LETTER, MULT, TO_LOWER, labelled_ids, labelled_texts, lists, mix, run_hashes, salt, stored, text_slices, words_in
 
 #: Labelled documents of each kind, and (about) sentences, that fit the model.
 TOXIC_DOCS, CLEAN_DOCS, SENTENCES = 8_000, 8_000, 40_000
@@ -271,6 +272,7 @@ def _sentences(known: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = batch.column("label").to_numpy(zero_copy_only=False) == 1
+            rows = batch.column("row").to_numpy().view(np.uint64)
             for a, _, raw, offs in text_slices(batch.column("text")):
                 low = TO_LOWER[raw]
                 words = words_in(low, offs, IS_LETTER)
@@ -281,13 +283,15 @@ def _sentences(known: np.ndarray):
                 hit = np.isin(lexical, known).any(axis=0) & toxic[a + words.text_ids]
                 first = np.flatnonzero(sentence_starts(low, words))
                 lens = np.diff(np.concatenate([first, [len(hit)]]))
-                order = np.add.reduceat(words.hashes, first)
-                chosen = np.flatnonzero((np.add.reduceat(hit, first) > 0) | (mix(order) % np.uint64(16) == 0))
+                owner = words.text_ids[first]
+                # drawn by place, so that a common sentence is drawn as often as it stands
+                place = mix(rows[a + owner] + (first - words.offsets[owner]).astype(np.uint64) * MULT)
+                chosen = np.flatnonzero((np.add.reduceat(hit, first) > 0) | (place % np.uint64(16) == 0))
                 at = np.concatenate([np.arange(first[c], first[c] + lens[c]) for c in chosen]) if len(chosen) else []
                 at = np.asarray(at, np.int64)
                 f = Field.features(keys)[:, at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(mix(order[chosen] + MULT).view(np.int64)),
+                    [pa.array(mix(place[chosen] + MULT).view(np.int64)),
                      lists(f.T.ravel().astype(np.int32), lens[chosen] * f.shape[0], pa.int32()),
                      lists(hit[at].astype(np.int32), lens[chosen], pa.int32())], ["draw", "features", "labels"])
     return run
@@ -314,24 +318,24 @@ class ToxicModel:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column) -> ToxicModel | None:
     """Fit on labelled rows with ``learn`` true (an expression of doc_id); None without both kinds."""
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    toxic_ids = labelled_sample(labels.where(F.col("toxic") == 1), "toxic", TOXIC_DOCS, learn)
-    clean_ids = labelled_sample(labels.where(F.col("toxic") == 0), "toxic", CLEAN_DOCS, learn).join(toxic_ids, "doc_id", "left_anti")
-    ids = toxic_ids.union(clean_ids)  # bounded by TOXIC_DOCS and CLEAN_DOCS
-    sample = texts.join(F.broadcast(ids), "doc_id")
+    ids = labelled_ids(labels, "toxic", learn)
+    sample = stored(labelled_texts(texts, ids.where("label = 1"), TOXIC_DOCS, "toxic")
+                    .unionByName(labelled_texts(texts, ids.where("label = 0"), CLEAN_DOCS, "clean")), "toxic-sample")
     kinds = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(kinds) < 2:
         return None
     known = lexicon(sample.where("label = 1"), sample.where("label = 0"))
     field = Field()
-    cut = stored(sample.select("text", "label").mapInArrow(
+    cut = stored(sample.select("text", "label", F.xxhash64("doc_id", "text").alias("row")).mapInArrow(
         _sentences(known), "draw long, features array<int>, labels array<int>"), "toxic-sentences")
-    share = SENTENCES / max(1, cut.count())
-    cut = (cut.where(F.pmod("draw", F.lit(1 << 20)) < F.lit(int(min(1.0, share) * (1 << 20)))).toPandas()
-           .sort_values("draw", kind="stable"))
+    share = 1.1 * SENTENCES / max(1, cut.count())
+    cut = (cut.where(F.pmod("draw", F.lit(1 << 20)) < F.lit(int(min(1.0, share) * (1 << 20)))).orderBy("draw").limit(SENTENCES)
+           .toPandas().sort_values("draw", kind="stable"))
     kinds_of = 2 + len(PREFIXES)
     field.train([(np.asarray(f, np.int64).reshape(-1, kinds_of).T, np.asarray(y, float))
                  for f, y in zip(cut["features"], cut["labels"])])
-    rows = sample.select("doc_id", "label", _evidence(F.col("text"), field).alias("x")).toPandas().sort_values("doc_id", kind="stable")
+    rows = sample.select("doc_id", "label", _evidence(F.col("text"), field).alias("x")).toPandas()
+    rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (rows["doc_id"].iloc[i], tuple(rows["x"].iloc[i])))]
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), 3)
     return ToxicModel(field, _fit_logistic(x, (rows["label"].to_numpy() == 1).astype(float)))
 
