@@ -1,37 +1,48 @@
 """Benchmark decontamination by an FM-index per shard of documents.
 
-A shard is a slice of a task's rows (``SLICE_BYTES`` of text).  Its words
-become symbols, and its FM-index holds the Burrows-Wheeler transform of the
-symbol sequence in a wavelet matrix, plus suffix positions sampled every
-``SAMPLE`` words.  The benchmark's windows are searched backwards, all windows
-at once; matching rows are walked to a sampled suffix to locate them; located
-windows become spans, which are merged per document.
-
-A window is ``WINDOW`` consecutive item words; an item of fewer words, but not
-none, is one window.  Words stand between ``LETTER_GAP``, with A-Z lower-cased;
-they are compared by 64-bit hash.
-
-The benchmark is searched in blocks of about ``BLOCK_BYTES`` of item text, so
-what is sent to the tasks at once is bounded whatever the benchmark's size is.
+A window is ``WINDOW`` consecutive item words; an item of fewer words, but not none, is
+one window.  Words stand between ``LETTER_GAP``, with A-Z lower-cased; they are compared
+by 64-bit hash.
+
+1. The benchmark's distinct windows are a table; each has a key, its run of ``KEY`` words
+   that is rarest in the benchmark (a shorter window is its own key).
+2. One scan of the documents finds which keys each text has.  Tasks are sent a bit filter
+   of the keys, of one size whatever the benchmark's, and a join by key gives each text
+   the windows that it can hold.
+3. Texts with such windows are dealt to shards of about ``SHARD_BYTES``, equal texts once,
+   and each shard gets the windows of its texts.  The shard's words become symbols; its
+   FM-index holds the Burrows-Wheeler transform of the symbol sequence in a wavelet
+   matrix, plus suffix positions sampled every ``SAMPLE`` words.  All windows are searched
+   backwards at once; matching rows are walked to a sampled suffix to locate them; located
+   windows become spans, which are merged per text.
+
+So the cost of a document does not depend on the benchmark's size, but on what it shares
+with it, and nothing of the benchmark is gathered on the driver.
 
 Edge cases: null, empty and wordless documents have no words and no hits; null
 or wordless items have no windows; items with equal ids count once; repeated
-documents are searched alike; other columns are ignored or, in
+documents are searched once; other columns are ignored or, in
 :func:`decontaminated`, kept; empty tables give no hits or no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from insight.llm.common import IS_LETTER, TO_LOWER, lists, ranges, text_slices, unused_name, words_in
+from insight.llm.common import (IS_LETTER, MULT, TO_LOWER, bloom_bits, in_bloom, key_runs, lists, maybe_in, mix, ranges, stored,
+                                text_slices, unused_name, words_in)
 
 WINDOW = 10
 SAMPLE = 8
-BLOCK_BYTES = 16 << 20
+#: Words of a window's key.
+KEY = 3
+#: Text of a shard, about.
+SHARD_BYTES = 1 << 20
 #: The two symbols below the words: the end of the shard, the end of a text.
 END, BREAK, FIRST = 0, 1, 2
 
@@ -150,33 +161,57 @@ class FmIndex:
         return out
 
 
-class Phrases:
-    """Distinct windows of a block of benchmark items, as word hashes, and the items that hold them."""
+def runs(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each run of ``n`` consecutive word hashes."""
+    out = np.full(max(0, len(hashes) - n + 1), n, np.uint64) * MULT
+    for j in range(n):
+        out = (out ^ hashes[j: j + len(out)]) * np.uint64(0x100000001B3)
+    return mix(out)
 
-    def __init__(self, ids: list[str], texts: list[str | None]):
-        self.ids = ids
-        windows: dict[bytes, set[int]] = {}
-        for base, _, raw, offs in text_slices(pa.array(texts, pa.large_string())):
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(window, item, words, keys): the windows of each item, with the runs that can be their key."""
+    kind = pa.schema([("window", pa.int64()), ("item", pa.string()), ("words", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
+    for batch in batches:
+        ids = batch.column("item").to_pylist()
+        for a, _, raw, offs in text_slices(batch.column("text")):
             words = words_in(TO_LOWER[raw], offs, IS_LETTER)
-            for t in range(len(offs) - 1):
-                h = words.hashes[words.offsets[t]: words.offsets[t + 1]]
-                for i in range(max(len(h) - WINDOW + 1, min(len(h), 1))):
-                    windows.setdefault(h[i: i + WINDOW].tobytes(), set()).add(base + t)
-        keys = sorted(windows)
-        self.lengths = np.array([len(k) // 8 for k in keys], np.int64)
-        self.hashes = np.zeros((len(keys), WINDOW), np.uint64)
-        for i, k in enumerate(keys):
-            self.hashes[i, WINDOW - self.lengths[i]:] = np.frombuffer(k, np.uint64)
-        self.item_counts = np.array([len(windows[k]) for k in keys], np.int64)
-        self.items = np.array([x for k in keys for x in sorted(windows[k])], np.int64)
-        self.item_starts = np.concatenate([[0], np.cumsum(self.item_counts)]).astype(np.int64)
-
-
-def shard_hits(words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(is each word hit, text of each pair, item of each pair) for one shard."""
+            for size in range(1, WINDOW + 1):
+                fits = words.counts >= WINDOW if size == WINDOW else words.counts == size
+                text = np.flatnonzero(fits)
+                many = words.counts[text] - size + 1
+                first = ranges(words.offsets[text], many)
+                if not len(first):
+                    continue
+                key = min(size, KEY)
+                held = np.full(len(first), size - key + 1)
+                flat = words.hashes[ranges(first, np.full(len(first), size))].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(runs(words.hashes, size)[first].view(np.int64)), pa.array([ids[a + t] for t in np.repeat(text, many)], pa.string()),
+                     lists(flat, np.full(len(first), size), pa.int64()),
+                     lists(runs(words.hashes, key)[ranges(first, held)].view(np.int64), held, pa.int64())], schema=kind)
+
+
+class Benchmark:
+    """Stored tables: distinct windows (window, words, key), the items that hold them, and the keys' lengths."""
+
+    def __init__(self, items: DataFrame):
+        named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text").where(F.col("text").isNotNull())
+        found = stored(named.mapInArrow(_windows, "window bigint, item string, words array<bigint>, keys array<bigint>"), "bench-windows")
+        self.items = stored(found.select("window", "item").distinct(), "bench-items")
+        distinct = stored(found.dropDuplicates(["window"]).drop("item"), "bench-distinct")
+        spread = distinct.select("window", F.explode("keys").alias("key"))
+        often = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        rarest = spread.join(often, "key").groupBy("window").agg(F.min_by("key", F.struct("n", "key")).alias("key"))
+        self.windows = stored(distinct.drop("keys").join(rarest, "window"), "bench-keys")
+        self.sizes = [r[0] for r in self.windows.select(F.least(F.size("words"), F.lit(KEY)).alias("size")).distinct().collect()]
+
+
+def shard_hits(words, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(is each word hit, text of each pair, window of each pair) for one shard and windows (rows of hashes, right-aligned)."""
     hit = np.zeros(len(words.hashes), bool)
     none = np.zeros(0, np.int64)
-    if not len(words.hashes) or not len(phrases.lengths):
+    if not len(words.hashes) or not len(lengths):
         return hit, none, none
     vocabulary, symbol = np.unique(words.hashes, return_inverse=True)
     filled = np.flatnonzero(words.counts)
@@ -185,12 +220,10 @@ def shard_hits(words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndar
     symbols = np.full(int(counts.sum()) + len(counts) + 1, BREAK, np.int64)
     symbols[ranges(begin, counts)] = symbol + FIRST
     symbols[-1] = END
-    at = np.minimum(np.searchsorted(vocabulary, phrases.hashes), len(vocabulary) - 1)
-    patterns = np.where(vocabulary[at] == phrases.hashes, at + FIRST, -1)
-    if not ((patterns >= 0).sum(axis=1) >= phrases.lengths).any():
-        return hit, none, none  # no window has all its words here
+    at = np.minimum(np.searchsorted(vocabulary, patterns), len(vocabulary) - 1)
+    patterns = np.where(vocabulary[at] == patterns, at + FIRST, -1)
     index = FmIndex(symbols, len(vocabulary) + FIRST)
-    low, high = index.search(patterns, phrases.lengths)
+    low, high = index.search(patterns, lengths)
     found = np.flatnonzero(high > low)
     many = high[found] - low[found]
     window = np.repeat(found, many)
@@ -200,104 +233,138 @@ def shard_hits(words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndar
     first = words.offsets[text] + place - begin[owner]
     change = np.zeros(len(hit) + 1, np.int64)
     np.add.at(change, first, 1)
-    np.add.at(change, first + phrases.lengths[window], -1)
+    np.add.at(change, first + lengths[window], -1)
     hit[:] = np.cumsum(change[:-1]) > 0
-    pairs = np.unique(np.stack([np.repeat(text, phrases.item_counts[window]),
-                                phrases.items[ranges(phrases.item_starts[window], phrases.item_counts[window])]]), axis=1)
+    pairs = np.unique(np.stack([text, window]), axis=1)
     return hit, pairs[0], pairs[1]
 
 
-HITS_TYPE = "struct<n_words:bigint,spans:array<struct<first:bigint,last:bigint>>,items:array<string>>"
+SCAN_TYPE = "struct<n_words:bigint,n_bytes:bigint,keys:array<bigint>>"
 _SPAN = pa.struct([("first", pa.int64()), ("last", pa.int64())])
 
 
-def find_hits(text: Column, phrases: Phrases) -> Column:
-    """Struct per text: words, spans of hit words (first, last), items."""
+def scan_texts(text: Column, sent, sizes: list[int]) -> Column:
+    """Struct per text: words, bytes, distinct runs of the given sizes that pass the filter."""
 
-    @F.arrow_udf(HITS_TYPE)
+    @F.arrow_udf(SCAN_TYPE)
     def udf(texts: pa.Array) -> pa.Array:
-        parts = []
-        names = np.array(phrases.ids, dtype=object)
+        bits, parts = sent.value, []
         for _, _, raw, offs in text_slices(texts):
             words = words_in(TO_LOWER[raw], offs, IS_LETTER)
-            hit, owner, item = shard_hits(words, phrases)
+            owner, pairs = words.text_ids, [np.zeros((2, 0), np.int64)]
+            for size in sizes:
+                key = runs(words.hashes, size)
+                some = in_bloom(bits, key)
+                some = some[owner[some] == owner[some + size - 1]]
+                pairs.append(np.stack([owner[some], key[some].view(np.int64)]))
+            pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
             n = len(words.counts)
-            bounds = np.zeros(len(hit) + 1, bool)
-            bounds[words.offsets] = True
-            first = np.flatnonzero(hit & (~np.concatenate([[False], hit[:-1]]) | bounds[:-1]))
-            last = np.flatnonzero(hit & (~np.concatenate([hit[1:], [False]]) | bounds[1:]))
-            of = np.searchsorted(words.offsets, first, side="right") - 1
-            spans = pa.StructArray.from_arrays([pa.array(first - words.offsets[of]), pa.array(last - words.offsets[of])],
-                                               fields=list(_SPAN))
             parts.append(pa.StructArray.from_arrays(
-                [pa.array(words.counts.astype(np.int64)), lists(spans, np.bincount(of, minlength=n), _SPAN),
-                 lists(names[item], np.bincount(owner, minlength=n), pa.string())], ["n_words", "spans", "items"]))
+                [pa.array(words.counts.astype(np.int64)), pa.array(np.diff(offs).astype(np.int64)),
+                 lists(pairs[1], np.bincount(pairs[0], minlength=n), pa.int64())], ["n_words", "n_bytes", "keys"]))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.struct(
-            [("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))]))
+            [("n_words", pa.int64()), ("n_bytes", pa.int64()), ("keys", pa.list_(pa.int64()))]))
 
     return udf.asNondeterministic()(text)
 
 
-def phrase_blocks(items: DataFrame) -> list[Phrases]:
-    """The benchmark as blocks; each comes to the driver by itself."""
-    named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("id"), "text").where(
-        F.col("text").isNotNull())
-    total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // BLOCK_BYTES))
-    out = []
-    for b in range(n):
-        rows = named.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b).toPandas().sort_values(["id", "text"])
-        out.append(Phrases(rows["id"].tolist(), rows["text"].tolist()))
-    return out
-
-
-def with_hits(docs: DataFrame, items: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a struct column ``name``: n_words, words (hit word numbers), items."""
-    blocks = phrase_blocks(items)
-    names = []
-    for b, phrases in enumerate(blocks):
-        names.append(unused_name(docs, f"{name}_{b}"))
-        docs = docs.withColumn(names[-1], find_hits(F.col("text"), phrases))
-    spans = F.concat(*[F.col(f"{n}.spans") for n in names])
-    hit = F.array_sort(F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s["first"], s["last"])))))
-    items_found = F.array_sort(F.array_distinct(F.concat(*[F.col(f"{n}.items") for n in names])))
-    return docs.withColumn(name, F.struct(F.col(f"{names[0]}.n_words").alias("n_words"), hit.alias("words"),
-                                          items_found.alias("items"))).drop(*names)
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key_a, key_b, spans, windows) of the texts of each shard that have hits; rows come sorted by shard."""
+    kind = pa.schema([("key_a", pa.int64()), ("key_b", pa.int64()), ("spans", pa.list_(_SPAN)), ("windows", pa.list_(pa.int64()))])
+    for table in key_runs(batches, "shard"):
+        asked = table.filter(table.column("text").is_null()).combine_chunks()
+        texts = table.filter(table.column("text").is_valid()).combine_chunks()
+        window, at = np.unique(asked.column("window").to_numpy(), return_index=True)
+        words = asked.column("words").combine_chunks()
+        start, size = words.offsets.to_numpy()[:-1][at].astype(np.int64), words.value_lengths().to_numpy()[at].astype(np.int64)
+        patterns = np.zeros((len(window), WINDOW), np.uint64)
+        row = np.repeat(np.arange(len(window)), size)
+        patterns[row, WINDOW - size[row] + ranges(np.zeros(len(size), np.int64), size)] = words.values.to_numpy().view(np.uint64)[ranges(start, size)]
+        for a, b, raw, offs in text_slices(texts.column("text")):
+            found = words_in(TO_LOWER[raw], offs, IS_LETTER)
+            hit, owner, which = shard_hits(found, patterns, size)
+            bounds = np.zeros(len(hit) + 1, bool)
+            bounds[found.offsets] = True
+            first = np.flatnonzero(hit & (~np.concatenate([[False], hit[:-1]]) | bounds[:-1]))
+            last = np.flatnonzero(hit & (~np.concatenate([hit[1:], [False]]) | bounds[1:]))
+            of = np.searchsorted(found.offsets, first, side="right") - 1
+            spans = pa.StructArray.from_arrays([pa.array(first - found.offsets[of]), pa.array(last - found.offsets[of])], fields=list(_SPAN))
+            some = np.unique(of)
+            keys = [texts.column(k).to_numpy()[a:b][some] for k in ("key_a", "key_b")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[0]), pa.array(keys[1]), lists(spans, np.bincount(of, minlength=b - a)[some], _SPAN),
+                 lists(window[which], np.bincount(owner, minlength=b - a)[some], pa.int64())], schema=kind)
+
+
+def _keys(text: Column) -> list[Column]:
+    """Two hashes by which equal texts are known."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
+KEYS = ["key_a", "key_b"]
+
+
+def text_hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The scan, (row columns but text, key_a, key_b, n_words), and the hits, (key_a, key_b, spans, items), of ``docs`` with key_a and key_b."""
+    bench = Benchmark(items)
+    sent = docs.sparkSession.sparkContext.broadcast(bloom_bits(bench.windows.select("key")))
+    scan = docs.withColumn("scan", scan_texts(F.col("text"), sent, bench.sizes)).drop("text")
+    scan = stored(scan.select(*[c for c in scan.columns if c != "scan"], "scan.*"), "hits-scan")
+    sent.unpersist()
+    asked = (scan.where(F.size("keys") > 0).select(*KEYS, "n_bytes", F.explode("keys").alias("key")).distinct()
+             .join(bench.windows, "key").drop("key"))
+    asked = stored(asked, "hits-asked")
+    wanted = stored(asked.select(*KEYS, "n_bytes").distinct(), "hits-wanted")
+    total = wanted.agg(F.sum("n_bytes")).first()[0] or 0
+    shards = max(1, -(-total // SHARD_BYTES))
+    some = maybe_in(docs.select(*KEYS, "text"), "key_a", wanted.select("key_a"), "some").where("some AND text IS NOT NULL")
+    texts = some.groupBy(*KEYS).agg(F.first("text").alias("text")).join(wanted.select(*KEYS), KEYS, "left_semi")
+    rows = texts.select(*KEYS, "text", F.lit(None).cast("bigint").alias("window"), F.lit(None).cast("array<bigint>").alias("words")).unionByName(
+        asked.select(*KEYS, F.lit(None).cast("string").alias("text"), "window", "words"))
+    dealt = rows.withColumn("shard", F.pmod("key_a", F.lit(shards))).repartition(min(shards, 20_000), "shard").sortWithinPartitions("shard")
+    found = stored(dealt.mapInArrow(_search, "key_a bigint, key_b bigint, spans array<struct<first:bigint,last:bigint>>, windows array<bigint>"), "hits-found")
+    named = (found.select(*KEYS, F.explode("windows").alias("window")).join(bench.items, "window")
+             .groupBy(*KEYS).agg(F.array_sort(F.collect_set("item")).alias("items")))
+    return scan.drop("n_bytes", "keys"), stored(found.drop("windows").join(named, KEYS), "hits")
+
+
+def _n_hit(spans: Column) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row."""
-    found = with_hits(docs.select("doc_id", "text"), items, "hits").select("doc_id", "hits.*")
-    return found.select("doc_id", "n_words", F.size("words").cast("long").alias("n_hit"),
-                        F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-                        (F.size("words") > 0).alias("contaminated"))
+    a, b = _keys(F.col("text"))
+    scan, hits = text_hits(docs.select("doc_id", "text", a.alias("key_a"), b.alias("key_b")), items)
+    found = scan.join(hits, KEYS, "left")
+    n = F.coalesce(_n_hit(F.col("spans")), F.lit(0).cast("long"))
+    return found.select("doc_id", "n_words", n.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+                        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
+                        (n > 0).alias("contaminated"))
 
 
-def _cut_out(text: Column, hit_words: Column) -> Column:
-    """The text without its runs of hit words; null where nothing is cut."""
+def _cut_out(text: Column, spans: Column) -> Column:
+    """The text without its spans of words; null if no word is left, or nothing is cut."""
 
     @F.arrow_udf("string")
-    def udf(texts: pa.Array, hits: pa.Array) -> pa.Array:
+    def udf(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
-        for body, words in zip(texts, hits):
-            if not body.is_valid or not words.is_valid or not len(words):
+        for body, cuts in zip(texts, spans):
+            if not body.is_valid or not cuts.is_valid or not len(cuts):
                 out.append(None)
                 continue
             raw = np.frombuffer(body.as_py().encode(), np.uint8)
             found = words_in(TO_LOWER[raw], np.array([0, len(raw)]), IS_LETTER)
-            hit = words.values.to_numpy()
-            new = np.concatenate([[True], hit[1:] != hit[:-1] + 1])
-            first, last = hit[new], hit[np.concatenate([new[1:], [True]])]
+            first, last = (cuts.values.field(i).to_numpy() for i in range(2))
             keep, done = [], 0
             for a, b in zip(found.starts[first], found.ends[last]):
                 keep.append(raw[done:a].tobytes())
                 done = b
             keep.append(raw[done:].tobytes())
-            out.append(b"".join(keep).decode())
+            out.append(b"".join(keep).decode() if (last - first + 1).sum() < len(found.starts) else None)
         return pa.array(out, pa.string())
 
-    return udf.asNondeterministic()(text, hit_words)
+    return udf.asNondeterministic()(text, spans)
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -305,19 +372,27 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     Merged spans are cut out of the text (and ``n_chars``, where there is one,
     is counted anew); a document with no word left goes; all others stay as
-    they are.
+    they are, and only rows whose texts have hits (and few others) move.
     """
-    hits, rest = unused_name(docs, "hits"), unused_name(docs, "rest")
-    found = with_hits(docs, items, hits).withColumn(rest, _cut_out(F.col("text"), F.col(f"{hits}.words")))
-    words = F.col(f"{hits}.n_words") - F.size(F.col(f"{hits}.words"))
-    found = found.where((F.size(F.col(f"{hits}.words")) == 0) | (words > 0))
-    cut = F.col(rest)
+    a, b = _keys(F.col("text"))
+    slim = docs.select("text", a.alias("key_a"), b.alias("key_b"))
+    _, hits = text_hits(slim, items)
+    key, other, flag, cut = (unused_name(docs, n) for n in ("text_key", "text_key2", "marked", "cut"))
+    flagged = maybe_in(docs.withColumn(key, a).withColumn(other, b), key, hits.select(F.col("key_a").alias(key)), flag)
+    own = hits.select(F.col("key_a").alias(key), F.col("key_b").alias(other), F.col("spans").alias(cut))
+    moved = flagged.where(F.col(flag)).join(own, [key, other], "left")
+    rest = unused_name(moved, "rest")
+    moved = moved.withColumn(rest, _cut_out(F.col("text"), F.col(cut))).where(F.col(cut).isNull() | F.col(rest).isNotNull())
     out = []
     for c in docs.columns:
-        old = F.col(f"`{c}`")
-        new = cut if c == "text" else F.length(cut).cast(docs.schema[c].dataType) if c == "n_chars" else None
+        old, new = F.col(f"`{c}`"), None
+        if c == "text":
+            new = F.col(rest)
+        elif c == "n_chars":
+            new = F.length(F.col(rest)).cast(docs.schema[c].dataType)
         out.append(old if new is None else F.coalesce(new, old).alias(c))
-    return found.select(*out)
+    same = [F.col(f"`{c}`") for c in docs.columns]
+    return flagged.where(~F.col(flag)).select(*same).unionByName(moved.select(*out))
 
 
 #: DuckDB SQL for :func:`contamination`.

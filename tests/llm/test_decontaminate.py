@@ -39,9 +39,9 @@ def rows_of():
     return [(100 + i, t, "en", "a") for i, t in enumerate(TEXTS)] + odd_rows()
 
 
-@pytest.mark.parametrize("block", [16 << 20, 40], ids=["one block", "many blocks"])
-def test_hits_equal_the_plain_version(spark, monkeypatch, block):
-    monkeypatch.setattr(de, "BLOCK_BYTES", block)
+@pytest.mark.parametrize("shard", [16 << 20, 40], ids=["one shard", "many shards"])
+def test_hits_equal_the_plain_version(spark, monkeypatch, shard):
+    monkeypatch.setattr(de, "SHARD_BYTES", shard)
     rows = rows_of()
     out = de.contamination(docs_frame(spark, rows), items_frame(spark, ITEMS)).collect()
     want = []
