@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from insight.functions import text as T
+from insight.functions.html import body_text, url_host
 from insight.operators import bayes as NB
+from insight.operators import postings as IX
 from insight.operators import search as S
 from insight.plans import text as TP
 from insight.plans.registry import register
+from insight.sources.checkpoint import new_folder
 from insight.sources.tables import read_table
 
 # --------------------------------------------------------------------------
@@ -118,6 +121,18 @@ def post_search_conversations(spark, d):
     return S.search_posts(read_table(spark, d, "conversations"), ("la", "de"), key=["conv_id", "turn"])
 
 
+@register("post_search_index", f"""
+SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents
+WHERE {words_sql('text', POST_TERMS)} AND NOT coalesce(starts_with(text, {lit(DOC_REPOST_PREFIX)}), false)""")
+def post_search_index(spark, d):
+    """IO6 over a stored index: the same posts as ``post_search``."""
+    docs = read_table(spark, d, "documents")
+    path = new_folder(spark, "post-index")
+    IX.write_index(docs, "doc_id", F.col("text"), path)
+    found = docs.join(IX.search_index(spark, path, POST_TERMS, "doc_id"), "doc_id", "left_semi")
+    return S.search_posts(found, (), key="doc_id", repost_prefix=DOC_REPOST_PREFIX)
+
+
 PAGE_TERMS = ("the", "and")
 EXCLUDED_SITES = ("example.net",)
 
@@ -131,6 +146,22 @@ def page_search_excluding_site(spark, d):
     return S.search_pages(read_table(spark, d, "pages"), PAGE_TERMS, EXCLUDED_SITES)
 
 
+@register("page_search_index", f"""
+SELECT page_id, url, {host_sql('url')} AS host FROM pages
+WHERE {words_sql(body_text_sql('html'), PAGE_TERMS)}
+  AND NOT ({" OR ".join(f"{host_sql('url')} = {lit(s)} OR ends_with({host_sql('url')}, {lit('.' + s)})"
+                        for s in EXCLUDED_SITES)})""")
+def page_search_index(spark, d):
+    """IO7, ST1 over a stored index to which half of the pages are appended: the same pages as ``page_search_excluding_site``."""
+    pages = read_table(spark, d, "pages").select("page_id", "url", "html")
+    path, body = new_folder(spark, "page-index"), body_text(F.col("html"))
+    early = F.col("page_id") % 2 == 0
+    IX.write_index(pages.where(early), "page_id", body, path)
+    IX.append_index(pages.where(~early), "page_id", body, path)
+    found = pages.select("page_id", "url").join(IX.search_index(spark, path, PAGE_TERMS, "page_id"), "page_id", "left_semi")
+    return found.where(~S.site_excluded(F.col("url"), EXCLUDED_SITES)).withColumn("host", url_host("url"))
+
+
 @register("page_links", f"""
 SELECT page_id, pos, href, {resolve_sql('href', 'url')} AS link FROM (
   SELECT page_id, url, unnest(hrefs) AS href, CAST(generate_subscripts(hrefs, 1) AS INTEGER) AS pos
