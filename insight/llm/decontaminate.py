@@ -4,11 +4,11 @@ A window is ``WINDOW`` consecutive item words; an item of fewer words, but not n
 one window.  Words stand between ``LETTER_GAP``, with A-Z lower-cased; they are compared
 by 64-bit hash.
 
-1. The benchmark's distinct windows are a table; each has a key, its run of ``KEY`` words
-   that is rarest in the benchmark (a shorter window is its own key).
-2. One scan of the documents finds which keys each text has.  Tasks are sent a bit filter
-   of the keys, of one size whatever the benchmark's, and a join by key gives each text
-   the windows that it can hold.
+1. The benchmark's distinct windows are a table, with their runs of ``KEY`` words (a
+   shorter window is one run).
+2. One scan of the documents finds which of these runs each text has.  Tasks are sent a
+   bit filter of the runs, of one size whatever the benchmark's.  A window's key is its
+   run that fewest texts have; a join by key gives each text the windows that it can hold.
 3. Texts with such windows are dealt to shards of about ``SHARD_BYTES``, equal texts once,
    and each shard gets the windows of its texts.  The shard's words become symbols; its
    FM-index holds the Burrows-Wheeler transform of the symbol sequence in a wavelet
@@ -193,19 +193,22 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Benchmark:
-    """Stored tables: distinct windows (window, words, key), the items that hold them, and the keys' lengths."""
+    """Stored tables: distinct windows (window, words), the runs that can be their keys (window, key), the items that hold them."""
 
     def __init__(self, items: DataFrame):
         named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text").where(F.col("text").isNotNull())
         found = stored(named.mapInArrow(_windows, "window bigint, item string, words array<bigint>, keys array<bigint>"), "bench-windows")
         self.items = stored(found.select("window", "item").distinct(), "bench-items")
-        distinct = stored(found.dropDuplicates(["window"]).drop("item"), "bench-distinct")
-        spread = distinct.select("window", F.explode("keys").alias("key"))
-        often = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        rarest = spread.join(often, "key").groupBy("window").agg(F.min_by("key", F.struct("n", "key")).alias("key"))
-        self.windows = stored(distinct.drop("keys").join(rarest, "window"), "bench-keys")
+        self.windows = stored(found.dropDuplicates(["window"]).drop("item"), "bench-distinct")
+        self.keys = stored(self.windows.select("window", F.explode(F.array_distinct("keys")).alias("key")), "bench-keys")
         self.sizes = [r[0] for r in self.windows.select(F.least(F.size("words"), F.lit(KEY)).alias("size")).distinct().collect()]
 
+    def rarest(self, often: DataFrame) -> DataFrame:
+        """(window, key): the key of each window that fewest texts have, by (key, n); windows with a key that no text has are left out."""
+        known = self.keys.join(often, "key", "left").groupBy("window").agg(
+            F.count_if(F.col("n").isNull()).alias("missing"), F.min_by("key", F.struct("n", "key")).alias("key"))
+        return known.where("missing = 0").select("window", "key")
+
 
 def shard_hits(words, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(is each word hit, text of each pair, window of each pair) for one shard and windows (rows of hashes, right-aligned)."""
@@ -307,13 +310,13 @@ KEYS = ["key_a", "key_b"]
 def text_hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The scan, (row columns but text, key_a, key_b, n_words), and the hits, (key_a, key_b, spans, items), of ``docs`` with key_a and key_b."""
     bench = Benchmark(items)
-    sent = docs.sparkSession.sparkContext.broadcast(bloom_bits(bench.windows.select("key")))
+    sent = docs.sparkSession.sparkContext.broadcast(bloom_bits(bench.keys.select("key").distinct()))
     scan = docs.withColumn("scan", scan_texts(F.col("text"), sent, bench.sizes)).drop("text")
     scan = stored(scan.select(*[c for c in scan.columns if c != "scan"], "scan.*"), "hits-scan")
     sent.unpersist()
-    asked = (scan.where(F.size("keys") > 0).select(*KEYS, "n_bytes", F.explode("keys").alias("key")).distinct()
-             .join(bench.windows, "key").drop("key"))
-    asked = stored(asked, "hits-asked")
+    held = stored(scan.where(F.size("keys") > 0).select(*KEYS, "n_bytes", F.explode("keys").alias("key")).distinct(), "hits-held")
+    rarest = stored(bench.rarest(held.groupBy("key").agg(F.count(F.lit(1)).alias("n"))), "hits-rarest")
+    asked = stored(held.join(rarest, "key").drop("key").join(bench.windows.drop("keys"), "window"), "hits-asked")
     wanted = stored(asked.select(*KEYS, "n_bytes").distinct(), "hits-wanted")
     total = wanted.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
