@@ -7,7 +7,7 @@ importance weight is the log ratio of its probabilities under both, taken per
 n-gram and scaled to ``LENGTH`` n-grams, so that long documents are not
 favoured or punished for their length alone.  ``k`` documents are drawn
 without replacement by the Gumbel top-k trick: the ``k`` largest values of log
-weight plus Gumbel noise, the noise coming from a hash of seed and doc_id.
+weight plus Gumbel noise, the noise coming from a hash of seed, doc_id and text.
 ``k`` is the labelled share of good documents times the number of documents.
 
 The target model is fitted on a bounded sample of labelled documents
@@ -107,13 +107,17 @@ def log_weight(text: Column, ratios: np.ndarray) -> Column:
     return weigh.asNondeterministic()(text)  # a costly call: not to be repeated in pushed-down filters
 
 
-def gumbel_key(weight: Column, doc_id: Column, seed: str = SEED) -> Column:
-    """Log weight plus Gumbel noise, in whole units."""
-    u = (unit_hash(seed, doc_id) + F.lit(2.0 ** -49))
+def gumbel_key(weight: Column, *row: Column, seed: str = SEED) -> Column:
+    """Log weight plus Gumbel noise from a hash of the row's parts, in whole units."""
+    u = (unit_hash(seed, *row) + F.lit(2.0 ** -49))
     key = F.round((weight - F.log(-F.log(u))) * F.lit(float(UNITS)))
     return F.greatest(F.least(key, F.lit(float(1 << 40))), F.lit(-float(1 << 40))).cast("long")
 
 
+def _text_hash() -> Column:
+    return F.md5(F.col("text").cast("binary"))
+
+
 def kth_largest(keys: DataFrame, column: str, k: int) -> int | None:
     """The k-th largest integer of a column, |value| <= 2^40; None if there are fewer.
 
@@ -155,9 +159,9 @@ def _fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 def resample(docs: DataFrame, labels: DataFrame, seed: str = SEED) -> DataFrame:
     """doc_id, log_weight, gumbel_key, kept for every row of ``docs``."""
     ratios = _fit(docs, labels)
-    scored = stored(docs.select("doc_id", log_weight(F.col("text"), ratios).alias("log_weight"))
-                         .withColumn("gumbel_key", gumbel_key(F.col("log_weight"), F.col("doc_id"), seed)),
-                         "quality-weights")
+    scored = stored(docs.select("doc_id", log_weight(F.col("text"), ratios).alias("log_weight"), _text_hash().alias("text_hash"))
+                         .withColumn("gumbel_key", gumbel_key(F.col("log_weight"), F.col("doc_id"), F.col("text_hash"), seed=seed)),
+                         "quality-weights").drop("text_hash")
     return scored.withColumn("kept", F.col("gumbel_key") >= F.lit(_border(scored, labels)))
 
 
@@ -174,6 +178,6 @@ def resampled(docs: DataFrame, labels: DataFrame, seed: str = SEED) -> DataFrame
     ratios = _fit(docs, labels)
     weight, key = unused_name(docs, "log_weight"), unused_name(docs, "gumbel_key")
     scored = docs.withColumn(weight, log_weight(F.col("text"), ratios))
-    scored = scored.withColumn(key, gumbel_key(F.col(weight), F.col("doc_id"), seed))
+    scored = scored.withColumn(key, gumbel_key(F.col(weight), F.col("doc_id"), _text_hash(), seed=seed))
     slim = stored(scored.select(F.col(weight).alias("log_weight"), F.col(key).alias("gumbel_key")), "quality-keys")
     return scored.where(F.col(key) >= F.lit(_border(slim, labels))).select(*[F.col(f"`{c}`") for c in docs.columns])
