@@ -316,7 +316,9 @@ def classify(docs: DataFrame) -> tuple[DataFrame, str, DataFrame]:
                       .mapInArrow(_verify, "id long, root long, links long"), "jaccard-links")
     final = components(verified.select(F.col("id").alias("a"), F.col("root").alias("b")))
     links = verified.groupBy("id").agg(F.sum("links").alias("links"))
-    known = links.join(final, "id", "left").select(F.col("id").alias("node"), "links", F.coalesce("comp", "id").alias("comp"))
+    # a node may stand for very many copies: two stored tables are joined, so that Spark can split it
+    known = stored(links.join(final, "id", "left").select(F.col("id").alias("node"), "links", F.coalesce("comp", "id").alias("comp")),
+                   "jaccard-known")
     classes = members.join(known, "node", "left").select(
         "id", "doc_id", F.coalesce("comp", "node").alias("comp"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
