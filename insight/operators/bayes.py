@@ -33,9 +33,13 @@ share, by a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,27 +60,68 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 # --------------------------------------------------------------------------
 # bag of words (SC12, AG14, ML1)
 
+#: Distinct terms that a task collects from its rows before it passes them on.
+PASSED_TERMS = 1 << 17
+
+
+def _row_terms(stop_words: Sequence[str], min_len: int):
+    """For mapInArrow: rows ``(..., text)`` to ``(..., term, tf)``, each row's terms counted by themselves."""
+    stop, word = frozenset(stop_words), re.compile("[A-Za-z]+")
+
+    def rows(batch, at, terms, counts):
+        # one entry of ``at`` per row: its place and its number of distinct terms
+        places = np.repeat(np.array([i for i, _ in at], np.int64), [n for _, n in at])
+        kept = [batch.column(j).take(pa.array(places)) for j in range(batch.num_columns - 1)]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(terms, pa.string()), pa.array(counts, pa.int64())],
+                                          [*batch.schema.names[:-1], "term", "tf"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, terms, counts = [], [], []
+            for i, text in enumerate(batch.column(batch.num_columns - 1)):
+                bag = Counter(w.lower() for w in word.findall(text.as_py() or "") if len(w) >= min_len and w not in stop)
+                at.append((i, len(bag)))
+                terms.extend(bag.keys())
+                counts.extend(bag.values())
+                if len(terms) > PASSED_TERMS:
+                    yield rows(batch, at, terms, counts)
+                    at, terms, counts = [], [], []
+            if terms:
+                yield rows(batch, at, terms, counts)
+    return run
+
+
 def term_frequencies(docs: DataFrame, key: str | Sequence[str], text: str = "text",
-                     stop_words: Sequence[str] = STOP_WORDS, min_len: int = 2) -> DataFrame:
+                     stop_words: Sequence[str] = STOP_WORDS, min_len: int = 2, keep: Sequence[str] = ()) -> DataFrame:
     """AG14: ``(key..., term, tf)`` -- the sparse document-term matrix, long form.
 
-    Same tokens as :func:`insight.functions.text.bag_of_words_terms`, computed
-    row-wise so the whole chain stays in generated code: split on runs of
-    non-letters (= the letter runs), explode, drop empty strings and stop
-    words (case-sensitive, before lower-casing), lower-case, keep terms of
-    ``min_len`` or more characters.  ``explode`` feeds a partial aggregate, so
-    the shuffle carries distinct (document, term) pairs only.
+    Same tokens as :func:`insight.functions.text.bag_of_words_terms`: letter
+    runs without the stop words (case-sensitive, before lower-casing),
+    lower-cased, of ``min_len`` or more characters.  A row's terms are counted
+    where the row is: a task holds the terms of a few rows, and nothing is
+    shuffled.  Only rows whose key stands on several rows, which are one
+    document, are summed by (document, term).
+
+    With ``keep``, columns of the row go along, and ``alone`` tells whether the
+    key stands on one row; if it does not, the kept columns are null.
     """
     keys = _keys(key)
-    tok = F.col("__tok")
-    cond = tok != ""
-    if stop_words:
-        cond = cond & ~tok.isin(list(stop_words))
-    return (docs.select(*keys, F.explode(F.split(F.col(text), "[^A-Za-z]+")).alias("__tok"))
-            .filter(cond)
-            .select(*keys, F.lower(tok).alias("term"))
-            .filter(F.length("term") >= min_len)
-            .groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf")))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keys, *keep).schema.fields)
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.select(*keys, *keep, text).mapInArrow(_row_terms(stop_words, min_len), f"{fields}, term string, tf bigint")
+
+    several = materialize(docs.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*keys), "several-rows")
+    alone = several.isEmpty()
+    out = counted(docs if alone else nsjoin(docs, several, keys, "left_anti"))
+    if keep:
+        out = out.withColumn("alone", F.lit(True))
+    if alone:
+        return out
+    summed = counted(nsjoin(docs, several, keys, "left_semi")).groupBy(*keys, "term").agg(F.sum("tf").alias("tf"))
+    if keep:
+        summed = summed.withColumn("alone", F.lit(False))
+    return out.unionByName(summed, allowMissingColumns=True)
 
 
 def vocabulary_terms(tf: DataFrame) -> DataFrame:
@@ -182,6 +227,10 @@ def fit_naive_bayes(tf: DataFrame, labels: DataFrame, key: str | Sequence[str],
     every document in ``tf``, which is the reference's order (vectoriser fit
     on all rows before the split).  ``n_vocab_docs`` is the number of those
     documents, counted if it is not given.
+
+    If ``tf`` carries ``label``, ``alone`` (see :func:`term_frequencies`) and
+    ``is_test``, and ``labels`` are the documents that are not ``is_test``, only
+    the terms of documents of several rows are joined to their labels.
     """
     keys = _keys(key)
     vocab = vocab if vocab is not None else vocabulary_terms(tf)
@@ -190,8 +239,12 @@ def fit_naive_bayes(tf: DataFrame, labels: DataFrame, key: str | Sequence[str],
     v_size = vocab.agg(F.count(F.lit(1)).cast("double").alias("__v"))
     train = labels.select(*keys, F.col(label).alias("label"))
     counts = train.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"))
-    feat = (tf.join(train, keys).groupBy("label", "term")
-            .agg(F.sum("tf").alias("count")))
+    own = {"label", "alone", "is_test"} <= set(tf.columns)
+    joined = (tf.where("NOT alone AND NOT is_test").drop("label") if own else tf).join(train, keys).select("label", "term", "tf")
+    if own:
+        joined = tf.where("alone AND NOT is_test").select("label", "term", "tf").unionByName(joined)
+    # read for the totals and for the weights
+    feat = materialize(joined.groupBy("label", "term").agg(F.sum("tf").alias("count")), "term-counts")
     totals = feat.groupBy("label").agg(F.sum("count").alias("total_count"))
     n_all = counts.agg(F.sum("n_docs").cast("double").alias("__n"))
     classes = (with_scalar(with_scalar(counts.join(totals, "label", "left"), n_all), v_size)
@@ -218,24 +271,30 @@ def predict_naive_bayes(model: NaiveBayesModel, tf: DataFrame, docs: DataFrame,
     ``tf`` holds the documents' term frequencies (read twice: pass a stored
     table); terms outside the model vocabulary are dropped, as the fitted
     vectoriser ignores unseen words.  Documents without a known term get the
-    prior-only prediction.
+    prior-only prediction.  ``restrict_to_vocab`` may be false if all terms are
+    known, as those of documents that the vocabulary was made from.
     """
     keys = _keys(key)
     hot = F.col("doc_freq") >= F.lit(HOT_SHARE * model.n_vocab_docs)
     hot_terms = F.broadcast(model.vocab.filter(hot).select("term"))
-    cold_terms = model.vocab.filter(~hot).select("term")
     rows = tf.select(*keys, "term", "tf")
     often, seldom = rows.join(hot_terms, "term", "left_semi"), rows.join(hot_terms, "term", "left_anti")
-    if restrict_to_vocab:
-        seldom = seldom.join(cold_terms, "term", "left_semi")
     weights = model.weights.select("term", "label", "weight")
+    if restrict_to_vocab:
+        # a known term also counts once without a class, for the length
+        weights = weights.unionByName(model.vocab.select("term", F.lit(1.0).alias("weight")), allowMissingColumns=True)
     hot_weights = F.broadcast(weights.join(hot_terms, "term", "left_semi"))
     cold_weights = weights.join(hot_terms, "term", "left_anti")
     gain = F.col("tf") * F.col("weight")
     parts = (often.join(hot_weights, "term").select(*keys, "label", gain.alias("s"))
              .unionByName(seldom.join(cold_weights, "term").select(*keys, "label", gain.alias("s"))))
     gains = parts.groupBy(*keys, "label").agg(F.sum("s").alias("gain"))
-    lengths = often.unionByName(seldom).groupBy(*keys).agg(F.sum("tf").alias("len"))
+    if restrict_to_vocab:
+        gains = materialize(gains, "gains")
+        lengths = gains.where("label IS NULL").select(*keys, F.col("gain").alias("len"))
+        gains = gains.where("label IS NOT NULL")
+    else:
+        lengths = rows.groupBy(*keys).agg(F.sum("tf").alias("len"))
     # K rows, one per class: every document meets every class
     classes = model.classes.agg(F.collect_list(F.struct("label", "log_prior", "log_unseen")).alias("__classes"))
     every = (with_scalar(docs.select(*keys).join(lengths, keys, "left"), classes)

@@ -25,7 +25,7 @@ from insight.sources.tables import read_table
 @dataclass
 class TrainedModel:
     docs: DataFrame          # key, label (all labelled documents)
-    tf: DataFrame            # key, term, tf     (all labelled documents)
+    tf: DataFrame            # key, label, alone, term, tf, is_test (all labelled documents)
     split: DataFrame         # key, label, is_test
     model: NB.NaiveBayesModel
     key: str = "doc_id"
@@ -43,12 +43,12 @@ def train_model(docs: DataFrame, key: str = "doc_id", test_fraction: float = 0.2
 
     The term table of the labelled documents feeds the vocabulary, the fit
     and the held-out scoring.  Each consumer gets different inferred filters
-    pushed into its copy, so Spark could not reuse one shuffle for all of
-    them; the table is therefore written once to the checkpoint folder and
-    scanned by every consumer.  So are the vocabulary, the split and the fitted
-    tables, which scoring reads several times.
+    pushed into its copy; the table is therefore written once to the checkpoint
+    folder and scanned by every consumer.  It carries each document's label and
+    side of the split, so that neither is joined to it.  The vocabulary, the
+    split and the fitted tables, which scoring reads several times, are written too.
     """
-    tf = materialize(NB.term_frequencies(docs, key, "text", stop_words), "tf")
+    tf = materialize(NB.key_split(NB.term_frequencies(docs, key, "text", stop_words, keep=["label"]), key, test_fraction), "tf")
     vocab = materialize(NB.vocabulary_terms(tf), "vocab")        # ML1: all rows, before the split
     split = materialize(NB.key_split(docs.select(key, "label"), key, test_fraction), "split")
     fitted = NB.fit_naive_bayes(tf, split.filter(~F.col("is_test")), key, "label", vocab, split.count())
@@ -92,8 +92,8 @@ def quality_test_predictions(tm: TrainedModel) -> DataFrame:
     """ML3: ``(doc_id, truth, predicted, score)`` on the held-out rows."""
     k = tm.key
     test = tm.split.filter(F.col("is_test")).select(k, F.col("label").alias("truth"))
-    tf_test = tm.tf.join(test.select(k), k, "left_semi")
-    pred = NB.predict_naive_bayes(tm.model, tf_test, test, k)
+    # the vocabulary was made from these documents too
+    pred = NB.predict_naive_bayes(tm.model, tm.tf.filter("is_test"), test, k, restrict_to_vocab=False)
     return test.join(pred, k).select(k, "truth", "predicted", "score")
 
 
