@@ -253,7 +253,8 @@ def fit_naive_bayes(tf: DataFrame, labels: DataFrame, key: str | Sequence[str],
                        F.log(F.col("n_docs") / F.col("__n")).alias("log_prior"),
                        F.log(F.lit(alpha) / (F.col("total_count") + F.lit(alpha) * F.col("__v")))
                        .alias("log_unseen")))
-    weights = (feat.join(classes.select("label", "log_unseen"), "label")
+    # one row per class: the terms of a class stay in many tasks
+    weights = (feat.join(F.broadcast(classes.select("label", "log_unseen")), "label")
                .withColumn("weight", F.log((F.col("count") + alpha) / F.lit(alpha)))
                .select("label", "term", "count",
                        (F.col("weight") + F.col("log_unseen")).alias("log_prob"), "weight"))
