@@ -130,3 +130,32 @@ def test_odd_rows_and_empty_table(spark):
     alone = score_texts(docs_frame(spark, [(1, "ab", "en", "a")]), F.lit(True)).first()  # nothing to learn from
     assert (alone["train_tokens"], alone["n_known"], alone["base_score"]) == (0, 0, 0.0)
     assert abs(alone["score"] - 3 * math.log10(1 / 256)) < 1e-9
+
+
+def test_ngrams_are_looked_up_in_order(monkeypatch):
+    class Sent:
+        value = np.arange(0, 1 << 20, 3, dtype=np.uint64), np.zeros(349526)
+
+    asked, search = [], np.searchsorted
+
+    def watched(a, v, *args, **kw):
+        if a is Sent.value[0]:
+            asked.append(np.asarray(v))
+        return search(a, v, *args, **kw)
+
+    monkeypatch.setattr(np, "searchsorted", watched)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["zebra and ant", None, "an ox, a zebu"]), pa.array([False, True, False])],
+                                       ["doc_id", "text", "held"])
+    out = list(ppm._slices(Sent, 1 << 20)(iter([batch])))
+    assert sum(len(b.column("docs")[0]) for b in out) == 3
+    assert asked and all((np.diff(v.astype(np.int64)) > 0).all() for v in asked)
+
+
+def test_places_are_those_of_a_plain_search():
+    rng = np.random.default_rng(3)
+    known = np.unique(rng.integers(0, 1 << 48, 500).astype(np.uint64))
+    for many in (0, 1, 700):
+        asked = np.concatenate([rng.integers(0, 1 << 48, many).astype(np.uint64), known[:many // 7], known[-1:] + np.uint64(1)])
+        rng.shuffle(asked)
+        assert (ppm._places(known, asked) == np.searchsorted(known, asked)).all()
+    assert (ppm._places(known[:0], asked) == 0).all()
