@@ -40,8 +40,8 @@ ORDER = 5
 COMMON = 1 << 21
 #: N-grams of one shard of the trie, about.
 SHARD = 500_000
-#: Text whose n-grams are counted at once, and looked up at once; n-grams a task sums up before it passes them on.
-COUNT_BYTES, GRAM_BYTES, HELD = 1 << 18, 1 << 20, 500_000
+#: Text whose n-grams are counted at once, and looked up at once; n-grams or words a task sums up before it passes them on.
+COUNT_BYTES, GRAM_BYTES, HELD = 1 << 20, 1 << 20, 1_500_000
 #: Text whose words form one slice, at most; n-grams of a slice that are joined, about.
 WORD_BYTES, JOINED = 4 << 20, 1 << 20
 #: Words with at least one in so many tokens are sent to all tasks: at most so many.
@@ -57,43 +57,71 @@ def context_grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     n = len(lens)
     wide = lens + ORDER + 1
     begin = np.cumsum(wide) - wide
-    line = np.full(int(wide.sum()), BEFORE, np.uint64)
-    line[ranges(begin + ORDER, lens)] = TO_LOWER[raw]
-    line[begin + wide - 1] = AFTER
-    grams = np.zeros(len(line), np.uint64)
-    for j in range(ORDER + 1):
-        grams[ORDER:] |= line[ORDER - j: len(line) - j] << np.uint64(8 * j)
-    real = np.ones(len(line), bool)
+    real = np.ones(int(wide.sum()), bool)
     real[ranges(begin, np.full(n, ORDER))] = False
+    inner = real.copy()
+    inner[begin + wide - 1] = False
+    grams = np.full(len(real), BEFORE, np.uint64)
+    grams[inner] = TO_LOWER[raw]
+    grams[begin + wide - 1] = AFTER
+    have = 1  # bytes in each n-gram: the runs that end here and ``step`` bytes before meet or overlap
+    while have <= ORDER:
+        step = min(have, ORDER + 1 - have)
+        grams[step:] |= grams[:-step] << np.uint64(8 * step)
+        have += step
     return grams[real], lens + 1
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    codes, distinct = pd.factorize(np.concatenate(keys))
-    return distinct, np.bincount(codes, weights=np.concatenate(counts)).astype(np.int64)
+def _starts(line: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values of a sorted array begin."""
+    new = np.ones(len(line), bool)
+    np.not_equal(line[1:], line[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with their summed counts; ``held`` is emptied, so that its arrays do not wait in memory."""
+    line, counts = (np.concatenate(x) for x in zip(*held))
+    held.clear()
+    order = np.argsort(line)
+    line = line[order]
+    start = _starts(line)
+    return line[start], np.add.reduceat(counts[order], start)
+
+
+def _sums(parts: Iterator[tuple[np.ndarray, np.ndarray]], name: str) -> Iterator[pa.RecordBatch]:
+    """(``name``, n): the parts' counts by key; a task of at most ``HELD // 2`` keys passes each on once."""
+    def rows(keys, n):
+        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n)], [name, "n"])
+
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size > HELD:
+            held.append(_summed(held))
+            size = len(held[0][0])
+            if size > HELD // 2:
+                yield rows(*held.pop())
+                size = 0
+    if size:
+        yield rows(*_summed(held))
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows(g, n):
-        return pa.RecordBatch.from_arrays([pa.array(g.astype(np.int64)), pa.array(n)], ["gram", "n"])
+    def parts():
+        for batch in batches:
+            learned = (~batch.column("held").to_numpy(zero_copy_only=False).astype(bool)).astype(np.uint64)
+            for a, b, raw, offs in text_slices(batch.column("text"), COUNT_BYTES):
+                grams, many = context_grams(raw, offs)
+                grams = grams << np.uint64(1) | np.repeat(learned[a:b], many)  # sorting brings a distinct n-gram together
+                grams.sort()
+                marks = (grams & np.uint64(1)).astype(np.int64)
+                grams >>= np.uint64(1)
+                start = _starts(grams)
+                yield grams[start], np.add.reduceat(marks, start)
 
-    keys, counts, size = [], [], 0
-    for batch in batches:
-        learned = ~batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
-        for a, b, raw, offs in text_slices(batch.column("text"), COUNT_BYTES):
-            grams, many = context_grams(raw, offs)
-            codes, new = pd.factorize(grams)
-            keys.append(new)
-            counts.append(np.bincount(codes[np.repeat(learned[a:b], many)], minlength=len(new)))
-            size += len(new)
-            if size > HELD:
-                g, n = _summed(keys, counts)
-                keys, counts, size = [g], [n], len(g)
-                if size > HELD // 2:
-                    yield rows(g, n)
-                    keys, counts, size = [], [], 0
-    if keys:
-        yield rows(*_summed(keys, counts))
+    return _sums(parts(), "gram")
 
 
 def count_longest(rows: DataFrame) -> DataFrame:
@@ -240,6 +268,8 @@ _SLICE = ("docs array<bigint>, held array<boolean>, score array<double>, counts
 
 def _places(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """``np.searchsorted``, asked in order: neighbouring searches read the same part of ``known``."""
+    if (asked[1:] >= asked[:-1]).all():
+        return np.searchsorted(known, asked)
     order = np.argsort(asked)
     out = np.empty(len(asked), np.int64)
     out[order] = np.searchsorted(known, asked[order])
@@ -256,14 +286,20 @@ def _slices(common, size: int):
                 score, asked, others = [], [], []
                 for _, _, part, cuts in text_slices(text.slice(a, b - a), GRAM_BYTES):
                     grams, many = context_grams(part, cuts)
-                    codes, kinds = pd.factorize(grams)
+                    order = np.argsort(grams)
+                    line = grams[order]
+                    start = _starts(line)
+                    kinds = line[start]
                     place = np.minimum(_places(known, kinds), max(len(known) - 1, 0))
                     found = known[place] == kinds if len(known) else np.zeros(len(kinds), bool)
-                    values = np.zeros(len(kinds))
-                    values[found] = logs[place[found]]
+                    kind_values = np.full(len(kinds), np.nan)
+                    kind_values[found] = logs[place[found]]
+                    values = np.empty(len(grams))
+                    values[order] = np.repeat(kind_values, np.diff(start, append=len(line)))
+                    other = np.isnan(values)  # a score is a number
+                    values[other] = 0.0
                     begin = np.cumsum(many) - many
-                    score.append(np.add.reduceat(values[codes], begin))
-                    other = ~found[codes]
+                    score.append(np.add.reduceat(values, begin))
                     asked.append(np.add.reduceat(other, begin, dtype=np.int64))
                     others.append(grams[other])
                 places, grams = pd.factorize(np.concatenate(others))
@@ -296,10 +332,18 @@ def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
             words = np.frombuffer(batch.column("distinct")[k].as_py(), np.int64)
-            learned = np.frombuffer(batch.column("learned")[k].as_py(), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(words), batch.column("slice")[k].as_py(), np.int64)),
-                 pa.array(np.arange(len(words), dtype=np.int32)), pa.array(words), pa.array(learned)], ["slice", "place", "word", "n"])
+                 pa.array(np.arange(len(words), dtype=np.int32)), pa.array(words)], ["slice", "place", "word"])
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts():
+        for batch in batches:
+            for distinct, learned in zip(batch.column("distinct"), batch.column("learned")):
+                yield np.frombuffer(distinct.as_py(), np.int64), np.frombuffer(learned.as_py(), np.int64)
+
+    return _sums(parts(), "word")
 
 
 def _base_scores(n: int, distinct: int, ends: int):
@@ -358,12 +402,12 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     size = int(np.clip(JOINED / max(rest, 1e-9), GRAM_BYTES, WORD_BYTES))
     slices = stored(rows.mapInArrow(_slices(common, size), _SLICE).withColumn("slice", F.monotonically_increasing_id()), "ppm-slices")
     common.unpersist()
-    lists_of = slices.select("slice", "distinct", "learned").mapInArrow(
-        _word_lists, "slice long, place int, word long, n long")
-    vocabulary = stored(lists_of.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "ppm-words")
+    lists_of = slices.select("slice", "distinct").mapInArrow(_word_lists, "slice long, place int, word long")
+    counted = slices.select("distinct", "learned").mapInArrow(_word_counts, "word long, n long")
+    vocabulary = stored(counted.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "ppm-words")
     words, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     ends = rows.where(~F.col("held")).count()
-    found = (with_counts(lists_of.select("slice", "place", "word"), vocabulary, words)
+    found = (with_counts(lists_of, vocabulary, words)
              .groupBy("slice").agg(F.collect_list("place").alias("found"), F.collect_list("c").alias("times")))
     others = (slices.select("slice", "grams").mapInArrow(_gram_lists, "slice long, place int, gram long")
               .join(scores.select("gram", "p"), "gram").groupBy("slice")

@@ -159,3 +159,44 @@ def test_places_are_those_of_a_plain_search():
         rng.shuffle(asked)
         assert (ppm._places(known, asked) == np.searchsorted(known, asked)).all()
     assert (ppm._places(known[:0], asked) == 0).all()
+
+
+def test_a_task_passes_each_ngram_on_once():
+    """Pieces of text with the same n-grams are summed in the task, not row by row after it."""
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=100_000)) for _ in range(4)] * 4
+    held = [i % 3 == 0 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(held)], ["text", "held"])
+    out = pa.Table.from_batches(ppm._count_grams(iter([batch.slice(a, 5) for a in range(0, len(texts), 5)])))
+    want = Counter()
+    for t, h in zip(texts, held):
+        line = b"\xfe" * ppm.ORDER + t.encode() + b"\xff"
+        for i in range(len(line) - ppm.ORDER):
+            want[line[i:i + ppm.ORDER + 1]] += not h
+    assert out.num_rows == len(want)
+    assert {int(g).to_bytes(6, "big"): n for g, n in zip(out["gram"].to_pylist(), out["n"].to_pylist())} == want
+
+
+@pytest.mark.parametrize("most", [1, 40, 1000])
+def test_sums_of_any_bound_are_whole(monkeypatch, most):
+    monkeypatch.setattr(ppm, "HELD", most)
+    rng = np.random.default_rng(2)
+    parts = [(k, rng.integers(0, 1 << 40, len(k))) for k in (np.unique(rng.integers(-99, 99, 30)) for _ in range(20))]
+    parts.insert(3, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    got, want = Counter(), Counter()
+    for batch in ppm._sums(iter(parts), "word"):
+        keys = batch.column("word").to_pylist()
+        assert keys == sorted(set(keys))
+        got.update(dict(zip(keys, batch.column("n").to_pylist())))
+    for k, n in parts:
+        want.update(dict(zip(k.tolist(), n.tolist())))
+    assert got == want
+    assert not list(ppm._sums(iter([]), "word")) and not list(ppm._sums(iter(parts[3:4]), "word"))
+
+
+def test_a_task_sums_the_words_of_its_slices():
+    lists = [([7, -3, 5], [2, 0, 1 << 41]), ([], []), ([5, 9, 7], [4, 1, 0])]
+    packed = [[np.array(x[j], np.int64).tobytes() for x in lists] for j in range(2)]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in packed], ["distinct", "learned"])
+    (out,) = ppm._word_counts(iter([batch.slice(0, 2), batch.slice(2)]))
+    assert out.to_pydict() == {"word": [-3, 5, 7, 9], "n": [0, (1 << 41) + 4, 2, 1]}
